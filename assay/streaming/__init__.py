@@ -1,0 +1 @@
+"""Incremental runs (the daily schedule, as a Structured Streaming job)."""
