@@ -31,10 +31,11 @@ def _ts_type(src: DataFrame) -> T.DataType:
     return src.schema["timestamp"].dataType
 
 
-def flatten(src: DataFrame) -> DataFrame:
+def flatten(src: DataFrame, *extra: Column) -> DataFrame:
     """Nested source -> flat batch (renames, struct fields, coalesce, UTC date).
 
     A field under a NULL parent struct is NULL.  Projection only: no shuffle.
+    ``extra`` columns are carried after the batch columns.
     """
     if isinstance(_ts_type(src), T.TimestampType):
         require_utc(src.sparkSession)
@@ -51,6 +52,7 @@ def flatten(src: DataFrame) -> DataFrame:
         F.col("details.system.name").alias("system_name"),
         F.col("details.system.release").alias("system_version"),
         F.to_date(F.col("timestamp")).alias("dt"),
+        *extra,
     )
 
 
