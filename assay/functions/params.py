@@ -74,11 +74,12 @@ def timestamp_params(begin: str | dt.date, end: str | dt.date,
     return {"min_ts": lo, "max_ts": hi}
 
 
-def day_params(dt_col: str = "dt", end_exclusive: bool = False) -> dict[str, Column]:
+def day_params(dt_col: str = "dt", end_exclusive: bool = False) -> dict:
     """``min_ts`` / ``max_ts`` bound to each row's own day, for per-day validation."""
-    start = F.col(dt_col).cast("timestamp_ntz")
+    from .sqltext import SqlExpr, ident
+    start = f"CAST({ident(dt_col)} AS TIMESTAMP_NTZ)"
     span = "INTERVAL 1 DAY" if end_exclusive else "INTERVAL '23:59:59' HOUR TO SECOND"
-    return {"min_ts": start, "max_ts": start + F.expr(span)}
+    return {"min_ts": SqlExpr(start), "max_ts": SqlExpr(f"{start} + {span}")}
 
 
 def merge_params(stored: Mapping | None, run: Mapping | None) -> dict:
@@ -120,6 +121,9 @@ def typed_literal(value, dtype: T.DataType) -> Column:
     Python-side local zone is involved; for ``timestamp_ntz`` the UTC wall-clock
     is kept.  A Column value (per-row bound) is cast to the type.
     """
+    from .sqltext import SqlExpr
+    if isinstance(value, SqlExpr):
+        return F.expr(str(value)).cast(dtype)
     if isinstance(value, Column):
         return value.cast(dtype)
     if value is None:

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from ..errors import BadParameter, SchemaDriftError
 from . import params as P
+from . import sqltext as S
 from .types import type_matches
 
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -102,42 +103,49 @@ def literal_values(values) -> list:
     return sorted(set(values), key=lambda v: (v is None, str(v)))
 
 
-def unexpected(rule: Rule, schema: T.StructType, params: Mapping, in_set_col: Column | None = None) -> Column:
-    """Boolean column: True where the row breaks a row-level rule.
+def unexpected_sql(rule: Rule, schema: T.StructType, params: Mapping,
+                   in_set_sql: str | None = None) -> str:
+    """SQL boolean expression: TRUE where the row breaks a row-level rule.
 
     For between / in set / regex a NULL value gives NULL (neither expected nor
     unexpected), so ``count_if`` skips it: that is the "nulls excluded" rule.
-    ``in_set_col`` replaces ``isin`` when the set is a joined dimension.
+    ``in_set_sql`` replaces the literal ``IN`` list when the set is a joined dimension.
     """
-    c = col(rule.column)
+    c = S.ident(rule.column)
     dtype = column_type(schema, rule.column)
     if rule.kind == NOT_NULL:
-        return c.isNull()
+        return f"{c} IS NULL"
     if rule.kind == BETWEEN:
         lo = P.resolve(rule.kwargs.get("min_value"), params)
         hi = P.resolve(rule.kwargs.get("max_value"), params)
         if lo is None and hi is None:
             raise BadParameter(f"between rule on {rule.column} needs min_value or max_value")
-        ok = F.lit(True)
+        ok = []
         if lo is not None:
-            lo_c = P.typed_literal(lo, dtype)
-            ok = ok & ((c > lo_c) if rule.kwargs.get("strict_min") else (c >= lo_c))
+            ok.append(f"{c} {'>' if rule.kwargs.get('strict_min') else '>='} {S.typed_lit(lo, dtype)}")
         if hi is not None:
-            hi_c = P.typed_literal(hi, dtype)
-            ok = ok & ((c < hi_c) if rule.kwargs.get("strict_max") else (c <= hi_c))
-        return ~ok
+            ok.append(f"{c} {'<' if rule.kwargs.get('strict_max') else '<='} {S.typed_lit(hi, dtype)}")
+        return f"NOT ({' AND '.join(ok)})"
     if rule.kind == IN_SET:
-        if in_set_col is not None:
-            return F.when(c.isNotNull(), ~in_set_col)
-        return ~c.isin(literal_values(value_set_of(rule)))
+        if in_set_sql is not None:
+            return f"CASE WHEN {c} IS NOT NULL THEN NOT ({in_set_sql}) END"
+        values = literal_values(value_set_of(rule))
+        if not values:
+            return f"CASE WHEN {c} IS NOT NULL THEN true END"
+        return f"NOT ({c} IN ({', '.join(S.value_lit(v) for v in values)}))"
     if rule.kind == MATCH_REGEX:
         regex = rule.kwargs.get("regex")
         if not regex:
             raise BadParameter(f"regex rule on {rule.column} needs regex")
-        return ~c.rlike(regex)
+        return f"NOT ({c} RLIKE {S.string_lit(regex)})"
     raise BadParameter(f"{rule.kind} is not a row-level rule")
 
 
+def unexpected(rule: Rule, schema: T.StructType, params: Mapping, in_set_sql: str | None = None) -> Column:
+    """Column form of ``unexpected_sql``."""
+    return F.expr(unexpected_sql(rule, schema, params, in_set_sql))
+
+
 def type_success(rule: Rule, schema: T.StructType) -> tuple[bool, str]:
     dtype = column_type(schema, rule.column)
     type_name = rule.kwargs.get("type_")
@@ -146,12 +154,11 @@ def type_success(rule: Rule, schema: T.StructType) -> tuple[bool, str]:
     return type_matches(dtype, type_name), dtype.simpleString()
 
 
-def success_ratio(good: Column, total: Column, mostly: float) -> Column:
+def success_sql(good: str, total: str, mostly: float) -> str:
     """``total = 0`` passes; else ``good / total >= mostly`` (no divide by zero)."""
-    return F.when(total == 0, F.lit(True)).otherwise(
-        F.try_divide(good.cast("double"), total.cast("double")) >= F.lit(mostly)
-    )
+    return (f"CASE WHEN ({total}) = 0 THEN true ELSE "
+            f"try_divide(CAST(({good}) AS DOUBLE), CAST(({total}) AS DOUBLE)) >= {S.number_lit(mostly)} END")
 
 
-def percent(part: Column, total: Column) -> Column:
-    return F.round(F.try_divide(part.cast("double") * 100.0, total.cast("double")), 6)
+def percent_sql(part: str, total: str) -> str:
+    return f"round(try_divide(CAST(({part}) AS DOUBLE) * 100.0, CAST(({total}) AS DOUBLE)), 6)"

@@ -16,11 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules as R
+from ..functions import sqltext as S
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("rule_id", T.IntegerType(), False),
@@ -39,26 +40,30 @@ RESULT_COLUMNS = tuple(RESULT_SCHEMA.fieldNames())
 # Value sets (as DataFrames) up to this many rows are broadcast.
 DEFAULT_BROADCAST_LIMIT = 1_000_000
 
-
-def result_struct(rule_id: int, rule: R.Rule, element_count: Column, missing_count: Column,
-                  unexpected_count: Column, unexpected_percent: Column, observed: Column,
-                  success: Column) -> Column:
-    return F.struct(
-        F.lit(rule_id).cast("int").alias("rule_id"),
-        F.lit(rule.kind).alias("rule_type"),
-        F.lit(rule.column).alias("column_name"),
-        F.lit(rule.mostly).cast("double").alias("mostly"),
-        element_count.cast("long").alias("element_count"),
-        missing_count.cast("long").alias("missing_count"),
-        unexpected_count.cast("long").alias("unexpected_count"),
-        unexpected_percent.cast("double").alias("unexpected_percent"),
-        observed.cast("string").alias("observed_value"),
-        success.alias("success"),
+NULL_LONG = "CAST(NULL AS BIGINT)"
+NULL_DOUBLE = "CAST(NULL AS DOUBLE)"
+NULL_STRING = "CAST(NULL AS STRING)"
+
+
+def result_struct_sql(rule_id: int, rule: R.Rule, element_count: str, missing_count: str,
+                      unexpected_count: str, unexpected_percent: str, observed: str, success: str) -> str:
+    """``named_struct`` of one result row (field order = ``RESULT_SCHEMA``)."""
+    return (
+        f"named_struct('rule_id', CAST({int(rule_id)} AS INT), "
+        f"'rule_type', {S.string_lit(rule.kind)}, "
+        f"'column_name', {S.string_lit(rule.column)}, "
+        f"'mostly', {S.number_lit(rule.mostly)}, "
+        f"'element_count', CAST(({element_count}) AS BIGINT), "
+        f"'missing_count', CAST(({missing_count}) AS BIGINT), "
+        f"'unexpected_count', CAST(({unexpected_count}) AS BIGINT), "
+        f"'unexpected_percent', CAST(({unexpected_percent}) AS DOUBLE), "
+        f"'observed_value', CAST(({observed}) AS STRING), "
+        f"'success', ({success}))"
     )
 
 
-def _m(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0).cast("long"))
+def _m(name: str) -> str:
+    return f"coalesce({name}, CAST(0 AS BIGINT))"
 
 
 def _dim_values(dim: DataFrame) -> DataFrame:
@@ -67,9 +72,9 @@ def _dim_values(dim: DataFrame) -> DataFrame:
     return dim.select(R.col(first).alias("__v")).where(F.col("__v").isNotNull()).distinct()
 
 
-def _join_value_sets(batch: DataFrame, row_rules, group_cols, broadcast_limit):
+def _join_value_sets(batch: DataFrame, row_rules, broadcast_limit):
     """Attach broadcast membership markers; collect the unbounded sets for pre-aggregation."""
-    in_set_cols: dict[int, Column] = {}
+    in_set_sql: dict[int, str] = {}
     preagg: list[tuple[int, R.Rule, DataFrame]] = []
     for rid, rule in row_rules:
         if rule.kind != R.IN_SET or not isinstance(rule.kwargs.get("value_set"), DataFrame):
@@ -80,10 +85,10 @@ def _join_value_sets(batch: DataFrame, row_rules, group_cols, broadcast_limit):
             marker = f"__in_{rid}"
             right = values.select(F.col("__v").alias(f"__k_{rid}"), F.lit(True).alias(marker))
             batch = batch.join(F.broadcast(right), R.col(rule.column) == F.col(f"__k_{rid}"), "left")
-            in_set_cols[rid] = F.col(marker).isNotNull()
+            in_set_sql[rid] = f"{marker} IS NOT NULL"
         else:
             preagg.append((rid, rule, values))
-    return batch, in_set_cols, preagg
+    return batch, in_set_sql, preagg
 
 
 def _preaggregated_unexpected(batch: DataFrame, rid: int, rule: R.Rule, values: DataFrame,
@@ -96,39 +101,63 @@ def _preaggregated_unexpected(batch: DataFrame, rid: int, rule: R.Rule, values:
     counts = (batch.where(R.col(rule.column).isNotNull())
               .groupBy(*keys, R.col(rule.column).alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
     missing = counts.join(values, "__v", "left_anti")
-    out = missing.groupBy(*keys).agg(F.sum("__n").alias(f"m_unexp_{rid}")) if keys else \
-        missing.agg(F.sum("__n").alias(f"m_unexp_{rid}"))
-    return out
+    agg = F.sum("__n").alias(f"m_unexp_{rid}")
+    return missing.groupBy(*keys).agg(agg) if keys else missing.agg(agg)
+
+
+def metric_sql(rules: Sequence[tuple[int, R.Rule]], schema: T.StructType, params: Mapping,
+               in_set_sql: Mapping[int, str] | None = None, skip: set[int] = frozenset()):
+    """(aggregate expressions, null-count column per rule column) for the fused aggregate."""
+    in_set_sql = in_set_sql or {}
+    null_cols: dict[str, str] = {}
+    for _, r in rules:
+        null_cols.setdefault(r.column, f"m_null_{len(null_cols)}")
+    exprs = ["count(1) AS m_n"]
+    exprs += [f"count_if({S.ident(c)} IS NULL) AS {m}" for c, m in null_cols.items()]
+    for rid, r in rules:
+        if r.kind in (R.BETWEEN, R.IN_SET, R.MATCH_REGEX) and rid not in skip:
+            exprs.append(f"count_if({R.unexpected_sql(r, schema, params, in_set_sql.get(rid))}) AS m_unexp_{rid}")
+    return exprs, null_cols
+
+
+def rule_result_sql(rid: int, r: R.Rule, schema: T.StructType, null_cols: Mapping[str, str]) -> str:
+    """Result struct of a row-level or type rule from the metric columns."""
+    n = _m("m_n")
+    if r.kind == R.OF_TYPE:
+        ok, observed = R.type_success(r, schema)
+        return result_struct_sql(rid, r, n, NULL_LONG, NULL_LONG, NULL_DOUBLE,
+                                 S.string_lit(observed), "true" if ok else "false")
+    nulls = _m(null_cols[r.column])
+    if r.kind == R.NOT_NULL:
+        return result_struct_sql(rid, r, n, nulls, nulls, R.percent_sql(nulls, n), NULL_STRING,
+                                 R.success_sql(f"{n} - {nulls}", n, r.mostly))
+    unexp = _m(f"m_unexp_{rid}")
+    nonnull = f"{n} - {nulls}"
+    return result_struct_sql(rid, r, n, nulls, unexp, R.percent_sql(unexp, nonnull), NULL_STRING,
+                             R.success_sql(f"{nonnull} - {unexp}", nonnull, r.mostly))
 
 
 def fused_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
                   group_cols: Sequence[str] = (), spine: DataFrame | None = None,
-                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame | None:
     """One result row per (group, row-level or type rule) from a single aggregate.
 
     ``spine`` (a DataFrame of the group keys) makes groups without rows appear
     with zero counts, e.g. a day without data in a backfill.
     """
+    rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS or r.kind == R.OF_TYPE]
+    if not rules:
+        return None
     schema = batch.schema
     keys = list(group_cols)
-    row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS]
-    type_rules = [(i, r) for i, r in rules if r.kind == R.OF_TYPE]
     for _, r in rules:
         R.column_type(schema, r.column)
+    row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS]
 
-    joined, in_set_cols, preagg = _join_value_sets(batch, row_rules, keys, broadcast_limit)
-    preagg_ids = {rid for rid, _, _ in preagg}
-
-    null_cols = {}
-    for _, r in row_rules:
-        null_cols.setdefault(r.column, f"m_null_{len(null_cols)}")
-    exprs = [F.count(F.lit(1)).alias("m_n")]
-    exprs += [F.count_if(R.col(c).isNull()).alias(m) for c, m in null_cols.items()]
-    for rid, r in row_rules:
-        if r.kind != R.NOT_NULL and rid not in preagg_ids:
-            exprs.append(F.count_if(R.unexpected(r, schema, params, in_set_cols.get(rid))).alias(f"m_unexp_{rid}"))
-
-    metrics = joined.groupBy(*keys).agg(*exprs) if keys else joined.agg(*exprs)
+    joined, in_set_sql, preagg = _join_value_sets(batch, row_rules, broadcast_limit)
+    exprs, null_cols = metric_sql(row_rules, schema, params, in_set_sql, {rid for rid, _, _ in preagg})
+    aggs = [F.expr(e) for e in exprs]
+    metrics = joined.groupBy(*keys).agg(*aggs) if keys else joined.agg(*aggs)
     for rid, r, values in preagg:
         extra = _preaggregated_unexpected(batch, rid, r, values, keys)
         if keys:
@@ -137,24 +166,5 @@ def fused_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
             metrics = metrics.withColumn("__g", F.lit(0)).join(extra.withColumn("__g", F.lit(0)), "__g", "left")
     if spine is not None:
         metrics = spine.join(metrics, keys, "left")
-
-    n = _m("m_n")
-    structs = []
-    for rid, r in rules:
-        if r.kind == R.OF_TYPE:
-            ok, observed = R.type_success(r, schema)
-            structs.append(result_struct(rid, r, n, F.lit(None), F.lit(None), F.lit(None),
-                                         F.lit(observed), F.lit(ok)))
-            continue
-        nulls = _m(null_cols[r.column])
-        if r.kind == R.NOT_NULL:
-            structs.append(result_struct(rid, r, n, nulls, nulls, R.percent(nulls, n), F.lit(None),
-                                         R.success_ratio(n - nulls, n, r.mostly)))
-        else:
-            unexp = _m(f"m_unexp_{rid}")
-            nonnull = n - nulls
-            structs.append(result_struct(rid, r, n, nulls, unexp, R.percent(unexp, nonnull), F.lit(None),
-                                         R.success_ratio(nonnull - unexp, nonnull, r.mostly)))
-    if not structs:
-        return None
-    return metrics.select(*keys, F.inline(F.array(*structs)))
+    structs = ", ".join(rule_result_sql(rid, r, schema, null_cols) for rid, r in rules)
+    return metrics.selectExpr(*[S.ident(k) for k in keys], f"inline(array({structs}))")

@@ -5,12 +5,13 @@ Plan (no step gathers an unbounded group into one task):
 1. ``inline`` one (rule, value) row per row and mode rule, then
    ``groupBy(keys, rule, value).count()`` - partial aggregation per task shrinks
    even a value that holds a third of all rows to one row per task.
-2. per (keys, rule): total, nulls and the top count - tiny (groups x rules rows).
-3. the modes are the value counts equal to that top count: a broadcast join of
-   the tiny table (its size is groups x rules, known on the driver).
-4. per (keys, rule): number of tied modes and how many are in the value set
-   (aggregate), plus at most ``SAMPLE_SIZE`` smallest modes for the report
-   (``row_number() <= k`` is planned as a per-task then final group limit).
+2. ``groupBy(keys, rule, n)``: how many values occur exactly n times, and how
+   many of those are in the rule's set (partial aggregation again).
+3. per (keys, rule): total, nulls, the top count and (``max_by``) the number of
+   values tied at it - the modes - and how many are in the set.  Tiny (groups x rules).
+4. the ``SAMPLE_SIZE`` most frequent values per (keys, rule), ties by value, from
+   the same value counts (``row_number() <= k`` is planned as a per-task then a
+   final group limit); the modes among them are the report's smallest modes.
 
 Success: exactly one mode and it is in the set.  No non-null value: failure.
 """
@@ -23,28 +24,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
-from .metrics import result_struct
+from ..functions import sqltext as S
+from .metrics import RESULT_COLUMNS, result_struct_sql
 
 
-def _in_set_expr(mode_rules):
-    expr = None
+def _in_set_sql(mode_rules) -> str:
+    branches = []
     for rid, rule in mode_rules:
         values = R.literal_values(R.value_set_of(rule))
-        cond = F.col("value").isin(values)
-        expr = F.when(F.col("rule_id") == rid, cond) if expr is None else expr.when(F.col("rule_id") == rid, cond)
-    return F.coalesce(expr, F.lit(False))
+        cond = f"value IN ({', '.join(S.value_lit(v) for v in values)})" if values else "false"
+        branches.append(f"WHEN rule_id = {int(rid)} THEN {cond}")
+    return f"coalesce(CASE {' '.join(branches)} END, false)"
 
 
 def value_counts(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
                  group_cols: Sequence[str] = ()) -> DataFrame:
     """(keys, rule_id, value, n) for every mode rule's column; one scan, one shuffle."""
-    keys = list(group_cols)
-    pairs = F.array(*[
-        F.struct(F.lit(rid).alias("rule_id"), R.col(rule.column).cast("string").alias("value"))
-        for rid, rule in mode_rules
-    ])
-    long = batch.select(*keys, F.inline(pairs))
-    return long.groupBy(*keys, "rule_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    keys = [S.ident(k) for k in group_cols]
+    pairs = ", ".join(
+        f"named_struct('rule_id', CAST({int(rid)} AS INT), 'value', CAST({S.ident(rule.column)} AS STRING))"
+        for rid, rule in mode_rules)
+    long = batch.selectExpr(*keys, f"inline(array({pairs}))")
+    return long.groupBy(*group_cols, "rule_id", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mode_results(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
@@ -57,38 +58,38 @@ def mode_results(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
     for _, r in mode_rules:
         R.column_type(batch.schema, r.column)
     keys = list(group_cols)
-    vc = value_counts(batch, mode_rules, keys)
-    stats = vc.groupBy(*keys, "rule_id").agg(
-        F.sum("n").alias("total"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls"),
-        F.max(F.when(F.col("value").isNotNull(), F.col("n"))).alias("top_n"),
-    )
-    modes = vc.where(F.col("value").isNotNull()).join(
-        F.broadcast(stats.select(*keys, "rule_id", F.col("top_n").alias("n"))), [*keys, "rule_id", "n"]
+    gk = [*keys, "rule_id"]
+    vc = value_counts(batch, mode_rules, keys).withColumn("is_null", F.col("value").isNull())
+    by_n = (vc.groupBy(*gk, "is_null", "n")
+            .agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.expr(_in_set_sql(mode_rules))).alias("n_in")))
+    stats = by_n.groupBy(*gk).agg(
+        F.sum(F.col("n") * F.col("n_values")).alias("total"),
+        F.sum(F.when(F.col("is_null"), F.col("n"))).alias("nulls"),
+        F.max(F.when(~F.col("is_null"), F.col("n"))).alias("top_n"),
+        F.max_by(F.when(~F.col("is_null"), F.col("n_values")), F.when(~F.col("is_null"), F.col("n"))).alias("n_modes"),
+        F.max_by(F.when(~F.col("is_null"), F.col("n_in")), F.when(~F.col("is_null"), F.col("n"))).alias("n_in_set"),
     )
-    tally = modes.groupBy(*keys, "rule_id").agg(
-        F.count(F.lit(1)).alias("n_modes"),
-        F.count_if(_in_set_expr(mode_rules)).alias("n_in_set"),
-    )
-    w = Window.partitionBy(*keys, "rule_id").orderBy("value")
-    sample = (modes.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= sample_size)
-              .groupBy(*keys, "rule_id")
-              .agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("modes")))
+    # The k most frequent non-null values (ties by value): the modes come first, so the
+    # smallest k modes are the entries whose count equals the top count.
+    w = Window.partitionBy(*gk).orderBy("is_null", F.col("n").desc(), "value")
+    sample = (vc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= sample_size)
+              .groupBy(*gk).agg(F.collect_list(F.struct("n", "value")).alias("frequent")))
+    merged = stats.join(sample, gk, "left").select(
+        *gk, "total", "nulls", "n_modes", "n_in_set",
+        F.expr("array_join(array_sort(transform(filter(frequent, x -> x.n = top_n AND x.value IS NOT NULL), "
+               "x -> x.value)), ',')").alias("modes"))
 
     ids = F.explode(F.array(*[F.lit(rid) for rid, _ in mode_rules])).alias("rule_id")
     # Every rule gets a row, also for an empty batch or a day without data.
     base = spark.range(1).select(ids) if spine is None else spine.select(*keys, ids)
-    res = (base.join(stats, [*keys, "rule_id"], "left")
-           .join(tally, [*keys, "rule_id"], "left")
-           .join(sample, [*keys, "rule_id"], "left"))
+    # merged has one row per (group, rule): groups x rules, bounded by the spine.
+    res = base.join(F.broadcast(merged), gk, "left")
 
-    total = F.coalesce(F.col("total"), F.lit(0))
-    nulls = F.coalesce(F.col("nulls"), F.lit(0))
-    success = F.coalesce((F.col("n_modes") == 1) & (F.col("n_in_set") == 1), F.lit(False))
-    by_id = F.col("rule_id")
-    structs = []
-    for rid, rule in mode_rules:
-        structs.append(F.when(by_id == rid, result_struct(
-            rid, rule, total, nulls, F.lit(None), F.lit(None), F.col("modes"), success)))
-    picked = structs[0] if len(structs) == 1 else F.coalesce(*structs)
-    return res.select(*keys, picked.alias("r")).select(*keys, "r.*")
+    total, nulls = "coalesce(total, CAST(0 AS BIGINT))", "coalesce(nulls, CAST(0 AS BIGINT))"
+    success = "coalesce(n_modes = 1 AND n_in_set = 1, false)"
+    picked = " ".join(
+        f"WHEN rule_id = {int(rid)} THEN "
+        + result_struct_sql(rid, rule, total, nulls, "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "modes", success)
+        for rid, rule in mode_rules)
+    return res.selectExpr(*[S.ident(k) for k in keys], f"CASE {picked} END AS r") \
+        .select(*keys, *[F.col(f"r.{c}").alias(c) for c in RESULT_COLUMNS])

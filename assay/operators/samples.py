@@ -29,7 +29,7 @@ def unexpected_samples(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], pa
         return None
     schema = batch.schema
     pairs = F.array(*[
-        F.when(F.coalesce(R.unexpected(r, schema, params), F.lit(False)),
+        F.when(F.expr(f"coalesce({R.unexpected_sql(r, schema, params)}, false)"),
                F.struct(F.lit(rid).alias("rule_id"), R.col(r.column).cast("string").alias("value")))
         for rid, r in row_rules
     ])
