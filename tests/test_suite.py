@@ -1,0 +1,67 @@
+import os
+
+import pytest
+
+from assay import Rule, Suite, SuiteNotFound, default_suite, load_suite, run_checkpoint, save_suite
+from assay.functions import rules as R
+from assay.operators.extract import BATCH_COLUMNS
+
+
+def test_default_suite_shape():
+    suite = default_suite(list(BATCH_COLUMNS), "2024-01-01", "2024-01-04")
+    kinds = [r.kind for r in suite.rules]
+    assert len(suite.rules) == 20
+    assert kinds.count(R.NOT_NULL) == 12 and kinds.count(R.OF_TYPE) == 1 and kinds.count(R.BETWEEN) == 1
+    assert kinds.count(R.IN_SET) == 1 and kinds.count(R.MODE_IN_SET) == 4 and kinds.count(R.MATCH_REGEX) == 1
+    strict = [r.column for r in suite.rules if r.kind == R.NOT_NULL and r.mostly == 1.0]
+    assert strict == ["download_time", "country_code", "file_type", "pkg_version", "dt"]
+    assert set(suite.params) == {"min_ts", "max_ts"}
+
+
+def test_new_column_gets_mostly_rule():
+    suite = default_suite(list(BATCH_COLUMNS) + ["extra"])
+    assert any(r.kind == R.NOT_NULL and r.column == "extra" and r.mostly == 0.95 for r in suite.rules)
+
+
+def test_same_key_replaces():
+    s = Suite("s")
+    s.add(Rule(R.NOT_NULL, "a"))
+    s.add(Rule(R.NOT_NULL, "b"))
+    s.add(Rule(R.NOT_NULL, "a", 0.5))
+    assert [(r.column, r.mostly) for r in s.rules] == [("a", 0.5), ("b", 1.0)]
+
+
+def test_save_load_round_trip_and_replace(spark, scratch):
+    path = os.path.join(scratch, "suites")
+    a = default_suite(list(BATCH_COLUMNS), "2024-01-01", "2024-01-04", name="a")
+    save_suite(spark, a, path)
+    save_suite(spark, Suite("b", [Rule(R.NOT_NULL, "x")]), path)
+    back = load_suite(spark, path, "a")
+    assert [(r.kind, r.column, r.mostly) for r in back.rules] == [(r.kind, r.column, r.mostly) for r in a.rules]
+    assert back.rules[14].kwargs["value_set"] == a.rules[14].kwargs["value_set"]
+    assert back.params["min_ts"].startswith("2024-01-01T00:00:00")
+    # saving "a" again replaces only suite "a"
+    save_suite(spark, Suite("a", [Rule(R.NOT_NULL, "y")]), path)
+    assert [r.column for r in load_suite(spark, path, "a").rules] == ["y"]
+    assert [r.column for r in load_suite(spark, path, "b").rules] == ["x"]
+
+
+def test_missing_suite(spark, scratch):
+    with pytest.raises(SuiteNotFound):
+        load_suite(spark, os.path.join(scratch, "none"), "a")
+    save_suite(spark, Suite("b", [Rule(R.NOT_NULL, "x")]), os.path.join(scratch, "s"))
+    with pytest.raises(SuiteNotFound):
+        load_suite(spark, os.path.join(scratch, "s"), "a")
+
+
+def test_stale_stored_parameters_overridden(spark, scratch, source01):
+    from assay import extract_batch
+    from assay.functions.params import timestamp_params
+    batch = extract_batch(source01, "error", "2024-01-02", "2024-01-03")
+    stale = default_suite(batch.columns, "2024-01-01", "2024-01-01")  # saved yesterday
+    path = os.path.join(scratch, "suites")
+    save_suite(spark, stale, path)
+    suite = load_suite(spark, path, stale.name)
+    between = lambda run: next(r for r in run.rows if r.rule_type == R.BETWEEN)
+    assert not between(run_checkpoint(batch, suite)).success  # stored bounds: every row out of range
+    assert between(run_checkpoint(batch, suite, timestamp_params("2024-01-02", "2024-01-03"))).success
