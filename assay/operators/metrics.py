@@ -165,6 +165,8 @@ def fused_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
         else:  # both sides are one row: join on a constant key
             metrics = metrics.withColumn("__g", F.lit(0)).join(extra.withColumn("__g", F.lit(0)), "__g", "left")
     if spine is not None:
-        metrics = spine.join(metrics, keys, "left")
+        # Callers restrict the batch to the spine's groups (validate_by_day filters
+        # the date range), so metrics has at most one row per spine row: bounded.
+        metrics = spine.join(F.broadcast(metrics), keys, "left")
     structs = ", ".join(rule_result_sql(rid, r, schema, null_cols) for rid, r in rules)
     return metrics.selectExpr(*[S.ident(k) for k in keys], f"inline(array({structs}))")

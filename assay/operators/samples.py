@@ -4,6 +4,8 @@ Each row emits one (rule, value) pair per failed rule it breaks; the pairs are
 counted (partial aggregation first) and the ``k`` most frequent values per rule
 are kept - ``row_number() <= k`` is planned as a per-task limit before the
 shuffle and a final one after it, so no rule's values meet in one task unbounded.
+A value set given as a DataFrame is broadcast when its size allows; otherwise the
+column's value counts are anti-joined to the distinct set.
 """
 
 from __future__ import annotations
@@ -14,28 +16,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..functions import sqltext as S
+from .metrics import DEFAULT_BROADCAST_LIMIT, _join_value_sets
 
 
 def unexpected_samples(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
-                       k: int = R.SAMPLE_SIZE) -> DataFrame | None:
+                       k: int = R.SAMPLE_SIZE, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame | None:
     """(rule_id, column_name, value, n, rank): top-k unexpected values per rule.
 
     Ties in count are broken by value, so the sample is deterministic.  A NULL
     value is what a not-null rule reports.
     """
-    row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS
-                 and not isinstance(r.kwargs.get("value_set"), DataFrame)]
+    row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS]
     if not row_rules:
         return None
     schema = batch.schema
-    pairs = F.array(*[
-        F.when(F.expr(f"coalesce({R.unexpected_sql(r, schema, params)}, false)"),
-               F.struct(F.lit(rid).alias("rule_id"), R.col(r.column).cast("string").alias("value")))
-        for rid, r in row_rules
-    ])
-    hits = batch.select(F.explode(pairs).alias("p")).where(F.col("p").isNotNull()).select("p.*")
-    counts = hits.groupBy("rule_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    joined, in_set_sql, preagg = _join_value_sets(batch, row_rules, broadcast_limit)
+    pre_ids = {rid for rid, _, _ in preagg}
+    parts = []
+    inline_rules = [(rid, r) for rid, r in row_rules if rid not in pre_ids]
+    if inline_rules:
+        pairs = ", ".join(
+            f"CASE WHEN coalesce({R.unexpected_sql(r, schema, params, in_set_sql.get(rid))}, false) "
+            f"THEN named_struct('rule_id', CAST({int(rid)} AS INT), 'value', CAST({S.ident(r.column)} AS STRING)) END"
+            for rid, r in inline_rules)
+        hits = joined.selectExpr(f"explode(array({pairs})) AS p").where("p IS NOT NULL").select("p.*")
+        parts.append(hits.groupBy("rule_id", "value").agg(F.count(F.lit(1)).alias("n")))
+    for rid, r, values in preagg:
+        counts = (batch.where(R.col(r.column).isNotNull())
+                  .groupBy(R.col(r.column).alias("__v")).agg(F.count(F.lit(1)).alias("n")))
+        parts.append(counts.join(values, "__v", "left_anti").select(
+            F.lit(rid).cast("int").alias("rule_id"), F.col("__v").cast("string").alias("value"), "n"))
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
     w = Window.partitionBy("rule_id").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    names = F.create_map(*[x for rid, r in row_rules for x in (F.lit(rid), F.lit(r.column))])
-    return top.select("rule_id", names[F.col("rule_id")].alias("column_name"), "value", "n", "rank")
+    names = " ".join(f"WHEN {int(rid)} THEN {S.string_lit(r.column)}" for rid, r in row_rules)
+    return top.selectExpr("rule_id", f"CASE rule_id {names} END AS column_name", "value", "n", "rank")

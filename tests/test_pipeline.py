@@ -1,0 +1,59 @@
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from assay import CheckpointFailed, Rule, Suite, SuiteNotFound
+from assay.__main__ import main
+from assay.functions import rules as R
+from assay.operators.samples import unexpected_samples
+from assay.plans.pipeline import run_daily
+from assay.sources import downloads_from_events, read_table
+from assay.sources.countries import country_codes, country_dim
+
+
+@pytest.fixture(scope="module")
+def nested(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("src") / "downloads")
+    downloads_from_events(read_table(spark, "/root/testdata/sf0.01", "events")).write.parquet(path)
+    return path
+
+
+def test_cli_publish_and_gate(spark, nested, scratch, capsys):
+    target, history, samples = (os.path.join(scratch, x) for x in ("target", "history", "samples"))
+    common = ["--source", nested, "--project", "error", "--begin", "2024-01-01", "--end", "2024-01-04",
+              "--target", target, "--history", history, "--samples", samples]
+    assert main(common + ["--failures-allowed", "0"]) == 1
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "failed"
+    assert not os.path.exists(target)
+    assert spark.read.parquet(history).count() == 20 and spark.read.parquet(samples).count() > 0
+    assert main(common + ["--failures-allowed", "4"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["status"] == "published" and out["failed"] == 4 and len(out["days"]) == 4
+    assert spark.read.parquet(target).count() == 250
+
+
+def test_reuse_suite(spark, nested, scratch):
+    store = os.path.join(scratch, "suites")
+    src = spark.read.parquet(nested)
+    with pytest.raises(SuiteNotFound):
+        run_daily(src, "error", "2024-01-01", "2024-01-04", suite_store=store, overwrite_suite=False)
+    run = run_daily(src, "error", "2024-01-01", "2024-01-04", suite_store=store, failures_allowed=4)
+    again = run_daily(src, "error", "2024-01-01", "2024-01-04", suite_store=store, overwrite_suite=False,
+                      failures_allowed=4)
+    assert run.stats == again.stats == {"evaluated": 20, "failed": 4, "passed": 16}
+    with pytest.raises(CheckpointFailed):
+        run_daily(src, "error", "2024-01-01", "2024-01-04", suite_store=store, overwrite_suite=False)
+
+
+def test_samples_with_dimension_sets(spark):
+    df = spark.createDataFrame([(v,) for v in ["US"] * 5 + ["QQ"] * 3 + ["XX"] + [None]], "c string")
+    expected = [("QQ", 3), ("XX", 1)]
+    for dim, limit in ((country_dim(spark), 1_000_000), (country_dim(spark), 10)):
+        rule = Rule(R.IN_SET, "c", 0.9, {"value_set": dim})
+        rows = unexpected_samples(df, [(1, rule)], {}, broadcast_limit=limit).orderBy("rank").collect()
+        assert [(r.value, r.n) for r in rows] == expected
+    lit = Rule(R.IN_SET, "c", 0.9, {"value_set": list(country_codes())})
+    rows = unexpected_samples(df, [(1, lit)], {}).orderBy("rank").collect()
+    assert [(r.value, r.n) for r in rows] == expected
