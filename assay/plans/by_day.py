@@ -11,7 +11,7 @@ an empty batch: its mode rules fail).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,20 +21,28 @@ from .checkpoint import run_stats, validate
 from .suite import Suite
 
 
-def day_spine(spark: SparkSession, begin: str | dt.date, end: str | dt.date) -> DataFrame:
-    """One row per day of the inclusive range (``dt`` DATE); size = number of days."""
+def day_spine(spark: SparkSession, begin: str | dt.date, end: str | dt.date,
+              days: Sequence[dt.date] | None = None) -> DataFrame:
+    """One row per day of the inclusive range, or of ``days`` (``dt`` DATE)."""
+    if days is not None:
+        lits = [F.lit(P.parse_date(d).isoformat()).cast("date") for d in sorted(set(days))]
+        return spark.range(1).select(F.explode(F.array(*lits)).alias("dt"))
     b, e = P.date_range(begin, end)
     return spark.range(1).select(F.explode(F.sequence(
         F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date"))).alias("dt"))
 
 
 def validate_by_day(batch: DataFrame, suite: Suite, begin: str | dt.date, end: str | dt.date,
-                    params: Mapping | None = None, end_exclusive: bool = False) -> DataFrame:
-    """Results per (dt, rule) for every day of ``begin..end``."""
+                    params: Mapping | None = None, end_exclusive: bool = False,
+                    days: Sequence[dt.date] | None = None) -> DataFrame:
+    """Results per (dt, rule) for every day of ``begin..end`` (or only ``days`` of it)."""
     b, e = P.date_range(begin, end)
-    days = batch.where(F.col("dt").between(F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date")))
+    rows = batch.where(F.col("dt").between(F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date")))
+    spine = day_spine(batch.sparkSession, b, e, days)
+    if days is not None:
+        rows = rows.where(F.col("dt").isin([P.parse_date(d).isoformat() for d in days]))
     run_params = P.merge_params(params, P.day_params("dt", end_exclusive))
-    return validate(days, suite, run_params, group_cols=["dt"], spine=day_spine(batch.sparkSession, b, e))
+    return validate(rows, suite, run_params, group_cols=["dt"], spine=spine)
 
 
 def stats_by_day(results_by_day: DataFrame) -> DataFrame:

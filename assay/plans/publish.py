@@ -95,15 +95,20 @@ def publishable_rows(batch: DataFrame, suite: Suite, begin: str | dt.date, end:
 def publish_by_day(batch: DataFrame, suite: Suite, target: str, begin: str | dt.date, end: str | dt.date,
                    failures_allowed: int = 0, params: Mapping | None = None,
                    history_path: str | None = None, staging_root: str | None = None,
-                   raise_on_failure: bool = True) -> PublishReport:
+                   raise_on_failure: bool = True, days: list[dt.date] | None = None,
+                   staged: DataFrame | None = None) -> PublishReport:
     """Backfill: validate every day in one pass, publish the days that pass.
 
     Failing days are left as they are in the target; with ``raise_on_failure``
-    the call raises after the passing days are published.
+    the call raises after the passing days are published.  ``days`` limits the
+    run to those days of the range; ``staged`` passes data already staged.
     """
     b, e = P.date_range(begin, end)
-    path, staged = stage_batch(batch, staging_root)
-    results = validate_by_day(staged, suite, b, e, params)
+    if staged is None:
+        path, staged = stage_batch(batch, staging_root)
+    else:  # already staged by the caller (incremental runs)
+        path = None
+    results = validate_by_day(staged, suite, b, e, params, days=days)
     if history_path:
         run_id = uuid.uuid4().hex
         (results.withColumn("suite_name", F.lit(suite.name)).withColumn("run_id", F.lit(run_id))

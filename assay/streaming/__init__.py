@@ -1 +1,5 @@
-"""Incremental runs (the daily schedule, as a Structured Streaming job)."""
+"""Incremental runs: the daily schedule as a Structured Streaming job."""
+
+from .incremental import days_to_publish, process_batch, start_incremental
+
+__all__ = ["days_to_publish", "process_batch", "start_incremental"]

@@ -1,0 +1,101 @@
+"""Incremental daily runs with Structured Streaming.
+
+The daily job of the reference is a scheduled batch: validate yesterday, publish
+it if it passes.  Here new files of the nested source are picked up by a
+streaming query (``trigger(availableNow=True)`` for a scheduled run, or a
+processing-time trigger), and every micro-batch:
+
+1. flattens its rows of the project and writes them to
+   ``<staging>/incoming/epoch=<id>/dt=<day>/`` - overwriting the epoch's own
+   folder, so a replayed micro-batch (at-least-once ``foreachBatch``) does not
+   duplicate rows;
+2. finds the days to (re)validate: days this micro-batch touched that are
+   already closed, plus days that closed with it.  A day is closed once data
+   ``lateness_days`` later than it has arrived (a watermark on days);
+3. validates those days from *all* their staged rows in one per-day pass and
+   publishes the passing days (dynamic partition overwrite); failing days are
+   left untouched and their results go to the history.
+
+The query's progress lives in its checkpoint location (a shared folder), so a
+restarted job resumes from the last committed micro-batch.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
+
+from ..operators.extract import flatten, project_filter
+from ..plans.publish import publish_by_day
+from ..plans.suite import Suite, default_suite
+from ..sources.downloads import check_source_schema
+
+_DT = re.compile(r"/dt=(\d{4}-\d{2}-\d{2})/")
+
+
+def _days_in(spark: SparkSession, path: str) -> set[dt.date]:
+    """Days staged under ``path``, from folder names (no job)."""
+    try:
+        files = spark.read.parquet(path).inputFiles()
+    except AnalysisException:
+        return set()
+    return {dt.date.fromisoformat(m.group(1)) for f in files if (m := _DT.search(f))}
+
+
+def days_to_publish(before: set[dt.date], touched: set[dt.date], lateness_days: int) -> list[dt.date]:
+    """Closed days this micro-batch changed, plus days it closed."""
+    after = before | touched
+    if not after:
+        return []
+    wm_now = max(after) - dt.timedelta(days=lateness_days)
+    wm_prev = max(before) - dt.timedelta(days=lateness_days) if before else None
+    todo = {d for d in touched if d <= wm_now}
+    todo |= {d for d in after if d <= wm_now and (wm_prev is None or d > wm_prev)}
+    return sorted(todo)
+
+
+def process_batch(batch_df: DataFrame, epoch_id: int, *, project: str, staging: str, target: str,
+                  suite: Suite | None = None, failures_allowed: int = 0, lateness_days: int = 1,
+                  history_path: str | None = None) -> list[dt.date]:
+    """One micro-batch (also callable directly for a one-off run). Returns the published days."""
+    spark = batch_df.sparkSession
+    incoming = f"{staging.rstrip('/')}/incoming"
+    before = _days_in(spark, incoming)
+    flat = flatten(batch_df.where(project_filter(project)))
+    epoch_path = f"{incoming}/epoch={int(epoch_id)}"
+    flat.write.mode("overwrite").partitionBy("dt").parquet(epoch_path)
+    touched = _days_in(spark, epoch_path)
+    todo = days_to_publish(before, touched, lateness_days)
+    if not todo:
+        return []
+    staged = (spark.read.parquet(incoming).drop("epoch")
+              .where(F.col("dt").isin([d.isoformat() for d in todo])))
+    suite = suite or default_suite(staged.columns)
+    report = publish_by_day(staged, suite, target, todo[0], todo[-1], failures_allowed,
+                            history_path=history_path, raise_on_failure=False, days=todo, staged=staged)
+    return report.published_days
+
+
+def start_incremental(spark: SparkSession, source_path: str, project: str, *, staging: str, target: str,
+                      checkpoint_location: str, suite: Suite | None = None, failures_allowed: int = 0,
+                      lateness_days: int = 1, history_path: str | None = None, fmt: str = "parquet",
+                      available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Start the streaming query over new files of ``source_path``."""
+    schema = spark.read.format(fmt).load(source_path).schema
+    stream = spark.readStream.format(fmt).schema(schema).load(source_path)
+    check_source_schema(stream)
+
+    def handle(df: DataFrame, epoch_id: int) -> None:
+        process_batch(df, epoch_id, project=project, staging=staging, target=target, suite=suite,
+                      failures_allowed=failures_allowed, lateness_days=lateness_days,
+                      history_path=history_path)
+
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
+    writer = writer.trigger(availableNow=True) if available_now else \
+        writer.trigger(processingTime=processing_time or "1 hour")
+    return writer.start()

@@ -1,0 +1,40 @@
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from assay import default_suite, extract_batch, publishable_rows
+from assay.sources import downloads_from_events, read_table
+from assay.streaming import days_to_publish, start_incremental
+
+D = lambda day: dt.date(2024, 1, day)
+
+
+def test_days_to_publish():
+    assert days_to_publish(set(), {D(1), D(2)}, 1) == [D(1)]
+    assert days_to_publish({D(1), D(2)}, {D(3), D(4)}, 1) == [D(2), D(3)]
+    # late rows for an already closed day re-open it; open days wait
+    assert days_to_publish({D(1), D(2), D(3), D(4)}, {D(2), D(4)}, 1) == [D(2)]
+    assert days_to_publish(set(), set(), 1) == []
+
+
+def test_incremental_runs_publish_closed_days(spark, scratch):
+    src_dir, staging, target, ckpt = (os.path.join(scratch, x) for x in ("src", "staging", "target", "ckpt"))
+    nested = downloads_from_events(read_table(spark, "/root/testdata/sf0.01", "events"))
+    day = F.to_date("timestamp")
+    nested.where(day <= "2024-01-10").write.mode("append").parquet(src_dir)
+    kw = dict(staging=staging, target=target, checkpoint_location=ckpt, failures_allowed=5)
+    start_incremental(spark, src_dir, "click", **kw).awaitTermination()
+    first = {r.dt for r in spark.read.parquet(target).select("dt").distinct().collect()}
+    assert first and max(first) <= D(9)  # day 10 is not closed yet
+
+    nested.where(day > "2024-01-10").write.mode("append").parquet(src_dir)
+    start_incremental(spark, src_dir, "click", **kw).awaitTermination()
+    published = {r.dt for r in spark.read.parquet(target).select("dt").distinct().collect()}
+
+    batch = extract_batch(nested, "click", "2024-01-01", "2024-01-29")
+    expected = {r.dt for r in publishable_rows(batch, default_suite(batch.columns), "2024-01-01", "2024-01-29", 5)
+                .select("dt").distinct().collect()}
+    assert published == expected
+    got = spark.read.parquet(target).where(F.col("dt") <= "2024-01-29")
+    assert got.count() == batch.where(F.col("dt").isin([d.isoformat() for d in expected])).count()
