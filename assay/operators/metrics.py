@@ -121,13 +121,17 @@ def metric_sql(rules: Sequence[tuple[int, R.Rule]], schema: T.StructType, params
 
 
 def rule_result_sql(rid: int, r: R.Rule, schema: T.StructType, null_cols: Mapping[str, str]) -> str:
-    """Result struct of a row-level or type rule from the metric columns."""
+    """Result struct of one rule from the metric columns (and the mode lists)."""
     n = _m("m_n")
     if r.kind == R.OF_TYPE:
         ok, observed = R.type_success(r, schema)
         return result_struct_sql(rid, r, n, NULL_LONG, NULL_LONG, NULL_DOUBLE,
                                  S.string_lit(observed), "true" if ok else "false")
     nulls = _m(null_cols[r.column])
+    if r.kind == R.MODE_IN_SET:
+        from .modes import mode_result_parts
+        observed, success = mode_result_parts(rid, r)
+        return result_struct_sql(rid, r, n, nulls, NULL_LONG, NULL_DOUBLE, observed, success)
     if r.kind == R.NOT_NULL:
         return result_struct_sql(rid, r, n, nulls, nulls, R.percent_sql(nulls, n), NULL_STRING,
                                  R.success_sql(f"{n} - {nulls}", n, r.mostly))
@@ -137,15 +141,40 @@ def rule_result_sql(rid: int, r: R.Rule, schema: T.StructType, null_cols: Mappin
                              R.success_sql(f"{nonnull} - {unexp}", nonnull, r.mostly))
 
 
-def fused_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
+def _attach(metrics: DataFrame, extras: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Put per-group side tables (one row per group) next to the metrics row of the group.
+
+    Grouped: broadcast equi-joins (each side has one row per group, bounded by the
+    spine).  Not grouped: every table is one row, so they are unioned and folded
+    into a single row by a global aggregate - no join at all.
+    """
+    if not extras:
+        return metrics
+    if keys:
+        for extra in extras:
+            metrics = metrics.join(F.broadcast(extra), keys, "left")
+        return metrics
+    both = metrics
+    for extra in extras:
+        both = both.unionByName(extra, allowMissingColumns=True)
+    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+
+
+def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
                   group_cols: Sequence[str] = (), spine: DataFrame | None = None,
-                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame | None:
-    """One result row per (group, row-level or type rule) from a single aggregate.
+                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+                  sample_size: int = R.SAMPLE_SIZE) -> DataFrame | None:
+    """One result row per (group, rule) of a whole suite, as ONE plan.
+
+    * row-level rules, row and null counts: one fused aggregate (one scan);
+    * most-common-value rules: one value count + group-limited top-k (one scan),
+      a list per group broadcast onto that group's metrics row;
+    * type rules: from the schema.
 
     ``spine`` (a DataFrame of the group keys) makes groups without rows appear
-    with zero counts, e.g. a day without data in a backfill.
+    with zero counts, e.g. a day without data in a backfill.  Callers restrict the
+    batch to the spine's groups, so the per-group tables are bounded by the spine.
     """
-    rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS or r.kind == R.OF_TYPE]
     if not rules:
         return None
     schema = batch.schema
@@ -153,20 +182,27 @@ def fused_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
     for _, r in rules:
         R.column_type(schema, r.column)
     row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS]
+    mode_rules = [(i, r) for i, r in rules if r.kind == R.MODE_IN_SET]
 
     joined, in_set_sql, preagg = _join_value_sets(batch, row_rules, broadcast_limit)
-    exprs, null_cols = metric_sql(row_rules, schema, params, in_set_sql, {rid for rid, _, _ in preagg})
+    exprs, null_cols = metric_sql(row_rules + mode_rules, schema, params, in_set_sql,
+                                  {rid for rid, _, _ in preagg})
     aggs = [F.expr(e) for e in exprs]
     metrics = joined.groupBy(*keys).agg(*aggs) if keys else joined.agg(*aggs)
-    for rid, r, values in preagg:
-        extra = _preaggregated_unexpected(batch, rid, r, values, keys)
-        if keys:
-            metrics = metrics.join(extra, keys, "left")
-        else:  # both sides are one row: join on a constant key
-            metrics = metrics.withColumn("__g", F.lit(0)).join(extra.withColumn("__g", F.lit(0)), "__g", "left")
+    extras = [_preaggregated_unexpected(batch, rid, r, values, keys) for rid, r, values in preagg]
+    if mode_rules:
+        from .modes import mode_lists
+        extras.append(mode_lists(batch, mode_rules, keys, sample_size))
+    metrics = _attach(metrics, extras, keys)
     if spine is not None:
-        # Callers restrict the batch to the spine's groups (validate_by_day filters
-        # the date range), so metrics has at most one row per spine row: bounded.
         metrics = spine.join(F.broadcast(metrics), keys, "left")
     structs = ", ".join(rule_result_sql(rid, r, schema, null_cols) for rid, r in rules)
     return metrics.selectExpr(*[S.ident(k) for k in keys], f"inline(array({structs}))")
+
+
+def fused_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
+                  group_cols: Sequence[str] = (), spine: DataFrame | None = None,
+                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame | None:
+    """Results of the row-level and type rules only (one aggregate, one scan)."""
+    rules = [(i, r) for i, r in rules if r.kind != R.MODE_IN_SET]
+    return suite_results(batch, rules, params, group_cols, spine, broadcast_limit)

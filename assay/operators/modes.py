@@ -1,19 +1,20 @@
-"""Most-common-value rules: all columns, all groups, one value count.
+"""Most-common-value rules: all columns, all groups, from one value count.
 
 Plan (no step gathers an unbounded group into one task):
 
 1. ``inline`` one (rule, value) row per row and mode rule, then
    ``groupBy(keys, rule, value).count()`` - partial aggregation per task shrinks
    even a value that holds a third of all rows to one row per task.
-2. ``groupBy(keys, rule, n)``: how many values occur exactly n times, and how
-   many of those are in the rule's set (partial aggregation again).
-3. per (keys, rule): total, nulls, the top count and (``max_by``) the number of
-   values tied at it - the modes - and how many are in the set.  Tiny (groups x rules).
-4. the ``SAMPLE_SIZE`` most frequent values per (keys, rule), ties by value, from
-   the same value counts (``row_number() <= k`` is planned as a per-task then a
-   final group limit); the modes among them are the report's smallest modes.
+2. the ``SAMPLE_SIZE`` most frequent non-null values per (keys, rule), ties by
+   value: ``row_number() <= k`` is planned as a per-task group limit before the
+   shuffle and a final one after it.
+3. one list per group of keys (at most rules x k entries), broadcast onto the
+   fused metrics row of that group (see ``operators.metrics``).
 
-Success: exactly one mode and it is in the set.  No non-null value: failure.
+The modes are the list's entries with the top count; because they sort first,
+the list holds the smallest ``k`` of them.  Success = exactly one mode and it is
+in the set, which the head of the list decides (a second entry with the top
+count means a tie).  Totals and null counts come from the fused aggregate.
 """
 
 from __future__ import annotations
@@ -25,16 +26,6 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import sqltext as S
-from .metrics import RESULT_COLUMNS, result_struct_sql
-
-
-def _in_set_sql(mode_rules) -> str:
-    branches = []
-    for rid, rule in mode_rules:
-        values = R.literal_values(R.value_set_of(rule))
-        cond = f"value IN ({', '.join(S.value_lit(v) for v in values)})" if values else "false"
-        branches.append(f"WHEN rule_id = {int(rid)} THEN {cond}")
-    return f"coalesce(CASE {' '.join(branches)} END, false)"
 
 
 def value_counts(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
@@ -48,48 +39,33 @@ def value_counts(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
     return long.groupBy(*group_cols, "rule_id", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def mode_results(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
-                 group_cols: Sequence[str] = (), spine: DataFrame | None = None,
-                 sample_size: int = R.SAMPLE_SIZE) -> DataFrame | None:
-    """One result row per (group, mode rule); ``observed_value`` lists the modes."""
-    if not mode_rules:
-        return None
-    spark = batch.sparkSession
-    for _, r in mode_rules:
-        R.column_type(batch.schema, r.column)
+def mode_lists(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
+               group_cols: Sequence[str] = (), sample_size: int = R.SAMPLE_SIZE) -> DataFrame:
+    """(keys, frequent): per group, the top-k (rule_id, n, value) of every mode rule."""
     keys = list(group_cols)
-    gk = [*keys, "rule_id"]
-    vc = value_counts(batch, mode_rules, keys).withColumn("is_null", F.col("value").isNull())
-    by_n = (vc.groupBy(*gk, "is_null", "n")
-            .agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.expr(_in_set_sql(mode_rules))).alias("n_in")))
-    stats = by_n.groupBy(*gk).agg(
-        F.sum(F.col("n") * F.col("n_values")).alias("total"),
-        F.sum(F.when(F.col("is_null"), F.col("n"))).alias("nulls"),
-        F.max(F.when(~F.col("is_null"), F.col("n"))).alias("top_n"),
-        F.max_by(F.when(~F.col("is_null"), F.col("n_values")), F.when(~F.col("is_null"), F.col("n"))).alias("n_modes"),
-        F.max_by(F.when(~F.col("is_null"), F.col("n_in")), F.when(~F.col("is_null"), F.col("n"))).alias("n_in_set"),
-    )
-    # The k most frequent non-null values (ties by value): the modes come first, so the
-    # smallest k modes are the entries whose count equals the top count.
-    w = Window.partitionBy(*gk).orderBy("is_null", F.col("n").desc(), "value")
-    sample = (vc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= sample_size)
-              .groupBy(*gk).agg(F.collect_list(F.struct("n", "value")).alias("frequent")))
-    merged = stats.join(sample, gk, "left").select(
-        *gk, "total", "nulls", "n_modes", "n_in_set",
-        F.expr("array_join(array_sort(transform(filter(frequent, x -> x.n = top_n AND x.value IS NOT NULL), "
-               "x -> x.value)), ',')").alias("modes"))
+    vc = value_counts(batch, mode_rules, keys).where(F.col("value").isNotNull())
+    w = Window.partitionBy(*keys, "rule_id").orderBy(F.col("n").desc(), F.col("value"))
+    top = vc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= sample_size)
+    agg = F.collect_list(F.struct("rule_id", "n", "value")).alias("frequent")
+    return top.groupBy(*keys).agg(agg) if keys else top.agg(agg)
 
-    ids = F.explode(F.array(*[F.lit(rid) for rid, _ in mode_rules])).alias("rule_id")
-    # Every rule gets a row, also for an empty batch or a day without data.
-    base = spark.range(1).select(ids) if spine is None else spine.select(*keys, ids)
-    # merged has one row per (group, rule): groups x rules, bounded by the spine.
-    res = base.join(F.broadcast(merged), gk, "left")
 
-    total, nulls = "coalesce(total, CAST(0 AS BIGINT))", "coalesce(nulls, CAST(0 AS BIGINT))"
-    success = "coalesce(n_modes = 1 AND n_in_set = 1, false)"
-    picked = " ".join(
-        f"WHEN rule_id = {int(rid)} THEN "
-        + result_struct_sql(rid, rule, total, nulls, "CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "modes", success)
-        for rid, rule in mode_rules)
-    return res.selectExpr(*[S.ident(k) for k in keys], f"CASE {picked} END AS r") \
-        .select(*keys, *[F.col(f"r.{c}").alias(c) for c in RESULT_COLUMNS])
+def mode_result_parts(rid: int, rule: R.Rule) -> tuple[str, str]:
+    """(observed modes, success) SQL over the ``frequent`` list column of a metrics row."""
+    values = R.literal_values(R.value_set_of(rule))
+    mine = f"filter(coalesce(frequent, array()), x -> x.rule_id = {int(rid)})"
+    top_n = f"array_max(transform({mine}, x -> x.n))"
+    modes = f"array_sort(transform(filter({mine}, x -> x.n = {top_n}), x -> x.value))"
+    in_set = (f"element_at({modes}, 1) IN ({', '.join(S.value_lit(v) for v in values)})"
+              if values else "false")
+    observed = f"CASE WHEN size({modes}) > 0 THEN array_join({modes}, ',') END"
+    success = f"coalesce(size({modes}) = 1 AND {in_set}, false)"
+    return observed, success
+
+
+def mode_results(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
+                 group_cols: Sequence[str] = (), spine: DataFrame | None = None,
+                 sample_size: int = R.SAMPLE_SIZE) -> DataFrame | None:
+    """Results of mode rules alone (the fused plan with only these rules)."""
+    from .metrics import suite_results
+    return suite_results(batch, mode_rules, {}, group_cols, spine, sample_size=sample_size)

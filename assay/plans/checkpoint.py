@@ -12,7 +12,6 @@ import dataclasses
 import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -21,8 +20,7 @@ from pyspark.sql import types as T
 from ..errors import CheckpointFailed
 from ..functions import params as P
 from ..functions import rules as R
-from ..operators.metrics import DEFAULT_BROADCAST_LIMIT, RESULT_COLUMNS, RESULT_SCHEMA, fused_results
-from ..operators.modes import mode_results
+from ..operators.metrics import DEFAULT_BROADCAST_LIMIT, RESULT_COLUMNS, RESULT_SCHEMA, suite_results
 from ..operators.samples import unexpected_samples
 from .suite import Suite
 
@@ -32,18 +30,10 @@ def validate(batch: DataFrame, suite: Suite, params: Mapping | None = None,
              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Lazy results of every rule of ``suite`` on ``batch`` (run-time params win)."""
     merged = P.merge_params(suite.params, params)
-    numbered = suite.numbered()
-    keys = list(group_cols)
-    parts = [
-        fused_results(batch, [(i, r) for i, r in numbered if r.kind != R.MODE_IN_SET],
-                      merged, keys, spine, broadcast_limit),
-        mode_results(batch, [(i, r) for i, r in numbered if r.kind == R.MODE_IN_SET],
-                     keys, spine),
-    ]
-    parts = [p.select(*keys, *RESULT_COLUMNS) for p in parts if p is not None]
-    if not parts:
+    if not suite.rules:
         raise ValueError(f"suite {suite.name!r} has no rules")
-    return reduce(DataFrame.unionByName, parts)
+    res = suite_results(batch, suite.numbered(), merged, group_cols, spine, broadcast_limit)
+    return res.select(*group_cols, *RESULT_COLUMNS)
 
 
 def run_stats(results: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
