@@ -26,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from assay.functions import params as P  # noqa: E402
 from assay.functions import rules as R  # noqa: E402
-from assay.operators.extract import BATCH_COLUMNS, extract_batch, extract_batch_sql, flatten  # noqa: E402
+from assay.operators.extract import BATCH_COLUMNS, date_filter, extract_batch, extract_batch_sql, flatten  # noqa: E402
 from assay.operators.modes import mode_results  # noqa: E402
 from assay.operators.profile import profile_columns  # noqa: E402
 from assay.operators.samples import unexpected_samples  # noqa: E402
@@ -43,11 +43,13 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 RULE_OUT = ["rule_id", "rule_type", "column_name", "mostly", "element_count", "missing_count",
             "unexpected_count", "observed_value", "success"]
 
-# Batches used by the registered queries: (project, begin, end).
-CLICK = ("click", "2024-01-01", "2024-01-30")      # every click event of the table
-PURCHASE = ("purchase", "2024-01-01", "2024-01-04")  # holds the 23:59:59.4 row
-VIEW = ("view", "2024-01-01", "2024-01-04")          # country codes outside the set
+# The whole table is one month of data; every project's rows form its batch.
+MONTH = ("2024-01-01", "2024-01-30")
+CLICK = ("click",) + MONTH
+VIEW = ("view",) + MONTH
 PUBLISH_FAILURES_ALLOWED = 4
+PROJECT = ["project"]
+DAILY = ["project", "dt"]
 
 
 # --------------------------------------------------------------------------
@@ -63,17 +65,25 @@ def _batch(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
     return extract_batch(_source(spark, sf_dir), project, begin, end)
 
 
-def _suite_for(batch: DataFrame, spec, keep: Callable[[R.Rule], bool] | None = None) -> Suite:
-    suite = default_suite(batch.columns, spec[1], spec[2])
+def _all_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every project's batch over the month: the flat rows plus their ``project`` key."""
+    src = _source(spark, sf_dir)
+    return flatten(src.where(date_filter(src, *MONTH)), F.col("file.project").alias("project"))
+
+
+def _suite(keep: Callable[[R.Rule], bool] | None = None, begin=MONTH[0], end=MONTH[1]) -> Suite:
+    suite = default_suite(list(BATCH_COLUMNS), begin, end)
     if keep is not None:
         suite = Suite(suite.name, [r for r in suite.rules if keep(r)], suite.params)
     return suite
 
 
-def _rule_query(spec, keep: Callable[[R.Rule], bool] | None = None):
+def _rule_query(keep: Callable[[R.Rule], bool], daily: bool):
+    """Rules of one kind on every project's batch (daily: every project x day batch)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        batch = _batch(spark, sf_dir, spec)
-        return validate(batch, _suite_for(batch, spec, keep)).select(*RULE_OUT)
+        keys = DAILY if daily else PROJECT
+        params = P.day_params("dt") if daily else None
+        return validate(_all_batches(spark, sf_dir), _suite(keep), params, group_cols=keys).select(*keys, *RULE_OUT)
     return run
 
 
@@ -108,7 +118,6 @@ def q_filter_project(spark, sf_dir):
 
 
 def q_filter_date_range(spark, sf_dir):
-    from assay.operators.extract import date_filter
     src = _source(spark, sf_dir)
     return flatten(src.where(date_filter(src, "2024-01-01", "2024-01-04")))
 
@@ -139,18 +148,16 @@ def q_profile_columns(spark, sf_dir):
 
 def q_expect_between_param_override(spark, sf_dir):
     """Suite stored with stale (previous-day) bounds; the run's own bounds win."""
-    batch = _batch(spark, sf_dir, PURCHASE)
-    suite = default_suite(batch.columns, "2023-12-31", "2023-12-31")
-    suite = Suite(suite.name, [r for r in suite.rules if r.kind == R.BETWEEN], suite.params)
-    run_params = P.timestamp_params(PURCHASE[1], PURCHASE[2])
-    return validate(batch, suite, run_params).select(*RULE_OUT)
+    suite = _suite(_kind(R.BETWEEN), "2023-12-31", "2023-12-31")
+    run_params = P.timestamp_params(*MONTH)
+    return validate(_all_batches(spark, sf_dir), suite, run_params, group_cols=PROJECT).select(*PROJECT, *RULE_OUT)
 
 
 def q_expect_in_set_broadcast(spark, sf_dir):
     """Country set as a dimension DataFrame: size-checked broadcast join in the fused scan."""
-    batch = _batch(spark, sf_dir, VIEW)
     rule = R.Rule(R.IN_SET, "country_code", 0.99, {"value_set": country_dim(spark)})
-    return validate(batch, Suite("in_set_dim", [rule])).select(*RULE_OUT)
+    return validate(_all_batches(spark, sf_dir), Suite("in_set_dim", [rule]), group_cols=DAILY) \
+        .select(*DAILY, *RULE_OUT)
 
 
 def q_most_common_ties(spark, sf_dir):
@@ -161,47 +168,43 @@ def q_most_common_ties(spark, sf_dir):
     return mode_results(distro, [(1, rule)]).select(*RULE_OUT)
 
 
-def _click_results(spark, sf_dir):
-    batch = _batch(spark, sf_dir, CLICK)
-    return validate(batch, _suite_for(batch, CLICK))
+def _project_results(spark, sf_dir):
+    return validate(_all_batches(spark, sf_dir), _suite(), group_cols=PROJECT)
 
 
 def q_validate_suite(spark, sf_dir):
-    return _click_results(spark, sf_dir).select(*RULE_OUT)
+    return _project_results(spark, sf_dir).select(*PROJECT, *RULE_OUT)
 
 
 def q_run_stats(spark, sf_dir):
-    return run_stats(_click_results(spark, sf_dir))
+    return run_stats(_project_results(spark, sf_dir), PROJECT)
 
 
 def q_failed_expectations(spark, sf_dir):
-    return failed_expectations(_click_results(spark, sf_dir)).select(*RULE_OUT)
+    return failed_expectations(_project_results(spark, sf_dir)).select(*PROJECT, *RULE_OUT)
 
 
 def q_gate_status(spark, sf_dir):
-    return gate_status(run_stats(_click_results(spark, sf_dir)), failures_allowed=0)
+    return gate_status(run_stats(_project_results(spark, sf_dir), PROJECT), failures_allowed=0)
 
 
 def q_unexpected_samples(spark, sf_dir):
-    batch = _batch(spark, sf_dir, CLICK)
-    suite = _suite_for(batch, CLICK)
-    return unexpected_samples(batch, suite.numbered(), P.merge_params(suite.params, None)) \
-        .withColumnRenamed("rank", "sample_rank")
+    suite = _suite()
+    return unexpected_samples(_all_batches(spark, sf_dir), suite.numbered(), P.merge_params(suite.params, None),
+                              group_cols=PROJECT).withColumnRenamed("rank", "sample_rank")
 
 
 def q_validate_by_day(spark, sf_dir):
-    batch = _batch(spark, sf_dir, CLICK)
-    return validate_by_day(batch, _suite_for(batch, CLICK), CLICK[1], CLICK[2]).select("dt", *RULE_OUT)
+    return validate_by_day(_all_batches(spark, sf_dir), _suite(), *MONTH, by=PROJECT).select(*DAILY, *RULE_OUT)
 
 
 def q_publish_if_valid(spark, sf_dir):
-    batch = _batch(spark, sf_dir, CLICK)
-    return publishable_rows(batch, _suite_for(batch, CLICK), CLICK[1], CLICK[2],
-                            failures_allowed=PUBLISH_FAILURES_ALLOWED).select(*BATCH_COLUMNS)
+    return publishable_rows(_all_batches(spark, sf_dir), _suite(), *MONTH,
+                            failures_allowed=PUBLISH_FAILURES_ALLOWED, by=PROJECT).select(*PROJECT, *BATCH_COLUMNS)
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Flagship: the full 20-rule suite on the click batch of sf0.001."""
+    """Flagship: the full 20-rule suite on every project's batch of sf0.001, in one pass."""
     return q_validate_suite(spark, SMOKE_DIR)
 
 
@@ -216,16 +219,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "coalesce_version": q_coalesce_version,
         "derive_dt": q_derive_dt,
         "profile_columns": q_profile_columns,
-        "expect_not_null": _rule_query(CLICK, _is_strict_not_null),
-        "expect_mostly_not_null": _rule_query(CLICK, _is_mostly_not_null),
-        "expect_type": _rule_query(CLICK, _kind(R.OF_TYPE)),
-        "expect_between": _rule_query(PURCHASE, _kind(R.BETWEEN)),
+        "expect_not_null": _rule_query(_is_strict_not_null, daily=False),
+        "expect_mostly_not_null": _rule_query(_is_mostly_not_null, daily=False),
+        "expect_type": _rule_query(_kind(R.OF_TYPE), daily=False),
+        "expect_between": _rule_query(_kind(R.BETWEEN), daily=True),
         "expect_between_param_override": q_expect_between_param_override,
-        "expect_in_set": _rule_query(VIEW, _kind(R.IN_SET)),
+        "expect_in_set": _rule_query(_kind(R.IN_SET), daily=True),
         "expect_in_set_broadcast": q_expect_in_set_broadcast,
-        "expect_most_common_in_set": _rule_query(CLICK, _kind(R.MODE_IN_SET)),
+        "expect_most_common_in_set": _rule_query(_kind(R.MODE_IN_SET), daily=True),
         "most_common_ties": q_most_common_ties,
-        "expect_regex": _rule_query(CLICK, _kind(R.MATCH_REGEX)),
+        "expect_regex": _rule_query(_kind(R.MATCH_REGEX), daily=False),
         "validate_suite": q_validate_suite,
         "run_stats": q_run_stats,
         "failed_expectations": q_failed_expectations,
@@ -276,6 +279,11 @@ def _batch_sql(spec) -> str:
             f"AND dt BETWEEN DATE {_q(begin)} AND DATE {_q(end)}")
 
 
+# Every project's rows over the month, with the project key.
+ALL_BATCHES_SQL = (f"SELECT project, {FLAT} FROM ({DOWNLOADS_SQL}) d "
+                   f"WHERE dt BETWEEN DATE {_q(MONTH[0])} AND DATE {_q(MONTH[1])}")
+
+
 def _ts_lit(value) -> str:
     naive = P._to_utc_naive(value).isoformat(sep=" ", timespec="microseconds")
     return f"TIMESTAMP {_q(naive)}"
@@ -285,11 +293,13 @@ def _in_list(values) -> str:
     return ", ".join(_q(v) for v in R.literal_values(values))
 
 
-def _unexpected_sql(rule: R.Rule, params: dict, by_day: bool, c: str) -> str:
+def _unexpected_sql(rule: R.Rule, params: dict, day_bounds: bool, c: str, day: str = "s.dt") -> str:
     """SQL predicate, TRUE where a non-null value breaks a row-level rule."""
+    if rule.kind == R.NOT_NULL:
+        return f"{c} IS NULL"
     if rule.kind == R.BETWEEN:
-        if by_day:
-            lo, hi = "CAST(s.dt AS TIMESTAMP)", "CAST(s.dt AS TIMESTAMP) + INTERVAL 86399 SECOND"
+        if day_bounds:
+            lo, hi = f"CAST({day} AS TIMESTAMP)", f"CAST({day} AS TIMESTAMP) + INTERVAL 86399 SECOND"
         else:
             lo = _ts_lit(P.resolve(rule.kwargs["min_value"], params))
             hi = _ts_lit(P.resolve(rule.kwargs["max_value"], params))
@@ -301,99 +311,102 @@ def _unexpected_sql(rule: R.Rule, params: dict, by_day: bool, c: str) -> str:
     raise ValueError(rule.kind)
 
 
-def _results_ctes(numbered, params: dict, batch_sql: str, by_day=None) -> tuple[list[str], str]:
-    """CTEs computing one results row per (group, rule); returns (ctes, union query)."""
-    key = "dt" if by_day else "k"
-    if by_day:
-        b, e = by_day
-        ctes = [f"kb AS ({batch_sql})",
-                f"spine AS (SELECT CAST(g AS DATE) AS dt FROM generate_series(DATE {_q(b)}, "
-                f"DATE {_q(e)}, INTERVAL 1 DAY) t(g))"]
-    else:
-        ctes = [f"kb AS (SELECT *, 1 AS k FROM ({batch_sql}) x)", "spine AS (SELECT 1 AS k)"]
-    join_key = f"b.{key} = s.{key}"
-    nb = f"b.{key}"
+def _on(a: str, b: str, keys) -> str:
+    return " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
+
+
+def oracle_results_sql(numbered, params: dict, batch_sql: str, keys=(), spine_sql: str | None = None,
+                       day_bounds: bool = False) -> str:
+    """One results row per (group, rule), recomputed in SQL.
+
+    Groups are the distinct ``keys`` of the batch, or ``spine_sql``'s rows; no keys
+    means one group.  ``day_bounds`` binds the time-range rule to each group's ``dt``.
+    """
+    keys = list(keys) or ["k"]
+    grouped = keys != ["k"]
+    kcols = ", ".join(keys)
+    ctes = [f"kb AS ({batch_sql})" if grouped else f"kb AS (SELECT *, 1 AS k FROM ({batch_sql}) x)"]
+    ctes.append(f"spine AS ({spine_sql})" if spine_sql else f"spine AS (SELECT DISTINCT {kcols} FROM kb)")
     cols = []
     for _, r in numbered:
         if r.column not in cols:
             cols.append(r.column)
+    nb = f"b.{keys[0]}"
     aggs = [f"count({nb}) AS m_n"] + [f"count({nb}) - count(b.{c}) AS m_null_{i}" for i, c in enumerate(cols)]
     for rid, r in numbered:
         if r.kind in (R.BETWEEN, R.IN_SET, R.MATCH_REGEX):
-            aggs.append(f"count(*) FILTER (WHERE {_unexpected_sql(r, params, bool(by_day), 'b.' + r.column)}) "
+            aggs.append(f"count(*) FILTER (WHERE {_unexpected_sql(r, params, day_bounds, 'b.' + r.column)}) "
                         f"AS m_unexp_{rid}")
-    ctes.append(f"agg AS (SELECT s.{key}, {', '.join(aggs)} FROM spine s LEFT JOIN kb b ON {join_key} "
-                f"GROUP BY s.{key})")
+    ctes.append(f"agg AS (SELECT {', '.join('s.' + k for k in keys)}, {', '.join(aggs)} FROM spine s "
+                f"LEFT JOIN kb b ON {_on('b', 's', keys)} GROUP BY {', '.join('s.' + k for k in keys)})")
     rows = []
+    akeys = ", ".join(f"a.{k}" for k in keys)
     for rid, r in numbered:
         nul = f"m_null_{cols.index(r.column)}"
-        head = (f"CAST({rid} AS INTEGER) AS rule_id, {_q(r.kind)} AS rule_type, {_q(r.column)} AS column_name, "
-                f"CAST({r.mostly!r} AS DOUBLE) AS mostly, a.m_n AS element_count")
+        head = (f"{akeys}, CAST({rid} AS INTEGER) AS rule_id, {_q(r.kind)} AS rule_type, "
+                f"{_q(r.column)} AS column_name, CAST({r.mostly!r} AS DOUBLE) AS mostly, a.m_n AS element_count")
         if r.kind == R.NOT_NULL:
-            rows.append(f"SELECT a.{key}, {head}, a.{nul} AS missing_count, a.{nul} AS unexpected_count, "
+            rows.append(f"SELECT {head}, a.{nul} AS missing_count, a.{nul} AS unexpected_count, "
                         f"CAST(NULL AS VARCHAR) AS observed_value, CASE WHEN a.m_n = 0 THEN TRUE ELSE "
                         f"CAST(a.m_n - a.{nul} AS DOUBLE) / a.m_n >= {r.mostly!r} END AS success FROM agg a")
         elif r.kind == R.OF_TYPE:
-            rows.append(f"SELECT a.{key}, {head}, CAST(NULL AS BIGINT) AS missing_count, "
+            rows.append(f"SELECT {head}, CAST(NULL AS BIGINT) AS missing_count, "
                         f"CAST(NULL AS BIGINT) AS unexpected_count, 'timestamp_ntz' AS observed_value, "
                         f"TRUE AS success FROM agg a")
         elif r.kind == R.MODE_IN_SET:
             c = r.column
-            ctes.append(f"vc_{rid} AS (SELECT {key}, {c} AS v, count(*) AS n "
-                        f"FROM kb WHERE {c} IS NOT NULL GROUP BY {key}, {c})")
-            ctes.append(f"md_{rid} AS (SELECT vc.{key}, vc.v, row_number() OVER (PARTITION BY vc.{key} "
-                        f"ORDER BY vc.v) AS rk FROM vc_{rid} vc JOIN (SELECT {key}, max(n) AS top_n FROM vc_{rid} "
-                        f"GROUP BY {key}) t ON vc.{key} = t.{key} AND vc.n = t.top_n)")
-            ctes.append(f"ms_{rid} AS (SELECT {key}, count(*) AS n_modes, count(*) FILTER (WHERE v IN "
+            ctes.append(f"vc_{rid} AS (SELECT {kcols}, {c} AS v, count(*) AS n FROM kb WHERE {c} IS NOT NULL "
+                        f"GROUP BY {kcols}, {c})")
+            ctes.append(f"md_{rid} AS (SELECT {', '.join('vc.' + k for k in keys)}, vc.v, row_number() OVER "
+                        f"(PARTITION BY {', '.join('vc.' + k for k in keys)} ORDER BY vc.v) AS rk FROM vc_{rid} vc "
+                        f"JOIN (SELECT {kcols}, max(n) AS top_n FROM vc_{rid} GROUP BY {kcols}) t "
+                        f"ON {_on('vc', 't', keys)} AND vc.n = t.top_n)")
+            ctes.append(f"ms_{rid} AS (SELECT {kcols}, count(*) AS n_modes, count(*) FILTER (WHERE v IN "
                         f"({_in_list(r.kwargs['value_set'])})) AS n_in, string_agg(CASE WHEN rk <= 20 THEN v END, "
-                        f"',' ORDER BY v) AS modes FROM md_{rid} GROUP BY {key})")
-            rows.append(f"SELECT a.{key}, {head}, a.{nul} AS missing_count, CAST(NULL AS BIGINT) AS unexpected_count, "
+                        f"',' ORDER BY v) AS modes FROM md_{rid} GROUP BY {kcols})")
+            rows.append(f"SELECT {head}, a.{nul} AS missing_count, CAST(NULL AS BIGINT) AS unexpected_count, "
                         f"ms.modes AS observed_value, COALESCE(ms.n_modes = 1 AND ms.n_in = 1, FALSE) AS success "
-                        f"FROM agg a LEFT JOIN ms_{rid} ms ON a.{key} = ms.{key}")
+                        f"FROM agg a LEFT JOIN ms_{rid} ms ON {_on('a', 'ms', keys)}")
         else:
             nonnull = f"(a.m_n - a.{nul})"
-            rows.append(f"SELECT a.{key}, {head}, a.{nul} AS missing_count, a.m_unexp_{rid} AS unexpected_count, "
+            rows.append(f"SELECT {head}, a.{nul} AS missing_count, a.m_unexp_{rid} AS unexpected_count, "
                         f"CAST(NULL AS VARCHAR) AS observed_value, CASE WHEN {nonnull} = 0 THEN TRUE ELSE "
                         f"CAST({nonnull} - a.m_unexp_{rid} AS DOUBLE) / {nonnull} >= {r.mostly!r} END AS success "
                         f"FROM agg a")
-    return ctes, " UNION ALL ".join(rows)
+    out = ", ".join(([] if not grouped else keys) + RULE_OUT)
+    return f"WITH {', '.join(ctes)} SELECT {out} FROM ({' UNION ALL '.join(rows)}) r"
 
 
-def oracle_results_sql(numbered, params: dict, batch_sql: str, by_day=None) -> str:
-    ctes, union = _results_ctes(numbered, params, batch_sql, by_day)
-    out = ", ".join((["dt"] if by_day else []) + RULE_OUT)
-    return f"WITH {', '.join(ctes)} SELECT {out} FROM ({union}) r"
+def _suite_sql(keep=None, keys=PROJECT, day_bounds=False, spine_sql=None, begin=MONTH[0], end=MONTH[1]) -> str:
+    suite = _suite(keep, begin, end)
+    return oracle_results_sql(suite.numbered(), dict(suite.params), ALL_BATCHES_SQL, keys, spine_sql, day_bounds)
 
 
-def _suite_sql(spec, keep=None, by_day=False) -> str:
-    suite = default_suite(list(BATCH_COLUMNS), spec[1], spec[2])
-    rules = [r for r in suite.rules if keep is None or keep(r)]
-    numbered = list(enumerate(rules, start=1))
-    return oracle_results_sql(numbered, dict(suite.params), _batch_sql(spec),
-                              (spec[1], spec[2]) if by_day else None)
+DAY_SPINE_SQL = (f"SELECT project, CAST(unnest(generate_series(DATE {_q(MONTH[0])}, DATE {_q(MONTH[1])}, "
+                 f"INTERVAL 1 DAY)) AS DATE) AS dt FROM (SELECT DISTINCT project FROM kb) p")
 
 
-def _samples_sql(spec) -> str:
-    suite = default_suite(list(BATCH_COLUMNS), spec[1], spec[2])
+def _samples_sql() -> str:
+    suite = _suite()
     parts, names = [], []
     for rid, r in suite.numbered():
         if r.kind not in R.ROW_KINDS:
             continue
-        pred = f"{r.column} IS NULL" if r.kind == R.NOT_NULL else _unexpected_sql(r, suite.params, False, r.column)
-        parts.append(f"SELECT CAST({rid} AS INTEGER) AS rule_id, CAST({r.column} AS VARCHAR) AS value "
+        pred = _unexpected_sql(r, suite.params, False, r.column)
+        parts.append(f"SELECT project, CAST({rid} AS INTEGER) AS rule_id, CAST({r.column} AS VARCHAR) AS value "
                      f"FROM batch WHERE {pred}")
         names.append(f"WHEN {rid} THEN {_q(r.column)}")
-    return (f"WITH batch AS ({_batch_sql(spec)}), hits AS ({' UNION ALL '.join(parts)}), "
-            f"counts AS (SELECT rule_id, value, count(*) AS n FROM hits GROUP BY rule_id, value), "
-            f"ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY rule_id ORDER BY n DESC, "
+    return (f"WITH batch AS ({ALL_BATCHES_SQL}), hits AS ({' UNION ALL '.join(parts)}), "
+            f"counts AS (SELECT project, rule_id, value, count(*) AS n FROM hits GROUP BY project, rule_id, value), "
+            f"ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY project, rule_id ORDER BY n DESC, "
             f"value ASC NULLS FIRST) AS INTEGER) AS sample_rank FROM counts) "
-            f"SELECT rule_id, CASE rule_id {' '.join(names)} END AS column_name, value, n, sample_rank "
+            f"SELECT project, rule_id, CASE rule_id {' '.join(names)} END AS column_name, value, n, sample_rank "
             f"FROM ranked WHERE sample_rank <= 20")
 
 
-def _stats_sql(spec) -> str:
-    return (f"SELECT count(*) AS evaluated, count(*) FILTER (WHERE NOT success) AS failed, "
-            f"count(*) - count(*) FILTER (WHERE NOT success) AS passed FROM ({_suite_sql(spec)}) r")
+def _stats_sql() -> str:
+    return (f"SELECT project, count(*) AS evaluated, count(*) FILTER (WHERE NOT success) AS failed, "
+            f"count(*) - count(*) FILTER (WHERE NOT success) AS passed FROM ({_suite_sql()}) r GROUP BY project")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -405,7 +418,10 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT CAST({i + 1} AS INTEGER) AS position, {_q(c)} AS column_name, "
         f"{_q(types.get(c, 'string'))} AS data_type, count({c}) AS non_null, count(*) AS row_count FROM flat"
         for i, c in enumerate(BATCH_COLUMNS))
-    between_override = default_suite(list(BATCH_COLUMNS), PURCHASE[1], PURCHASE[2])
+    stale = _suite(_kind(R.BETWEEN), "2023-12-31", "2023-12-31")
+    run_params = dict(P.timestamp_params(*MONTH))
+    country = R.Rule(R.IN_SET, "country_code", 0.99, {"value_set": list(country_codes())})
+    by_day = _suite_sql(keys=DAILY, day_bounds=True, spine_sql=DAY_SPINE_SQL)
     return {
         "scan_flatten": flat_all,
         "extract_batch": _batch_sql(CLICK),
@@ -421,30 +437,28 @@ def oracle_sql() -> dict[str, str]:
         "derive_dt": f"SELECT dt, count(*) AS n_rows, min(download_time) AS first_time, "
                      f"max(download_time) AS last_time FROM ({DOWNLOADS_SQL}) d GROUP BY dt",
         "profile_columns": f"WITH flat AS ({flat_all}) {profile_rows}",
-        "expect_not_null": _suite_sql(CLICK, _is_strict_not_null),
-        "expect_mostly_not_null": _suite_sql(CLICK, _is_mostly_not_null),
-        "expect_type": _suite_sql(CLICK, _kind(R.OF_TYPE)),
-        "expect_between": _suite_sql(PURCHASE, _kind(R.BETWEEN)),
+        "expect_not_null": _suite_sql(_is_strict_not_null),
+        "expect_mostly_not_null": _suite_sql(_is_mostly_not_null),
+        "expect_type": _suite_sql(_kind(R.OF_TYPE)),
+        "expect_between": _suite_sql(_kind(R.BETWEEN), DAILY, day_bounds=True),
         "expect_between_param_override": oracle_results_sql(
-            [(1, r) for r in between_override.rules if r.kind == R.BETWEEN],
-            dict(between_override.params), _batch_sql(PURCHASE)),
-        "expect_in_set": _suite_sql(VIEW, _kind(R.IN_SET)),
-        "expect_in_set_broadcast": oracle_results_sql(
-            [(1, R.Rule(R.IN_SET, "country_code", 0.99, {"value_set": list(country_codes())}))],
-            {}, _batch_sql(VIEW)),
-        "expect_most_common_in_set": _suite_sql(CLICK, _kind(R.MODE_IN_SET)),
+            stale.numbered(), P.merge_params(stale.params, run_params), ALL_BATCHES_SQL, PROJECT),
+        "expect_in_set": _suite_sql(_kind(R.IN_SET), DAILY),
+        "expect_in_set_broadcast": oracle_results_sql([(1, country)], {}, ALL_BATCHES_SQL, DAILY),
+        "expect_most_common_in_set": _suite_sql(_kind(R.MODE_IN_SET), DAILY),
         "most_common_ties": oracle_results_sql(
             [(1, R.Rule(R.MODE_IN_SET, "distro_name", kwargs={"value_set": ["Ubuntu"]}))], {},
             "SELECT CASE WHEN event_id % 2 = 0 THEN 'Ubuntu' ELSE 'Debian' END AS distro_name FROM events"),
-        "expect_regex": _suite_sql(CLICK, _kind(R.MATCH_REGEX)),
-        "validate_suite": _suite_sql(CLICK),
-        "run_stats": _stats_sql(CLICK),
-        "failed_expectations": f"SELECT * FROM ({_suite_sql(CLICK)}) r WHERE NOT success",
+        "expect_regex": _suite_sql(_kind(R.MATCH_REGEX)),
+        "validate_suite": _suite_sql(),
+        "run_stats": _stats_sql(),
+        "failed_expectations": f"SELECT * FROM ({_suite_sql()}) r WHERE NOT success",
         "gate_status": f"SELECT *, CAST(0 AS INTEGER) AS failures_allowed, failed <= 0 AS gate_passed "
-                       f"FROM ({_stats_sql(CLICK)}) s",
-        "unexpected_samples": _samples_sql(CLICK),
-        "validate_by_day": _suite_sql(CLICK, by_day=True),
-        "publish_if_valid": f"WITH res AS ({_suite_sql(CLICK, by_day=True)}), good AS (SELECT dt FROM res "
-                            f"GROUP BY dt HAVING count(*) FILTER (WHERE NOT success) <= {PUBLISH_FAILURES_ALLOWED}) "
-                            f"SELECT {FLAT} FROM ({_batch_sql(CLICK)}) b WHERE dt IN (SELECT dt FROM good)",
+                       f"FROM ({_stats_sql()}) s",
+        "unexpected_samples": _samples_sql(),
+        "validate_by_day": by_day,
+        "publish_if_valid": f"WITH res AS ({by_day}), good AS (SELECT project, dt FROM res GROUP BY project, dt "
+                            f"HAVING count(*) FILTER (WHERE NOT success) <= {PUBLISH_FAILURES_ALLOWED}) "
+                            f"SELECT project, {FLAT} FROM ({ALL_BATCHES_SQL}) b WHERE EXISTS "
+                            f"(SELECT 1 FROM good g WHERE g.project = b.project AND g.dt = b.dt)",
     }

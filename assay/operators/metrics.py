@@ -141,18 +141,19 @@ def rule_result_sql(rid: int, r: R.Rule, schema: T.StructType, null_cols: Mappin
                              R.success_sql(f"{nonnull} - {unexp}", nonnull, r.mostly))
 
 
-def _attach(metrics: DataFrame, extras: list[DataFrame], keys: list[str]) -> DataFrame:
+def _attach(metrics: DataFrame, extras: list[DataFrame], keys: list[str], bounded: bool) -> DataFrame:
     """Put per-group side tables (one row per group) next to the metrics row of the group.
 
-    Grouped: broadcast equi-joins (each side has one row per group, bounded by the
-    spine).  Not grouped: every table is one row, so they are unioned and folded
-    into a single row by a global aggregate - no join at all.
+    Grouped: equi-joins on the group keys, unique on both sides (no skew possible);
+    broadcast only when the number of groups is bounded by the caller (days of a
+    range), otherwise AQE decides from the runtime size.  Not grouped: every table
+    is one row, so they are unioned and folded by a global aggregate - no join.
     """
     if not extras:
         return metrics
     if keys:
         for extra in extras:
-            metrics = metrics.join(F.broadcast(extra), keys, "left")
+            metrics = metrics.join(F.broadcast(extra) if bounded else extra, keys, "left")
         return metrics
     both = metrics
     for extra in extras:
@@ -163,7 +164,7 @@ def _attach(metrics: DataFrame, extras: list[DataFrame], keys: list[str]) -> Dat
 def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
                   group_cols: Sequence[str] = (), spine: DataFrame | None = None,
                   broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                  sample_size: int = R.SAMPLE_SIZE) -> DataFrame | None:
+                  sample_size: int = R.SAMPLE_SIZE, bounded_groups: bool = False) -> DataFrame | None:
     """One result row per (group, rule) of a whole suite, as ONE plan.
 
     * row-level rules, row and null counts: one fused aggregate (one scan);
@@ -172,8 +173,9 @@ def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
     * type rules: from the schema.
 
     ``spine`` (a DataFrame of the group keys) makes groups without rows appear
-    with zero counts, e.g. a day without data in a backfill.  Callers restrict the
-    batch to the spine's groups, so the per-group tables are bounded by the spine.
+    with zero counts, e.g. a day without data in a backfill.  ``bounded_groups``
+    says the caller restricted the batch to a bounded set of groups (the days of a
+    range), so per-group tables may be broadcast.
     """
     if not rules:
         return None
@@ -193,16 +195,16 @@ def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
     if mode_rules:
         from .modes import mode_lists
         extras.append(mode_lists(batch, mode_rules, keys, sample_size))
-    metrics = _attach(metrics, extras, keys)
+    metrics = _attach(metrics, extras, keys, bounded_groups)
     if spine is not None:
-        metrics = spine.join(F.broadcast(metrics), keys, "left")
+        metrics = spine.join(F.broadcast(metrics) if bounded_groups else metrics, keys, "left")
     structs = ", ".join(rule_result_sql(rid, r, schema, null_cols) for rid, r in rules)
     return metrics.selectExpr(*[S.ident(k) for k in keys], f"inline(array({structs}))")
 
 
 def fused_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
                   group_cols: Sequence[str] = (), spine: DataFrame | None = None,
-                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame | None:
+                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, bounded_groups: bool = False) -> DataFrame | None:
     """Results of the row-level and type rules only (one aggregate, one scan)."""
     rules = [(i, r) for i, r in rules if r.kind != R.MODE_IN_SET]
-    return suite_results(batch, rules, params, group_cols, spine, broadcast_limit)
+    return suite_results(batch, rules, params, group_cols, spine, broadcast_limit, bounded_groups=bounded_groups)

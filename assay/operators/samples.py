@@ -21,12 +21,15 @@ from .metrics import DEFAULT_BROADCAST_LIMIT, _join_value_sets
 
 
 def unexpected_samples(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
-                       k: int = R.SAMPLE_SIZE, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame | None:
-    """(rule_id, column_name, value, n, rank): top-k unexpected values per rule.
+                       k: int = R.SAMPLE_SIZE, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+                       group_cols: Sequence[str] = ()) -> DataFrame | None:
+    """(keys, rule_id, column_name, value, n, rank): top-k unexpected values per (group, rule).
 
     Ties in count are broken by value, so the sample is deterministic.  A NULL
-    value is what a not-null rule reports.
+    value is what a not-null rule reports.  ``group_cols`` makes each group of
+    rows its own batch (e.g. per project and day).
     """
+    keys = list(group_cols)
     row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS]
     if not row_rules:
         return None
@@ -40,17 +43,19 @@ def unexpected_samples(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], pa
             f"CASE WHEN coalesce({R.unexpected_sql(r, schema, params, in_set_sql.get(rid))}, false) "
             f"THEN named_struct('rule_id', CAST({int(rid)} AS INT), 'value', CAST({S.ident(r.column)} AS STRING)) END"
             for rid, r in inline_rules)
-        hits = joined.selectExpr(f"explode(array({pairs})) AS p").where("p IS NOT NULL").select("p.*")
-        parts.append(hits.groupBy("rule_id", "value").agg(F.count(F.lit(1)).alias("n")))
+        hits = joined.selectExpr(*[S.ident(c) for c in keys],
+                                 f"explode(filter(array({pairs}), x -> x IS NOT NULL)) AS p").select(*keys, "p.*")
+        parts.append(hits.groupBy(*keys, "rule_id", "value").agg(F.count(F.lit(1)).alias("n")))
     for rid, r, values in preagg:
         counts = (batch.where(R.col(r.column).isNotNull())
-                  .groupBy(R.col(r.column).alias("__v")).agg(F.count(F.lit(1)).alias("n")))
+                  .groupBy(*keys, R.col(r.column).alias("__v")).agg(F.count(F.lit(1)).alias("n")))
         parts.append(counts.join(values, "__v", "left_anti").select(
-            F.lit(rid).cast("int").alias("rule_id"), F.col("__v").cast("string").alias("value"), "n"))
+            *keys, F.lit(rid).cast("int").alias("rule_id"), F.col("__v").cast("string").alias("value"), "n"))
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
-    w = Window.partitionBy("rule_id").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    w = Window.partitionBy(*keys, "rule_id").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
     top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     names = " ".join(f"WHEN {int(rid)} THEN {S.string_lit(r.column)}" for rid, r in row_rules)
-    return top.selectExpr("rule_id", f"CASE rule_id {names} END AS column_name", "value", "n", "rank")
+    return top.selectExpr(*[S.ident(c) for c in keys], "rule_id", f"CASE rule_id {names} END AS column_name",
+                          "value", "n", "rank")

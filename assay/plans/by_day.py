@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import params as P
@@ -24,26 +24,39 @@ from .suite import Suite
 def day_spine(spark: SparkSession, begin: str | dt.date, end: str | dt.date,
               days: Sequence[dt.date] | None = None) -> DataFrame:
     """One row per day of the inclusive range, or of ``days`` (``dt`` DATE)."""
+    return spark.range(1).select(_days_col(begin, end, days))
+
+
+def _days_col(begin, end, days=None) -> Column:
     if days is not None:
         lits = [F.lit(P.parse_date(d).isoformat()).cast("date") for d in sorted(set(days))]
-        return spark.range(1).select(F.explode(F.array(*lits)).alias("dt"))
+        return F.explode(F.array(*lits)).alias("dt")
     b, e = P.date_range(begin, end)
-    return spark.range(1).select(F.explode(F.sequence(
-        F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date"))).alias("dt"))
+    return F.explode(F.sequence(F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date"))).alias("dt")
 
 
 def validate_by_day(batch: DataFrame, suite: Suite, begin: str | dt.date, end: str | dt.date,
                     params: Mapping | None = None, end_exclusive: bool = False,
-                    days: Sequence[dt.date] | None = None) -> DataFrame:
-    """Results per (dt, rule) for every day of ``begin..end`` (or only ``days`` of it)."""
+                    days: Sequence[dt.date] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Results per (``by`` keys, dt, rule) for every day of ``begin..end`` (or only ``days``).
+
+    ``by`` adds batch keys (e.g. ``project``): every (key, day) is its own daily
+    batch.  The spine is then each key seen in the data times the days (a
+    generator, not a join), and the per-group tables are joined on unique keys.
+    """
     b, e = P.date_range(begin, end)
     rows = batch.where(F.col("dt").between(F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date")))
-    spine = day_spine(batch.sparkSession, b, e, days)
     if days is not None:
         rows = rows.where(F.col("dt").isin([P.parse_date(d).isoformat() for d in days]))
+    by = list(by)
+    if by:
+        spine = rows.select(*by).distinct().select(*by, _days_col(b, e, days))
+    else:
+        spine = day_spine(batch.sparkSession, b, e, days)
     run_params = P.merge_params(params, P.day_params("dt", end_exclusive))
-    return validate(rows, suite, run_params, group_cols=["dt"], spine=spine)
+    # Without extra keys the groups are the days of the range: bounded, broadcastable.
+    return validate(rows, suite, run_params, group_cols=[*by, "dt"], spine=spine, bounded_groups=not by)
 
 
-def stats_by_day(results_by_day: DataFrame) -> DataFrame:
-    return run_stats(results_by_day, ["dt"])
+def stats_by_day(results_by_day: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return run_stats(results_by_day, [*by, "dt"])

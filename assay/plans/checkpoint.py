@@ -27,12 +27,17 @@ from .suite import Suite
 
 def validate(batch: DataFrame, suite: Suite, params: Mapping | None = None,
              group_cols: Sequence[str] = (), spine: DataFrame | None = None,
-             broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Lazy results of every rule of ``suite`` on ``batch`` (run-time params win)."""
+             broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, bounded_groups: bool = False) -> DataFrame:
+    """Lazy results of every rule of ``suite`` on ``batch`` (run-time params win).
+
+    With ``group_cols`` every group of rows is its own batch (e.g. one per project,
+    or per project and day), all validated in the same two scans.
+    """
     merged = P.merge_params(suite.params, params)
     if not suite.rules:
         raise ValueError(f"suite {suite.name!r} has no rules")
-    res = suite_results(batch, suite.numbered(), merged, group_cols, spine, broadcast_limit)
+    res = suite_results(batch, suite.numbered(), merged, group_cols, spine, broadcast_limit,
+                        bounded_groups=bounded_groups)
     return res.select(*group_cols, *RESULT_COLUMNS)
 
 

@@ -16,7 +16,7 @@ import dataclasses
 import datetime as dt
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,12 +84,14 @@ def publish_if_valid(batch: DataFrame, suite: Suite, target: str, params: Mappin
 
 
 def publishable_rows(batch: DataFrame, suite: Suite, begin: str | dt.date, end: str | dt.date,
-                     failures_allowed: int = 0, params: Mapping | None = None) -> DataFrame:
-    """Lazy: the rows of the days whose own validation passes the gate."""
-    stats = stats_by_day(validate_by_day(batch, suite, begin, end, params))
-    good = stats.where(F.col("failed") <= F.lit(int(failures_allowed))).select("dt")
-    # One row per day of the range: a bounded broadcast.
-    return batch.join(F.broadcast(good), "dt", "left_semi")
+                     failures_allowed: int = 0, params: Mapping | None = None,
+                     by: Sequence[str] = ()) -> DataFrame:
+    """Lazy: the rows of the (``by`` keys, day) batches whose own validation passes the gate."""
+    stats = stats_by_day(validate_by_day(batch, suite, begin, end, params, by=by), by)
+    good = stats.where(F.col("failed") <= F.lit(int(failures_allowed))).select(*by, "dt")
+    # Without extra keys: one row per day of the range, a bounded broadcast.  With keys:
+    # a semi join on unique keys (AQE broadcasts it if its runtime size allows).
+    return batch.join(good if by else F.broadcast(good), [*by, "dt"], "left_semi")
 
 
 def publish_by_day(batch: DataFrame, suite: Suite, target: str, begin: str | dt.date, end: str | dt.date,

@@ -13,7 +13,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 def test_entry(spark):
     df = E.entry(spark)
     rows = df.collect()
-    assert len(rows) == 20 and set(df.columns) == set(E.RULE_OUT)
+    assert len(rows) == 5 * 20 and set(df.columns) == {"project", *E.RULE_OUT}
+    assert {r.project for r in rows} == {"click", "error", "purchase", "signup", "view"}
 
 
 def test_every_query_has_an_oracle():
