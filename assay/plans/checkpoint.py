@@ -15,7 +15,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..errors import CheckpointFailed
 from ..functions import params as P
@@ -141,7 +140,3 @@ def run_checkpoint(batch: DataFrame, suite: Suite, params: Mapping | None = None
     if history_path:
         run.write_history(history_path)
     return run
-
-
-def results_schema_with(keys: Sequence[T.StructField]) -> T.StructType:
-    return T.StructType(list(keys) + list(RESULT_SCHEMA.fields))
