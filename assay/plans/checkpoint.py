@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..errors import CheckpointFailed
 from ..functions import params as P
-from ..functions import rules as R
 from ..operators.metrics import DEFAULT_BROADCAST_LIMIT, RESULT_COLUMNS, RESULT_SCHEMA, suite_results
 from ..operators.samples import unexpected_samples
 from .suite import Suite

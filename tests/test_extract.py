@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assay import BadParameter, SchemaDriftError, SessionConfigError, extract_batch, extract_batch_sql, flatten

@@ -2,9 +2,8 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from assay import CheckpointFailed, Rule, Suite, SuiteNotFound
+from assay import CheckpointFailed, Rule, SuiteNotFound
 from assay.__main__ import main
 from assay.functions import rules as R
 from assay.operators.samples import unexpected_samples

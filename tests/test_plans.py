@@ -2,7 +2,6 @@
 
 import contextlib
 import io
-import os
 import re
 
 import pytest
@@ -96,3 +95,11 @@ def test_in_set_dimension_is_broadcast(spark, nested_path):
     rule = R.Rule(R.IN_SET, "country_code", 0.99, {"value_set": country_dim(spark)})
     text = plan_text(validate(batch, Suite("d", [rule])))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_sql_form_pushes_the_same_filters(spark, nested_path):
+    from assay import extract_batch_sql
+    text = plan_text(extract_batch_sql(spark, read_downloads(spark, nested_path), "click", "2024-01-01", "2024-01-04"))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert "EqualTo(file.project,click)" in pushed
+    assert "GreaterThanOrEqual(timestamp,2024-01-01T00:00)" in pushed and "LessThan(timestamp,2024-01-05T00:00)" in pushed

@@ -8,7 +8,7 @@ from assay.functions.params import timestamp_params
 from assay.functions.types import type_matches
 from assay.plans.suite import VERSION_REGEX
 from assay.sources.countries import country_codes
-from helpers import batch_rows, by_column, good_row
+from helpers import batch_rows, good_row
 
 
 def _one(spark, rule, values, column=None, **kw):
@@ -149,3 +149,20 @@ def test_counts_add_up(spark, source01):
             assert 0 <= r.unexpected_count <= r.element_count - r.missing_count
         if r.rule_type == R.NOT_NULL:
             assert r.unexpected_count == r.missing_count
+
+
+def test_parameters_with_offsets_parse_to_utc(spark):
+    # stored parameters are ISO text with an offset; 02:00+02:00 is midnight UTC
+    rows = [{**good_row(), "download_time": dt.datetime(2024, 1, 1, 0, 0)}]
+    batch = batch_rows(spark, rows)
+    rule = Rule(R.BETWEEN, "download_time", kwargs={"min_value": {"$PARAMETER": "min_ts"},
+                                                     "max_value": {"$PARAMETER": "max_ts"}})
+    ok = validate(batch, Suite("t", [rule], {"min_ts": "2024-01-01T02:00:00+02:00",
+                                             "max_ts": "2024-01-01T00:00:00Z"})).collect()[0]
+    late = validate(batch, Suite("t", [rule], {"min_ts": "2024-01-01T02:00:01+02:00",
+                                               "max_ts": "2024-01-02T00:00:00+00:00"})).collect()[0]
+    assert ok.success and not late.success
+    with pytest.raises(BadParameter):
+        validate(batch, Suite("t", [rule], {"min_ts": "yesterday", "max_ts": "2024-01-02T00:00:00"}))
+    with pytest.raises(BadParameter):
+        validate(batch, Suite("t", [rule], {"min_ts": "2024-01-01T00:00:00"}))  # max_ts missing
