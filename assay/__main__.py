@@ -19,7 +19,9 @@ from .sources.downloads import read_downloads
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="assay", description=__doc__)
-    ap.add_argument("--source", required=True, help="nested downloads table (files)")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--source", help="nested downloads table (files)")
+    src.add_argument("--table", help="nested downloads table (catalog name)")
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--project", required=True)
     ap.add_argument("--begin", help="ISO date; default yesterday (UTC)")
@@ -37,7 +39,7 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     spark = build_session(args.master)
-    source = read_downloads(spark, args.source, args.format)
+    source = read_downloads(spark, args.source, args.format, table=args.table)
     try:
         out = run_daily(source, args.project, args.begin, args.end, suite_store=args.suite_store,
                         suite_name=args.suite_name, overwrite_suite=not args.reuse_suite,

@@ -19,6 +19,7 @@ count means a tie).  Totals and null counts come from the fused aggregate.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -50,13 +51,22 @@ def mode_lists(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
     return top.groupBy(*keys).agg(agg) if keys else top.agg(agg)
 
 
+def _as_counted(value) -> str:
+    """A set member in the string form its column's values are counted in."""
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, dt.datetime):
+        return value.isoformat(sep=" ")
+    return str(value)
+
+
 def mode_result_parts(rid: int, rule: R.Rule) -> tuple[str, str]:
     """(observed modes, success) SQL over the ``frequent`` list column of a metrics row."""
-    values = R.literal_values(R.value_set_of(rule))
+    values = [_as_counted(v) for v in R.literal_values(R.value_set_of(rule)) if v is not None]
     mine = f"filter(coalesce(frequent, array()), x -> x.rule_id = {int(rid)})"
     top_n = f"array_max(transform({mine}, x -> x.n))"
     modes = f"array_sort(transform(filter({mine}, x -> x.n = {top_n}), x -> x.value))"
-    in_set = (f"element_at({modes}, 1) IN ({', '.join(S.value_lit(v) for v in values)})"
+    in_set = (f"element_at({modes}, 1) IN ({', '.join(S.string_lit(v) for v in values)})"
               if values else "false")
     observed = f"CASE WHEN size({modes}) > 0 THEN array_join({modes}, ',') END"
     success = f"coalesce(size({modes}) = 1 AND {in_set}, false)"

@@ -64,13 +64,16 @@ def check_source_schema(df: DataFrame, fields: dict[str, tuple[type, ...]] = DOW
         raise SchemaDriftError("downloads source schema drift: " + "; ".join(problems))
 
 
-def read_downloads(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a nested downloads table from files and check its schema.
+def read_downloads(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
+                   table: str | None = None) -> DataFrame:
+    """Read a nested downloads table (files at ``path``, or a catalog ``table``) and check its schema.
 
     Nothing is selected here: the extract's projection and filters are pushed into
     the scan by Catalyst (nested ``ReadSchema`` pruning, ``PushedFilters``).
     """
-    df = spark.read.format(fmt).load(path)
+    if (path is None) == (table is None):
+        raise ValueError("give exactly one of path or table")
+    df = spark.table(table) if table else spark.read.format(fmt).load(path)
     check_source_schema(df)
     return df
 

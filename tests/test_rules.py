@@ -166,3 +166,17 @@ def test_parameters_with_offsets_parse_to_utc(spark):
         validate(batch, Suite("t", [rule], {"min_ts": "yesterday", "max_ts": "2024-01-02T00:00:00"}))
     with pytest.raises(BadParameter):
         validate(batch, Suite("t", [rule], {"min_ts": "2024-01-01T00:00:00"}))  # max_ts missing
+
+
+def test_numeric_rules(spark):
+    df = spark.createDataFrame([(v,) for v in [1, 2, 2, 3, 5, None]], "x int")
+    between = Rule(R.BETWEEN, "x", kwargs={"min_value": 1, "max_value": 3})
+    strict = Rule(R.BETWEEN, "x", kwargs={"min_value": 1, "max_value": 3, "strict_min": True})
+    in_set = Rule(R.IN_SET, "x", kwargs={"value_set": [1, 2, 3]})
+    mode = Rule(R.MODE_IN_SET, "x", kwargs={"value_set": [2]})
+    res = {r.rule_id: r for r in validate(df, Suite("n", [between, strict, in_set, mode])).collect()}
+    assert (res[1].unexpected_count, res[2].unexpected_count, res[3].unexpected_count) == (1, 2, 1)
+    assert res[4].success and res[4].observed_value == "2"
+    flags = spark.createDataFrame([(True,), (True,), (False,)], "b boolean")
+    r = validate(flags, Suite("b", [Rule(R.MODE_IN_SET, "b", kwargs={"value_set": [True]})])).collect()[0]
+    assert r.success and r.observed_value == "true"
