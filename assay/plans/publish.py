@@ -20,10 +20,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import CheckpointFailed
 from ..functions import params as P
 from ..session import checkpoint_root
+from ..operators.metrics import RESULT_SCHEMA
 from .by_day import stats_by_day, validate_by_day
 from .checkpoint import CheckpointRun, run_checkpoint
 from .suite import Suite
@@ -111,18 +113,23 @@ def publish_by_day(batch: DataFrame, suite: Suite, target: str, begin: str | dt.
     else:  # already staged by the caller (incremental runs)
         path = None
     results = validate_by_day(staged, suite, b, e, params, days=days)
+    # Evaluate once: one row per (day, rule), bounded by the range; history and gate use the rows.
+    rows = results.collect()
     if history_path:
-        run_id = uuid.uuid4().hex
-        (results.withColumn("suite_name", F.lit(suite.name)).withColumn("run_id", F.lit(run_id))
-         .withColumnRenamed("dt", "data_dt").coalesce(1)
-         .write.mode("append").partitionBy("data_dt").parquet(history_path))
-    stats = stats_by_day(results).collect()  # one row per day of the range
-    good = sorted(r.dt for r in stats if r.failed <= failures_allowed)
-    bad = sorted(r.dt for r in stats if r.failed > failures_allowed)
+        spark = staged.sparkSession
+        schema = T.StructType([T.StructField("dt", T.DateType())] + RESULT_SCHEMA.fields)
+        (spark.createDataFrame(rows, schema).withColumn("suite_name", F.lit(suite.name))
+         .withColumn("run_id", F.lit(uuid.uuid4().hex)).withColumnRenamed("dt", "data_dt")
+         .coalesce(1).write.mode("append").partitionBy("data_dt").parquet(history_path))
+    failed_per_day: dict[dt.date, int] = {}
+    for r in rows:
+        failed_per_day[r.dt] = failed_per_day.get(r.dt, 0) + (0 if r.success else 1)
+    good = sorted(d for d, n in failed_per_day.items() if n <= failures_allowed)
+    bad = sorted(d for d, n in failed_per_day.items() if n > failures_allowed)
     if good:
         _overwrite_days(staged.where(F.col("dt").isin([d.isoformat() for d in good])), target)
     report = PublishReport(target, path, good, bad)
     if bad and raise_on_failure:
-        worst = max(r.failed for r in stats)
+        worst = max(failed_per_day.values())
         raise CheckpointFailed(worst, failures_allowed, f"days {', '.join(map(str, bad))}")
     return report
