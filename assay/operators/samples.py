@@ -43,8 +43,9 @@ def unexpected_samples(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], pa
             f"CASE WHEN coalesce({R.unexpected_sql(r, schema, params, in_set_sql.get(rid))}, false) "
             f"THEN named_struct('rule_id', CAST({int(rid)} AS INT), 'value', CAST({S.ident(r.column)} AS STRING)) END"
             for rid, r in inline_rules)
-        hits = joined.selectExpr(*[S.ident(c) for c in keys],
-                                 f"explode(filter(array({pairs}), x -> x IS NOT NULL)) AS p").select(*keys, "p.*")
+        # explode + where stay in whole-stage codegen (a lambda filter would not)
+        hits = (joined.selectExpr(*[S.ident(c) for c in keys], f"explode(array({pairs})) AS p")
+                .where("p IS NOT NULL").select(*keys, "p.*"))
         parts.append(hits.groupBy(*keys, "rule_id", "value").agg(F.count(F.lit(1)).alias("n")))
     for rid, r, values in preagg:
         counts = (batch.where(R.col(r.column).isNotNull())
