@@ -24,6 +24,7 @@ from .plans.checkpoint import (
     run_stats,
     validate,
 )
+from .plans.pipeline import run_daily
 from .plans.publish import publish_by_day, publish_if_valid, publishable_rows
 from .plans.suite import Suite, default_suite, load_suite, save_suite
 from .session import build_session
@@ -33,5 +34,5 @@ __all__ = [
     "SchemaDriftError", "SessionConfigError", "Suite", "SuiteNotFound", "build_session",
     "default_suite", "extract_batch", "extract_batch_sql", "failed_expectations", "flatten",
     "gate_status", "load_suite", "profile_columns", "publish_by_day", "publish_if_valid",
-    "publishable_rows", "run_checkpoint", "run_stats", "save_suite", "validate", "validate_by_day",
+    "publishable_rows", "run_checkpoint", "run_daily", "run_stats", "save_suite", "validate", "validate_by_day",
 ]
