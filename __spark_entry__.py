@@ -2,7 +2,10 @@
 
 Every query reads the driver's ``events`` table, derives the nested downloads
 table from it (``assay.sources.downloads_from_events``) and runs one operator of
-the pipeline on the whole derived table or on a batch extracted from it.  The
+the pipeline over the whole derived table.  Rule queries validate every
+project's batch in one pass (keys ``project``), or every daily batch (keys
+``project, dt``) where the rule depends on the day; only the extract / filter
+queries select a project or a date range, because that is what they do.  The
 oracle SQL computes the same flat rows straight from ``events`` in DuckDB and
 re-derives every rule's counts and verdict in plain SQL.
 
