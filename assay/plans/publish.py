@@ -18,7 +18,7 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,17 +41,31 @@ class PublishReport:
     published_days: list[dt.date]
     failed_days: list[dt.date]
     run: CheckpointRun | None = None
+    rows_staged: int | None = None
 
 
-def stage_batch(batch: DataFrame, staging_root: str | None = None, run_id: str | None = None) -> tuple[str, DataFrame]:
-    """Write the batch to ``<root>/assay-staging/<run_id>`` partitioned by ``dt``; read it back."""
+def stage_batch(batch: DataFrame, staging_root: str | None = None, run_id: str | None = None,
+                observation: Observation | None = None) -> tuple[str, DataFrame]:
+    """Write the batch to ``<root>/assay-staging/<run_id>`` partitioned by ``dt``; read it back.
+
+    ``observation`` collects the staged row count during the write (no extra job);
+    it is for logging - the gate always reads the staged files.
+    """
     spark = batch.sparkSession
     root = (staging_root or checkpoint_root(spark)).rstrip("/")
     path = f"{root}/assay-staging/{run_id or uuid.uuid4().hex}"
-    batch.write.mode("errorifexists").partitionBy("dt").parquet(path)
+    out = batch.observe(observation, F.count(F.lit(1)).alias("rows")) if observation else batch
+    out.write.mode("errorifexists").partitionBy("dt").parquet(path)
     return path, spark.read.schema(batch.schema).parquet(path)
 
 
+def _observed_rows(observation: Observation) -> int | None:
+    try:
+        return int(observation.get["rows"])
+    except Exception:  # noqa: BLE001 - logging only
+        return None
+
+
 def staged_days(staged: DataFrame) -> list[dt.date]:
     """Days present in a staged batch, from its ``dt=`` folder names (no job)."""
     days = set()
@@ -72,7 +86,8 @@ def publish_if_valid(batch: DataFrame, suite: Suite, target: str, params: Mappin
                      staging_root: str | None = None, data_dt: dt.date | str | None = None,
                      samples_path: str | None = None) -> PublishReport:
     """Publish the whole batch if the number of failed rules is within the limit."""
-    path, staged = stage_batch(batch, staging_root)
+    obs = Observation("assay_staging")
+    path, staged = stage_batch(batch, staging_root, observation=obs)
     run = run_checkpoint(staged, suite, params, data_dt=data_dt, history_path=history_path)
     days = staged_days(staged)
     if run.stats["failed"] > failures_allowed:
@@ -82,7 +97,7 @@ def publish_if_valid(batch: DataFrame, suite: Suite, target: str, params: Mappin
                 sample.withColumn("run_id", F.lit(run.run_id)).write.mode("append").parquet(samples_path)
         raise CheckpointFailed(run.stats["failed"], failures_allowed, run.run_name)
     _overwrite_days(staged, target)
-    return PublishReport(target, path, days, [], run)
+    return PublishReport(target, path, days, [], run, _observed_rows(obs))
 
 
 def publishable_rows(batch: DataFrame, suite: Suite, begin: str | dt.date, end: str | dt.date,

@@ -62,7 +62,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Raises if the session names none; tests set one with ``ensure_checkpoint_dir``.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        try:  # set through SparkContext.setCheckpointDir (classic sessions only)
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - e.g. a Connect session has no SparkContext
+            root = None
     if not root:
         raise SessionConfigError(
             "no spark.checkpoint.dir set: name a shared folder for staged batches"

@@ -14,7 +14,8 @@ def test_failed_gate_leaves_target_and_writes_results(spark, scratch, source01):
     target, history = os.path.join(scratch, "target"), os.path.join(scratch, "history")
     good = extract_batch(source01, "error", "2024-01-01", "2024-01-04")
     suite = default_suite(good.columns, "2024-01-01", "2024-01-04")
-    publish_if_valid(good, suite, target, failures_allowed=20, history_path=history, data_dt="2024-01-04")
+    report = publish_if_valid(good, suite, target, failures_allowed=20, history_path=history, data_dt="2024-01-04")
+    assert report.rows_staged == 250 and report.run.stats["failed"] == 4
     before = _days(spark, target)
     assert set(before) == {"2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"}
     bad = extract_batch(source01, "view", "2024-01-03", "2024-01-04")  # 7 failed rules

@@ -180,3 +180,10 @@ def test_numeric_rules(spark):
     flags = spark.createDataFrame([(True,), (True,), (False,)], "b boolean")
     r = validate(flags, Suite("b", [Rule(R.MODE_IN_SET, "b", kwargs={"value_set": [True]})])).collect()[0]
     assert r.success and r.observed_value == "true"
+
+
+def test_rule_on_missing_column_fails_early(spark):
+    from assay import SchemaDriftError
+    batch = batch_rows(spark, [good_row()])
+    with pytest.raises(SchemaDriftError):
+        validate(batch, Suite("t", [Rule(R.NOT_NULL, "no_such_column")]))
