@@ -127,7 +127,7 @@ def save_suite(spark: SparkSession, suite: Suite, path: str) -> None:
 
 def load_suite(spark: SparkSession, path: str, name: str) -> Suite:
     """Load a stored suite by name; a missing suite raises ``SuiteNotFound``."""
-    try:
+    try:  # one suite's rows: bounded by its rule count (partition-pruned read)
         rows = (spark.read.schema(SUITE_SCHEMA).parquet(path)
                 .where(F.col("suite_name") == F.lit(name)).orderBy("entry", "position").collect())
     except AnalysisException as exc:
