@@ -95,7 +95,10 @@ def _preaggregated_unexpected(batch: DataFrame, rid: int, rule: R.Rule, values:
                               group_cols: Sequence[str]) -> DataFrame:
     """Unexpected count of an in-set rule against an unbounded set, per group.
 
-    Value counts first (map-side combine), then a join of two duplicate-free sides.
+    Value counts first (map-side combine), then an anti join with the distinct set.
+    Without groups both sides are duplicate-free; with groups a value repeats once
+    per group on the left, which AQE's skew-join splitting handles if one value is
+    in very many groups.
     """
     keys = list(group_cols)
     counts = (batch.where(R.col(rule.column).isNotNull())

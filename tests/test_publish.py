@@ -60,3 +60,19 @@ def test_empty_batch_stages_and_fails_modes(spark, scratch, source01):
     with pytest.raises(CheckpointFailed) as exc:
         publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-04"), target)
     assert exc.value.failed == 4 and not os.path.exists(target)
+
+
+def test_published_table_prunes_by_dt(spark, scratch, source01):
+    import contextlib
+    import io
+    import re
+    target = os.path.join(scratch, "target")
+    batch = extract_batch(source01, "error", "2024-01-01", "2024-01-04")
+    publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-04"), target, failures_allowed=20)
+    day = spark.read.parquet(target).where(F.col("dt") == "2024-01-02")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        day.explain("formatted")
+    part = re.search(r"PartitionFilters: \[(.*)\]", buf.getvalue()).group(1)
+    assert "2024-01-02" in part
+    assert day.count() == batch.where(F.col("dt") == "2024-01-02").count()
