@@ -68,7 +68,8 @@ def process_batch(batch_df: DataFrame, epoch_id: int, *, project: str, staging:
     before = _days_in(spark, incoming)
     flat = flatten(batch_df.where(project_filter(project)))
     epoch_path = f"{incoming}/epoch={int(epoch_id)}"
-    flat.write.mode("overwrite").partitionBy("dt").parquet(epoch_path)
+    # static: a replayed micro-batch replaces its whole epoch folder, whatever the session default
+    flat.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("dt").parquet(epoch_path)
     touched = _days_in(spark, epoch_path)
     todo = days_to_publish(before, touched, lateness_days)
     if not todo:

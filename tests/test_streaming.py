@@ -38,3 +38,15 @@ def test_incremental_runs_publish_closed_days(spark, scratch):
     assert published == expected
     got = spark.read.parquet(target).where(F.col("dt") <= "2024-01-29")
     assert got.count() == batch.where(F.col("dt").isin([d.isoformat() for d in expected])).count()
+
+
+def test_replayed_micro_batch_is_idempotent(spark, scratch):
+    from assay.streaming import process_batch
+    staging, target = os.path.join(scratch, "staging"), os.path.join(scratch, "target")
+    nested = downloads_from_events(read_table(spark, "/root/testdata/sf0.01", "events"))
+    chunk = nested.where(F.to_date("timestamp") <= "2024-01-06")
+    first = process_batch(chunk, 0, project="view", staging=staging, target=target, failures_allowed=20)
+    again = process_batch(chunk, 0, project="view", staging=staging, target=target, failures_allowed=20)
+    assert first == again == [D(d) for d in range(1, 6)]
+    staged = spark.read.parquet(os.path.join(staging, "incoming"))
+    assert staged.count() == extract_batch(nested, "view", "2024-01-01", "2024-01-06").count()
