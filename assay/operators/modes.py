@@ -45,6 +45,12 @@ def mode_lists(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
     """(keys, frequent): per group, the top-k (rule_id, n, value) of every mode rule."""
     keys = list(group_cols)
     vc = value_counts(batch, mode_rules, keys).where(F.col("value").isNotNull())
+    return top_k_lists(vc, keys, sample_size)
+
+
+def top_k_lists(vc: DataFrame, keys: Sequence[str], sample_size: int = R.SAMPLE_SIZE) -> DataFrame:
+    """From non-null value counts (keys, rule_id, value, n): per group the top-k list."""
+    keys = list(keys)
     w = Window.partitionBy(*keys, "rule_id").orderBy(F.col("n").desc(), F.col("value"))
     top = vc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= sample_size)
     agg = F.collect_list(F.struct("rule_id", "n", "value")).alias("frequent")
