@@ -144,24 +144,28 @@ def rule_result_sql(rid: int, r: R.Rule, schema: T.StructType, null_cols: Mappin
                              R.success_sql(f"{nonnull} - {unexp}", nonnull, r.mostly))
 
 
-def _attach(metrics: DataFrame, extras: list[DataFrame], keys: list[str], bounded: bool) -> DataFrame:
-    """Put per-group side tables (one row per group) next to the metrics row of the group.
-
-    Grouped: equi-joins on the group keys, unique on both sides (no skew possible);
-    broadcast only when the number of groups is bounded by the caller (days of a
-    range), otherwise AQE decides from the runtime size.  Not grouped: every table
-    is one row, so they are unioned and folded by a global aggregate - no join.
+def _fold(metrics: DataFrame, extras: list[DataFrame], entries: DataFrame | None,
+          keys: list[str]) -> DataFrame:
+    """One row per group: the metrics row, the side metrics and the mode entries.
+
+    All inputs are unioned and folded by a single aggregate on the group keys
+    (a global aggregate when there are none, which keeps exactly one row even for
+    an empty batch): ``first(ignorenulls)`` for the counts, ``collect_list`` for
+    the mode entries - at most rules x k per group.  No join, one small shuffle.
     """
-    if not extras:
-        return metrics
-    if keys:
-        for extra in extras:
-            metrics = metrics.join(F.broadcast(extra) if bounded else extra, keys, "left")
+    if not extras and entries is None:
         return metrics
+    metric_cols = [c for c in metrics.columns if c not in keys]
     both = metrics
     for extra in extras:
+        metric_cols += [c for c in extra.columns if c not in keys and c not in metric_cols]
         both = both.unionByName(extra, allowMissingColumns=True)
-    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+    if entries is not None:
+        both = both.unionByName(entries, allowMissingColumns=True)
+    aggs = [F.first(c, ignorenulls=True).alias(c) for c in metric_cols]
+    if entries is not None:
+        aggs.append(F.collect_list("entry").alias("frequent"))
+    return both.groupBy(*keys).agg(*aggs) if keys else both.agg(*aggs)
 
 
 def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
@@ -172,13 +176,13 @@ def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
 
     * row-level rules, row and null counts: one fused aggregate (one scan);
     * most-common-value rules: one value count + group-limited top-k (one scan),
-      a list per group broadcast onto that group's metrics row;
+      folded with the group's metrics row by one aggregate;
     * type rules: from the schema.
 
     ``spine`` (a DataFrame of the group keys) makes groups without rows appear
     with zero counts, e.g. a day without data in a backfill.  ``bounded_groups``
     says the caller restricted the batch to a bounded set of groups (the days of a
-    range), so per-group tables may be broadcast.
+    range), so the per-group result may be broadcast onto the spine.
     """
     if not rules:
         return None
@@ -195,10 +199,11 @@ def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
     aggs = [F.expr(e) for e in exprs]
     metrics = joined.groupBy(*keys).agg(*aggs) if keys else joined.agg(*aggs)
     extras = [_preaggregated_unexpected(batch, rid, r, values, keys) for rid, r, values in preagg]
+    entries = None
     if mode_rules:
-        from .modes import mode_lists
-        extras.append(mode_lists(batch, mode_rules, keys, sample_size))
-    metrics = _attach(metrics, extras, keys, bounded_groups)
+        from .modes import mode_entries
+        entries = mode_entries(batch, mode_rules, keys, sample_size)
+    metrics = _fold(metrics, extras, entries, keys)
     if spine is not None:
         metrics = spine.join(F.broadcast(metrics) if bounded_groups else metrics, keys, "left")
     structs = ", ".join(rule_result_sql(rid, r, schema, null_cols) for rid, r in rules)

@@ -8,8 +8,8 @@ Plan (no step gathers an unbounded group into one task):
 2. the ``SAMPLE_SIZE`` most frequent non-null values per (keys, rule), ties by
    value: ``row_number() <= k`` is planned as a per-task group limit before the
    shuffle and a final one after it.
-3. one list per group of keys (at most rules x k entries), broadcast onto the
-   fused metrics row of that group (see ``operators.metrics``).
+3. the entries (at most rules x k per group) are folded together with the fused
+   metrics row of their group by one aggregate (see ``operators.metrics``).
 
 The modes are the list's entries with the top count; because they sort first,
 the list holds the smallest ``k`` of them.  Success = exactly one mode and it is
@@ -40,21 +40,18 @@ def value_counts(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
     return long.groupBy(*group_cols, "rule_id", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def mode_lists(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
-               group_cols: Sequence[str] = (), sample_size: int = R.SAMPLE_SIZE) -> DataFrame:
-    """(keys, frequent): per group, the top-k (rule_id, n, value) of every mode rule."""
+def mode_entries(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
+                 group_cols: Sequence[str] = (), sample_size: int = R.SAMPLE_SIZE) -> DataFrame:
+    """(keys, entry): the top-k (rule_id, n, value) entries of every mode rule, per group.
+
+    At most ``sample_size`` rows per (group, rule); the metrics fold collects them
+    into the group's ``frequent`` list.
+    """
     keys = list(group_cols)
     vc = value_counts(batch, mode_rules, keys).where(F.col("value").isNotNull())
-    return top_k_lists(vc, keys, sample_size)
-
-
-def top_k_lists(vc: DataFrame, keys: Sequence[str], sample_size: int = R.SAMPLE_SIZE) -> DataFrame:
-    """From non-null value counts (keys, rule_id, value, n): per group the top-k list."""
-    keys = list(keys)
     w = Window.partitionBy(*keys, "rule_id").orderBy(F.col("n").desc(), F.col("value"))
     top = vc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= sample_size)
-    agg = F.collect_list(F.struct("rule_id", "n", "value")).alias("frequent")
-    return top.groupBy(*keys).agg(agg) if keys else top.agg(agg)
+    return top.select(*keys, F.struct("rule_id", "n", "value").alias("entry"))
 
 
 def _as_counted(value) -> str:
