@@ -20,6 +20,8 @@ from .plans.checkpoint import (
     CheckpointRun,
     failed_expectations,
     gate_status,
+    read_history,
+    run_summaries,
     run_checkpoint,
     run_stats,
     validate,
@@ -34,5 +36,5 @@ __all__ = [
     "SchemaDriftError", "SessionConfigError", "Suite", "SuiteNotFound", "build_session",
     "default_suite", "extract_batch", "extract_batch_sql", "failed_expectations", "flatten",
     "gate_status", "load_suite", "profile_columns", "publish_by_day", "publish_if_valid",
-    "publishable_rows", "run_checkpoint", "run_daily", "run_stats", "save_suite", "validate", "validate_by_day",
+    "publishable_rows", "read_history", "run_checkpoint", "run_daily", "run_summaries", "run_stats", "save_suite", "validate", "validate_by_day",
 ]

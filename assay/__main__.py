@@ -47,6 +47,8 @@ def main(argv=None) -> int:
                         failures_allowed=args.failures_allowed, end_exclusive=args.end_exclusive,
                         per_day=args.per_day)
     except CheckpointFailed as exc:
+        for failure in exc.failures:  # list the failed rules, then report the gate
+            print(json.dumps({"failed_rule": failure}, default=str))
         print(json.dumps({"status": "failed", "message": str(exc)}))
         return 1
     if isinstance(out, CheckpointRun):

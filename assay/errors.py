@@ -24,10 +24,12 @@ class SuiteNotFound(AssayError, LookupError):
 class CheckpointFailed(AssayError):
     """More rules failed than the gate allows."""
 
-    def __init__(self, failed: int, allowed: int, run_name: str | None = None):
+    def __init__(self, failed: int, allowed: int, run_name: str | None = None,
+                 failures: list[dict] | None = None):
         self.failed = failed
         self.allowed = allowed
         self.run_name = run_name
+        self.failures = failures or []  # the failed rules' result rows, for listing
         where = f" in run {run_name}" if run_name else ""
         super().__init__(
             f"Number of failures ({failed}) exceeds failures allowed ({allowed}){where}."

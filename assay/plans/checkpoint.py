@@ -99,7 +99,8 @@ class CheckpointRun:
         """Raise ``CheckpointFailed`` if more rules failed than allowed."""
         failed = self.stats["failed"]
         if failed > failures_allowed:
-            raise CheckpointFailed(failed, failures_allowed, self.run_name)
+            raise CheckpointFailed(failed, failures_allowed, self.run_name,
+                                   [r.asDict() for r in self.failed_expectations or []])
         return f"Number of failures ({failed}) at or below failures allowed ({failures_allowed})."
 
     def samples(self, k: int = 20) -> DataFrame | None:
@@ -140,3 +141,23 @@ def run_checkpoint(batch: DataFrame, suite: Suite, params: Mapping | None = None
     if history_path:
         run.write_history(history_path)
     return run
+
+
+def read_history(spark, path: str, begin: dt.date | str | None = None, end: dt.date | str | None = None,
+                 suite_name: str | None = None) -> DataFrame:
+    """Stored rule results, optionally for a range of data dates (``data_dt`` folders are pruned)."""
+    df = spark.read.parquet(path)
+    if begin is not None:
+        df = df.where(F.col("data_dt") >= F.lit(P.parse_date(begin).isoformat()).cast("date"))
+    if end is not None:
+        df = df.where(F.col("data_dt") <= F.lit(P.parse_date(end).isoformat()).cast("date"))
+    if suite_name is not None:
+        df = df.where(F.col("suite_name") == F.lit(suite_name))
+    return df
+
+
+def run_summaries(history: DataFrame) -> DataFrame:
+    """One record per run: evaluated / failed / passed and whether every rule passed."""
+    keys = [c for c in ("suite_name", "run_id", "run_name", "run_dt", "data_dt") if c in history.columns]
+    return (run_stats(history, keys)
+            .withColumn("success", F.col("failed") == 0))

@@ -95,7 +95,8 @@ def publish_if_valid(batch: DataFrame, suite: Suite, target: str, params: Mappin
             sample = run.samples()
             if sample is not None:
                 sample.withColumn("run_id", F.lit(run.run_id)).write.mode("append").parquet(samples_path)
-        raise CheckpointFailed(run.stats["failed"], failures_allowed, run.run_name)
+        raise CheckpointFailed(run.stats["failed"], failures_allowed, run.run_name,
+                               [r.asDict() for r in run.failed_expectations or []])
     _overwrite_days(staged, target)
     return PublishReport(target, path, days, [], run, _observed_rows(obs))
 
@@ -146,5 +147,6 @@ def publish_by_day(batch: DataFrame, suite: Suite, target: str, begin: str | dt.
     report = PublishReport(target, path, good, bad)
     if bad and raise_on_failure:
         worst = max(failed_per_day.values())
-        raise CheckpointFailed(worst, failures_allowed, f"days {', '.join(map(str, bad))}")
+        failures = [r.asDict() for r in rows if not r.success and r.dt in set(bad)]
+        raise CheckpointFailed(worst, failures_allowed, f"days {', '.join(map(str, bad))}", failures)
     return report

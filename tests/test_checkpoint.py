@@ -51,6 +51,8 @@ def test_gate(source01):
     with pytest.raises(CheckpointFailed) as exc:
         run.check_results(failures_allowed=0)
     assert exc.value.failed == 4 and "exceeds failures allowed (0)" in str(exc.value)
+    assert {f["column_name"] for f in exc.value.failures} == {"country_code", "installer_name",
+                                                            "installer_version", "pkg_version"}
     assert "at or below" in run.check_results(failures_allowed=4)
     assert run.run_name.endswith("_downloads_batch")
     assert len(run.list_failures()) == 4
@@ -83,3 +85,9 @@ def test_history_written(spark, scratch, source01):
                    data_dt="2024-01-04", history_path=path)
     hist = spark.read.parquet(path)
     assert hist.count() == 20 and {r.data_dt.isoformat() for r in hist.select("data_dt").collect()} == {"2024-01-04"}
+    from assay import read_history, run_summaries
+    run_checkpoint(batch, default_suite(batch.columns, "2024-01-01", "2024-01-04"),
+                   data_dt="2024-01-05", history_path=path)
+    assert read_history(spark, path, "2024-01-05", "2024-01-05").count() == 20
+    runs = run_summaries(read_history(spark, path)).collect()
+    assert len(runs) == 2 and all(r.evaluated == 20 and r.failed == 4 and not r.success for r in runs)

@@ -24,7 +24,9 @@ def test_cli_publish_and_gate(spark, nested, scratch, capsys):
     common = ["--source", nested, "--project", "error", "--begin", "2024-01-01", "--end", "2024-01-04",
               "--target", target, "--history", history, "--samples", samples]
     assert main(common + ["--failures-allowed", "0"]) == 1
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "failed"
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines() if x.startswith("{")]
+    assert lines[-1]["status"] == "failed"
+    assert len([x for x in lines if "failed_rule" in x]) == 4  # failures are listed before the gate reports
     assert not os.path.exists(target)
     assert spark.read.parquet(history).count() == 20 and spark.read.parquet(samples).count() > 0
     assert main(common + ["--failures-allowed", "4"]) == 0
