@@ -102,6 +102,9 @@ WHERE file.project = :project
   AND to_date(timestamp) BETWEEN :begin AND :end
 """
 
+# Added when the source is partitioned by dt, so its folders are pruned too.
+EXTRACT_SQL_DT = "\n  AND dt BETWEEN :begin AND :end\n"
+
 
 def extract_batch_sql(spark: SparkSession, src: DataFrame, project: str,
                       begin: str | dt.date, end: str | dt.date) -> DataFrame:
@@ -110,4 +113,5 @@ def extract_batch_sql(spark: SparkSession, src: DataFrame, project: str,
     b, e = P.date_range(begin, end)
     if isinstance(_ts_type(src), T.TimestampType):
         require_utc(spark)
-    return spark.sql(EXTRACT_SQL, args={"project": project, "begin": b, "end": e}, src=src)
+    query = EXTRACT_SQL.rstrip("\n") + (EXTRACT_SQL_DT if "dt" in src.columns else "\n")
+    return spark.sql(query, args={"project": project, "begin": b, "end": e}, src=src)

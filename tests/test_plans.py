@@ -103,3 +103,12 @@ def test_sql_form_pushes_the_same_filters(spark, nested_path):
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
     assert "EqualTo(file.project,click)" in pushed
     assert "GreaterThanOrEqual(timestamp,2024-01-01T00:00)" in pushed and "LessThan(timestamp,2024-01-05T00:00)" in pushed
+
+
+def test_sql_form_prunes_dt_partitions(spark, nested_by_dt):
+    from assay import extract_batch_sql
+    src = read_downloads(spark, nested_by_dt)
+    batch = extract_batch_sql(spark, src, "view", "2024-01-02", "2024-01-03")
+    part = re.search(r"PartitionFilters: \[(.*)\]", plan_text(batch)).group(1)
+    assert "dt" in part and "2024-01-02" in part
+    assert batch.count() == extract_batch(src, "view", "2024-01-02", "2024-01-03").count()
