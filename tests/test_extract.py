@@ -116,3 +116,15 @@ def test_default_date_column_matches_python(spark):
     from assay.functions.params import default_query_date_col
     got = spark.range(1).select(default_query_date_col().alias("d")).collect()[0].d
     assert got == default_query_date()
+
+
+def test_extract_utc_day_bounds_on_zone_aware_source(spark):
+    src = _src(spark, [
+        (_utc(2023, 1, 1, 23, 30), "US", ("p", "sdist", "1.0.0"), None),
+        (_utc(2023, 1, 2, 0, 30), "US", ("p", "sdist", "1.0.0"), None),
+        (_utc(2023, 1, 2, 23, 59, 59), "US", ("p", "sdist", "1.0.0"), None),
+        (_utc(2023, 1, 3, 0, 0), "US", ("p", "sdist", "1.0.0"), None),
+    ])
+    rows = extract_batch(src, "p", "2023-01-02", "2023-01-02").collect()
+    assert [r.dt for r in rows] == [dt.date(2023, 1, 2)] * 2
+    assert extract_batch_sql(spark, src, "p", "2023-01-02", "2023-01-02").count() == 2
