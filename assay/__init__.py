@@ -28,7 +28,7 @@ from .plans.checkpoint import (
 )
 from .plans.pipeline import run_daily
 from .plans.publish import publish_by_day, publish_if_valid, publishable_rows
-from .plans.suite import Suite, default_suite, load_suite, save_suite
+from .plans.suite import Suite, default_suite, load_suite, save_suite, suite_from_json, suite_to_json
 from .session import build_session
 
 __all__ = [
@@ -36,5 +36,6 @@ __all__ = [
     "SchemaDriftError", "SessionConfigError", "Suite", "SuiteNotFound", "build_session",
     "default_suite", "extract_batch", "extract_batch_sql", "failed_expectations", "flatten",
     "gate_status", "load_suite", "profile_columns", "publish_by_day", "publish_if_valid",
-    "publishable_rows", "read_history", "run_checkpoint", "run_daily", "run_summaries", "run_stats", "save_suite", "validate", "validate_by_day",
+    "publishable_rows", "read_history", "run_checkpoint", "run_daily", "run_summaries", "run_stats",
+    "save_suite", "suite_from_json", "suite_to_json", "validate", "validate_by_day",
 ]

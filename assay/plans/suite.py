@@ -99,6 +99,40 @@ def default_suite(columns: Sequence[str], begin: str | dt.date | None = None,
     return suite
 
 
+def suite_to_json(suite: Suite) -> str:
+    """The suite as a JSON document: name, expectations (type + kwargs), evaluation parameters."""
+    expectations = []
+    for r in suite.rules:
+        kwargs = {"column": r.column, **json.loads(r.kwargs_json())}
+        if r.mostly != 1.0:
+            kwargs["mostly"] = r.mostly
+        expectations.append({"expectation_type": r.kind, "kwargs": kwargs})
+    params = {k: P.to_json_value(v) for k, v in suite.params.items()}
+    return json.dumps({"expectation_suite_name": suite.name, "expectations": expectations,
+                       "evaluation_parameters": params}, indent=1, sort_keys=True)
+
+
+def suite_from_json(text: str, name: str | None = None) -> Suite:
+    """Read a suite document (the JSON the validation library stores, or ``suite_to_json``'s).
+
+    Each expectation needs a supported ``expectation_type`` and a ``column`` kwarg;
+    anything else is an error, so no rule is dropped silently.
+    """
+    doc = json.loads(text)
+    suite = Suite(name or doc.get("expectation_suite_name") or DEFAULT_SUITE_NAME)
+    for e in doc.get("expectations", []):
+        kwargs = dict(e.get("kwargs") or {})
+        column = kwargs.pop("column", None)
+        if column is None:
+            raise P.BadParameter(f"expectation without a column: {e}")
+        mostly = kwargs.pop("mostly", None)
+        kwargs.pop("result_format", None)
+        suite.add(R.Rule(e.get("expectation_type"), column, mostly, kwargs))
+    for k, v in (doc.get("evaluation_parameters") or {}).items():
+        suite.set_param(k, v)
+    return suite
+
+
 SUITE_SCHEMA = T.StructType([
     T.StructField("entry", T.StringType(), False),       # 'rule' | 'param' | 'suite'
     T.StructField("position", T.IntegerType(), False),

@@ -65,3 +65,30 @@ def test_stale_stored_parameters_overridden(spark, scratch, source01):
     between = lambda run: next(r for r in run.rows if r.rule_type == R.BETWEEN)
     assert not between(run_checkpoint(batch, suite)).success  # stored bounds: every row out of range
     assert between(run_checkpoint(batch, suite, timestamp_params("2024-01-02", "2024-01-03"))).success
+
+
+def test_suite_json_round_trip_and_library_document(spark, source01):
+    import json
+
+    from assay import BadParameter, extract_batch, suite_from_json, suite_to_json
+    suite = default_suite(list(BATCH_COLUMNS), "2024-01-01", "2024-01-04")
+    back = suite_from_json(suite_to_json(suite))
+    assert back.name == suite.name and len(back.rules) == 20
+    assert [(r.kind, r.column, r.mostly, r.kwargs_json()) for r in back.rules] == \
+        [(r.kind, r.column, r.mostly, r.kwargs_json()) for r in suite.rules]
+    # a document as the validation library stores it (extra keys such as meta are ignored)
+    doc = {"expectation_suite_name": "stored", "meta": {"version": "x"}, "expectations": [
+        {"expectation_type": R.NOT_NULL, "kwargs": {"column": "country_code"}, "meta": {}},
+        {"expectation_type": R.MATCH_REGEX, "kwargs": {"column": "pkg_version", "mostly": 0.95,
+                                                       "regex": r"^(\d{1}\.\d{1,2}\.\d{1,2}$)"}},
+        {"expectation_type": R.BETWEEN, "kwargs": {"column": "download_time",
+                                                   "min_value": {"$PARAMETER": "min_ts"},
+                                                   "max_value": {"$PARAMETER": "max_ts"}}}],
+        "evaluation_parameters": {"min_ts": "2024-01-01T00:00:00+00:00", "max_ts": "2024-01-04T23:59:59+00:00"}}
+    stored = suite_from_json(json.dumps(doc))
+    batch = extract_batch(source01, "signup", "2024-01-01", "2024-01-04")
+    run = run_checkpoint(batch, stored)
+    assert run.stats == {"evaluated": 3, "failed": 2, "passed": 1}  # country nulls, version regex
+    with pytest.raises(BadParameter):
+        suite_from_json(json.dumps({"expectations": [{"expectation_type": "expect_table_row_count_to_equal",
+                                                      "kwargs": {"value": 3}}]}))
