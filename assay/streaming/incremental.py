@@ -18,6 +18,11 @@ processing-time trigger), and every micro-batch:
 
 The query's progress lives in its checkpoint location (a shared folder), so a
 restarted job resumes from the last committed micro-batch.
+
+Operational limits: the source schema is read from the files already present
+(at least one is needed to start); each micro-batch lists ``incoming`` to find
+the days seen so far, so epochs of published days should be expired by the
+storage's retention policy to keep that listing short.
 """
 
 from __future__ import annotations
