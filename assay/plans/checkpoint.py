@@ -131,8 +131,9 @@ def run_checkpoint(batch: DataFrame, suite: Suite, params: Mapping | None = None
     """Evaluate the suite once and return the run (results are one row per rule)."""
     merged = P.merge_params(suite.params, params)
     run_time = run_time or dt.datetime.now(dt.timezone.utc)
-    # One row per rule: bounded by the suite, never by the data.
-    rows = validate(batch, suite, params, broadcast_limit=broadcast_limit).orderBy("rule_id").collect()
+    # One row per rule: bounded by the suite, never by the data (sorted here, not by a Spark sort).
+    rows = sorted(validate(batch, suite, params, broadcast_limit=broadcast_limit).collect(),
+                  key=lambda r: r.rule_id)
     run = CheckpointRun(
         batch=batch, suite=suite, params=merged, run_id=uuid.uuid4().hex,
         run_name=run_name_for(suite.name, run_time), run_time=run_time,
