@@ -163,9 +163,10 @@ def load_suite(spark: SparkSession, path: str, name: str) -> Suite:
     """Load a stored suite by name; a missing suite raises ``SuiteNotFound``."""
     try:  # one suite's rows: bounded by its rule count (partition-pruned read)
         rows = (spark.read.schema(SUITE_SCHEMA).parquet(path)
-                .where(F.col("suite_name") == F.lit(name)).orderBy("entry", "position").collect())
+                .where(F.col("suite_name") == F.lit(name)).collect())
     except AnalysisException as exc:
         raise SuiteNotFound(f"no suite store at {path}") from exc
+    rows.sort(key=lambda r: (r.entry, r.position))
     if not rows:
         raise SuiteNotFound(f"suite {name!r} is not stored at {path}")
     suite = Suite(name)
