@@ -50,3 +50,23 @@ def test_replayed_micro_batch_is_idempotent(spark, scratch):
     assert first == again == [D(d) for d in range(1, 6)]
     staged = spark.read.parquet(os.path.join(staging, "incoming"))
     assert staged.count() == extract_batch(nested, "view", "2024-01-01", "2024-01-06").count()
+
+
+def test_late_rows_republish_a_closed_day(spark, scratch):
+    src_dir, staging, target, ckpt = (os.path.join(scratch, x) for x in ("src", "staging", "target", "ckpt"))
+    events = read_table(spark, "/root/testdata/sf0.01", "events")
+    nested = downloads_from_events(events)
+    day = F.to_date("timestamp")
+    nested.where(day <= "2024-01-05").write.mode("append").parquet(src_dir)
+    kw = dict(staging=staging, target=target, checkpoint_location=ckpt, failures_allowed=20)
+    start_incremental(spark, src_dir, "view", **kw).awaitTermination()
+    count = lambda d: spark.read.parquet(target).where(F.col("dt") == d).count()
+    before = count("2024-01-03")
+    # late arrivals for 2024-01-03 (new ids, same day) plus the next day's data
+    late = events.where(F.to_date("ts") == "2024-01-03").withColumn("event_id", F.col("event_id") + 1_000_000)
+    downloads_from_events(late).write.mode("append").parquet(src_dir)
+    nested.where(day == "2024-01-06").write.mode("append").parquet(src_dir)
+    start_incremental(spark, src_dir, "view", **kw).awaitTermination()
+    expected_late = extract_batch(downloads_from_events(late), "view", "2024-01-03", "2024-01-03").count()
+    assert expected_late > 0 and count("2024-01-03") == before + expected_late
+    assert count("2024-01-05") > 0  # closed by the day-6 data
