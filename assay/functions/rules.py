@@ -129,7 +129,8 @@ def unexpected_sql(rule: Rule, schema: T.StructType, params: Mapping,
     if rule.kind == IN_SET:
         if in_set_sql is not None:
             return f"CASE WHEN {c} IS NOT NULL THEN NOT ({in_set_sql}) END"
-        values = literal_values(value_set_of(rule))
+        # NULL is outside the rule's domain; a NULL in the list would turn misses into NULL
+        values = [v for v in literal_values(value_set_of(rule)) if v is not None]
         if not values:
             return f"CASE WHEN {c} IS NOT NULL THEN true END"
         return f"NOT ({c} IN ({', '.join(S.value_lit(v) for v in values)}))"

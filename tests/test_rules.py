@@ -187,3 +187,12 @@ def test_rule_on_missing_column_fails_early(spark):
     batch = batch_rows(spark, [good_row()])
     with pytest.raises(SchemaDriftError):
         validate(batch, Suite("t", [Rule(R.NOT_NULL, "no_such_column")]))
+
+
+def test_value_set_with_none(spark):
+    r = _one(spark, Rule(R.IN_SET, "c", 1.0, {"value_set": ["US", None]}), ["US", "DE", None])
+    assert (r.unexpected_count, r.missing_count, r.success) == (1, 1, False)
+    m = _one(spark, Rule(R.MODE_IN_SET, "c", kwargs={"value_set": [None, "US"]}), ["US", "US", None, None, None])
+    assert m.success and m.observed_value == "US"
+    empty = _one(spark, Rule(R.IN_SET, "c", 1.0, {"value_set": [None]}), ["US", None])
+    assert empty.unexpected_count == 1
