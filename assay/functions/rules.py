@@ -138,7 +138,8 @@ def unexpected_sql(rule: Rule, schema: T.StructType, params: Mapping,
         regex = rule.kwargs.get("regex")
         if not regex:
             raise BadParameter(f"regex rule on {rule.column} needs regex")
-        return f"NOT ({c} RLIKE {S.string_lit(regex)})"
+        text = c if isinstance(dtype, T.StringType) else f"CAST({c} AS STRING)"  # values as text
+        return f"NOT ({text} RLIKE {S.string_lit(regex)})"
     raise BadParameter(f"{rule.kind} is not a row-level rule")
 
 

@@ -196,3 +196,9 @@ def test_value_set_with_none(spark):
     assert m.success and m.observed_value == "US"
     empty = _one(spark, Rule(R.IN_SET, "c", 1.0, {"value_set": [None]}), ["US", None])
     assert empty.unexpected_count == 1
+
+
+def test_regex_on_numbers_matches_their_text(spark):
+    df = spark.createDataFrame([(v,) for v in [12, 7, 123, None]], "x int")
+    r = validate(df, Suite("n", [Rule(R.MATCH_REGEX, "x", 1.0, {"regex": r"^\d{1,2}$"})])).collect()[0]
+    assert (r.unexpected_count, r.missing_count) == (1, 1)
