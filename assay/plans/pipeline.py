@@ -51,7 +51,7 @@ def run_daily(source: DataFrame, project: str, begin: str | dt.date | None = Non
     params = P.timestamp_params(begin, end, end_exclusive)
     if target and per_day:
         return publish_by_day(batch, suite, target, begin, end, failures_allowed, params,
-                              history_path, staging_root)
+                              history_path, staging_root, samples_path=samples_path)
     if target:
         return publish_if_valid(batch, suite, target, params, failures_allowed, history_path,
                                 staging_root, data_dt=end, samples_path=samples_path)

@@ -26,6 +26,7 @@ from ..errors import CheckpointFailed
 from ..functions import params as P
 from ..session import checkpoint_root
 from ..operators.metrics import RESULT_SCHEMA
+from ..operators.samples import unexpected_samples
 from .by_day import stats_by_day, validate_by_day
 from .checkpoint import CheckpointRun, run_checkpoint
 from .suite import Suite
@@ -112,11 +113,27 @@ def publishable_rows(batch: DataFrame, suite: Suite, begin: str | dt.date, end:
     return batch.join(good if by else F.broadcast(good), [*by, "dt"], "left_semi")
 
 
+def _write_day_samples(staged: DataFrame, suite: Suite, rows, bad: list[dt.date],
+                       params: Mapping | None, samples_path: str) -> None:
+    """Top-k unexpected values of the failed (day, rule) pairs: one pass over the failing days."""
+    failed_pairs = sorted({(r.dt, r.rule_id) for r in rows if not r.success and r.dt in set(bad)})
+    day_rows = staged.where(F.col("dt").isin([d.isoformat() for d in bad]))
+    run_params = P.merge_params(P.merge_params(suite.params, params), P.day_params("dt"))
+    sample = unexpected_samples(day_rows, suite.numbered(), run_params, group_cols=["dt"])
+    if sample is None:
+        return
+    spark = staged.sparkSession
+    # failed (day, rule) pairs: at most days x rules rows, a bounded broadcast
+    pairs = spark.createDataFrame([(d, i) for d, i in failed_pairs], "dt date, rule_id int")
+    (sample.join(F.broadcast(pairs), ["dt", "rule_id"], "left_semi")
+     .withColumn("suite_name", F.lit(suite.name)).write.mode("append").parquet(samples_path))
+
+
 def publish_by_day(batch: DataFrame, suite: Suite, target: str, begin: str | dt.date, end: str | dt.date,
                    failures_allowed: int = 0, params: Mapping | None = None,
                    history_path: str | None = None, staging_root: str | None = None,
                    raise_on_failure: bool = True, days: list[dt.date] | None = None,
-                   staged: DataFrame | None = None) -> PublishReport:
+                   staged: DataFrame | None = None, samples_path: str | None = None) -> PublishReport:
     """Backfill: validate every day in one pass, publish the days that pass.
 
     Failing days are left as they are in the target; with ``raise_on_failure``
@@ -142,6 +159,8 @@ def publish_by_day(batch: DataFrame, suite: Suite, target: str, begin: str | dt.
         failed_per_day[r.dt] = failed_per_day.get(r.dt, 0) + (0 if r.success else 1)
     good = sorted(d for d, n in failed_per_day.items() if n <= failures_allowed)
     bad = sorted(d for d, n in failed_per_day.items() if n > failures_allowed)
+    if bad and samples_path:
+        _write_day_samples(staged, suite, rows, bad, params, samples_path)
     if good:
         _overwrite_days(staged.where(F.col("dt").isin([d.isoformat() for d in good])), target)
     report = PublishReport(target, path, good, bad)

@@ -45,9 +45,13 @@ def test_publish_by_day(spark, scratch, source01):
     target = os.path.join(scratch, "target")
     batch = extract_batch(source01, "click", "2024-01-01", "2024-01-30")
     suite = default_suite(batch.columns, "2024-01-01", "2024-01-30")
-    with pytest.raises(CheckpointFailed):
+    with pytest.raises(CheckpointFailed) as exc:
         publish_by_day(batch, suite, target, "2024-01-01", "2024-01-30", failures_allowed=4,
-                       history_path=os.path.join(scratch, "history"))
+                       history_path=os.path.join(scratch, "history"), samples_path=os.path.join(scratch, "samples"))
+    samples = spark.read.parquet(os.path.join(scratch, "samples"))
+    failed_pairs = {(f["dt"], f["rule_id"]) for f in exc.value.failures}
+    sampled = {(r.dt, r.rule_id) for r in samples.select("dt", "rule_id").distinct().collect()}
+    assert sampled and sampled <= failed_pairs  # only failed (day, rule) pairs, from row-level rules
     expected = {r.dt.isoformat() for r in publishable_rows(batch, suite, "2024-01-01", "2024-01-30", 4)
                 .select("dt").distinct().collect()}
     assert set(_days(spark, target)) == expected and 0 < len(expected) < 30
