@@ -192,9 +192,13 @@ def q_gate_status(spark, sf_dir):
 
 
 def q_unexpected_samples(spark, sf_dir):
+    """Failure listing: top-20 unexpected values of each project's failed row-level rules."""
     suite = _suite()
-    return unexpected_samples(_all_batches(spark, sf_dir), suite.numbered(), P.merge_params(suite.params, None),
-                              group_cols=PROJECT).withColumnRenamed("rank", "sample_rank")
+    failed = failed_expectations(_project_results(spark, sf_dir)).select(*PROJECT, "rule_id")
+    samples = unexpected_samples(_all_batches(spark, sf_dir), suite.numbered(), P.merge_params(suite.params, None),
+                                 group_cols=PROJECT)
+    # failed (project, rule) pairs: at most projects x rules rows
+    return samples.join(failed, [*PROJECT, "rule_id"], "left_semi").withColumnRenamed("rank", "sample_rank")
 
 
 def q_validate_by_day(spark, sf_dir):
@@ -404,7 +408,8 @@ def _samples_sql() -> str:
             f"ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY project, rule_id ORDER BY n DESC, "
             f"value ASC NULLS FIRST) AS INTEGER) AS sample_rank FROM counts) "
             f"SELECT project, rule_id, CASE rule_id {' '.join(names)} END AS column_name, value, n, sample_rank "
-            f"FROM ranked WHERE sample_rank <= 20")
+            f"FROM ranked k WHERE sample_rank <= 20 AND EXISTS (SELECT 1 FROM ({_suite_sql()}) f "
+            f"WHERE NOT f.success AND f.project = k.project AND f.rule_id = k.rule_id)")
 
 
 def _stats_sql() -> str:
