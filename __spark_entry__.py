@@ -41,6 +41,21 @@ from assay.sources.countries import country_codes, country_dim  # noqa: E402
 from assay.sources.downloads import downloads_from_events  # noqa: E402
 from assay.sources.tables import read_table  # noqa: E402
 
+# The training-data operators are optional: their folders may be absent.  Only their
+# own absence is tolerated, an import that fails inside them is an error.
+try:
+    from assay.llm import registry as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("assay.llm", "assay.llm.registry"):
+        raise
+    _llm = None
+try:
+    import corpus_pipeline as _pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "assay.llm") and not str(missing.name).startswith("assay.llm."):
+        raise
+    _pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 RULE_OUT = ["rule_id", "rule_type", "column_name", "mostly", "element_count", "missing_count",
@@ -243,6 +258,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unexpected_samples": q_unexpected_samples,
         "validate_by_day": q_validate_by_day,
         "publish_if_valid": q_publish_if_valid,
+        **(_llm.QUERIES if _llm else {}),
+        **({"pipeline": _pipeline.run} if _pipeline else {}),
     }
 
 
@@ -418,6 +435,13 @@ def _stats_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    extra = dict(_llm.ORACLE_SQL) if _llm else {}
+    if _pipeline and _pipeline.ORACLE_SQL:
+        extra["pipeline"] = _pipeline.ORACLE_SQL
+    return {**_reference_oracle_sql(), **extra}
+
+
+def _reference_oracle_sql() -> dict[str, str]:
     nested = ["python_version", "installer_name", "installer_version", "distro_name",
               "distro_version", "system_name", "system_version"]
     flat_all = f"SELECT {FLAT} FROM ({DOWNLOADS_SQL}) d"
