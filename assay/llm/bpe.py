@@ -23,6 +23,7 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -193,8 +194,6 @@ def digest_tokens(docs: DataFrame, path: str) -> DataFrame:
 
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``token_ids`` (array<int>) added; a column of that name is replaced."""
-    import pandas as pd
-
     @F.pandas_udf("array<int>")
     def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(vocabulary(path))
@@ -208,8 +207,6 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
 
 def decode_tokens(tokens: DataFrame, path: str) -> DataFrame:
     """``tokens`` with ``decoded`` (string) added, from ``token_ids``; null ids give null."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def texts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocab = vocabulary(path)

@@ -24,6 +24,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ CHUNK, STEP = 512, 448
 EMBED, FILTERS = 8, 24
 SAMPLE_PER_CLASS = 1500
 TRAIN_CHUNKS = 24
-EPOCHS, BATCH, RATE = 8, 64, 0.01
+STEPS, BATCH, RATE = 600, 48, 0.01
 SCORE_CHUNKS = 512      # chunks scored at once
 ACCEPT = 0.7
 
@@ -84,19 +85,18 @@ def fit(chunks: list[np.ndarray], lengths: list[np.ndarray], labels: np.ndarray,
     model["weights"] = rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32)
     first = {k: np.zeros_like(v) for k, v in model.items()}
     second = {k: np.zeros_like(v) for k, v in model.items()}
-    step, steps = 0, EPOCHS * -(-len(labels) // BATCH)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(labels))
-        for at in range(0, len(order), BATCH):
-            some = order[at:at + BATCH]
-            grads = _gradients(model, [chunks[i] for i in some], [lengths[i] for i in some], labels[some], weights[some])
-            step += 1
-            rate = RATE * (1 - (step - 1) / steps)
-            for k, g in grads.items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                model[k] = (model[k] - rate * (first[k] / (1 - 0.9 ** step))
-                            / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+    order = np.zeros(0, np.int64)
+    for step in range(1, STEPS + 1):
+        if not len(order):
+            order = rng.permutation(len(labels))
+        some, order = order[:BATCH], order[BATCH:]
+        grads = _gradients(model, [chunks[i] for i in some], [lengths[i] for i in some], labels[some], weights[some])
+        rate = RATE * (1 - (step - 1) / STEPS)
+        for k, g in grads.items():
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.999 * second[k] + 0.001 * g * g
+            model[k] = (model[k] - rate * (first[k] / (1 - 0.9 ** step))
+                        / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
     return model
 
 
@@ -239,8 +239,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model, accept: float = ACCEPT) -> DataFrame:
     """The rows of ``docs`` with a score of ``accept`` or more, unchanged."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def scores(text: pd.Series) -> pd.Series:
         return pd.Series([x for at in range(0, len(text), 256) for x in score_texts(model, list(text[at:at + 256]))],

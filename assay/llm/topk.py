@@ -107,7 +107,7 @@ def best_of_pack(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, vecs: np.nda
     bounds = np.maximum(q, 0) @ most.T + np.minimum(q, 0) @ least.T
     bounds += np.abs(bounds) * 2.0 ** -40
     order = np.argsort(-bounds, axis=1, kind="stable")
-    no_score = np.iinfo(np.int64).min
+    no_score = np.iinfo(np.int64).min + 1   # can be negated
     exact = float(np.abs(q).max(initial=0)) * float(np.abs(vecs).max(initial=0)) * max(width, 1) < 2 ** 53
     kind = np.int64 if exact else object
     best_score = np.full((len(q), k), no_score, dtype=kind)
