@@ -133,4 +133,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with all their columns."""
     bad = find_overlaps(docs, benchmark).where("contaminated") \
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])
+    return docs.join(bad, same, "left_anti")

@@ -181,20 +181,19 @@ def _kept(text: pd.Series, bitmap: pd.Series) -> pd.Series:
 
 
 def with_kept_text(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with ``kept`` (text after dropping, null where the text is null) and ``n_dropped``."""
-    marks = bitmaps.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-                           F.col("n_dropped").alias("_dropped"), F.col("bitmap").alias("_bitmap"))
-    met = docs.join(marks, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
-    kept = F.when(F.col("_bitmap").isNull(), F.col("text")).otherwise(_kept("text", "_bitmap"))
-    return met.select(*[docs[c] for c in docs.columns], kept.alias("_kept"),
-                      F.coalesce("_dropped", F.lit(0)).alias("_n_dropped"))
+    """``row`` (all columns of ``docs``), ``kept`` (the text after dropping) and ``n_dropped``."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    met = rows.join(bitmaps, (F.col("row.doc_id") == F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_hash")), "left")
+    kept = F.when(F.col("bitmap").isNull(), F.col("row.text")).otherwise(_kept("row.text", "bitmap"))
+    return met.select("row", kept.alias("kept"), F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated lines gone from ``text`` (and ``n_chars``, if there, counted again)."""
     done = with_kept_text(docs, keep_bitmaps(docs))
-    changed = F.col("_n_dropped") > 0
-    columns = {"text": F.when(changed, F.col("_kept")).otherwise(F.col("text"))}
+    changed = F.col("n_dropped") > 0
+    columns = {"text": F.when(changed, F.col("kept")).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(changed, F.length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return done.select(*[columns[c].alias(c) if c in columns else done[c] for c in docs.columns])
+        kind = docs.schema["n_chars"].dataType
+        columns["n_chars"] = F.when(changed, F.length("kept").cast(kind)).otherwise(F.col("row.n_chars"))
+    return done.select(*[columns.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -83,10 +83,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = linededup.with_kept_text(docs, linededup.keep_bitmaps(docs))
-    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    return done.select("doc_id", F.coalesce(lines, F.lit(1)).cast("bigint").alias("n_lines"),
-                       F.col("_n_dropped").cast("bigint").alias("n_dropped"),
-                       F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"))
+    text = F.coalesce("row.text", F.lit(""))
+    return done.select("row.doc_id", (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+                       .cast("bigint").alias("n_lines"),
+                       F.col("n_dropped").cast("bigint").alias("n_dropped"),
+                       F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

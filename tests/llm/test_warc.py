@@ -1,0 +1,125 @@
+import base64
+import hashlib
+import os
+
+import pytest
+
+from assay.llm import warc
+
+from .edge import table
+
+SCHEMA = "page_id long, url string, html string, digest string, keeper long, value string"
+
+
+def pages(*rows):
+    return [(*r, "x", 7, "x") for r in rows]
+
+
+ROWS = pages((1, "http://a/", "<p>same"), (2, "http://b/\r\nX: y", "<p>same"), (3, None, None), (4, "http://d/", ""),
+             (5, "http://é/", "é\U0001f600" * 1000), (6, "u", "WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"),
+             (7, "u", "\x1f\u008b\b not gzip"), (None, "n", "<p>same"), (None, "n", "alone"), (8, "r", "twice"),
+             (8, "r", "twice"), (-9, "m", "x" * 2_000_000))
+
+
+def expected(rows):
+    largest = {}
+    for page_id, _, html, *_ in rows:
+        h = html or ""
+        if page_id is not None:
+            largest[h] = max(largest.get(h, page_id), page_id)
+    out = []
+    for page_id, _, html, *_ in rows:
+        b, keeper = (html or "").encode(), largest.get(html or "")
+        revisit = keeper is not None and keeper != page_id
+        out.append((page_id, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(),
+                    "revisit" if revisit else "response", keeper if revisit else None))
+    return sorted(out, key=str)
+
+
+COLUMNS = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_write_and_read_back(spark, scratch, compressed):
+    path = f"{scratch}/warc"
+    warc.write_archives(table(spark, ROWS, SCHEMA), path, compressed=compressed)
+    found = warc.read_archives(spark, path, gap_log=f"{scratch}/gaps")
+    assert sorted(map(tuple, found.select(*COLUMNS).collect()), key=str) == expected(ROWS)
+    assert spark.read.schema("file string").parquet(f"{scratch}/gaps").count() == 0
+
+
+def test_min_bytes_leaves_small_payloads_alone(spark, scratch):
+    warc.write_archives(table(spark, ROWS, SCHEMA), f"{scratch}/w", min_bytes=100)
+    kinds = [r.record_type for r in warc.read_archives(spark, f"{scratch}/w").collect()]
+    assert set(kinds) == {"response"}
+
+
+def test_empty_table(spark, scratch):
+    warc.write_archives(table(spark, [], SCHEMA), f"{scratch}/w")
+    assert warc.read_archives(spark, f"{scratch}/w").count() == 0
+
+
+def archive(compressed, n=20):
+    records = [warc.encode_record(i, f"http://x/{i}", b"payload %d " % i * 30, None) for i in range(n)]
+    return [warc.encode_member(r) if compressed else r for r in records]
+
+
+def read(data):
+    """Ids and gaps; every byte has to be in a record or a gap."""
+    ids, gaps, covered = [], [], {}
+    for offset, length, found in warc.read_archive(data):
+        covered[offset] = length
+        if isinstance(found, str):
+            gaps.append((offset, length, found))
+        else:
+            ids.append(warc._page(found.headers, "warc-record-id"))
+    end = 0
+    for offset in sorted(covered):
+        assert offset == end
+        end += covered[offset]
+    assert end == len(data)
+    return ids, gaps
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_salvage(compressed):
+    parts = archive(compressed)
+    whole = b"".join(parts)
+    assert read(whole) == (list(range(20)), [])
+    start = [sum(map(len, parts[:i])) for i in range(21)]
+
+    flipped = bytearray(whole)
+    flipped[start[3] + len(parts[3]) // 2] ^= 0x55                    # one byte in record 3
+    ids, gaps = read(bytes(flipped))
+    assert ids == [i for i in range(20) if i != 3] and gaps[0][:2] == (start[3], len(parts[3]))
+
+    ids, gaps = read(whole[:start[5] + 10] + whole[start[6]:])        # record 5 cut short
+    assert ids == [i for i in range(20) if i != 5] and len(gaps) == 1
+
+    ids, gaps = read(whole[:start[19] + 50])                          # the file ends early
+    assert ids == list(range(19)) and gaps[0][0] == start[19]
+
+    junk = os.urandom(5000) + b"\x1f\x8b\x08 junk WARC/1.0\r\n"
+    ids, gaps = read(junk + whole[:start[7]] + junk + whole[start[7]:])
+    assert ids == list(range(20)) and len(gaps) == 2
+    assert read(b"")[0] == []
+
+
+def test_gaps_are_logged(spark, scratch):
+    parts = archive(True)
+    bad = bytearray(b"".join(parts))
+    bad[len(parts[0]) + 40] ^= 0xFF
+    os.makedirs(f"{scratch}/w")
+    with open(f"{scratch}/w/a.warc.gz", "wb") as f:
+        f.write(bad)
+    found = warc.read_archives(spark, f"{scratch}/w", gap_log=f"{scratch}/log", payloads=True)
+    assert sorted(r.page_id for r in found.collect()) == [i for i in range(20) if i != 1]
+    log = spark.read.parquet(f"{scratch}/log").collect()
+    assert [(r.offset, r.length) for r in log] == [(len(parts[0]), len(parts[1]))] and log[0].file.endswith("a.warc.gz")
+    assert found.where("page_id = 2").first().payload == b"payload 2 " * 30
+
+
+def test_long_member_ends_in_zero():
+    big = os.urandom(1 << 24)
+    member = warc.encode_member(warc.encode_record(1, None, big, None))
+    assert member.endswith(b"\0") and read(member + archive(True, 1)[0])[0] == [1, 0]
