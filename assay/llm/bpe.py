@@ -22,7 +22,9 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
@@ -34,8 +36,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 BATCH_PIECES = 50_000
 CACHE_PIECES = 400_000
-TEXT_ROWS = 256     # texts per round
+TEXT_ROWS = 512     # texts per round
 LONG_PIECE = 64     # longer pieces are not kept in the table
+SHIFT, MASK = 20, (1 << 20) - 1     # two token ids in one number
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -57,70 +60,80 @@ class Vocabulary:
         self.byte_id = [0] * 256
         for c, b in to_byte.items():
             self.byte_id[b] = ids[c]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}     # pair, as one number, to rank
+        self.merged: list[int] = []         # rank to the new token
         for rank, pair in enumerate(model["merges"]):
-            a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[ids[a], ids[b]] = rank, ids[a + b]
+            left, right = pair if isinstance(pair, list) else pair.split(" ")
+            self.ranks[ids[left] << SHIFT | ids[right]] = rank
+            self.merged.append(ids[left + right])
+        self.pair_keys = np.sort(np.fromiter(self.ranks, np.int64, len(self.ranks)))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token_bytes |= {i: t.encode() for t, i in self.special.items()}
         marks = sorted(self.special, key=len, reverse=True)
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
         self.pieces = regex.compile(PATTERN)
 
+    def _pairs(self, ids: np.ndarray, last: np.ndarray) -> dict[int, list[int]]:
+        """The index: each mergeable pair to its positions, ascending; ``last`` are the pieces' last positions."""
+        keys = ids[:-1] << SHIFT | ids[1:]
+        keys[last[:-1]] = -1
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        places = np.flatnonzero(self.pair_keys[at] == keys)
+        if not len(places):
+            return {}
+        places = places[np.argsort(keys[places], kind="stable")]
+        found, first = np.unique(keys[places], return_index=True)
+        return {k: p.tolist() for k, p in zip(found.tolist(), np.split(places, first[1:]), strict=True)}
+
     def encode_pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
         """Token ids of each piece, all merged together through one pair occurrence index."""
-        merges, byte_id = self.merges, self.byte_id
-        ids: list[int] = []
-        left: list[int] = []
-        right: list[int] = []
-        first: list[int] = []
-        for piece in pieces:
-            start = len(ids)
-            first.append(start)
-            raw = piece.encode("utf-8")
-            ids.extend(byte_id[b] for b in raw)
-            left.extend(range(start - 1, len(ids) - 1))
-            right.extend(range(start + 1, len(ids) + 1))
-            left[start], right[-1] = -1, -1
-        index: dict[tuple[int, int], list[int]] = {}
-        for i, r in enumerate(right):
-            if r >= 0 and (pair := (ids[i], ids[r])) in merges:
-                index.setdefault(pair, []).append(i)
-        active = [(merges[p][0], p) for p in index]
+        raw = [p.encode("utf-8") for p in pieces]
+        ends = np.cumsum([len(r) for r in raw])
+        flat = np.array(self.byte_id, np.int64)[np.frombuffer(b"".join(raw), np.uint8)]
+        if len(self.pair_keys) and len(flat) > 1:
+            flat = self._merge(flat, ends - 1)
+        alive = flat >= 0
+        ids = flat[alive].tolist()
+        stops = np.cumsum(alive)[ends - 1].tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *stops], stops)]
+
+    def _merge(self, flat: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Applies the active ranks in ascending order; a token merged into its left neighbour becomes -1."""
+        n, ranks, merged = len(flat), self.ranks, self.merged
+        ends = set(last.tolist())
+        index = self._pairs(flat, last)
+        ids, left, right = flat.tolist(), list(range(-1, n - 1)), list(range(1, n + 1))
+        for i in ends:
+            right[i] = -1
+            if i + 1 < n:
+                left[i + 1] = -1
+        active = [(ranks[key], key) for key in index]
         heapq.heapify(active)
         while active:
-            _, pair = heapq.heappop(active)
-            a, b = pair
-            new = merges[pair][1]
-            for i in sorted(index.pop(pair)):
+            rank, key = heapq.heappop(active)
+            a, b, new = key >> SHIFT, key & MASK, merged[rank]
+            for i in sorted(index.pop(key)):
                 j = right[i]
                 if ids[i] != a or j < 0 or ids[j] != b:
                     continue  # an earlier merge has used one of the two
                 ids[i], ids[j] = new, -1
-                k = right[i] = right[j]
-                h = left[i]
-                if k >= 0:
-                    left[k] = i
-                    self._add(index, active, (new, ids[k]), i)
-                if h >= 0:
-                    self._add(index, active, (ids[h], new), h)
-        out = []
-        for i in first:
-            one = []
-            while i >= 0:
-                one.append(ids[i])
-                i = right[i]
-            out.append(tuple(one))
-        return out
-
-    def _add(self, index: dict, active: list, pair: tuple[int, int], at: int) -> None:
-        if (merge := self.merges.get(pair)) is None:
-            return
-        if (places := index.get(pair)) is None:
-            index[pair] = [at]
-            heapq.heappush(active, (merge[0], pair))
-        else:
-            places.append(at)
+                right[i] = after = right[j]
+                before = left[i]
+                if after >= 0:
+                    left[after] = i
+                    if (beside := ranks.get(pair := new << SHIFT | ids[after])) is not None:
+                        if pair in index:
+                            index[pair].append(i)
+                        else:
+                            index[pair] = [i]
+                            heapq.heappush(active, (beside, pair))
+                if before >= 0 and (beside := ranks.get(pair := ids[before] << SHIFT | new)) is not None:
+                    if pair in index:
+                        index[pair].append(before)
+                    else:
+                        index[pair] = [before]
+                        heapq.heappush(active, (beside, pair))
+        return np.array(ids, np.int64)
 
     def split(self, text: str) -> list[str]:
         """Pieces of a text; special tokens are pieces of their own."""
@@ -149,24 +162,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.vocab.split(t) for t in texts]
-        fresh = list({p for pieces in split for p in pieces if p not in self.known})
-        found: dict[str, tuple[int, ...]] = {}
+        known = self.known
+        seen: set[str] = set().union(*split)
+        if len(known) + len(seen) > CACHE_PIECES:   # keep what this round needs
+            known = self.known = {p: known[p] for p in seen if p in known} | {t: (i,) for t, i in self.vocab.special.items()}
+        fresh = [p for p in seen if p not in known]
         for i in range(0, len(fresh), BATCH_PIECES):
             part = fresh[i:i + BATCH_PIECES]
-            found.update(zip(part, self.vocab.encode_pieces(part), strict=True))
-        known = self.known
-        if found:
-            keep = {p: x for p, x in found.items() if len(p) <= LONG_PIECE}
-            if len(known) + len(keep) > CACHE_PIECES:
-                self.known = known = {t: (i,) for t, i in self.vocab.special.items()} | {
-                    p: known[p] for pieces in split for p in pieces if p in known}
-            known.update(keep)
-        out = []
-        for pieces in split:
-            ids: list[int] = []
-            for p in pieces:
-                ids += known[p] if p in known else found[p]
-            out.append(ids)
+            known.update(zip(part, self.vocab.encode_pieces(part), strict=True))
+        out = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
+        for p in fresh:
+            if len(p) > LONG_PIECE:
+                del known[p]
         return out
 
 

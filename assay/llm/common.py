@@ -93,26 +93,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps.  Each step aggregates a minimum
     per node (combined before the shuffle) and joins it back to the edges, both
     sides written first so that a node that holds a third of all edges is split.
-    Stops when a round changes nothing.
+    Done when every node has one parent and a large star changes nothing.
     """
     edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = _fingerprint(edges)
+    state = _state(edges)
     while state[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         edges = cut(_star(both, larger_only=True))      # large star: every larger neighbour to the least neighbour
-        edges = cut(_star(edges, larger_only=False))    # small star: every smaller neighbour too
-        new = _fingerprint(edges)
-        if new == state:
+        new = _state(edges)
+        if new == state and new[0] == new[1]:
             break
-        state = new
+        edges = cut(_star(edges, larger_only=False))    # small star: every smaller neighbour too
+        state = _state(edges)
     members = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return members.union(members.select(F.col("component").alias("node"), "component")).distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _state(edges: DataFrame) -> tuple:
+    """Number of edges, of nodes with a parent, and a hash of the edges."""
+    row = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")) \
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("nodes"), F.sum("h").alias("h")).first()
+    return row["n"] or 0, row["nodes"], row["h"]
 
 
 def _star(edges: DataFrame, larger_only: bool) -> DataFrame:

@@ -12,8 +12,8 @@ of a size class whose linked partners differ in ``e`` shingles at most, the shin
 are dealt over ``e + 1`` blocks, and of two linked sets one block at least is equal.  (Where
 blocks would be smaller than about 7 shingles they are coarser, cut in 3, and an entry is 2
 of the 3, since one difference spares two.)  A set lists itself in the classes of all its
-possible partners' sizes.  The boundary is the one with the lower cost, rows written, summed
-over the sizes of all sets (``choose_boundary``).
+possible partners' sizes.  The boundary is the one with the lowest cost, weighted rows
+written, summed over the sizes of all sets (``choose_boundary``).
 
 An entry's sets are chained to one centre, so a list costs as many rows as it has sets,
 never pairs; entries that meet in one batch are chained before the shuffle.  The chains'
@@ -43,6 +43,7 @@ from .shingles import mix, shingle_sets
 CELL_SETS = 128             # sets on a side of a cell, about
 CELL_SHINGLES = 1 << 16     # shingles on a side of a cell, about
 MOST_SUBSET_SIZE = 64       # boundaries beyond this are hopeless: a set of 64 has millions of subsets
+LIST_WEIGHT = 4             # a list entry against a subset: other sets meet in it too, and have to be compared
 LEVELS = 6                  # how often empty blocks are dealt anew
 
 
@@ -112,7 +113,7 @@ def choose_boundary(rule: Rule, histogram: dict[int, int]) -> int:
     """
     def cost(x: int) -> int:
         low = -(-rule.num * x // rule.den)
-        return sum(count * ((rule.subset_rows(n) if n < x else 0) + (rule.list_rows(n) if n >= low else 0))
+        return sum(count * ((rule.subset_rows(n) if n < x else 0) + (LIST_WEIGHT * rule.list_rows(n) if n >= low else 0))
                    for n, count in histogram.items())
 
     # what lies beyond the largest boundary costs the same for all

@@ -80,7 +80,7 @@ def fit(chunks: list[np.ndarray], lengths: list[np.ndarray], labels: np.ndarray,
         "filters": rng.normal(0, 1 / math.sqrt(8 * EMBED), (4 * EMBED, 2 * FILTERS)).astype(np.float32),
         "bias": np.zeros(FILTERS, np.float32), "weights": np.zeros(2 * FILTERS, np.float32),
         "offset": np.float32(math.log(max(share, 1e-3) / max(1 - share, 1e-3)) if len(labels) else 0.0)}
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return model
     model["weights"] = rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32)
     first = {k: np.zeros_like(v) for k, v in model.items()}

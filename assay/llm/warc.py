@@ -163,53 +163,45 @@ def read_member(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(content), here - len(engine.unused_data) - at
 
 
-def read_plain(data: bytes) -> Iterator[tuple[int, int, Record | str]]:
-    """``(offset, length, record or reason of a gap)`` over a run of plain records."""
-    at, bad, reason = 0, None, ""
-    while at < len(data):
-        try:
-            record = parse_record(data, at)
-        except Damaged as error:
-            if bad is None:
-                bad, reason = at, str(error)
-            nearest = VERSION.search(data, at + 1)
-            at = nearest.start() if nearest else len(data)
-            continue
-        if bad is not None:
-            yield bad, at - bad, reason
-            bad = None
-        yield at, record.length, record
-        at += record.length
-    if bad is not None:
-        yield bad, len(data) - bad, reason
+class _Finder:
+    """The next place of a mark; each stretch of the data is searched once."""
+
+    def __init__(self, data: bytes, pattern: re.Pattern):
+        self.data, self.pattern, self.at = data, pattern, -1
+
+    def after(self, at: int) -> int:
+        if self.at <= at:
+            found = self.pattern.search(self.data, at + 1)
+            self.at = found.start() if found else len(self.data)
+        return self.at
 
 
 def read_archive(data: bytes) -> Iterator[tuple[int, int, Record | str]]:
-    """Records and gaps of a file of gzip members or plain records, damaged or not.
+    """``(offset, length, record or reason of a gap)``: all of a file of gzip members or plain records, damaged or not.
 
-    Offsets are places in the file.  Records of one member share its place.
+    Records of one member share its place.  An empty member holds nothing.
     """
-    if MAGIC not in data or VERSION.match(data):
-        yield from read_plain(data)
-        return
+    members, records = _Finder(data, re.compile(re.escape(MAGIC))), _Finder(data, VERSION)
     at, bad, reason = 0, None, ""
     while at < len(data):
         try:
-            content, length = read_member(data, at)
-            parts = list(read_plain(content))
-            if wrong := next((x for _, _, x in parts if isinstance(x, str)), None):
-                if not any(isinstance(x, Record) for _, _, x in parts):
-                    raise Damaged(wrong)
+            if data.startswith(MAGIC, at):
+                content, length = read_member(data, at)
+                found = [x for _, _, x in read_archive(content)]
+                if found and not any(isinstance(x, Record) for x in found):
+                    raise Damaged(found[0])
+            else:
+                record = parse_record(data, at)
+                length, found = record.length, [record]
         except Damaged as error:
             if bad is None:
                 bad, reason = at, str(error)
-            nearest = data.find(MAGIC, at + 1)
-            at = nearest if nearest >= 0 else len(data)
+            at = min(members.after(at), records.after(at))
             continue
         if bad is not None:
             yield bad, at - bad, reason
             bad = None
-        for _, _, x in parts:
+        for x in found:
             yield at, length, x
         at += length
     if bad is not None:
