@@ -29,7 +29,7 @@ def main(argv=None) -> int:
     ap.add_argument("--suite-store")
     ap.add_argument("--suite-name", default="downloads_batch")
     ap.add_argument("--reuse-suite", action="store_true", help="load the stored suite instead of rebuilding it")
-    ap.add_argument("--target", help="publish the batch here (partitioned by dt) if it passes")
+    ap.add_argument("--target", help="publish the batch here (partitioned by project and dt) if it passes")
     ap.add_argument("--per-day", action="store_true", help="gate and publish each day on its own")
     ap.add_argument("--history")
     ap.add_argument("--samples")

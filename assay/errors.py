@@ -32,5 +32,5 @@ class CheckpointFailed(AssayError):
         self.failures = failures or []  # the failed rules' result rows, for listing
         where = f" in run {run_name}" if run_name else ""
         super().__init__(
-            f"Number of failures ({failed}) exceeds failures allowed ({allowed}){where}."
+            f"gate closed{where}: {failed} rules failed, the limit is {allowed}"
         )

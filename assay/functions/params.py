@@ -11,7 +11,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..errors import BadParameter
 
@@ -114,32 +113,6 @@ def _to_utc_naive(value) -> dt.datetime:
     return value
 
 
-def typed_literal(value, dtype: T.DataType) -> Column:
-    """A literal of the column's own type (timestamp, timestamp_ntz, date, number, string).
-
-    Timestamps are given to Spark as text with an explicit UTC offset, so no
-    Python-side local zone is involved; for ``timestamp_ntz`` the UTC wall-clock
-    is kept.  A Column value (per-row bound) is cast to the type.
-    """
-    from .sqltext import SqlExpr
-    if isinstance(value, SqlExpr):
-        return F.expr(str(value)).cast(dtype)
-    if isinstance(value, Column):
-        return value.cast(dtype)
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        naive = _to_utc_naive(value).isoformat(sep=" ", timespec="microseconds")
-        if isinstance(dtype, T.TimestampType):
-            return F.lit(naive + "+00:00").cast(dtype)
-        return F.lit(naive).cast(dtype)
-    if isinstance(dtype, T.DateType):
-        if isinstance(value, dt.datetime):
-            value = value.date()
-        return F.lit(parse_date(value).isoformat()).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
 def to_json_value(value):
     """Parameters as JSON-safe values (instants as ISO text with offset)."""
     if isinstance(value, dt.datetime):

@@ -40,9 +40,6 @@ MATCH_REGEX = "expect_column_values_to_match_regex"
 ROW_KINDS = (NOT_NULL, BETWEEN, IN_SET, MATCH_REGEX)
 ALL_KINDS = ROW_KINDS + (OF_TYPE, MODE_IN_SET)
 
-# Maximum number of unexpected values (or tied modes) reported per rule.
-SAMPLE_SIZE = 20
-
 
 @dataclasses.dataclass
 class Rule:
@@ -103,13 +100,17 @@ def literal_values(values) -> list:
     return sorted(set(values), key=lambda v: (v is None, str(v)))
 
 
-def unexpected_sql(rule: Rule, schema: T.StructType, params: Mapping,
-                   in_set_sql: str | None = None) -> str:
+def in_set_sql(column: str, values) -> str:
+    """TRUE / FALSE for a non-null column value; members are compared by type, not as text."""
+    members = [v for v in literal_values(values) if v is not None]  # NULL is outside the rule's domain
+    return f"{column} IN ({', '.join(S.value_lit(v) for v in members)})" if members else "false"
+
+
+def unexpected_sql(rule: Rule, schema: T.StructType, params: Mapping) -> str:
     """SQL boolean expression: TRUE where the row breaks a row-level rule.
 
     For between / in set / regex a NULL value gives NULL (neither expected nor
     unexpected), so ``count_if`` skips it: that is the "nulls excluded" rule.
-    ``in_set_sql`` replaces the literal ``IN`` list when the set is a joined dimension.
     """
     c = S.ident(rule.column)
     dtype = column_type(schema, rule.column)
@@ -122,18 +123,12 @@ def unexpected_sql(rule: Rule, schema: T.StructType, params: Mapping,
             raise BadParameter(f"between rule on {rule.column} needs min_value or max_value")
         ok = []
         if lo is not None:
-            ok.append(f"{c} {'>' if rule.kwargs.get('strict_min') else '>='} {S.typed_lit(lo, dtype)}")
+            ok.append(S.compare_sql(c, ">" if rule.kwargs.get("strict_min") else ">=", lo, dtype))
         if hi is not None:
-            ok.append(f"{c} {'<' if rule.kwargs.get('strict_max') else '<='} {S.typed_lit(hi, dtype)}")
+            ok.append(S.compare_sql(c, "<" if rule.kwargs.get("strict_max") else "<=", hi, dtype))
         return f"NOT ({' AND '.join(ok)})"
     if rule.kind == IN_SET:
-        if in_set_sql is not None:
-            return f"CASE WHEN {c} IS NOT NULL THEN NOT ({in_set_sql}) END"
-        # NULL is outside the rule's domain; a NULL in the list would turn misses into NULL
-        values = [v for v in literal_values(value_set_of(rule)) if v is not None]
-        if not values:
-            return f"CASE WHEN {c} IS NOT NULL THEN true END"
-        return f"NOT ({c} IN ({', '.join(S.value_lit(v) for v in values)}))"
+        return f"CASE WHEN {c} IS NOT NULL THEN NOT ({in_set_sql(c, value_set_of(rule))}) END"
     if rule.kind == MATCH_REGEX:
         regex = rule.kwargs.get("regex")
         if not regex:
@@ -143,11 +138,6 @@ def unexpected_sql(rule: Rule, schema: T.StructType, params: Mapping,
     raise BadParameter(f"{rule.kind} is not a row-level rule")
 
 
-def unexpected(rule: Rule, schema: T.StructType, params: Mapping, in_set_sql: str | None = None) -> Column:
-    """Column form of ``unexpected_sql``."""
-    return F.expr(unexpected_sql(rule, schema, params, in_set_sql))
-
-
 def type_success(rule: Rule, schema: T.StructType) -> tuple[bool, str]:
     dtype = column_type(schema, rule.column)
     type_name = rule.kwargs.get("type_")

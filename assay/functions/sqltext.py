@@ -8,6 +8,7 @@ which keeps planning a 20-rule suite in milliseconds.  The plans are the same.
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import math
 
 from pyspark.sql import types as T
@@ -67,12 +68,35 @@ def typed_lit(value, dtype: T.DataType) -> str:
     return f"CAST({string_lit(value)} AS {dtype.simpleString()})"
 
 
+def compare_sql(column: str, op: str, value, dtype: T.DataType) -> str:
+    """``column op value`` compared in the wider type: a bound is never narrowed to the column's type.
+
+    Whole-number columns meet fractions as exact decimals, dates meet instants as
+    instants (a date is its first moment).
+    """
+    if not isinstance(value, SqlExpr) and value is not None:
+        if isinstance(dtype, T.DateType) and _has_time(value):
+            return f"CAST({column} AS TIMESTAMP_NTZ) {op} {typed_lit(value, T.TimestampNTZType())}"
+        if isinstance(dtype, (T.IntegralType, T.DecimalType)) and not isinstance(value, bool):
+            if isinstance(value, float) and (math.isnan(value) or math.isinf(value)):
+                raise BadParameter(f"non-finite number in a rule: {value}")
+            if isinstance(value, (int, float, decimal.Decimal)):
+                return f"{column} {op} {format(decimal.Decimal(str(value)), 'f')}BD"
+    return f"{column} {op} {typed_lit(value, dtype)}"
+
+
+def _has_time(value) -> bool:
+    return isinstance(value, dt.datetime) or isinstance(value, str) and len(value) > 10
+
+
 def value_lit(value) -> str:
     """Literal of a value-set member (strings, numbers, booleans)."""
     if isinstance(value, str):
         return string_lit(value)
     if isinstance(value, (int, float)):
         return number_lit(value)
+    if isinstance(value, decimal.Decimal):
+        return f"{format(value, 'f')}BD"
     if isinstance(value, dt.datetime):
         return typed_lit(value, T.TimestampNTZType())
     if isinstance(value, dt.date):

@@ -16,15 +16,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import params as P
+from ..functions import sqltext as S
 from ..session import require_utc
 from ..sources.downloads import check_source_schema
 
-# Flat batch schema: (column, source expression).  Order is the batch's column order.
-BATCH_COLUMNS = (
-    "download_time", "country_code", "file_type", "pkg_version", "python_version",
-    "installer_name", "installer_version", "distro_name", "distro_version",
-    "system_name", "system_version", "dt",
-)
+# Fixed values (must equal the reference's select list): batch column -> source expression, in order.
+BATCH_FIELDS = {
+    "download_time": "timestamp",
+    "country_code": "country_code",
+    "file_type": "file.type",
+    "pkg_version": "file.version",
+    "python_version": "coalesce(details.python, details.implementation.version)",
+    "installer_name": "details.installer.name",
+    "installer_version": "details.installer.version",
+    "distro_name": "details.distro.name",
+    "distro_version": "details.distro.version",
+    "system_name": "details.system.name",
+    "system_version": "details.system.release",
+    "dt": "to_date(timestamp)",
+}
+BATCH_COLUMNS = tuple(BATCH_FIELDS)
+_SELECT_LIST = [f"{path} AS {name}" for name, path in BATCH_FIELDS.items()]
 
 
 def _ts_type(src: DataFrame) -> T.DataType:
@@ -39,21 +51,7 @@ def flatten(src: DataFrame, *extra: Column) -> DataFrame:
     """
     if isinstance(_ts_type(src), T.TimestampType):
         require_utc(src.sparkSession)
-    return src.select(
-        F.col("timestamp").alias("download_time"),
-        F.col("country_code"),
-        F.col("file.type").alias("file_type"),
-        F.col("file.version").alias("pkg_version"),
-        F.coalesce(F.col("details.python"), F.col("details.implementation.version")).alias("python_version"),
-        F.col("details.installer.name").alias("installer_name"),
-        F.col("details.installer.version").alias("installer_version"),
-        F.col("details.distro.name").alias("distro_name"),
-        F.col("details.distro.version").alias("distro_version"),
-        F.col("details.system.name").alias("system_name"),
-        F.col("details.system.release").alias("system_version"),
-        F.to_date(F.col("timestamp")).alias("dt"),
-        *extra,
-    )
+    return src.select(*[F.expr(x) for x in _SELECT_LIST], *extra)
 
 
 def project_filter(project: str) -> Column:
@@ -69,8 +67,8 @@ def date_filter(src: DataFrame, begin: str | dt.date, end: str | dt.date) -> Col
     ts_type = _ts_type(src)
     if isinstance(ts_type, T.TimestampType):
         require_utc(src.sparkSession)
-    lo = P.typed_literal(dt.datetime.combine(b, dt.time()), ts_type)
-    hi = P.typed_literal(dt.datetime.combine(e + P.ONE_DAY, dt.time()), ts_type)
+    lo = F.expr(S.typed_lit(dt.datetime.combine(b, dt.time()), ts_type))
+    hi = F.expr(S.typed_lit(dt.datetime.combine(e + P.ONE_DAY, dt.time()), ts_type))
     cond = (F.col("timestamp") >= lo) & (F.col("timestamp") < hi)
     if "dt" in src.columns:  # partitioned source: prune dt folders too
         cond = cond & F.col("dt").between(F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date"))
@@ -83,21 +81,9 @@ def extract_batch(src: DataFrame, project: str, begin: str | dt.date, end: str |
     return flatten(src.where(project_filter(project) & date_filter(src, begin, end)))
 
 
-EXTRACT_SQL = """
-SELECT
-  timestamp AS download_time,
-  country_code,
-  file.type AS file_type,
-  file.version AS pkg_version,
-  coalesce(details.python, details.implementation.version) AS python_version,
-  details.installer.name AS installer_name,
-  details.installer.version AS installer_version,
-  details.distro.name AS distro_name,
-  details.distro.version AS distro_version,
-  details.system.name AS system_name,
-  details.system.release AS system_version,
-  to_date(timestamp) AS dt
-FROM {src}
+EXTRACT_SQL = f"""
+SELECT {", ".join(_SELECT_LIST)}
+FROM {{src}}
 WHERE file.project = :project
   AND to_date(timestamp) BETWEEN :begin AND :end
 """

@@ -5,18 +5,17 @@ All not-null / between / in-set / regex counts (and the row count) are
 per-day runs): one scan, a partial aggregate per task, one tiny final row per
 group.  The wide metrics row is then turned into one result row per rule.
 
-A value set given as a DataFrame is joined, not inlined: if its row count is
-within ``broadcast_limit`` it is broadcast (map-side hash join inside the same
-scan); otherwise the column's values are counted first (partial aggregation
-collapses hot values before the shuffle) and the distinct values are joined to
-the distinct set, so no key can be skewed.
+A value set given as a DataFrame is never inlined: the column's values are
+counted first (partial aggregation collapses hot values before the shuffle) and
+the counts are anti-joined to the distinct set; Spark broadcasts the set if its
+size in bytes allows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,20 +32,19 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("unexpected_count", T.LongType(), True),
     T.StructField("unexpected_percent", T.DoubleType(), True),
     T.StructField("observed_value", T.StringType(), True),
+    T.StructField("n_modes", T.LongType(), True),
     T.StructField("success", T.BooleanType(), True),
 ])
 RESULT_COLUMNS = tuple(RESULT_SCHEMA.fieldNames())
 
-# Value sets (as DataFrames) up to this many rows are broadcast.
-DEFAULT_BROADCAST_LIMIT = 1_000_000
-
 NULL_LONG = "CAST(NULL AS BIGINT)"
 NULL_DOUBLE = "CAST(NULL AS DOUBLE)"
 NULL_STRING = "CAST(NULL AS STRING)"
 
 
 def result_struct_sql(rule_id: int, rule: R.Rule, element_count: str, missing_count: str,
-                      unexpected_count: str, unexpected_percent: str, observed: str, success: str) -> str:
+                      unexpected_count: str, unexpected_percent: str, observed: str, success: str,
+                      n_modes: str = NULL_LONG) -> str:
     """``named_struct`` of one result row (field order = ``RESULT_SCHEMA``)."""
     return (
         f"named_struct('rule_id', CAST({int(rule_id)} AS INT), "
@@ -58,6 +56,7 @@ def result_struct_sql(rule_id: int, rule: R.Rule, element_count: str, missing_co
         f"'unexpected_count', CAST(({unexpected_count}) AS BIGINT), "
         f"'unexpected_percent', CAST(({unexpected_percent}) AS DOUBLE), "
         f"'observed_value', CAST(({observed}) AS STRING), "
+        f"'n_modes', CAST(({n_modes}) AS BIGINT), "
         f"'success', ({success}))"
     )
 
@@ -72,54 +71,37 @@ def _dim_values(dim: DataFrame) -> DataFrame:
     return dim.select(R.col(first).alias("__v")).where(F.col("__v").isNotNull()).distinct()
 
 
-def _join_value_sets(batch: DataFrame, row_rules, broadcast_limit):
-    """Attach broadcast membership markers; collect the unbounded sets for pre-aggregation."""
-    in_set_sql: dict[int, str] = {}
-    preagg: list[tuple[int, R.Rule, DataFrame]] = []
-    for rid, rule in row_rules:
-        if rule.kind != R.IN_SET or not isinstance(rule.kwargs.get("value_set"), DataFrame):
-            continue
-        values = _dim_values(rule.kwargs["value_set"])
-        n_values = values.count()  # size check before any broadcast
-        if n_values <= broadcast_limit:
-            marker = f"__in_{rid}"
-            right = values.select(F.col("__v").alias(f"__k_{rid}"), F.lit(True).alias(marker))
-            batch = batch.join(F.broadcast(right), R.col(rule.column) == F.col(f"__k_{rid}"), "left")
-            in_set_sql[rid] = f"{marker} IS NOT NULL"
-        else:
-            preagg.append((rid, rule, values))
-    return batch, in_set_sql, preagg
-
-
-def _preaggregated_unexpected(batch: DataFrame, rid: int, rule: R.Rule, values: DataFrame,
-                              group_cols: Sequence[str]) -> DataFrame:
-    """Unexpected count of an in-set rule against an unbounded set, per group.
+def has_value_table(rule: R.Rule) -> bool:
+    return rule.kind == R.IN_SET and isinstance(rule.kwargs.get("value_set"), DataFrame)
+
+
+def outside_value_table(batch: DataFrame, rule: R.Rule, group_cols: Sequence[str]) -> DataFrame:
+    """(keys, __v, n): counts of the non-null values that are not in a rule's value table.
 
     Value counts first (map-side combine), then an anti join with the distinct set.
-    Without groups both sides are duplicate-free; with groups a value repeats once
-    per group on the left, which AQE's skew-join splitting handles if one value is
-    in very many groups.
+    With groups a value repeats once per group on the left, which AQE's skew-join
+    splitting handles if one value is in very many groups.
     """
-    keys = list(group_cols)
     counts = (batch.where(R.col(rule.column).isNotNull())
-              .groupBy(*keys, R.col(rule.column).alias("__v")).agg(F.count(F.lit(1)).alias("__n")))
-    missing = counts.join(values, "__v", "left_anti")
-    agg = F.sum("__n").alias(f"m_unexp_{rid}")
-    return missing.groupBy(*keys).agg(agg) if keys else missing.agg(agg)
+              .groupBy(*group_cols, R.col(rule.column).alias("__v")).agg(F.count(F.lit(1)).alias("n")))
+    return counts.join(_dim_values(rule.kwargs["value_set"]), "__v", "left_anti")
+
+
+def _table_unexpected(batch: DataFrame, rid: int, rule: R.Rule, group_cols: Sequence[str]) -> DataFrame:
+    """Unexpected count of an in-set rule with a value table, per group."""
+    return outside_value_table(batch, rule, group_cols).groupBy(*group_cols).agg(F.sum("n").alias(f"m_unexp_{rid}"))
 
 
-def metric_sql(rules: Sequence[tuple[int, R.Rule]], schema: T.StructType, params: Mapping,
-               in_set_sql: Mapping[int, str] | None = None, skip: set[int] = frozenset()):
+def metric_sql(rules: Sequence[tuple[int, R.Rule]], schema: T.StructType, params: Mapping):
     """(aggregate expressions, null-count column per rule column) for the fused aggregate."""
-    in_set_sql = in_set_sql or {}
     null_cols: dict[str, str] = {}
     for _, r in rules:
         null_cols.setdefault(r.column, f"m_null_{len(null_cols)}")
     exprs = ["count(1) AS m_n"]
     exprs += [f"count_if({S.ident(c)} IS NULL) AS {m}" for c, m in null_cols.items()]
     for rid, r in rules:
-        if r.kind in (R.BETWEEN, R.IN_SET, R.MATCH_REGEX) and rid not in skip:
-            exprs.append(f"count_if({R.unexpected_sql(r, schema, params, in_set_sql.get(rid))}) AS m_unexp_{rid}")
+        if r.kind in (R.BETWEEN, R.IN_SET, R.MATCH_REGEX) and not has_value_table(r):
+            exprs.append(f"count_if({R.unexpected_sql(r, schema, params)}) AS m_unexp_{rid}")
     return exprs, null_cols
 
 
@@ -133,8 +115,8 @@ def rule_result_sql(rid: int, r: R.Rule, schema: T.StructType, null_cols: Mappin
     nulls = _m(null_cols[r.column])
     if r.kind == R.MODE_IN_SET:
         from .modes import mode_result_parts
-        observed, success = mode_result_parts(rid, r)
-        return result_struct_sql(rid, r, n, nulls, NULL_LONG, NULL_DOUBLE, observed, success)
+        observed, n_modes, success = mode_result_parts(rid)
+        return result_struct_sql(rid, r, n, nulls, NULL_LONG, NULL_DOUBLE, observed, success, n_modes)
     if r.kind == R.NOT_NULL:
         return result_struct_sql(rid, r, n, nulls, nulls, R.percent_sql(nulls, n), NULL_STRING,
                                  R.success_sql(f"{n} - {nulls}", n, r.mostly))
@@ -151,7 +133,8 @@ def _fold(metrics: DataFrame, extras: list[DataFrame], entries: DataFrame | None
     All inputs are unioned and folded by a single aggregate on the group keys
     (a global aggregate when there are none, which keeps exactly one row even for
     an empty batch): ``first(ignorenulls)`` for the counts, ``collect_list`` for
-    the mode entries - at most rules x k per group.  No join, one small shuffle.
+    the mode entries - one per rule and group.  No join, one small shuffle; groups
+    with NULL keys are groups like any other.
     """
     if not extras and entries is None:
         return metrics
@@ -168,21 +151,31 @@ def _fold(metrics: DataFrame, extras: list[DataFrame], entries: DataFrame | None
     return both.groupBy(*keys).agg(*aggs) if keys else both.agg(*aggs)
 
 
+def fill_days(metrics: DataFrame, by: Sequence[str], day: str, days: Column) -> DataFrame:
+    """One row per ``by`` group and day of ``days`` (an array), plus the group's row of no day, if it has one.
+
+    The groups come from the metrics themselves: a group's rows (at most one per
+    day) are listed, and the days are exploded from the list.  No join, no scan.
+    """
+    names = [c for c in metrics.columns if c not in (*by, day)]
+    listed = metrics.groupBy(*by).agg(F.collect_list(F.struct(day, *names)).alias("__rows"))
+    no_day = F.transform(F.filter("__rows", lambda r: r[day].isNull()), lambda r: r[day])
+    per_day = listed.select(*by, "__rows", F.explode_outer(F.concat(days, no_day)).alias(day))
+    mine = F.get(F.filter("__rows", lambda r: r[day].eqNullSafe(R.col(day))), F.lit(0))
+    return per_day.withColumn("__row", mine).select(*by, day, *[F.col("__row")[c].alias(c) for c in names])
+
+
 def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
-                  group_cols: Sequence[str] = (), spine: DataFrame | None = None,
-                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                  sample_size: int = R.SAMPLE_SIZE, bounded_groups: bool = False) -> DataFrame | None:
+                  group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None) -> DataFrame | None:
     """One result row per (group, rule) of a whole suite, as ONE plan.
 
     * row-level rules, row and null counts: one fused aggregate (one scan);
-    * most-common-value rules: one value count + group-limited top-k (one scan),
-      folded with the group's metrics row by one aggregate;
+    * most-common-value rules: one value count (one scan), folded with the group's
+      metrics row by one aggregate;
     * type rules: from the schema.
 
-    ``spine`` (a DataFrame of the group keys) makes groups without rows appear
-    with zero counts, e.g. a day without data in a backfill.  ``bounded_groups``
-    says the caller restricted the batch to a bounded set of groups (the days of a
-    range), so the per-group result may be broadcast onto the spine.
+    ``days`` = (name of the day key, array of days) makes days without rows appear
+    with zero counts (``fill_days``).
     """
     if not rules:
         return None
@@ -193,26 +186,16 @@ def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
     row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS]
     mode_rules = [(i, r) for i, r in rules if r.kind == R.MODE_IN_SET]
 
-    joined, in_set_sql, preagg = _join_value_sets(batch, row_rules, broadcast_limit)
-    exprs, null_cols = metric_sql(row_rules + mode_rules, schema, params, in_set_sql,
-                                  {rid for rid, _, _ in preagg})
-    aggs = [F.expr(e) for e in exprs]
-    metrics = joined.groupBy(*keys).agg(*aggs) if keys else joined.agg(*aggs)
-    extras = [_preaggregated_unexpected(batch, rid, r, values, keys) for rid, r, values in preagg]
+    exprs, null_cols = metric_sql(row_rules + mode_rules, schema, params)
+    metrics = batch.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
+    extras = [_table_unexpected(batch, rid, r, keys) for rid, r in row_rules if has_value_table(r)]
     entries = None
     if mode_rules:
         from .modes import mode_entries
-        entries = mode_entries(batch, mode_rules, keys, sample_size)
+        entries = mode_entries(batch, mode_rules, keys)
     metrics = _fold(metrics, extras, entries, keys)
-    if spine is not None:
-        metrics = spine.join(F.broadcast(metrics) if bounded_groups else metrics, keys, "left")
+    if days is not None:
+        day, array = days
+        metrics = fill_days(metrics, [k for k in keys if k != day], day, array)
     structs = ", ".join(rule_result_sql(rid, r, schema, null_cols) for rid, r in rules)
     return metrics.selectExpr(*[S.ident(k) for k in keys], f"inline(array({structs}))")
-
-
-def fused_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
-                  group_cols: Sequence[str] = (), spine: DataFrame | None = None,
-                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, bounded_groups: bool = False) -> DataFrame | None:
-    """Results of the row-level and type rules only (one aggregate, one scan)."""
-    rules = [(i, r) for i, r in rules if r.kind != R.MODE_IN_SET]
-    return suite_results(batch, rules, params, group_cols, spine, broadcast_limit, bounded_groups=bounded_groups)

@@ -2,27 +2,25 @@
 
 Plan (no step gathers an unbounded group into one task):
 
-1. ``inline`` one (rule, value) row per row and mode rule, then
+1. ``inline`` one (rule, value, in_set) row per row and mode rule, then
    ``groupBy(keys, rule, value).count()`` - partial aggregation per task shrinks
-   even a value that holds a third of all rows to one row per task.
-2. the ``SAMPLE_SIZE`` most frequent non-null values per (keys, rule), ties by
-   value: ``row_number() <= k`` is planned as a per-task group limit before the
-   shuffle and a final one after it.
-3. the entries (at most rules x k per group) are folded together with the fused
-   metrics row of their group by one aggregate (see ``operators.metrics``).
-
-The modes are the list's entries with the top count; because they sort first,
-the list holds the smallest ``k`` of them.  Success = exactly one mode and it is
-in the set, which the head of the list decides (a second entry with the top
-count means a tie).  Totals and null counts come from the fused aggregate.
+   even a value that holds a third of all rows to one row per task.  Membership
+   is decided on the typed value, before it becomes text.
+2. per (keys, rule, count): how many values have that count, the smallest of
+   them, how many are in the set; then the row of the largest count per
+   (keys, rule).  Both are plain aggregates, however many values tie.
+3. that one entry per (keys, rule) is folded together with the fused metrics row
+   of its group by one aggregate (see ``operators.metrics``).
+
+Success = exactly one mode (``n_modes``) and it is in the set.  ``observed_value``
+is the mode, or the smallest of ``n_modes`` tied ones; ``tied_modes`` lists them all.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -31,54 +29,50 @@ from ..functions import sqltext as S
 
 def value_counts(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
                  group_cols: Sequence[str] = ()) -> DataFrame:
-    """(keys, rule_id, value, n) for every mode rule's column; one scan, one shuffle."""
+    """(keys, rule_id, value, in_set, n) of the non-null values of every mode rule's column; one scan, one shuffle."""
     keys = [S.ident(k) for k in group_cols]
     pairs = ", ".join(
-        f"named_struct('rule_id', CAST({int(rid)} AS INT), 'value', CAST({S.ident(rule.column)} AS STRING))"
+        f"named_struct('rule_id', CAST({int(rid)} AS INT), 'value', CAST({S.ident(rule.column)} AS STRING), "
+        f"'in_set', {R.in_set_sql(S.ident(rule.column), R.value_set_of(rule))})"
         for rid, rule in mode_rules)
-    long = batch.selectExpr(*keys, f"inline(array({pairs}))")
-    return long.groupBy(*group_cols, "rule_id", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = batch.selectExpr(*keys, f"inline(array({pairs}))").where("value IS NOT NULL")
+    return long.groupBy(*group_cols, "rule_id", "value", "in_set").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mode_entries(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
-                 group_cols: Sequence[str] = (), sample_size: int = R.SAMPLE_SIZE) -> DataFrame:
-    """(keys, entry): the top-k (rule_id, n, value) entries of every mode rule, per group.
-
-    At most ``sample_size`` rows per (group, rule); the metrics fold collects them
-    into the group's ``frequent`` list.
-    """
+                 group_cols: Sequence[str] = ()) -> DataFrame:
+    """(keys, entry): one struct (rule_id, n, n_modes, value, n_in) per (group, rule) with values."""
     keys = list(group_cols)
-    vc = value_counts(batch, mode_rules, keys).where(F.col("value").isNotNull())
-    w = Window.partitionBy(*keys, "rule_id").orderBy(F.col("n").desc(), F.col("value"))
-    top = vc.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= sample_size)
-    return top.select(*keys, F.struct("rule_id", "n", "value").alias("entry"))
-
-
-def _as_counted(value) -> str:
-    """A set member in the string form its column's values are counted in."""
-    if isinstance(value, bool):
-        return "true" if value else "false"
-    if isinstance(value, dt.datetime):
-        return value.isoformat(sep=" ")
-    return str(value)
-
-
-def mode_result_parts(rid: int, rule: R.Rule) -> tuple[str, str]:
-    """(observed modes, success) SQL over the ``frequent`` list column of a metrics row."""
-    values = [_as_counted(v) for v in R.literal_values(R.value_set_of(rule)) if v is not None]
-    mine = f"filter(coalesce(frequent, array()), x -> x.rule_id = {int(rid)})"
-    top_n = f"array_max(transform({mine}, x -> x.n))"
-    modes = f"array_sort(transform(filter({mine}, x -> x.n = {top_n}), x -> x.value))"
-    in_set = (f"element_at({modes}, 1) IN ({', '.join(S.string_lit(v) for v in values)})"
-              if values else "false")
-    observed = f"CASE WHEN size({modes}) > 0 THEN array_join({modes}, ',') END"
-    success = f"coalesce(size({modes}) = 1 AND {in_set}, false)"
-    return observed, success
+    per_count = value_counts(batch, mode_rules, keys).groupBy(*keys, "rule_id", "n").agg(
+        F.count(F.lit(1)).alias("n_modes"), F.min("value").alias("value"), F.count_if("in_set").alias("n_in"))
+    top = per_count.groupBy(*keys, "rule_id").agg(F.max(F.struct("n", "n_modes", "value", "n_in")).alias("top"))
+    return top.select(*keys, F.struct("rule_id", "top.*").alias("entry"))
+
+
+def mode_result_parts(rid: int) -> tuple[str, str, str]:
+    """(observed value, number of modes, success) SQL over the ``frequent`` list column of a metrics row."""
+    mine = f"get(filter(coalesce(frequent, array()), x -> x.rule_id = {int(rid)}), 0)"
+    return (f"{mine}.value", f"coalesce({mine}.n_modes, CAST(0 AS BIGINT))",
+            f"coalesce({mine}.n_modes = 1 AND {mine}.n_in = 1, false)")
 
 
 def mode_results(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
-                 group_cols: Sequence[str] = (), spine: DataFrame | None = None,
-                 sample_size: int = R.SAMPLE_SIZE) -> DataFrame | None:
+                 group_cols: Sequence[str] = ()) -> DataFrame | None:
     """Results of mode rules alone (the fused plan with only these rules)."""
     from .metrics import suite_results
-    return suite_results(batch, mode_rules, {}, group_cols, spine, sample_size=sample_size)
+    return suite_results(batch, mode_rules, {}, group_cols)
+
+
+def tied_modes(batch: DataFrame, mode_rules: Sequence[tuple[int, R.Rule]],
+               group_cols: Sequence[str] = ()) -> DataFrame:
+    """(keys, rule_id, column_name, value, n): every value that has the largest count of its group and rule."""
+    keys = list(group_cols)
+    counts = value_counts(batch, mode_rules, keys)
+    top = counts.groupBy(*keys, "rule_id").agg(F.max("n").alias("top_n")) \
+        .select(*[R.col(k).alias(f"__{k}") for k in keys], F.col("rule_id").alias("__rule"), "top_n")
+    same = (F.col("rule_id") == F.col("__rule")) & (F.col("n") == F.col("top_n"))
+    for k in keys:
+        same = same & R.col(k).eqNullSafe(R.col(f"__{k}"))
+    names = " ".join(f"WHEN {int(rid)} THEN {S.string_lit(r.column)}" for rid, r in mode_rules)
+    return counts.join(top, same, "left_semi").selectExpr(
+        *[S.ident(k) for k in keys], "rule_id", f"CASE rule_id {names} END AS column_name", "value", "n")

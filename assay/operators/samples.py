@@ -1,11 +1,8 @@
-"""Unexpected-value samples of failed row-level rules (one pass for all of them).
-
-Each row emits one (rule, value) pair per failed rule it breaks; the pairs are
-counted (partial aggregation first) and the ``k`` most frequent values per rule
-are kept - ``row_number() <= k`` is planned as a per-task limit before the
-shuffle and a final one after it, so no rule's values meet in one task unbounded.
-A value set given as a DataFrame is broadcast when its size allows; otherwise the
-column's value counts are anti-joined to the distinct set.
+"""Unexpected values of row-level rules, all of them (one pass for all rules).
+
+Each row emits one (rule, value) pair per rule it breaks; the pairs are counted
+(partial aggregation first), so the listing has a row per distinct value.  A value
+set given as a DataFrame is anti-joined to the column's value counts.
 """
 
 from __future__ import annotations
@@ -17,46 +14,49 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import sqltext as S
-from .metrics import DEFAULT_BROADCAST_LIMIT, _join_value_sets
+from .metrics import has_value_table, outside_value_table
 
 
-def unexpected_samples(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
-                       k: int = R.SAMPLE_SIZE, broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                       group_cols: Sequence[str] = ()) -> DataFrame | None:
-    """(keys, rule_id, column_name, value, n, rank): top-k unexpected values per (group, rule).
+def unexpected_values(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
+                      group_cols: Sequence[str] = ()) -> DataFrame | None:
+    """(keys, rule_id, column_name, value, n): every unexpected value per (group, rule).
 
-    Ties in count are broken by value, so the sample is deterministic.  A NULL
-    value is what a not-null rule reports.  ``group_cols`` makes each group of
-    rows its own batch (e.g. per project and day).
+    A NULL value is what a not-null rule reports.  ``group_cols`` makes each group
+    of rows its own batch (e.g. per project and day).  Give the failed rules only.
     """
     keys = list(group_cols)
     row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS]
     if not row_rules:
         return None
     schema = batch.schema
-    joined, in_set_sql, preagg = _join_value_sets(batch, row_rules, broadcast_limit)
-    pre_ids = {rid for rid, _, _ in preagg}
     parts = []
-    inline_rules = [(rid, r) for rid, r in row_rules if rid not in pre_ids]
+    inline_rules = [(rid, r) for rid, r in row_rules if not has_value_table(r)]
     if inline_rules:
         pairs = ", ".join(
-            f"CASE WHEN coalesce({R.unexpected_sql(r, schema, params, in_set_sql.get(rid))}, false) "
+            f"CASE WHEN coalesce({R.unexpected_sql(r, schema, params)}, false) "
             f"THEN named_struct('rule_id', CAST({int(rid)} AS INT), 'value', CAST({S.ident(r.column)} AS STRING)) END"
             for rid, r in inline_rules)
         # explode + where stay in whole-stage codegen (a lambda filter would not)
-        hits = (joined.selectExpr(*[S.ident(c) for c in keys], f"explode(array({pairs})) AS p")
+        hits = (batch.selectExpr(*[S.ident(c) for c in keys], f"explode(array({pairs})) AS p")
                 .where("p IS NOT NULL").select(*keys, "p.*"))
         parts.append(hits.groupBy(*keys, "rule_id", "value").agg(F.count(F.lit(1)).alias("n")))
-    for rid, r, values in preagg:
-        counts = (batch.where(R.col(r.column).isNotNull())
-                  .groupBy(*keys, R.col(r.column).alias("__v")).agg(F.count(F.lit(1)).alias("n")))
-        parts.append(counts.join(values, "__v", "left_anti").select(
-            *keys, F.lit(rid).cast("int").alias("rule_id"), F.col("__v").cast("string").alias("value"), "n"))
+    for rid, r in row_rules:
+        if has_value_table(r):
+            parts.append(outside_value_table(batch, r, keys).select(
+                *keys, F.lit(rid).cast("int").alias("rule_id"), F.col("__v").cast("string").alias("value"), "n"))
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
-    w = Window.partitionBy(*keys, "rule_id").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
-    top = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     names = " ".join(f"WHEN {int(rid)} THEN {S.string_lit(r.column)}" for rid, r in row_rules)
-    return top.selectExpr(*[S.ident(c) for c in keys], "rule_id", f"CASE rule_id {names} END AS column_name",
-                          "value", "n", "rank")
+    return counts.selectExpr(*[S.ident(c) for c in keys], "rule_id", f"CASE rule_id {names} END AS column_name",
+                             "value", "n")
+
+
+def top_values(values: DataFrame, k: int, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The ``k`` most frequent rows of ``unexpected_values`` per (group, rule), with ``rank``; ties by value.
+
+    ``row_number() <= k`` is planned as a per-task limit before the shuffle and a
+    final one after it, so no rule's values meet in one task unbounded.
+    """
+    w = Window.partitionBy(*group_cols, "rule_id").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    return values.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

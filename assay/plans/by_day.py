@@ -5,7 +5,8 @@ same with the fused metrics grouped by ``dt`` and the modes grouped by
 (``dt``, column): still two scans in total, whatever the number of days.  The
 time-range rule is bound to each row's own day, so the result for a day equals
 the daily run of that day.  A day of the range without rows is reported too (as
-an empty batch: its mode rules fail).
+an empty batch: its mode rules fail), and rows without a day form a group of
+their own (``dt`` NULL).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import params as P
@@ -21,41 +22,22 @@ from .checkpoint import run_stats, validate
 from .suite import Suite
 
 
-def day_spine(spark: SparkSession, begin: str | dt.date, end: str | dt.date,
-              days: Sequence[dt.date] | None = None) -> DataFrame:
-    """One row per day of the inclusive range, or of ``days`` (``dt`` DATE)."""
-    return spark.range(1).select(_days_col(begin, end, days))
-
-
-def _days_col(begin, end, days=None) -> Column:
-    if days is not None:
-        lits = [F.lit(P.parse_date(d).isoformat()).cast("date") for d in sorted(set(days))]
-        return F.explode(F.array(*lits)).alias("dt")
-    b, e = P.date_range(begin, end)
-    return F.explode(F.sequence(F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date"))).alias("dt")
+def _date(day: dt.date) -> Column:
+    return F.lit(day.isoformat()).cast("date")
 
 
 def validate_by_day(batch: DataFrame, suite: Suite, begin: str | dt.date, end: str | dt.date,
                     params: Mapping | None = None, end_exclusive: bool = False,
-                    days: Sequence[dt.date] | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Results per (``by`` keys, dt, rule) for every day of ``begin..end`` (or only ``days``).
+                    by: Sequence[str] = ()) -> DataFrame:
+    """Results per (``by`` keys, dt, rule) for every day of ``begin..end``, and for rows of no day.
 
     ``by`` adds batch keys (e.g. ``project``): every (key, day) is its own daily
-    batch.  The spine is then each key seen in the data times the days (a
-    generator, not a join), and the per-group tables are joined on unique keys.
+    batch, for each key seen in those rows.
     """
     b, e = P.date_range(begin, end)
-    rows = batch.where(F.col("dt").between(F.lit(b.isoformat()).cast("date"), F.lit(e.isoformat()).cast("date")))
-    if days is not None:
-        rows = rows.where(F.col("dt").isin([P.parse_date(d).isoformat() for d in days]))
-    by = list(by)
-    if by:
-        spine = rows.select(*by).distinct().select(*by, _days_col(b, e, days))
-    else:
-        spine = day_spine(batch.sparkSession, b, e, days)
+    rows = batch.where(F.col("dt").between(_date(b), _date(e)) | F.col("dt").isNull())
     run_params = P.merge_params(params, P.day_params("dt", end_exclusive))
-    # Without extra keys the groups are the days of the range: bounded, broadcastable.
-    return validate(rows, suite, run_params, group_cols=[*by, "dt"], spine=spine, bounded_groups=not by)
+    return validate(rows, suite, run_params, group_cols=[*by, "dt"], days=("dt", F.sequence(_date(b), _date(e))))
 
 
 def stats_by_day(results_by_day: DataFrame, by: Sequence[str] = ()) -> DataFrame:

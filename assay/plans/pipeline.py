@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import params as P
 from ..operators.extract import extract_batch
@@ -51,14 +50,12 @@ def run_daily(source: DataFrame, project: str, begin: str | dt.date | None = Non
     params = P.timestamp_params(begin, end, end_exclusive)
     if target and per_day:
         return publish_by_day(batch, suite, target, begin, end, failures_allowed, params,
-                              history_path, staging_root, samples_path=samples_path)
+                              history_path, staging_root, samples_path=samples_path, project=project)
     if target:
         return publish_if_valid(batch, suite, target, params, failures_allowed, history_path,
-                                staging_root, data_dt=end, samples_path=samples_path)
-    run = run_checkpoint(batch, suite, params, data_dt=end, history_path=history_path)
+                                staging_root, data_dt=end, samples_path=samples_path, project=project)
+    run = run_checkpoint(batch, suite, params, data_dt=end, history_path=history_path, project=project)
     if run.stats["failed"] > failures_allowed and samples_path:
-        sample = run.samples()
-        if sample is not None:
-            sample.withColumn("run_id", F.lit(run.run_id)).write.mode("append").parquet(samples_path)
+        run.write_unexpected_values(samples_path)
     run.check_results(failures_allowed)
     return run

@@ -1,53 +1,59 @@
 """Validated publish: stage the batch, validate what was staged, gate, then
-replace only the batch's ``dt`` partitions of the target.
+replace only the batch's own (project, dt) partitions of the target.
 
 * The batch is written once to a staging folder under the cluster's shared
-  ``spark.checkpoint.dir`` (never a machine-local folder).  That cuts the
-  lineage: validation and publish read the staged files, so a lost executor
-  only recomputes staged tasks, and what was validated is what gets published.
+  ``spark.checkpoint.dir`` (never a machine-local folder), partitioned by project
+  and day and rebalanced on them first, so a day is a few files and a hot day is
+  split.  That cuts the lineage: validation and publish read the staged files, a
+  lost executor only recomputes staged tasks, and what was validated is what gets
+  published.  Publishing copies partitions: no further shuffle of the rows.
 * Results are written before the gate raises, so a failing run still leaves
-  its results (and samples) in the history.
-* Publishing is a dynamic partition overwrite by ``dt``: other days are untouched.
+  its results (and unexpected values) in the history.
+* Publishing is a dynamic partition overwrite by (project, dt): other projects and
+  other days are untouched.  A day without rows is never published; what the target
+  holds of it stays and the report names it.
+* Staging is removed after a successful publish and kept after a failed one (it is
+  the evidence); ``drop_staging`` removes it.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-import re
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import CheckpointFailed
+from ..errors import BadParameter, CheckpointFailed
 from ..functions import params as P
+from ..operators.samples import unexpected_values
 from ..session import checkpoint_root
-from ..operators.metrics import RESULT_SCHEMA
-from ..operators.samples import unexpected_samples
 from .by_day import stats_by_day, validate_by_day
-from .checkpoint import CheckpointRun, run_checkpoint
+from .checkpoint import CheckpointRun, RunIdentity, history_rows, run_checkpoint, write_history
 from .suite import Suite
 
-
-_DT_DIR = re.compile(r"/dt=(\d{4}-\d{2}-\d{2})/")
+KEYS = ("project", "dt")
 
 
 @dataclasses.dataclass
 class PublishReport:
     target: str
     staging_path: str
-    published_days: list[dt.date]
-    failed_days: list[dt.date]
+    published_days: list[dt.date | None]
+    failed_days: list[dt.date | None]
+    identity: RunIdentity
+    empty_days: list[dt.date] = dataclasses.field(default_factory=list)
     run: CheckpointRun | None = None
     rows_staged: int | None = None
 
 
 def stage_batch(batch: DataFrame, staging_root: str | None = None, run_id: str | None = None,
                 observation: Observation | None = None) -> tuple[str, DataFrame]:
-    """Write the batch to ``<root>/assay-staging/<run_id>`` partitioned by ``dt``; read it back.
+    """Write a batch with ``project`` and ``dt`` to ``<root>/assay-staging/<run_id>``, partitioned by both; read it back.
 
     ``observation`` collects the staged row count during the write (no extra job);
     it is for logging - the gate always reads the staged files.
@@ -56,10 +62,17 @@ def stage_batch(batch: DataFrame, staging_root: str | None = None, run_id: str |
     root = (staging_root or checkpoint_root(spark)).rstrip("/")
     path = f"{root}/assay-staging/{run_id or uuid.uuid4().hex}"
     out = batch.observe(observation, F.count(F.lit(1)).alias("rows")) if observation else batch
-    out.write.mode("errorifexists").partitionBy("dt").parquet(path)
+    out.hint("rebalance", *KEYS).write.mode("errorifexists").partitionBy(*KEYS).parquet(path)
     return path, spark.read.schema(batch.schema).parquet(path)
 
 
+def drop_staging(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _observed_rows(observation: Observation) -> int | None:
     try:
         return int(observation.get["rows"])
@@ -67,105 +80,121 @@ def _observed_rows(observation: Observation) -> int | None:
         return None
 
 
-def staged_days(staged: DataFrame) -> list[dt.date]:
-    """Days present in a staged batch, from its ``dt=`` folder names (no job)."""
-    days = set()
-    for f in staged.inputFiles():
-        m = _DT_DIR.search(f)
-        if m:
-            days.add(dt.date.fromisoformat(m.group(1)))
-    return sorted(days)
+def _overwrite(df: DataFrame, target: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*KEYS).parquet(target))
 
 
-def _overwrite_days(df: DataFrame, target: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt").parquet(target))
+def _with_project(batch: DataFrame, project: str) -> DataFrame:
+    if not isinstance(project, str) or not project:
+        raise BadParameter("publishing needs the batch's project: it is part of the target's key")
+    return batch.withColumn("project", F.lit(project))
 
 
 def publish_if_valid(batch: DataFrame, suite: Suite, target: str, params: Mapping | None = None,
                      failures_allowed: int = 0, history_path: str | None = None,
                      staging_root: str | None = None, data_dt: dt.date | str | None = None,
-                     samples_path: str | None = None) -> PublishReport:
-    """Publish the whole batch if the number of failed rules is within the limit."""
+                     samples_path: str | None = None, *, project: str) -> PublishReport:
+    """Publish the whole batch of ``project`` if the number of failed rules is within the limit."""
     obs = Observation("assay_staging")
-    path, staged = stage_batch(batch, staging_root, observation=obs)
-    run = run_checkpoint(staged, suite, params, data_dt=data_dt, history_path=history_path)
-    days = staged_days(staged)
+    path, staged = stage_batch(_with_project(batch, project), staging_root, observation=obs)
+    run = run_checkpoint(staged, suite, params, data_dt=data_dt, history_path=history_path, project=project)
     if run.stats["failed"] > failures_allowed:
         if samples_path:
-            sample = run.samples()
-            if sample is not None:
-                sample.withColumn("run_id", F.lit(run.run_id)).write.mode("append").parquet(samples_path)
+            run.write_unexpected_values(samples_path)
         raise CheckpointFailed(run.stats["failed"], failures_allowed, run.run_name,
                                [r.asDict() for r in run.failed_expectations or []])
-    _overwrite_days(staged, target)
-    return PublishReport(target, path, days, [], run, _observed_rows(obs))
+    days = [r.dt for r in staged.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()]  # the batch's days
+    if days:
+        _overwrite(staged, target)
+    drop_staging(batch.sparkSession, path)
+    return PublishReport(target, path, _in_order(days), [], run.identity, run=run, rows_staged=_observed_rows(obs))
+
+
+def _in_order(days) -> list[dt.date | None]:
+    return sorted(days, key=lambda d: (d is not None, d or dt.date.min))
+
+
+def _any_of(groups: Sequence[tuple], names: Sequence[str]) -> Column:
+    """TRUE for rows of one of the groups (a partition filter); NULL is a value like others."""
+    if not groups:
+        return F.lit(False)
+    return reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(n).isNull() if v is None else F.col(n) == F.lit(v)
+                                    for n, v in zip(names, g, strict=True)]) for g in groups])
 
 
 def publishable_rows(batch: DataFrame, suite: Suite, begin: str | dt.date, end: str | dt.date,
                      failures_allowed: int = 0, params: Mapping | None = None,
-                     by: Sequence[str] = ()) -> DataFrame:
-    """Lazy: the rows of the (``by`` keys, day) batches whose own validation passes the gate."""
-    stats = stats_by_day(validate_by_day(batch, suite, begin, end, params, by=by), by)
-    good = stats.where(F.col("failed") <= F.lit(int(failures_allowed))).select(*by, "dt")
-    # Without extra keys: one row per day of the range, a bounded broadcast.  With keys:
-    # a semi join on unique keys (AQE broadcasts it if its runtime size allows).
-    return batch.join(good if by else F.broadcast(good), [*by, "dt"], "left_semi")
-
-
-def _write_day_samples(staged: DataFrame, suite: Suite, rows, bad: list[dt.date],
-                       params: Mapping | None, samples_path: str) -> None:
-    """Top-k unexpected values of the failed (day, rule) pairs: one pass over the failing days."""
-    failed_pairs = sorted({(r.dt, r.rule_id) for r in rows if not r.success and r.dt in set(bad)})
-    day_rows = staged.where(F.col("dt").isin([d.isoformat() for d in bad]))
-    run_params = P.merge_params(P.merge_params(suite.params, params), P.day_params("dt"))
-    sample = unexpected_samples(day_rows, suite.numbered(), run_params, group_cols=["dt"])
-    if sample is None:
-        return
-    spark = staged.sparkSession
-    # failed (day, rule) pairs: at most days x rules rows, a bounded broadcast
-    pairs = spark.createDataFrame([(d, i) for d, i in failed_pairs], "dt date, rule_id int")
-    (sample.join(F.broadcast(pairs), ["dt", "rule_id"], "left_semi")
-     .withColumn("suite_name", F.lit(suite.name)).write.mode("append").parquet(samples_path))
+                     staging_root: str | None = None) -> DataFrame:
+    """The rows of the (project, day) batches, among many projects', whose own validation passes the gate.
+
+    Stages the rows by (project, dt), validates every staged batch in one pass and
+    reads the passing partitions back: the verdicts (one row per batch, with rows)
+    come to the driver as the reader's partition filter, the rows are not shuffled again.
+    """
+    _, staged = stage_batch(batch, staging_root)
+    stats = stats_by_day(validate_by_day(staged, suite, begin, end, params, by=["project"]), ["project"])
+    good = stats.where(F.col("failed") <= F.lit(int(failures_allowed))).select(*KEYS)
+    days: dict[tuple, list] = {}
+    for r in good.collect():
+        days.setdefault((r.project,), []).append(r.dt)
+    keep = [_any_of([p], ["project"]) & _any_of([(d,) for d in ds], ["dt"]) for p, ds in days.items()]
+    return staged.where(reduce(lambda a, b: a | b, keep, F.lit(False)))
 
 
 def publish_by_day(batch: DataFrame, suite: Suite, target: str, begin: str | dt.date, end: str | dt.date,
                    failures_allowed: int = 0, params: Mapping | None = None,
                    history_path: str | None = None, staging_root: str | None = None,
-                   raise_on_failure: bool = True, days: list[dt.date] | None = None,
-                   staged: DataFrame | None = None, samples_path: str | None = None) -> PublishReport:
-    """Backfill: validate every day in one pass, publish the days that pass.
+                   raise_on_failure: bool = True, samples_path: str | None = None, *, project: str) -> PublishReport:
+    """Backfill of ``project``: validate every day in one pass, publish the days that pass.
 
     Failing days are left as they are in the target; with ``raise_on_failure``
-    the call raises after the passing days are published.  ``days`` limits the
-    run to those days of the range; ``staged`` passes data already staged.
+    the call raises after the passing days are published.
     """
     b, e = P.date_range(begin, end)
-    if staged is None:
-        path, staged = stage_batch(batch, staging_root)
-    else:  # already staged by the caller (incremental runs)
-        path = None
-    results = validate_by_day(staged, suite, b, e, params, days=days)
+    path, staged = stage_batch(_with_project(batch, project), staging_root)
     # Evaluate once: one row per (day, rule), bounded by the range; history and gate use the rows.
-    rows = results.collect()
+    rows = validate_by_day(staged, suite, b, e, params).collect()
+    identity = RunIdentity.new(suite.name, project)
+    spark = staged.sparkSession
     if history_path:
-        spark = staged.sparkSession
-        schema = T.StructType([T.StructField("dt", T.DateType())] + RESULT_SCHEMA.fields)
-        (spark.createDataFrame(rows, schema).withColumn("suite_name", F.lit(suite.name))
-         .withColumn("run_id", F.lit(uuid.uuid4().hex)).withColumnRenamed("dt", "data_dt")
-         .coalesce(1).write.mode("append").partitionBy("data_dt").parquet(history_path))
-    failed_per_day: dict[dt.date, int] = {}
+        write_history(history_rows(spark, identity, [(r.dt, r) for r in rows]), history_path)
+    failed: dict[dt.date | None, int] = {}
+    counted: dict[dt.date | None, int] = {}
     for r in rows:
-        failed_per_day[r.dt] = failed_per_day.get(r.dt, 0) + (0 if r.success else 1)
-    good = sorted(d for d, n in failed_per_day.items() if n <= failures_allowed)
-    bad = sorted(d for d, n in failed_per_day.items() if n > failures_allowed)
+        failed[r.dt] = failed.get(r.dt, 0) + (0 if r.success else 1)
+        counted[r.dt] = r.element_count
+    good = _in_order(d for d, n in failed.items() if n <= failures_allowed and counted[d])
+    bad = _in_order(d for d, n in failed.items() if n > failures_allowed)
     if bad and samples_path:
-        _write_day_samples(staged, suite, rows, bad, params, samples_path)
+        _write_day_values(staged, suite, rows, bad, params, samples_path, identity)
     if good:
-        _overwrite_days(staged.where(F.col("dt").isin([d.isoformat() for d in good])), target)
-    report = PublishReport(target, path, good, bad)
+        _overwrite(staged.where(_any_of([(d,) for d in good], ["dt"])), target)
+    report = PublishReport(target, path, good, bad, identity, [d for d, n in counted.items() if not n])
     if bad and raise_on_failure:
-        worst = max(failed_per_day.values())
         failures = [r.asDict() for r in rows if not r.success and r.dt in set(bad)]
-        raise CheckpointFailed(worst, failures_allowed, f"days {', '.join(map(str, bad))}", failures)
+        raise CheckpointFailed(max(failed.values()), failures_allowed,
+                               f"{identity.run_name}, days {', '.join(map(str, bad))}", failures)
+    if not bad:
+        drop_staging(spark, path)
     return report
+
+
+def _write_day_values(staged: DataFrame, suite: Suite, rows, bad: list, params: Mapping | None,
+                      samples_path: str, identity: RunIdentity) -> None:
+    """All unexpected values of the failed (day, rule) pairs: one pass over the failing days, for rules that failed."""
+    pairs = sorted({(r.dt, r.rule_id) for r in rows if not r.success and r.dt in set(bad)}, key=str)
+    failed_rules = {i for _, i in pairs}
+    run_params = P.merge_params(P.merge_params(suite.params, params), P.day_params("dt"))
+    values = unexpected_values(staged.where(_any_of([(d,) for d in bad], ["dt"])),
+                               [(i, r) for i, r in suite.numbered() if i in failed_rules], run_params, group_cols=["dt"])
+    if values is None:
+        return
+    # failed (day, rule) pairs: at most days x rules rows, a bounded broadcast
+    schema = T.StructType([T.StructField("day", T.DateType()), T.StructField("rule", T.IntegerType())])
+    wanted = staged.sparkSession.createDataFrame(pairs, schema)
+    (values.join(F.broadcast(wanted), F.col("dt").eqNullSafe(F.col("day")) & (F.col("rule_id") == F.col("rule")), "left_semi")
+     .withColumnRenamed("dt", "data_dt")
+     .select(F.lit(identity.project).alias("project"), F.lit(identity.run_id).alias("run_id"), "*")
+     .write.mode("append").parquet(samples_path))

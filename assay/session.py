@@ -22,7 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 
@@ -40,9 +39,9 @@ def build_session(master: str | None = None, app_name: str = "assay",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    # getOrCreate may return an existing session: apply the SQL settings anyway.
+    # getOrCreate may return an existing session: apply what can be set at run time.
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     return spark
 

@@ -1,66 +1,28 @@
-"""Country-code set for the ``country_code`` membership rule.
-
-The set is built by rule rather than written out: start from the ISO 3166-1
-alpha-2 list that the IANA time-zone database ships (``iso3166.tab``, in the
-``tzdata`` package or the system zoneinfo folder), drop the codes assigned since
-the historical list was fixed, and add the withdrawn / reserved codes it still
-holds.  That gives the 245 codes the reference suite checks against.  Callers
-may pass any set of their own instead.
-
-The set is resolved on the driver (it is a bounded list of a few hundred short
-strings) and becomes an ``INSET`` literal or a broadcast dimension.
-"""
+"""Country-code set for the ``country_code`` membership rule."""
 
 from __future__ import annotations
 
-import functools
-import importlib.resources
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# --- Fixed values (must equal the reference's set) -------------------------
-# Codes in the historical list that the current ISO table no longer has.
-HISTORICAL_CODES = ("AN", "BU", "CS", "DD", "FX", "NT", "SU", "TP", "YD", "YU", "ZR", "ZZ")
-# Codes of the current ISO table that the historical list does not have.
-NEWER_CODES = ("AX", "BL", "BQ", "CD", "CW", "GG", "IM", "JE", "ME", "MF", "MK", "PS", "RS", "SS", "SX", "TL")
-# ---------------------------------------------------------------------------
-
-_SYSTEM_TABLE = "/usr/share/zoneinfo/iso3166.tab"
-
-
-def _iso_table_text() -> str:
-    try:
-        return importlib.resources.files("tzdata").joinpath("zoneinfo/iso3166.tab").read_text()
-    except (ModuleNotFoundError, FileNotFoundError):
-        pass
-    if os.path.exists(_SYSTEM_TABLE):
-        with open(_SYSTEM_TABLE, encoding="utf-8") as fh:
-            return fh.read()
-    raise FileNotFoundError(
-        "no iso3166.tab found (tzdata package or system zoneinfo); pass value_set explicitly"
-    )
-
-
-def iso_codes() -> frozenset[str]:
-    """Current ISO 3166-1 alpha-2 codes from the time-zone database table."""
-    codes = set()
-    for line in _iso_table_text().splitlines():
-        if line and not line.startswith("#"):
-            codes.add(line.split("\t", 1)[0].strip())
-    return frozenset(codes)
+# Fixed values (must equal the reference's set): 245 codes, some withdrawn or reserved.
+COUNTRY_CODES = tuple("""
+AD AE AF AG AI AL AM AN AO AQ AR AS AT AU AW AZ BA BB BD BE BF BG BH BI BJ BM BN BO BR BS BT BU BV BW BY BZ CA
+CC CF CG CH CI CK CL CM CN CO CR CS CU CV CX CY CZ DD DE DJ DK DM DO DZ EC EE EG EH ER ES ET FI FJ FK FM FO FR
+FX GA GB GD GE GF GH GI GL GM GN GP GQ GR GS GT GU GW GY HK HM HN HR HT HU ID IE IL IN IO IQ IR IS IT JM JO JP
+KE KG KH KI KM KN KP KR KW KY KZ LA LB LC LI LK LR LS LT LU LV LY MA MC MD MG MH ML MM MN MO MP MQ MR MS MT MU
+MV MW MX MY MZ NA NC NE NF NG NI NL NO NP NR NT NU NZ OM PA PE PF PG PH PK PL PM PN PR PT PW PY QA RE RO RU RW
+SA SB SC SD SE SG SH SI SJ SK SL SM SN SO SR ST SU SV SY SZ TC TD TF TG TH TJ TK TM TN TO TP TR TT TV TW TZ UA
+UG UM US UY UZ VA VC VE VG VI VN VU WF WS YD YE YT YU ZA ZM ZR ZW ZZ
+""".split())
 
 
-@functools.lru_cache(maxsize=1)
 def country_codes() -> tuple[str, ...]:
-    """The suite's 245 codes, sorted; case-sensitive ('NA' is Namibia, not null)."""
-    codes = (iso_codes() - set(NEWER_CODES)) | set(HISTORICAL_CODES)
-    return tuple(sorted(codes))
+    """The suite's codes, sorted; case-sensitive ('NA' is Namibia, not null)."""
+    return COUNTRY_CODES
 
 
 def country_dim(spark: SparkSession, codes: tuple[str, ...] | None = None) -> DataFrame:
     """The code set as a one-column dimension DataFrame (``code``)."""
-    codes = codes or country_codes()
     schema = T.StructType([T.StructField("code", T.StringType(), False)])
-    return spark.createDataFrame([(c,) for c in codes], schema)
+    return spark.createDataFrame([(c,) for c in codes or COUNTRY_CODES], schema)

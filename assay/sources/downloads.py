@@ -82,10 +82,11 @@ def _when_not(cond: Column, value: str) -> Column:
     return F.when(~cond, F.lit(value))
 
 
-def downloads_from_events(events: DataFrame) -> DataFrame:
+def downloads_from_events(events: DataFrame, null_keys: bool = False) -> DataFrame:
     """Nested downloads rows derived from ``events`` (one row per event).
 
-    ``id`` is ``event_id``.  country: id%200=0 -> 'QQ', id%100=50 -> NULL,
+    ``id`` is ``event_id``.  With ``null_keys`` timestamp is NULL when id%101=0 and
+    file.project when id%97=0 (rows of no day or no project).  country: id%200=0 -> 'QQ', id%100=50 -> NULL,
     id%3=0 -> 'US', else 'DE'.  file.project = event_type; file.type:
     id%4=0 -> 'sdist' else 'bdist_wheel'; file.version = "id%3.id%120.id%10".
     details is NULL when id%50=0; inside it python is NULL when id%5=0,
@@ -106,14 +107,14 @@ def downloads_from_events(events: DataFrame) -> DataFrame:
         F.struct(F.lit("Linux").alias("name"), F.lit("5.4").alias("release")).alias("system"),
     )
     return events.select(
-        F.col("ts").alias("timestamp"),
+        (F.when(i % 101 != 0, F.col("ts")) if null_keys else F.col("ts")).alias("timestamp"),
         F.when(i % 200 == 0, "QQ")
         .when(i % 100 == 50, F.lit(None).cast("string"))
         .when(i % 3 == 0, "US")
         .otherwise("DE")
         .alias("country_code"),
         F.struct(
-            F.col("event_type").alias("project"),
+            (F.when(i % 97 != 0, F.col("event_type")) if null_keys else F.col("event_type")).alias("project"),
             F.when(i % 4 == 0, "sdist").otherwise("bdist_wheel").alias("type"),
             F.concat_ws(".", (i % 3).cast("string"), (i % 120).cast("string"), (i % 10).cast("string")).alias("version"),
         ).alias("file"),

@@ -50,10 +50,10 @@ def test_gate(source01):
     run = _run(source01, BATCHES[2])  # error: 4 failures
     with pytest.raises(CheckpointFailed) as exc:
         run.check_results(failures_allowed=0)
-    assert exc.value.failed == 4 and "exceeds failures allowed (0)" in str(exc.value)
+    assert exc.value.failed == 4 and "the limit is 0" in str(exc.value)
     assert {f["column_name"] for f in exc.value.failures} == {"country_code", "installer_name",
                                                             "installer_version", "pkg_version"}
-    assert "at or below" in run.check_results(failures_allowed=4)
+    assert "gate open" in run.check_results(failures_allowed=4)
     assert run.run_name.endswith("_downloads_batch")
     assert len(run.list_failures()) == 4
 
@@ -63,19 +63,19 @@ def test_no_failures_listing(spark):
     batch = batch_rows(spark, [good_row(i) for i in range(10)])
     run = run_checkpoint(batch, default_suite(batch.columns, "2024-01-02", "2024-01-02"))
     assert run.stats == {"evaluated": 20, "failed": 0, "passed": 20}
-    assert run.failed_expectations is None and run.list_failures() == ["No failed expectations to list."]
-    assert run.samples() is None
+    assert run.failed_expectations is None and run.list_failures() == ["every rule passed"]
+    assert run.samples(3) is None and run.unexpected_values() is None
 
 
 def test_samples_of_failed_rules(source01):
     run = _run(source01, BATCHES[1])  # view: country set fails with QQ
-    rows = run.samples().collect()
+    rows = run.samples(2).collect()
     by_rule = {}
     for r in rows:
         by_rule.setdefault(r.column_name, []).append(r)
     assert [(r.value, r.n) for r in by_rule["country_code"] if r.value is not None] == [("QQ", 4)]
-    assert all(len(v) <= 20 for v in by_rule.values())
-    assert max(r.rank for r in rows) <= 20
+    assert all(len(v) <= 2 for v in by_rule.values()) and max(r["rank"] for r in rows) <= 2
+    assert run.unexpected_values().count() > len(rows)
 
 
 def test_history_written(spark, scratch, source01):
@@ -91,3 +91,20 @@ def test_history_written(spark, scratch, source01):
     assert read_history(spark, path, "2024-01-05", "2024-01-05").count() == 20
     runs = run_summaries(read_history(spark, path)).collect()
     assert len(runs) == 2 and all(r.evaluated == 20 and r.failed == 4 and not r.success for r in runs)
+
+
+def test_both_publishers_share_one_history(spark, scratch, source01):
+    from assay import publish_by_day, publish_if_valid, read_history, run_summaries
+    path = os.path.join(scratch, "history")
+    batch = extract_batch(source01, "error", "2024-01-01", "2024-01-04")
+    suite = default_suite(batch.columns, "2024-01-01", "2024-01-04")
+    whole = publish_if_valid(batch, suite, os.path.join(scratch, "t"), failures_allowed=20, history_path=path,
+                             data_dt="2024-01-04", project="error")
+    daily = publish_by_day(batch, suite, os.path.join(scratch, "t"), "2024-01-01", "2024-01-04", failures_allowed=20,
+                           history_path=path, project="error")
+    history = read_history(spark, path, project="error")
+    assert history.where("run_name IS NULL OR run_dt IS NULL OR project IS NULL").count() == 0
+    runs = run_summaries(history).collect()
+    assert len([r for r in runs if r.run_id == whole.identity.run_id]) == 1
+    assert sorted(r.data_dt.day for r in runs if r.run_id == daily.identity.run_id) == [1, 2, 3, 4]
+    assert all(r.evaluated == 20 for r in runs)

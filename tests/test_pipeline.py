@@ -6,7 +6,7 @@ import pytest
 from assay import CheckpointFailed, Rule, SuiteNotFound
 from assay.__main__ import main
 from assay.functions import rules as R
-from assay.operators.samples import unexpected_samples
+from assay.operators.samples import top_values, unexpected_values
 from assay.plans.pipeline import run_daily
 from assay.sources import downloads_from_events, read_table
 from assay.sources.countries import country_codes, country_dim
@@ -50,13 +50,17 @@ def test_reuse_suite(spark, nested, scratch):
         run_daily(src, "error", "2024-01-01", "2024-01-04", suite_store=store, overwrite_suite=False)
 
 
-def test_samples_with_dimension_sets(spark):
+def test_unexpected_values_of_either_set_form(spark):
     df = spark.createDataFrame([(v,) for v in ["US"] * 5 + ["QQ"] * 3 + ["XX"] + [None]], "c string")
-    expected = [("QQ", 3), ("XX", 1)]
-    for dim, limit in ((country_dim(spark), 1_000_000), (country_dim(spark), 10)):
-        rule = Rule(R.IN_SET, "c", 0.9, {"value_set": dim})
-        rows = unexpected_samples(df, [(1, rule)], {}, broadcast_limit=limit).orderBy("rank").collect()
-        assert [(r.value, r.n) for r in rows] == expected
-    lit = Rule(R.IN_SET, "c", 0.9, {"value_set": list(country_codes())})
-    rows = unexpected_samples(df, [(1, lit)], {}).orderBy("rank").collect()
-    assert [(r.value, r.n) for r in rows] == expected
+    for values in (country_dim(spark), list(country_codes())):
+        rule = Rule(R.IN_SET, "c", 0.9, {"value_set": values})
+        rows = unexpected_values(df, [(1, rule)], {}).collect()
+        assert sorted((r.value, r.n) for r in rows) == [("QQ", 3), ("XX", 1)]
+
+
+def test_unexpected_values_are_all_listed(spark):
+    df = spark.range(500).selectExpr("CAST(id AS STRING) AS c")
+    rule = Rule(R.IN_SET, "c", 1.0, {"value_set": ["0", "1"]})
+    values = unexpected_values(df, [(1, rule)], {})
+    assert values.count() == 498
+    assert [r["value"] for r in top_values(values, 3).orderBy("rank").collect()] == ["10", "100", "101"]

@@ -74,7 +74,7 @@ def test_whole_suite_is_two_scans_no_nested_loop(spark, nested_path):
     text = plan_text(df)
     final = text.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
     assert final.count("Scan parquet") == 2  # fused aggregate + mode value counts
-    assert "WindowGroupLimit" in final
+    assert "Window" not in final  # modes are decided by counts, nothing is ranked
     assert "NestedLoopJoin" not in final and "CartesianProduct" not in final
 
 
@@ -89,12 +89,14 @@ def test_dt_partition_pruning(spark, nested_by_dt):
         "view", "2024-01-02", "2024-01-03").count()
 
 
-def test_in_set_dimension_is_broadcast(spark, nested_path):
+def test_in_set_dimension_is_joined_to_value_counts(spark, nested_path):
     from assay.sources.countries import country_dim
     batch = extract_batch(read_downloads(spark, nested_path), "view", "2024-01-01", "2024-01-04")
     rule = R.Rule(R.IN_SET, "country_code", 0.99, {"value_set": country_dim(spark)})
     text = plan_text(validate(batch, Suite("d", [rule])))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    tree = text.split("\n\n")[0]
+    assert "LeftAnti" in text and tree.index("Join") < tree.index("HashAggregate", tree.index("Join"))  # counts below the join
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
 def test_sql_form_pushes_the_same_filters(spark, nested_path):
@@ -112,3 +114,14 @@ def test_sql_form_prunes_dt_partitions(spark, nested_by_dt):
     part = re.search(r"PartitionFilters: \[(.*)\]", plan_text(batch)).group(1)
     assert "dt" in part and "2024-01-02" in part
     assert batch.count() == extract_batch(src, "view", "2024-01-02", "2024-01-03").count()
+
+
+def test_publishable_rows_are_not_shuffled_again(spark, nested_path):
+    from assay import flatten, publishable_rows
+    from assay.operators.extract import BATCH_COLUMNS
+    batches = flatten(read_downloads(spark, nested_path), F.col("file.project").alias("project"))
+    good = publishable_rows(batches, default_suite(list(BATCH_COLUMNS)), "2024-01-01", "2024-01-30", 5)
+    text = plan_text(good)
+    assert "Exchange" not in text and "Join" not in text
+    assert "project" in re.search(r"PartitionFilters: \[(.*)\]", text).group(1)
+    assert 0 < good.count() < batches.count()

@@ -14,7 +14,7 @@ def test_failed_gate_leaves_target_and_writes_results(spark, scratch, source01):
     target, history = os.path.join(scratch, "target"), os.path.join(scratch, "history")
     good = extract_batch(source01, "error", "2024-01-01", "2024-01-04")
     suite = default_suite(good.columns, "2024-01-01", "2024-01-04")
-    report = publish_if_valid(good, suite, target, failures_allowed=20, history_path=history, data_dt="2024-01-04")
+    report = publish_if_valid(good, suite, target, failures_allowed=20, history_path=history, data_dt="2024-01-04", project="error")
     assert report.rows_staged == 250 and report.run.stats["failed"] == 4
     before = _days(spark, target)
     assert set(before) == {"2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"}
@@ -22,7 +22,7 @@ def test_failed_gate_leaves_target_and_writes_results(spark, scratch, source01):
     with pytest.raises(CheckpointFailed):
         publish_if_valid(bad, default_suite(bad.columns, "2024-01-03", "2024-01-04"), target,
                          failures_allowed=0, history_path=history, data_dt="2024-01-04",
-                         samples_path=os.path.join(scratch, "samples"))
+                         samples_path=os.path.join(scratch, "samples"), project="view")
     assert _days(spark, target) == before
     assert spark.read.parquet(history).select("run_id").distinct().count() == 2
     assert spark.read.parquet(os.path.join(scratch, "samples")).count() > 0
@@ -32,10 +32,10 @@ def test_rerun_replaces_only_that_day(spark, scratch, source01):
     target = os.path.join(scratch, "target")
     batch = extract_batch(source01, "error", "2024-01-01", "2024-01-04")
     suite = default_suite(batch.columns, "2024-01-01", "2024-01-04")
-    publish_if_valid(batch, suite, target, failures_allowed=20)
+    publish_if_valid(batch, suite, target, failures_allowed=20, project="error")
     before = _days(spark, target)
     day2 = extract_batch(source01, "error", "2024-01-02", "2024-01-02").limit(5)
-    publish_if_valid(day2, default_suite(day2.columns, "2024-01-02", "2024-01-02"), target, failures_allowed=20)
+    publish_if_valid(day2, default_suite(day2.columns, "2024-01-02", "2024-01-02"), target, failures_allowed=20, project="error")
     after = _days(spark, target)
     assert after["2024-01-02"] == 5
     assert {d: n for d, n in after.items() if d != "2024-01-02"} == {d: n for d, n in before.items() if d != "2024-01-02"}
@@ -47,12 +47,13 @@ def test_publish_by_day(spark, scratch, source01):
     suite = default_suite(batch.columns, "2024-01-01", "2024-01-30")
     with pytest.raises(CheckpointFailed) as exc:
         publish_by_day(batch, suite, target, "2024-01-01", "2024-01-30", failures_allowed=4,
-                       history_path=os.path.join(scratch, "history"), samples_path=os.path.join(scratch, "samples"))
+                       history_path=os.path.join(scratch, "history"), samples_path=os.path.join(scratch, "samples"), project="click")
     samples = spark.read.parquet(os.path.join(scratch, "samples"))
     failed_pairs = {(f["dt"], f["rule_id"]) for f in exc.value.failures}
-    sampled = {(r.dt, r.rule_id) for r in samples.select("dt", "rule_id").distinct().collect()}
+    sampled = {(r.data_dt, r.rule_id) for r in samples.select("data_dt", "rule_id").distinct().collect()}
     assert sampled and sampled <= failed_pairs  # only failed (day, rule) pairs, from row-level rules
-    expected = {r.dt.isoformat() for r in publishable_rows(batch, suite, "2024-01-01", "2024-01-30", 4)
+    keyed = batch.withColumn("project", F.lit("click"))
+    expected = {r.dt.isoformat() for r in publishable_rows(keyed, suite, "2024-01-01", "2024-01-30", 4)
                 .select("dt").distinct().collect()}
     assert set(_days(spark, target)) == expected and 0 < len(expected) < 30
     assert spark.read.parquet(os.path.join(scratch, "history")).count() == 30 * 20
@@ -62,7 +63,7 @@ def test_empty_batch_stages_and_fails_modes(spark, scratch, source01):
     target = os.path.join(scratch, "target")
     batch = extract_batch(source01, "nosuch", "2024-01-01", "2024-01-04")
     with pytest.raises(CheckpointFailed) as exc:
-        publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-04"), target)
+        publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-04"), target, project="nosuch")
     assert exc.value.failed == 4 and not os.path.exists(target)
 
 
@@ -72,7 +73,7 @@ def test_published_table_prunes_by_dt(spark, scratch, source01):
     import re
     target = os.path.join(scratch, "target")
     batch = extract_batch(source01, "error", "2024-01-01", "2024-01-04")
-    publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-04"), target, failures_allowed=20)
+    publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-04"), target, failures_allowed=20, project="error")
     day = spark.read.parquet(target).where(F.col("dt") == "2024-01-02")
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -80,3 +81,45 @@ def test_published_table_prunes_by_dt(spark, scratch, source01):
     part = re.search(r"PartitionFilters: \[(.*)\]", buf.getvalue()).group(1)
     assert "2024-01-02" in part
     assert day.count() == batch.where(F.col("dt") == "2024-01-02").count()
+
+
+def test_two_projects_share_a_target(spark, scratch, source01):
+    target = os.path.join(scratch, "target")
+    counts = {}
+    for project in ("click", "view"):
+        batch = extract_batch(source01, project, "2024-01-01", "2024-01-04")
+        publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-04"), target,
+                         failures_allowed=20, project=project)
+        counts[project] = batch.count()
+    got = spark.read.parquet(target).groupBy("project").count().collect()
+    assert {r.project: r["count"] for r in got} == counts
+    for day in range(1, 5):  # a few files per project and day, not one per task
+        assert 1 <= len([f for f in os.listdir(f"{target}/project=click/dt=2024-01-0{day}") if f.endswith(".parquet")]) <= 2
+
+
+def test_rows_without_a_day_are_seen_and_kept(spark, scratch):
+    from assay.sources import downloads_from_events, read_table
+    src = downloads_from_events(read_table(spark, "/root/testdata/sf0.01", "events"), null_keys=True)
+    from assay import flatten, validate_by_day
+    batches = flatten(src, F.col("file.project").alias("project"))
+    suite = default_suite([c for c in batches.columns if c != "project"])
+    res = validate_by_day(batches, suite, "2024-01-01", "2024-01-30", by=["project"])
+    first = res.where("rule_id = 1")
+    assert first.agg(F.sum("element_count")).first()[0] == batches.count()
+    lost = first.where("dt IS NULL").collect()
+    assert len(lost) == 6 and all(r.missing_count == r.element_count > 0 and not r.success for r in lost)
+    assert first.where("project IS NULL AND dt IS NOT NULL").count() == 30
+    kept = publishable_rows(batches, suite, "2024-01-01", "2024-01-30", failures_allowed=20)
+    assert kept.count() == batches.count()
+
+
+def test_empty_days_and_staging(spark, scratch, source01):
+    target = os.path.join(scratch, "target")
+    batch = extract_batch(source01, "error", "2024-01-01", "2024-01-04").where("dt != DATE '2024-01-02'")
+    suite = default_suite(batch.columns, "2024-01-01", "2024-01-04")
+    full = extract_batch(source01, "error", "2024-01-02", "2024-01-02")
+    publish_if_valid(full, suite, target, failures_allowed=20, project="error")
+    report = publish_by_day(batch, suite, target, "2024-01-01", "2024-01-04", failures_allowed=20, project="error")
+    assert [d.day for d in report.empty_days] == [2] and [d.day for d in report.published_days] == [1, 3, 4]
+    assert _days(spark, target)["2024-01-02"] == full.count()  # what was published before stays
+    assert not os.path.exists(report.staging_path.removeprefix("file:"))
