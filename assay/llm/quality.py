@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 CHUNK, STEP = 512, 448
 EMBED, FILTERS = 8, 24
-SAMPLE_PER_CLASS = 1500
+SAMPLE_PER_CLASS = 2500
 TRAIN_CHUNKS = 24
-STEPS, BATCH, RATE = 600, 48, 0.01
+STEPS, BATCH, RATE = 1500, 48, 0.01
 SCORE_CHUNKS = 512      # chunks scored at once
 ACCEPT = 0.7
 
@@ -115,23 +115,23 @@ def _gradients(model: Model, chunks: list, lengths: list, labels: np.ndarray, we
     features = np.concatenate([mean, most], axis=1)
     grads = {"weights": features.T @ error + 1e-4 * model["weights"], "offset": error.sum()}
     back = error[:, None] * model["weights"][None, :]
-    d_pooled = (back[:, :FILTERS] / counts[:, None])[doc]
+    d_pooled = (back[:, :FILTERS] / counts[:, None].astype(np.float32))[doc]
     d_pooled = d_pooled + back[doc, FILTERS:] * (pooled == most[doc])
     d_pooled *= pooled > 0
     grads["bias"] = d_pooled.sum(axis=0)
     # only the places that won the pooling get a gradient
     c, f = np.nonzero(d_pooled)
-    at, value = c * (CHUNK // 4) + place[c, f], d_pooled[c, f]
-    d_filters = np.zeros_like(model["filters"])
-    d_quads = np.zeros_like(quads)
-    for half, shift in ((0, 0), (FILTERS, 1)):
-        np.add.at(d_filters.T, f + half, quads[at + shift] * value[:, None])
-        np.add.at(d_quads, at + shift, model["filters"].T[f + half] * value[:, None])
-    grads["filters"] = d_filters
-    d_embed = np.zeros_like(model["embed"])
-    used = np.flatnonzero(np.any(d_quads, axis=1))
-    np.add.at(d_embed, flat.reshape(-1, 4)[used].ravel(), d_quads[used].reshape(-1, EMBED))
-    grads["embed"] = d_embed
+    at = c * (CHUNK // 4) + place[c, f]
+    by_filter = np.zeros((len(c), FILTERS), np.float32)
+    by_filter[np.arange(len(c)), f] = d_pooled[c, f]
+    quad_bytes = flat.reshape(-1, 4)
+    grads["filters"], grads["embed"] = np.zeros_like(model["filters"]), np.zeros_like(model["embed"])
+    for half, shift in ((slice(0, FILTERS), 0), (slice(FILTERS, 2 * FILTERS), 1)):
+        grads["filters"][:, half] = quads[at + shift].T @ by_filter
+        d_quads = (by_filter @ model["filters"][:, half].T).reshape(-1, EMBED)
+        byte = quad_bytes[at + shift].ravel()
+        for e in range(EMBED):
+            grads["embed"][:, e] += np.bincount(byte, weights=d_quads[:, e], minlength=256)
     return grads
 
 
