@@ -9,9 +9,9 @@ subsets explodes, and sets are looked up in inverted lists instead.  Lists of si
 shingles would have to hold every shingle of the corpus, and the list of a passage that
 thousands of unrelated documents share would be squared; so the entries are blocks: for sets
 of a size class whose linked partners differ in ``e`` shingles at most, the shingle hashes
-are dealt over ``e + 1`` blocks, and of two linked sets one block at least is equal.  (Where
-blocks would be smaller than about 7 shingles they are coarser, cut in 3, and an entry is 2
-of the 3, since one difference spares two.)  A set lists itself in the classes of all its
+are dealt over ``e + 1`` blocks (and some to spare), and of two linked sets one block at
+least is equal.  (Where blocks would be smaller than about 7 shingles they are coarser, half
+as many and cut in 3, and an entry is 2 of the 3, since one difference spares two.)  A set lists itself in the classes of all its
 possible partners' sizes.  The boundary is the one with the lowest cost, weighted rows
 written, summed over the sizes of all sets (``choose_boundary``).
 
@@ -44,7 +44,7 @@ CELL_SETS = 128             # sets on a side of a cell, about
 CELL_SHINGLES = 1 << 16     # shingles on a side of a cell, about
 MOST_SUBSET_SIZE = 64       # boundaries beyond this are hopeless: a set of 64 has millions of subsets
 LIST_WEIGHT = 4             # a list entry against a subset: other sets meet in it too, and have to be compared
-LEVELS = 6                  # how often empty blocks are dealt anew
+LEVELS = 6                  # how often a set with too many empty blocks is dealt anew
 
 
 class Rule:
@@ -94,15 +94,16 @@ class Rule:
         start = self._ends[-1] + 1
         self._ends.append(max(start, self.den * start // self.num))
 
-    def blocks(self, c: int) -> tuple[int, bool]:
-        """Number of blocks of a class, and whether each is cut in 3."""
+    def blocks(self, c: int) -> tuple[int, int, bool]:
+        """Of a class: how many blocks have to be full of shingles, how many more there are, and whether each is cut in 3."""
         end = self.class_end(c)
         e = self.most_difference(end)
-        fine = end * self.num >= 7 * self.den * (e + 1)
-        return (e + 1, False) if fine or e == 0 else (-(-(e + 1) // 2), True)
+        three = end * self.num < 7 * self.den * (e + 1) and e > 0
+        need = -(-(e + 1) // 2) if three else e + 1
+        return need, 1 + need // (8 if three else 32), three
 
     def list_rows(self, n: int) -> int:
-        return sum(b * (3 if three else 1) for b, three in map(self.blocks, self.classes(n)))
+        return sum((need + spare) * (3 if three else 1) for need, spare, three in map(self.blocks, self.classes(n)))
 
 
 def choose_boundary(rule: Rule, histogram: dict[int, int]) -> int:
@@ -147,18 +148,22 @@ def _subset_entries(rule: Rule, s: np.ndarray) -> np.ndarray:
 def _block_entries(rule: Rule, s: np.ndarray) -> np.ndarray:
     """Keys of the set's blocks in each class it is listed in.
 
-    Blocks without any shingle say nothing: instead of listing them, the whole set
-    is dealt anew with another seed.  Two sets with an equal empty block both are,
-    so none is missed; the last level lists empty blocks too.
+    An entry without any shingle says nothing and is not listed.  Of two linked
+    sets' blocks, any ``need`` hold one that is equal (up to one shingle, if cut in
+    3), so it is enough that ``need`` of one set's blocks have no empty entry; there
+    are some to spare.  A set with fewer is dealt anew as a whole, with another
+    seed: if both sets are short of blocks, both are.  The last level lists
+    everything.
     """
     out = []
     for c in rule.classes(len(s)):
-        count, three = rule.blocks(c)
+        need, spare, three = rule.blocks(c)
+        count = need + spare
+        cells = count * 3 if three else count
         for level in range(LEVELS):
             seed = U((c << 4 | level) + 1)
             values = mix(s ^ mix(np.array([seed]))[0])
-            part = ((values >> U(32)) * U(count * 3 if three else count) >> U(32)).astype(np.int64)
-            cells = count * 3 if three else count
+            part = ((values >> U(32)) * U(cells) >> U(32)).astype(np.int64)
             sums, sizes = np.zeros(cells, np.uint64), np.bincount(part, minlength=cells)
             np.add.at(sums, part, mix(values))
             if three:
@@ -166,11 +171,13 @@ def _block_entries(rule: Rule, s: np.ndarray) -> np.ndarray:
                 sums = np.stack([sums[:, i] * U(3) + sums[:, j] * U(5) for i, j in ((0, 1), (0, 2), (1, 2))], axis=1).ravel()
                 sizes = np.stack([sizes[:, i] + sizes[:, j] for i, j in ((0, 1), (0, 2), (1, 2))], axis=1).ravel()
             keys = mix(mix(sums + seed) + np.arange(len(sums), dtype=np.uint64) * U(0xD1342543DE82EF95))
-            empty = sizes == 0
-            if level == LEVELS - 1 or not empty.any():
+            full = sizes > 0
+            if level == LEVELS - 1:
                 out.append(keys)
                 break
-            out.append(keys[~empty])
+            out.append(keys[full])
+            if full.reshape(count, -1).all(axis=1).sum() >= need:
+                break
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
