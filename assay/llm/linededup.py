@@ -137,9 +137,10 @@ def unpack_bitmap(bitmap: bytes, n_lines: int) -> np.ndarray:
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``doc_id, text_hash, n_lines, n_dropped, bitmap`` of the document texts that lose a line."""
-    keyed = docs.where(F.col("doc_id").isNotNull()) \
-        .select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")) \
-        .mapInArrow(_line_keys(min_chars), KEYS)
+    # written once: the range partitioner samples its input, which would read and hash all texts twice
+    keyed = cut(docs.where(F.col("doc_id").isNotNull())
+                .select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+                .mapInArrow(_line_keys(min_chars), KEYS))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = keyed.repartitionByRange(parts, "h1", "h2", F.col("doc_id").desc()) \
         .sortWithinPartitions("h1", "h2", F.col("doc_id").desc())
