@@ -42,6 +42,23 @@ DOWNLOADS_FIELDS: dict[str, tuple[type, ...]] = {
 }
 
 
+def downloads_schema(timestamp_type: T.DataType | None = None) -> T.StructType:
+    """The source layout as a declared schema (``timestamp`` is an instant unless told otherwise).
+
+    Reading with it needs no look at the files and reads only these fields; a file
+    that lacks one gives NULL, so ``read_downloads`` checks types only when it infers.
+    """
+    def build(paths: dict[str, T.DataType]) -> T.StructType:
+        out = T.StructType()
+        for name in dict.fromkeys(p.split(".", 1)[0] for p in paths):
+            below = {p.split(".", 1)[1]: t for p, t in paths.items() if p.startswith(name + ".")}
+            out.add(name, build(below) if below else paths[name])
+        return out
+
+    return build({path: (timestamp_type or T.TimestampType()) if path == "timestamp" else T.StringType()
+                  for path in DOWNLOADS_FIELDS})
+
+
 def _field_type(schema: T.StructType, path: str) -> T.DataType | None:
     dtype: T.DataType = schema
     for part in path.split("."):
@@ -65,15 +82,19 @@ def check_source_schema(df: DataFrame, fields: dict[str, tuple[type, ...]] = DOW
 
 
 def read_downloads(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-                   table: str | None = None) -> DataFrame:
+                   table: str | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Read a nested downloads table (files at ``path``, or a catalog ``table``) and check its schema.
 
+    ``schema`` (see ``downloads_schema``) is declared to the reader; without it the
+    files' own schema is taken.
+
     Nothing is selected here: the extract's projection and filters are pushed into
     the scan by Catalyst (nested ``ReadSchema`` pruning, ``PushedFilters``).
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
-    df = spark.table(table) if table else spark.read.format(fmt).load(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = spark.table(table) if table else reader.format(fmt).load(path)
     check_source_schema(df)
     return df
 

@@ -128,3 +128,18 @@ def test_extract_utc_day_bounds_on_zone_aware_source(spark):
     rows = extract_batch(src, "p", "2023-01-02", "2023-01-02").collect()
     assert [r.dt for r in rows] == [dt.date(2023, 1, 2)] * 2
     assert extract_batch_sql(spark, src, "p", "2023-01-02", "2023-01-02").count() == 2
+
+
+def test_declared_schema_reads_the_same(spark, scratch):
+    import os
+    from pyspark.sql import types as T
+    from assay import extract_batch
+    from assay.sources import downloads_from_events, read_table
+    from assay.sources.downloads import downloads_schema, read_downloads
+    path = os.path.join(scratch, "src")
+    downloads_from_events(read_table(spark, "/root/testdata/sf0.001", "events")).write.parquet(path)
+    declared = read_downloads(spark, path, schema=downloads_schema(T.TimestampNTZType()))
+    assert declared.columns == ["timestamp", "country_code", "file", "details"]
+    spec = ("click", "2024-01-01", "2024-01-10")
+    rows = lambda src: sorted(map(tuple, extract_batch(src, *spec).collect()), key=str)
+    assert rows(declared) == rows(read_downloads(spark, path))

@@ -7,6 +7,7 @@ from assay.functions import rules as R
 from assay.operators.extract import BATCH_COLUMNS
 
 
+# The default suite's shape, thresholds and column lists must equal the reference's.
 def test_default_suite_shape():
     suite = default_suite(list(BATCH_COLUMNS), "2024-01-01", "2024-01-04")
     kinds = [r.kind for r in suite.rules]
