@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 WINDOW = 10
 GRAM = 4
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+PLACE = (1 << 30) - 1      # bits of a gram's place: more words than fit into one string
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Benchmark windows are broadcast up to this many bytes (counted first); beyond it the join shuffles.
@@ -33,23 +34,24 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lowered, SEPARATORS), "")
 
 
-def _grams(w: Column, size: int) -> Column:
-    """Hash of the ``size`` words from each position; empty if there are fewer words."""
-    return F.when(F.size(w) >= size, F.transform(
-        F.sequence(F.lit(1), F.size(w) - (size - 1)), lambda i: F.xxhash64(F.slice(w, i, F.lit(size))))) \
-        .otherwise(F.array().cast("array<bigint>"))
+def _gram(w: Column, at: Column, size: int) -> Column:
+    return F.xxhash64(F.slice(w, at, F.lit(size)))
 
 
-def _selected(grams: Column, n_words: Column, window: int, gram: int) -> Column:
-    """Positions (from 1) of the winnowed grams."""
-    per = window - gram + 1
+def _ranked(w: Column) -> Column:
+    """Each gram's rank in the winnowing: upper bits of its hash, then its place, so that the leftmost wins ties."""
+    return F.when(F.size(w) >= WINDOW, F.transform(
+        F.sequence(F.lit(1), F.size(w) - (GRAM - 1)),
+        lambda i: _gram(w, i, GRAM).bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("bigint"))))
 
-    def least(i):
-        part = F.slice(grams, i, F.lit(per))
-        return (F.array_position(part, F.array_min(part)) + i - 1).cast("int")
 
-    return F.when(n_words >= window, F.array_distinct(
-        F.transform(F.sequence(F.lit(1), n_words - (window - 1)), least))).otherwise(F.array().cast("array<int>"))
+def _winnowed(ranked: Column, n_words: Column) -> Column:
+    """Places (from 1) of the grams kept: the least rank in the grams of each window."""
+    per = WINDOW - GRAM + 1
+    least = F.transform(F.sequence(F.lit(1), n_words - (WINDOW - 1)),
+                        lambda i: F.array_min(F.slice(ranked, i, F.lit(per))))
+    return F.when(n_words >= WINDOW, F.transform(
+        F.array_distinct(least), lambda x: x.bitwiseAND(F.lit(PLACE)).cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -61,10 +63,12 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                                            lambda i: F.slice(F.col("w"), i, F.lit(WINDOW))))
         .otherwise(F.array("w"))).alias("s"))
     distinct = spans.groupBy("s").agg(F.collect_set("item_id").alias("items"))
-    least = distinct.withColumn("g", F.when(F.size("s") == WINDOW, _grams(F.col("s"), GRAM))
-                                .otherwise(F.array(F.xxhash64("s"))))
-    return least.select(F.array_join("s", " ").alias("window"), F.size("s").alias("len"), F.array_min("g").alias("v"),
-                        (F.array_position("g", F.array_min("g")) - 1).cast("int").alias("o"), "items")
+    full = F.size("s") == WINDOW
+    least = distinct.withColumn("at", F.when(full, F.array_min(_ranked(F.col("s"))).bitwiseAND(F.lit(PLACE)).cast("int"))
+                                .otherwise(F.lit(1)))
+    return least.select(F.array_join("s", " ").alias("window"), F.size("s").alias("len"),
+                        F.when(full, _gram(F.col("s"), F.col("at"), GRAM)).otherwise(F.xxhash64("s")).alias("v"),
+                        (F.col("at") - 1).alias("o"), "items")
 
 
 def _fingerprints(docs: DataFrame, lengths: list[int]) -> DataFrame:
@@ -78,17 +82,18 @@ def _fingerprints(docs: DataFrame, lengths: list[int]) -> DataFrame:
     """
     base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w")) \
         .withColumn("n_words", F.size("w"))
-    full = base.withColumn("g", _grams(F.col("w"), GRAM)) \
-        .withColumn("at", F.concat(_selected(F.col("g"), F.col("n_words"), WINDOW, GRAM), F.array(F.lit(-1)))) \
-        .select("doc_id", "text_hash", "w", "n_words", "g", F.explode_outer("at").alias("p"))
+    full = base.withColumn("g", _ranked(F.col("w"))) \
+        .withColumn("at", F.concat(_winnowed(F.col("g"), F.col("n_words")), F.array(F.lit(-1)))) \
+        .select("doc_id", "text_hash", "w", "n_words", F.explode_outer("at").alias("p"))
     reach = WINDOW - GRAM
     first = F.greatest(F.col("p") - reach, F.lit(1))
     rows = full.select(
         "doc_id", "text_hash", "n_words", "p", F.lit(WINDOW).alias("len"), first.alias("c"),
-        F.when(F.col("p") > 0, F.get("g", F.col("p") - 1)).alias("v"),
+        F.when(F.col("p") > 0, _gram(F.col("w"), F.col("p"), GRAM)).alias("v"),
         F.when(F.col("p") > 0, F.slice("w", first, F.lit(WINDOW + reach))).alias("ctx"))
     for n in lengths:
-        short = base.withColumn("g", _grams(F.col("w"), n)) \
+        short = base.withColumn("g", F.when(F.size("w") >= n, F.transform(
+            F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: _gram(F.col("w"), i, n)))) \
             .select("doc_id", "text_hash", "w", "n_words", F.posexplode_outer("g").alias("i", "v")).where("i IS NOT NULL")
         rows = rows.unionByName(short.select(
             "doc_id", "text_hash", "n_words", (F.col("i") + 1).alias("p"), F.lit(n).alias("len"),
