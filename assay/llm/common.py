@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -65,6 +66,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_and_free(df: DataFrame) -> DataFrame:
+    """``cut`` for the result of a large shuffle: its files are no longer needed.
+
+    Spark removes them once the driver's garbage collector has seen that nothing
+    refers to the shuffle; asking for that now frees the disks for the next step.
+    """
+    out = cut(df)
+    spark = df.sparkSession
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
+
+
 def running_total(lengths: Column) -> Column:
     """Inclusive prefix sums of an array of ints, as bigint, by built-in functions.
 

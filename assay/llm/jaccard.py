@@ -15,11 +15,14 @@ as many and cut in 3, and an entry is 2 of the 3, since one difference spares tw
 possible partners' sizes.  The boundary is the one with the lowest cost, weighted rows
 written, summed over the sizes of all sets (``choose_boundary``).
 
-An entry's sets are chained to one centre, so a list costs as many rows as it has sets,
-never pairs; entries that meet in one batch are chained before the shuffle.  The chains'
-components (families) hold every link.  Equal sets of a family shrink to one; a family is
-then compared in cells of at most about ``CELL_SETS`` x ``CELL_SETS`` sets, each cell
-counting all intersections in numpy and returning a spanning forest of its links.
+A short list (``SHORT_LIST`` sets at most) gives its pairs, which are held against a sketch:
+shingle counts in about n/4 buckets, whose sum of minima bounds the intersection from above.
+What fails the bound cannot link.  A longer list is chained to one centre instead, so that it
+costs as many rows as it has sets, never their pairs; a list that is long within one batch is
+chained before the shuffle.  The components of chains and remaining pairs (families) hold
+every link.  Equal sets of a family shrink to one; a family is then compared in cells of at
+most about ``CELL_SETS`` x ``CELL_SETS`` sets, each cell counting all intersections in numpy
+and returning a spanning forest of its links.
 
 Defined results: null, empty and word-free texts have an empty set, link with nothing and
 are their own component; a null doc_id has a null component; rows that share a doc_id are
@@ -37,9 +40,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut
+from .common import connected_components, cut, cut_and_free
 from .shingles import mix, shingle_sets
 
+SHORT_LIST = 16             # longest list that gives pairs (at most 7.5 rows per entry)
 CELL_SETS = 128             # sets on a side of a cell, about
 CELL_SHINGLES = 1 << 16     # shingles on a side of a cell, about
 MOST_SUBSET_SIZE = 64       # boundaries beyond this are hopeless: a set of 64 has millions of subsets
@@ -185,7 +189,12 @@ ENTRIES = "key long, id long, centre long"
 
 
 def _entries(rule: Rule, boundary: int):
-    """Rows (key, id) of the entries; where one key meets twice in a batch, a chain row (centre set) instead."""
+    """Rows (key, id, centre) of the entries.
+
+    ``centre`` is null for a plain entry.  A key with more than ``SHORT_LIST`` sets
+    in a batch is chained here: one entry goes on, marked long by its own id as
+    centre, and chain rows with another id as centre (their key only deals them out).
+    """
     low = -(-rule.num * boundary // rule.den)
 
     def flush(keys: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
@@ -193,15 +202,17 @@ def _entries(rule: Rule, boundary: int):
         owner = np.repeat(np.array(ids, np.int64), [len(x) for x in keys])
         order = np.lexsort((owner, key))
         key, owner = key[order], owner[order]
-        first = np.r_[True, key[1:] != key[:-1]]
-        centre = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-        chained = np.unique(np.stack([owner[~first], centre[~first]], axis=1), axis=0)
-        chained = chained[chained[:, 0] != chained[:, 1]]
-        n = int(first.sum())
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[start, len(key)])
+        long = np.repeat(size > SHORT_LIST, size)
+        centre = np.repeat(owner[start], size)
+        sent = ~long
+        sent[start] = True
+        chained = _distinct(owner[long], centre[long])
         return pa.RecordBatch.from_arrays([
-            pa.array(np.r_[key[first], mix(chained[:, 0].astype(np.uint64))].view(np.int64)),  # chains are dealt evenly
-            pa.array(np.r_[owner[first], chained[:, 0]]),
-            pa.array(np.r_[np.zeros(n, np.int64), chained[:, 1]], mask=np.r_[np.ones(n, bool), np.zeros(len(chained), bool)])],
+            pa.array(np.r_[key[sent], mix(chained[:, 0].astype(np.uint64))].view(np.int64)),
+            pa.array(np.r_[owner[sent], chained[:, 0]]),
+            pa.array(np.r_[centre[sent], chained[:, 1]], mask=np.r_[~long[sent], np.zeros(len(chained), bool)])],
             names=["key", "id", "centre"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,21 +238,100 @@ def _entries(rule: Rule, boundary: int):
     return run
 
 
-def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, id) to chains: each further id of a key to the first."""
-    last_key = last_id = None
+def _distinct(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distinct rows (larger, smaller) of pairs of different ids."""
+    pairs = np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1)
+    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+
+
+MEETINGS = "a long, b long, sure boolean"
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries sorted by key to pairs (not sure) of short lists and chains (sure) of long ones; chain rows pass.
+
+    Holds one batch and at most ``SHORT_LIST`` rows of a list that goes on.
+    """
+    def rows(pairs: np.ndarray, sure: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.full(len(pairs), sure))],
+                                          names=["a", "b", "sure"])
+
+    def short_pairs(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        out = []
+        for n in range(2, SHORT_LIST + 1):
+            at = start[size == n]
+            i, j = np.triu_indices(n, 1)
+            out.append(np.stack([ids[at[:, None] + i].ravel(), ids[at[:, None] + j].ravel()]))
+        both = np.concatenate(out, axis=1)
+        return _distinct(both[0], both[1])
+
+    held_key = held_ids = held_long = None     # the list that the last batch ended in
     for batch in batches:
         if not batch.num_rows:
             continue
         key, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        first = np.r_[last_key is None or key[0] != last_key, key[1:] != key[:-1]]
-        at = np.maximum.accumulate(np.where(first, np.arange(len(key)), -1))
-        centre = np.where(at >= 0, ids[np.maximum(at, 0)], last_id if last_id is not None else 0)
-        last_key, last_id = key[-1], centre[-1]
-        pairs = np.stack([ids, centre], axis=1)[~first]
-        pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+        plain = batch.column(2).is_null().to_numpy(zero_copy_only=False)
+        centre = np.where(plain, ids, batch.column(2).fill_null(0).to_numpy())
+        chain = centre != ids
+        if chain.any():
+            yield rows(_distinct(ids[chain], centre[chain]), True)
+        key, ids, mark = key[~chain], ids[~chain], ~plain[~chain]
+        if held_key is not None:
+            key = np.r_[np.full(len(held_ids), held_key), key]
+            mark = np.r_[np.full(len(held_ids), held_long), mark]
+            ids = np.r_[held_ids, ids]
+        if not len(key):
+            continue
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[start, len(key)])
+        long = (size > SHORT_LIST) | (np.add.reduceat(mark, start) > 0)
+        every = np.repeat(long, size)
+        if every.any():
+            chained = _distinct(ids[every], np.repeat(ids[start], size)[every])
+            if len(chained):
+                yield rows(chained, True)
+        done = ~long[:-1]
+        pairs = short_pairs(ids, start[:-1][done], size[:-1][done])
         if len(pairs):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            yield rows(pairs, False)
+        at = start[-1]
+        held_key, held_long = key[at], bool(long[-1])
+        held_ids = ids[at:at + 1] if held_long else ids[at:]
+    if held_key is not None and not held_long and len(held_ids) > 1:
+        pairs = short_pairs(held_ids, np.array([0]), np.array([len(held_ids)]))
+        if len(pairs):
+            yield rows(pairs, False)
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles in a power of 2 of hash ranges, 2 to 4 shingles each; 255 means "that or more"."""
+    bits = max(0, (max(len(s), 1) - 1).bit_length() - 2)
+    part = (mix(s ^ U(0x2545F4914F6CDD1D)) >> U(63 - bits) >> U(1)).astype(np.int64)
+    return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8)
+
+
+def may_link(rule: Rule, n: int, m: int, a: np.ndarray, b: np.ndarray) -> bool:
+    """False only if sets of these sizes and sketches cannot link."""
+    if len(a) > len(b):
+        a, b = b, a
+    if a.max() == 255 or b.max() == 255:
+        return True
+    if len(b) > len(a):     # ranges are halves of wider ones
+        b = b.reshape(len(a), -1).sum(axis=1)
+    most = int(np.minimum(a, b).sum())
+    return rule.den * most >= rule.num * (n + m - most)
+
+
+def _keep_possible(rule: Rule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for a, b, n, m, x, y in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if may_link(rule, n, m, np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)):
+                    out.append((a, b))
+            if out:
+                yield _pairs(out)
+    return run
 
 
 # --------------------------------------------------------------------------
@@ -251,14 +341,15 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sizes(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, h1, h2 = [], [], []
+            n, h1, h2, sketches = [], [], [], []
             for s in shingle_sets(batch.column(1), k):
                 n.append(len(s))
+                sketches.append(sketch(s).tobytes())
                 h1.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                 h2.append(int(mix(s ^ U(0xA0761D6478BD642F)).sum(dtype=np.uint64).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())],
-                names=["id", "n_shingles", "h1", "h2"])
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+                 pa.array(sketches, pa.binary())], names=["id", "n_shingles", "h1", "h2", "sketch"])
     return run
 
 
@@ -362,8 +453,9 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 # --------------------------------------------------------------------------
 
 def sizes(docs: DataFrame, k: int) -> DataFrame:
-    """``id, n_shingles, h1, h2`` (128-bit set hash) of every row."""
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(_sizes(k), "id long, n_shingles long, h1 long, h2 long")
+    """``id, n_shingles, h1, h2`` (128-bit set hash) and ``sketch`` of every row."""
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text") \
+        .mapInArrow(_sizes(k), "id long, n_shingles long, h1 long, h2 long, sketch binary")
 
 
 def components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -378,9 +470,11 @@ def components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> Da
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
     entries = texts.mapInArrow(_entries(rule, boundary), ENTRIES)
-    # one pass writes chains met in a batch beside those met after the shuffle
-    met = entries.repartition(parts, "key").sortWithinPartitions("key", "id").mapInArrow(_meet, "a long, b long")
-    chains = cut(met.distinct())
+    met = cut_and_free(entries.repartition(parts, "key").sortWithinPartitions("key", "id").mapInArrow(_meet, MEETINGS).distinct())
+    side = lambda x: some.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    possible = met.where("NOT sure").join(side("a"), "a").join(side("b"), "b") \
+        .select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_keep_possible(rule), "a long, b long")
+    chains = cut(met.where("sure").select("a", "b").union(possible))
 
     # equal sets are linked as they are, and stand for each other in the comparison
     first = cut(some.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("centre")))
@@ -408,24 +502,6 @@ def components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> Da
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chain rows pass, entries (sorted by key) are chained."""
-    def entries(batches):
-        for batch in batches:
-            chained = batch.column(2).is_valid()
-            done = batch.filter(chained)
-            if done.num_rows:
-                ready.append(pa.RecordBatch.from_arrays([done.column(1), done.column(2)], names=["a", "b"]))
-            yield batch.filter(batch.column(2).is_null()).select([0, 1])
-
-    ready: list[pa.RecordBatch] = []
-    for pairs in _chain(entries(batches)):
-        yield from ready
-        ready.clear()
-        yield pairs
-    yield from ready
-
-
 def one_per_group(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stand for their group: those of the smallest doc_id; rows of a null doc_id stay."""
     gone = cut(components(docs, k, num, den).where("doc_id != component_id").select("doc_id").distinct())

@@ -119,6 +119,55 @@ def test_linked_sets_share_an_entry(seed, share, n):
         assert np.intersect1d(jaccard._subset_entries(rule, a), jaccard._subset_entries(rule, b)).size
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 2 ** 32), st.integers(1, 300), st.integers(0, 60), st.integers(0, 60))
+def test_sketch_never_rejects_a_link(seed, n, gone, extra):
+    rng = np.random.default_rng(seed)
+    rule = jaccard.Rule(3, 80, 100)
+    a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+    b = np.unique(np.r_[a[gone:], rng.integers(0, 2 ** 63, extra).astype(np.uint64)])
+    both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+    possible = len(b) > 0 and jaccard.may_link(rule, len(a), len(b), jaccard.sketch(a), jaccard.sketch(b))
+    if len(b) and rule.den * both >= rule.num * either:
+        assert possible
+    other = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+    if n > 150:
+        assert not jaccard.may_link(rule, len(a), len(other), jaccard.sketch(a), jaccard.sketch(other))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 80)), max_size=200), st.integers(1, 40), st.booleans())
+def test_lists_meet_over_batches(rows, batch_rows, marked):
+    """Short lists give all their pairs, long or marked ones a chain, however the rows are cut into batches."""
+    rows = sorted(rows)
+    marks = [marked and k == 3 for k, _ in rows]
+    batches = []
+    for at in range(0, len(rows), batch_rows):
+        part = rows[at:at + batch_rows]
+        batches.append(pa.RecordBatch.from_arrays([
+            pa.array([k for k, _ in part], pa.int64()), pa.array([i for _, i in part], pa.int64()),
+            pa.array([i if m else None for (_, i), m in zip(part, marks[at:at + batch_rows])], pa.int64())],
+            names=["key", "id", "centre"]))
+    got = [r for b in jaccard._meet(iter(batches)) for r in zip(*[c.to_pylist() for c in b.columns])]
+    for key in {k for k, _ in rows}:
+        ids = [i for k, i in rows if k == key]
+        if len(ids) <= jaccard.SHORT_LIST and not (marked and key == 3):
+            for i, j in itertools.combinations(sorted(set(ids)), 2):
+                assert (j, i, False) in got
+        else:
+            parent = {i: i for i in ids}
+
+            def root(i):
+                while parent[i] != i:
+                    i = parent[i]
+                return i
+
+            for a, b, sure in got:
+                if sure and a in parent and b in parent:
+                    parent[root(a)] = root(b)
+            assert len({root(i) for i in ids}) == 1
+
+
 def test_boundary_follows_cost():
     rule = jaccard.Rule(3, 90, 100)
     small = jaccard.choose_boundary(rule, {n: 100 for n in range(1, 15)})
