@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -66,18 +67,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cut_and_free(df: DataFrame) -> DataFrame:
-    """``cut`` for the result of a large shuffle: its files are no longer needed.
+def free_shuffles(spark: SparkSession) -> None:
+    """Gives back the files of finished shuffles; call it after ``cut`` of a large one.
 
     Spark removes them once the driver's garbage collector has seen that nothing
     refers to the shuffle; asking for that now frees the disks for the next step.
+    Twice, because what the first collection finalises still refers to it.
     """
-    out = cut(df)
-    spark = df.sparkSession
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return out
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def running_total(lengths: Column) -> Column:

@@ -16,7 +16,7 @@ possible partners' sizes.  The boundary is the one with the lowest cost, weighte
 written, summed over the sizes of all sets (``choose_boundary``).
 
 A short list (``SHORT_LIST`` sets at most) gives its pairs, which are held against a sketch:
-shingle counts in about n/4 buckets, whose sum of minima bounds the intersection from above.
+shingle counts in about n/6 buckets, whose sum of minima bounds the intersection from above.
 What fails the bound cannot link.  A longer list is chained to one centre instead, so that it
 costs as many rows as it has sets, never their pairs; a list that is long within one batch is
 chained before the shuffle.  The components of chains and remaining pairs (families) hold
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, cut_and_free
+from .common import connected_components, cut, free_shuffles
 from .shingles import mix, shingle_sets
 
 SHORT_LIST = 16             # longest list that gives pairs (at most 7.5 rows per entry)
@@ -304,8 +304,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """Counts of a set's shingles in a power of 2 of hash ranges, 2 to 4 shingles each; 255 means "that or more"."""
-    bits = max(0, (max(len(s), 1) - 1).bit_length() - 2)
+    """Counts of a set's shingles in a power of 2 of hash ranges, 4 to 8 shingles each; 255 means "that or more"."""
+    bits = max(0, (max(len(s), 1) - 1).bit_length() - 3)
     part = (mix(s ^ U(0x2545F4914F6CDD1D)) >> U(63 - bits) >> U(1)).astype(np.int64)
     return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8)
 
@@ -470,11 +470,13 @@ def components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> Da
 
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
     entries = texts.mapInArrow(_entries(rule, boundary), ENTRIES)
-    met = cut_and_free(entries.repartition(parts, "key").sortWithinPartitions("key", "id").mapInArrow(_meet, MEETINGS).distinct())
+    met = cut(entries.repartition(parts, "key").sortWithinPartitions("key", "id").mapInArrow(_meet, MEETINGS).distinct())
+    free_shuffles(docs.sparkSession)
     side = lambda x: some.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     possible = met.where("NOT sure").join(side("a"), "a").join(side("b"), "b") \
         .select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_keep_possible(rule), "a long, b long")
     chains = cut(met.where("sure").select("a", "b").union(possible))
+    free_shuffles(docs.sparkSession)
 
     # equal sets are linked as they are, and stand for each other in the comparison
     first = cut(some.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("centre")))
