@@ -48,7 +48,7 @@ from assay.sources.tables import read_table  # noqa: E402
 # The training-data operators are optional: their folders may be absent.  Only their
 # own absence is tolerated, an import that fails inside them is an error.
 try:
-    from assay.llm import registry as _llm
+    import assay.llm.registry as _llm
 except ModuleNotFoundError as missing:
     if missing.name not in ("assay.llm", "assay.llm.registry"):
         raise
