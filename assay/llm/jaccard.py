@@ -480,7 +480,8 @@ def components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> Da
 
     # equal sets are linked as they are, and stand for each other in the comparison
     first = cut(some.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("centre")))
-    equal = cut(some.join(first, ["h1", "h2", "n_shingles"]).where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")))
+    equal = cut(some.join(first, ["h1", "h2", "n_shingles"]).where("id != centre")
+                .select(F.col("id").alias("a"), F.col("centre").alias("b")))
     families = connected_components(chains.union(equal))
     # one member per distinct set, in families of at least two sets (an id with several sets stays)
     single = some.groupBy("id").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x = y").select("id")

@@ -49,16 +49,15 @@ def _located(text: str, pattern: str) -> list[Column]:
     return [pieces, F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))]
 
 
-def _spans(pieces: str, hits: str, kind: int) -> Column:
-    """All matches as spans, from the lengths of what lies between and within them."""
-    n = F.size(hits)
-    ends = F.col(f"{hits}_ends")
+def _spans(hits: str, kind: int) -> Column:
+    """All matches as spans, from where they end."""
     return F.when(F.col(hits).isNull(), _empty()).otherwise(F.zip_with(
-        ends, hits, lambda e, h: F.struct(
+        f"{hits}_ends", hits, lambda e, h: F.struct(
             (e - F.length(h)).alias("start"), e.alias("end"), F.lit(kind).alias("kind")))).cast(SPAN)
 
 
 def _ends(pieces: str, hits: str) -> Column:
+    """Where the matches end, from the lengths of what lies between and within them."""
     steps = F.zip_with(F.slice(pieces, F.lit(1), F.size(hits)), hits, lambda p, h: p + F.length(h))
     return F.when(F.col(hits).isNotNull(), running_total(steps))
 
@@ -67,7 +66,7 @@ def _with_spans(df: DataFrame, name: str, pattern: str, kind: int) -> DataFrame:
     pieces, hits = _located("text", pattern)
     df = df.withColumns({f"{name}_pieces": pieces, f"{name}_hits": hits})
     df = df.withColumn(f"{name}_hits_ends", _ends(f"{name}_pieces", f"{name}_hits"))
-    return df.withColumn(f"{name}_all", _spans(f"{name}_pieces", f"{name}_hits", kind))
+    return df.withColumn(f"{name}_all", _spans(f"{name}_hits", kind))
 
 
 # --------------------------------------------------------------------------

@@ -13,7 +13,8 @@ def corpus(n, seed=1):
     rnd = random.Random(seed)
     rows, labels = [], []
     for i in range(n):
-        words = ["".join(rnd.choice(["th", "an", "re", "on", "er"]) for _ in range(rnd.randrange(1, 4))) for _ in range(rnd.randrange(5, 250))]
+        words = ["".join(rnd.choice(["th", "an", "re", "on", "er"]) for _ in range(rnd.randrange(1, 4)))
+                 for _ in range(rnd.randrange(5, 250))]
         good = i % 3 != 0
         at = rnd.randrange(len(words))
         if not good:
