@@ -8,8 +8,8 @@ all its positions.  Ranks that occur are taken in ascending order: every occurre
 pair is merged, left to right, and only the lists of the pairs beside it change.  A merge
 makes a token that was learned later than the pair, so each rank is taken once.
 
-Memory per task: the index of one batch of pieces (``BATCH_PIECES``) and a table of at most
-``CACHE_PIECES`` encoded pieces; pieces beyond that are encoded again when they return.
+Memory per task: the index of one batch of pieces (``BATCH_PIECES``), and a table of encoded
+pieces that starts anew, between rounds of texts, beyond ``CACHE_PIECES``.
 
 Defined results: a null text is empty; an empty text has no tokens; rows are encoded each on
 its own; other columns are ignored.
@@ -20,9 +20,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -34,10 +35,10 @@ from pyspark.sql import functions as F
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-BATCH_PIECES = 50_000
-CACHE_PIECES = 400_000
-TEXT_ROWS = 512     # texts per round
-LONG_PIECE = 64     # longer pieces are not kept in the table
+BATCH_PIECES = 400_000      # pieces of one index
+CACHE_PIECES = 400_000      # pieces (and characters) after which the table starts anew
+CACHE_CHARS = 1 << 24
+TEXT_ROWS = 4096            # texts per round
 SHIFT, MASK = 20, (1 << 20) - 1     # two token ids in one number
 
 
@@ -66,24 +67,32 @@ class Vocabulary:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.ranks[ids[left] << SHIFT | ids[right]] = rank
             self.merged.append(ids[left + right])
-        self.pair_keys = np.sort(np.fromiter(self.ranks, np.int64, len(self.ranks)))
+        keys = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], np.fromiter(self.ranks.values(), np.int64, len(keys))[order]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token_bytes |= {i: t.encode() for t, i in self.special.items()}
         marks = sorted(self.special, key=len, reverse=True)
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
         self.pieces = regex.compile(PATTERN)
 
-    def _pairs(self, ids: np.ndarray, last: np.ndarray) -> dict[int, list[int]]:
-        """The index: each mergeable pair to its positions, ascending; ``last`` are the pieces' last positions."""
-        keys = ids[:-1] << SHIFT | ids[1:]
-        keys[last[:-1]] = -1
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        places = np.flatnonzero(self.pair_keys[at] == keys)
-        if not len(places):
-            return {}
-        places = places[np.argsort(keys[places], kind="stable")]
-        found, first = np.unique(keys[places], return_index=True)
-        return {k: p.tolist() for k, p in zip(found.tolist(), np.split(places, first[1:]), strict=True)}
+    def _add(self, index: dict[int, list[np.ndarray]], active: list, keys: np.ndarray, at: np.ndarray) -> None:
+        """Puts the positions of mergeable pairs into the index; pairs that are new there become active."""
+        place = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        known = np.flatnonzero(self.pair_keys[place] == keys)
+        if not len(known):
+            return
+        known = known[np.argsort(place[known], kind="stable")]
+        place, at = place[known], at[known]
+        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+        starts, ends = first.tolist(), [*first[1:].tolist(), len(place)]
+        some = place[first]
+        for key, rank, x, y in zip(self.pair_keys[some].tolist(), self.pair_ranks[some].tolist(), starts, ends, strict=True):
+            if key in index:
+                index[key].append(at[x:y])
+            else:
+                index[key] = [at[x:y]]
+                heapq.heappush(active, (rank, key))
 
     def encode_pieces(self, pieces: list[str]) -> list[tuple[int, ...]]:
         """Token ids of each piece, all merged together through one pair occurrence index."""
@@ -97,43 +106,42 @@ class Vocabulary:
         stops = np.cumsum(alive)[ends - 1].tolist()
         return [tuple(ids[a:b]) for a, b in zip([0, *stops], stops)]
 
-    def _merge(self, flat: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Applies the active ranks in ascending order; a token merged into its left neighbour becomes -1."""
-        n, ranks, merged = len(flat), self.ranks, self.merged
-        ends = set(last.tolist())
-        index = self._pairs(flat, last)
-        ids, left, right = flat.tolist(), list(range(-1, n - 1)), list(range(1, n + 1))
-        for i in ends:
-            right[i] = -1
-            if i + 1 < n:
-                left[i + 1] = -1
-        active = [(ranks[key], key) for key in index]
-        heapq.heapify(active)
+    def _merge(self, ids: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Applies the active ranks in ascending order; a token merged into its left neighbour becomes -1.
+
+        ``left`` and ``right`` link each token to its neighbours in the piece.  The
+        index maps a pair to all its positions; a position that an earlier merge has
+        used is found out when its pair's turn comes.
+        """
+        n = len(ids)
+        left, right = np.arange(-1, n - 1), np.arange(1, n + 1)
+        right[last] = -1
+        left[last[:-1] + 1] = -1
+        index: dict[int, list[np.ndarray]] = {}
+        active: list[tuple[int, int]] = []
+        at = np.flatnonzero(right >= 0)
+        self._add(index, active, ids[at] << SHIFT | ids[at + 1], at)
         while active:
             rank, key = heapq.heappop(active)
-            a, b, new = key >> SHIFT, key & MASK, merged[rank]
-            for i in sorted(index.pop(key)):
-                j = right[i]
-                if ids[i] != a or j < 0 or ids[j] != b:
-                    continue  # an earlier merge has used one of the two
-                ids[i], ids[j] = new, -1
-                right[i] = after = right[j]
-                before = left[i]
-                if after >= 0:
-                    left[after] = i
-                    if (beside := ranks.get(pair := new << SHIFT | ids[after])) is not None:
-                        if pair in index:
-                            index[pair].append(i)
-                        else:
-                            index[pair] = [i]
-                            heapq.heappush(active, (beside, pair))
-                if before >= 0 and (beside := ranks.get(pair := ids[before] << SHIFT | new)) is not None:
-                    if pair in index:
-                        index[pair].append(before)
-                    else:
-                        index[pair] = [before]
-                        heapq.heappush(active, (beside, pair))
-        return np.array(ids, np.int64)
+            a, b, new = key >> SHIFT, key & MASK, self.merged[rank]
+            at = np.unique(np.concatenate(index.pop(key)))
+            beside = right[at]
+            here = (ids[at] == a) & (beside >= 0) & (ids[beside] == b)
+            at, beside = at[here], beside[here]
+            if a == b and len(at) > 1:  # in a run of one token every second place is taken, from the left
+                start = np.r_[True, at[1:] != beside[:-1]]
+                nth = np.arange(len(at))
+                odd = (nth - np.maximum.accumulate(np.where(start, nth, 0))) % 2 == 1
+                at, beside = at[~odd], beside[~odd]
+            ids[at], ids[beside] = new, -1
+            after, before = right[beside], left[at]
+            right[at] = after
+            more = after >= 0
+            left[after[more]] = at[more]
+            less = before[before >= 0]
+            self._add(index, active, np.concatenate([new << SHIFT | ids[after[more]], ids[less] << SHIFT | new]),
+                      np.concatenate([at[more], less]))
+        return ids
 
     def split(self, text: str) -> list[str]:
         """Pieces of a text; special tokens are pieces of their own."""
@@ -158,23 +166,26 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.known: dict[str, tuple[int, ...]] = {t: (i,) for t, i in vocab.special.items()}
+        self._clear()
+
+    def _clear(self) -> None:
+        """Numbers of the pieces met (given out as they come), and the tokens of each number."""
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.tokens: list[tuple[int, ...]] = []
+        self.size = 0
+        for text, i in self.vocab.special.items():
+            self.number[text]
+            self.tokens.append((i,))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        split = [self.vocab.split(t) for t in texts]
-        known = self.known
-        seen: set[str] = set().union(*split)
-        if len(known) + len(seen) > CACHE_PIECES:   # keep what this round needs
-            known = self.known = {p: known[p] for p in seen if p in known} | {t: (i,) for t, i in self.vocab.special.items()}
-        fresh = [p for p in seen if p not in known]
+        if len(self.tokens) > CACHE_PIECES or self.size > CACHE_CHARS:
+            self._clear()
+        numbers = [list(map(self.number.__getitem__, self.vocab.split(t))) for t in texts]
+        fresh = list(islice(self.number, len(self.tokens), None))
+        self.size += sum(map(len, fresh))
         for i in range(0, len(fresh), BATCH_PIECES):
-            part = fresh[i:i + BATCH_PIECES]
-            known.update(zip(part, self.vocab.encode_pieces(part), strict=True))
-        out = [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in split]
-        for p in fresh:
-            if len(p) > LONG_PIECE:
-                del known[p]
-        return out
+            self.tokens += self.vocab.encode_pieces(fresh[i:i + BATCH_PIECES])
+        return [list(chain.from_iterable(map(self.tokens.__getitem__, x))) for x in numbers]
 
 
 SCHEMA = "n_tokens long, ids_sha256 string, decoded_sha256 string"
