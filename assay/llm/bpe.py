@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-BATCH_PIECES = 400_000      # pieces of one index
+BATCH_PIECES = 60_000       # pieces of one index
 CACHE_PIECES = 400_000      # pieces (and characters) after which the table starts anew
 CACHE_CHARS = 1 << 24
-TEXT_ROWS = 4096            # texts per round
+TEXT_ROWS = 1024            # texts per round
 SHIFT, MASK = 20, (1 << 20) - 1     # two token ids in one number
 
 
