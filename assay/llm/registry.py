@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, decontam, jaccard, linededup, quality, reshard, secrets, topk, warc
+from . import bpe, chat, decontam, jaccard, lexical, linededup, quality, reshard, secrets, topk, warc, whiten
 from .common import scratch_path, table
+from .sql import ORACLE_SQL  # noqa: F401
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,14 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"), limit=32)
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_chat": op2_chat,
@@ -110,6 +119,6 @@ QUERIES = {
     "op8_linededup": op8_linededup,
     "op9_decontam": op9_decontam,
     "op10_topk": op10_topk,
+    "op11_whiten": op11_whiten,
+    "op13_lexical": op13_lexical,
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -30,9 +30,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _word_hashes(data: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and byte place of each word; ``doc_starts`` are the texts' first bytes (ascending)."""
-    inside = _IS_WORD[data]
+def word_hashes(data: np.ndarray, doc_starts: np.ndarray, word_bytes: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and byte place of each run of ``word_bytes``; ``doc_starts`` are the texts' first bytes (ascending)."""
+    inside = word_bytes[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     at = doc_starts[doc_starts < len(data)]
@@ -50,7 +50,7 @@ def _word_hashes(data: np.ndarray, doc_starts: np.ndarray) -> tuple[np.ndarray,
 
 
 def _sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, k: int) -> Iterator[np.ndarray]:
-    words, places = _word_hashes(data, starts)
+    words, places = word_hashes(data, starts)
     low, high = np.searchsorted(places, starts), np.searchsorted(places, ends)
     joined = np.zeros(max(len(words) - k + 1, 0), np.uint64)
     for j in range(k if len(joined) else 0):

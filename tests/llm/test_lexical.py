@@ -1,0 +1,90 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from assay.llm import lexical
+
+from .edge import EDGE, PROSE, docs, lower, table
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall(lower(text or ""))
+
+
+def expected(rows, items, k=10):
+    counts = [(i, Counter(terms(t))) for i, t in rows]
+    n_docs, total = sum(1 for _, c in counts if c), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    wanted = {}
+    for i, t in items:
+        wanted.setdefault(i, set()).update(terms(t))
+    out = []
+    for item, ts in wanted.items():
+        scored = []
+        for i, c in counts:
+            n = sum(c.values())
+            if n:
+                m = 10 + 90 * n * n_docs // total
+                s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10 ** 9 * c[t] // (1000 * c[t] + 8 * m))
+                        for t in ts if c[t])
+                if s > 0:
+                    scored.append((-s, i is None, i or 0, i))
+        out += [(item, r + 1, i, -s) for r, (s, _, _, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=str)
+
+
+def run(spark, rows, items, k=10, parts=3):
+    items = table(spark, [(i, t, "x", 1) for i, t in items], "item_id long, text string, item string, rank int")
+    return sorted(map(tuple, lexical.search(docs(spark, rows).repartition(parts), items, k).collect()), key=str)
+
+
+def prose(seed, n):
+    rnd = random.Random(seed)
+    words = ["the", "of", "x1", "É", "日本", "a-b", "Q", "z_9"] + [f"w{i}" for i in range(60)]
+    return [(i * 7 % 1009, " ".join(rnd.choices(words, k=rnd.choice([1, 5, 40, 200])))) for i in range(n)]
+
+
+ITEMS = [(1, "the of w1 w2"), (2, None), (3, ""), (4, PROSE), (5, "É 日本 w7"), (5, "w8"), (6, "never-seen"), (None, "w9 z_9"), (8, "x1 the The tHE")]
+
+
+def test_equals_brute_force(spark):
+    rows = prose(1, 300) + EDGE
+    assert run(spark, rows, ITEMS) == expected(rows, ITEMS)
+
+
+def test_small_blocks_and_many_packs(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "INDEX_BYTES", 400)
+    rows = prose(2, 120) + [(5000 + i, "w1 w2 w3") for i in range(40)]      # ties
+    got = run(spark, rows, ITEMS, 3, parts=1)
+    assert got == expected(rows, ITEMS, 3)
+
+
+def test_empty_tables(spark):
+    assert run(spark, [], ITEMS) == [] and run(spark, prose(3, 5), []) == [] and run(spark, [(1, None)], ITEMS) == []
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 2 ** 32), st.integers(1, 4), st.integers(1, 5), st.integers(1, 60))
+def test_heaps_keep_the_best(seed, k, items, n):
+    rng = np.random.default_rng(seed)
+    scores, ids, null = rng.integers(0, 6, (n, items)), rng.permutation(n), rng.random(n) < 0.1
+    heaps, at = lexical.Heaps(items, k), 0
+    while at < n:
+        step = int(rng.integers(1, 20))
+        heaps.update(scores[at:at + step], ids[at:at + step], null[at:at + step])
+        at += step
+    for item in range(items):
+        best = sorted((-int(s), bool(z), int(i)) for s, i, z in zip(scores[:, item], ids, null) if s > 0)[:k]
+        mine = heaps.item == item
+        assert list(zip((-heaps.score[mine]).tolist(), heaps.null[mine].tolist(), heaps.id[mine].tolist())) == best
+
+
+def test_long_numbers():
+    assert lexical.lengths_part(np.array([10 ** 7, 3]), 10 ** 11, 10 ** 13).tolist() == [10 + 90 * 10 ** 5, 12]
