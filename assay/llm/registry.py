@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat, decontam, jaccard, lexical, linededup, quality, reshard, secrets, topk, warc, whiten
+from . import bpe, chat, decontam, jaccard, lexical, linededup, quality, reshard, secrets, setsketch, topk, warc, whiten
 from .common import scratch_path, table
 from .sql import ORACLE_SQL  # noqa: F401
 
@@ -104,6 +104,10 @@ def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.whiten(table(spark, sf_dir, "embeddings"), limit=32)
 
 
+def op12_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), k=2, num=80, den=100)
+
+
 def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
@@ -120,5 +124,6 @@ QUERIES = {
     "op9_decontam": op9_decontam,
     "op10_topk": op10_topk,
     "op11_whiten": op11_whiten,
+    "op12_setsketch": op12_setsketch,
     "op13_lexical": op13_lexical,
 }
