@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
-import time
 import uuid
 from pathlib import Path
 
@@ -13,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import SessionConfigError
+from ..plans.publish import drop_staging
 from ..session import checkpoint_root
 
 
@@ -67,17 +66,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Gives back the files of finished shuffles; call it after ``cut`` of a large one.
+class Tables:
+    """Written tables below the shared folder that cut the lineage, with their real sizes as statistics.
 
-    Spark removes them once the driver's garbage collector has seen that nothing
-    refers to the shuffle; asking for that now frees the disks for the next step.
-    Twice, because what the first collection finalises still refers to it.
+    A chain of checkpointed joins carries estimates that square with every step; Parquet files are measured.  ``drop``
+    removes what is not needed any more; what a returned DataFrame still reads has to stay.
     """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "table")
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            if id(t) in self.paths:
+                drop_staging(self.spark, self.paths.pop(id(t))[1])
+
+    def drop_but(self, *tables: DataFrame) -> None:
+        keep = {id(t) for t in tables}
+        self.drop(*[t for t, _ in list(self.paths.values()) if id(t) not in keep])
 
 
 def running_total(lengths: Column) -> Column:
@@ -110,18 +123,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     sides written first so that a node that holds a third of all edges is split.
     Done when every node has one parent and a large star changes nothing.
     """
-    edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    tables = Tables(edges.sparkSession)
+    edges = tables.write(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(edges)
     while state[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        edges = cut(_star(both, larger_only=True))      # large star: every larger neighbour to the least neighbour
+        edges = _star(both, tables, larger_only=True)       # large star: every larger neighbour to the least neighbour
         new = _state(edges)
         if new == state and new[0] == new[1]:
             break
-        edges = cut(_star(edges, larger_only=False))    # small star: every smaller neighbour too
+        edges = _star(edges, tables, larger_only=False)     # small star: every smaller neighbour too
         state = _state(edges)
     members = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return members.union(members.select(F.col("component").alias("node"), "component")).distinct()
+    return members.union(members.select(F.col("component").alias("node"), "component").distinct())
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -131,12 +145,14 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"] or 0, row["nodes"], row["h"]
 
 
-def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
-    least = cut(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+def _star(edges: DataFrame, tables: Tables, larger_only: bool) -> DataFrame:
+    least = tables.write(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     joined = edges.join(least, "a")
     if larger_only:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b")))
-    return out.where("a != b").distinct()
+    out = tables.write(out.where("a != b").distinct())
+    tables.drop_but(out)
+    return out

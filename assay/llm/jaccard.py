@@ -5,24 +5,18 @@ least ``num / den``; components of the links are returned.
 
 Small sets (fewer than a boundary ``x`` shingles) list their subsets of the sizes that a
 partner can share: two small sets that link share one of them.  Beyond, the number of
-subsets explodes, and sets are looked up in inverted lists instead.  Lists of single
-shingles would have to hold every shingle of the corpus, and the list of a passage that
-thousands of unrelated documents share would be squared; so the entries are blocks: for sets
-of a size class whose linked partners differ in ``e`` shingles at most, the shingle hashes
-are dealt over ``e + 1`` blocks (and some to spare), and of two linked sets one block at
-least is equal.  (Where blocks would be smaller than about 7 shingles they are coarser, half
-as many and cut in 3, and an entry is 2 of the 3, since one difference spares two.)  A set lists itself in the classes of all its
-possible partners' sizes.  The boundary is the one with the lowest cost, weighted rows
-written, summed over the sizes of all sets (``choose_boundary``).
-
-A short list (``SHORT_LIST`` sets at most) gives its pairs, which are held against a sketch:
-shingle counts in about n/6 buckets, whose sum of minima bounds the intersection from above.
-What fails the bound cannot link.  A longer list is chained to one centre instead, so that it
-costs as many rows as it has sets, never their pairs; a list that is long within one batch is
-chained before the shuffle.  The components of chains and remaining pairs (families) hold
-every link.  Equal sets of a family shrink to one; a family is then compared in cells of at
-most about ``CELL_SETS`` x ``CELL_SETS`` sets, each cell counting all intersections in numpy
-and returning a spanning forest of its links.
+subsets explodes, and sets meet in inverted lists of single shingles.  Two sets that share ``o``
+shingles have one in common among the ``n - o + 1`` first of each, in any order of all shingles; the
+order here is by rarity, so the lists that are scanned are short and a passage that thousands of documents
+share stands last.  Sets of at least num/den of the boundary are in the lists too, since large ones look for
+them there.  The boundary is the one with the lowest cost, weighted rows written, summed over the sizes of all sets
+(``choose_boundary``).
+
+Rarity comes from one pass that counts all shingles in ``2 ** RARITY_BITS`` counters (a byte each, on a
+logarithmic scale, so a broadcast of one fixed size).  It only orders shingles: what shares a counter costs longer lists, never a link.
+
+Lists are compared by stars and cells (``links``): no list gives all its pairs.  Before two texts are compared, a sketch has to
+allow the link: shingle counts in about n/6 buckets, whose sum of minima bounds the intersection from above.  Equal sets count as one.
 
 Defined results: null, empty and word-free texts have an empty set, link with nothing and
 are their own component; a null doc_id has a null component; rows that share a doc_id are
@@ -40,15 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, free_shuffles
+from . import links
+from .common import Tables
 from .shingles import mix, shingle_sets
 
-SHORT_LIST = 16             # longest list that gives pairs (at most 7.5 rows per entry)
-CELL_SETS = 128             # sets on a side of a cell, about
-CELL_SHINGLES = 1 << 16     # shingles on a side of a cell, about
 MOST_SUBSET_SIZE = 64       # boundaries beyond this are hopeless: a set of 64 has millions of subsets
 LIST_WEIGHT = 4             # a list entry against a subset: other sets meet in it too, and have to be compared
-LEVELS = 6                  # how often a set with too many empty blocks is dealt anew
+RARITY_BITS = 20
+SLICES = 64                 # in which the counters travel
 
 
 class Rule:
@@ -58,7 +51,6 @@ class Rule:
         if not 0 < num <= den:
             raise ValueError("0 < num <= den")
         self.k, self.num, self.den = k, num, den
-        self._ends = [1]    # largest size of each class; a class spans what a linked pair can
 
     def least_overlap(self, n: int, m: int) -> int:
         return -(-self.num * (n + m) // (self.num + self.den))
@@ -67,47 +59,15 @@ class Rule:
         """Sizes that a set of ``n`` can link with."""
         return range(-(-self.num * n // self.den), self.den * n // self.num + 1)
 
-    def most_difference(self, largest: int) -> int:
-        """Shingles in one of two linked sets only, both of at most ``largest``."""
-        return 2 * largest * (self.den - self.num) // (self.num + self.den)
-
     def subset_sizes(self, n: int) -> list[int]:
         return sorted({self.least_overlap(n, m) for m in self.partners(n) if self.least_overlap(n, m) <= min(n, m)})
 
     def subset_rows(self, n: int) -> int:
         return sum(comb(n, s) for s in self.subset_sizes(n))
 
-    def classes(self, n: int) -> range:
-        """Size classes that a set of ``n`` is listed in: its own and those of larger partners."""
-        return range(self.size_class(n), self.size_class(self.den * n // self.num) + 1)
-
-    def size_class(self, n: int) -> int:
-        return int(np.searchsorted(self._bounds(n), n))
-
-    def class_end(self, c: int) -> int:
-        while len(self._ends) <= c:
-            self._grow()
-        return self._ends[c]
-
-    def _bounds(self, n: int) -> list[int]:
-        while self._ends[-1] < n:
-            self._grow()
-        return self._ends
-
-    def _grow(self) -> None:
-        start = self._ends[-1] + 1
-        self._ends.append(max(start, self.den * start // self.num))
-
-    def blocks(self, c: int) -> tuple[int, int, bool]:
-        """Of a class: how many blocks have to be full of shingles, how many more there are, and whether each is cut in 3."""
-        end = self.class_end(c)
-        e = self.most_difference(end)
-        three = end * self.num < 7 * self.den * (e + 1) and e > 0
-        need = -(-(e + 1) // 2) if three else e + 1
-        return need, 1 + need // (8 if three else 32), three
-
-    def list_rows(self, n: int) -> int:
-        return sum((need + spare) * (3 if three else 1) for need, spare, three in map(self.blocks, self.classes(n)))
+    def prefix(self, n: int) -> int:
+        """How many of its rarest shingles a set of ``n`` lists: all but one fewer than it shares with any partner."""
+        return n - self.least_overlap(n, self.partners(n)[0]) + 1
 
 
 def choose_boundary(rule: Rule, histogram: dict[int, int]) -> int:
@@ -118,7 +78,7 @@ def choose_boundary(rule: Rule, histogram: dict[int, int]) -> int:
     """
     def cost(x: int) -> int:
         low = -(-rule.num * x // rule.den)
-        return sum(count * ((rule.subset_rows(n) if n < x else 0) + (LIST_WEIGHT * rule.list_rows(n) if n >= low else 0))
+        return sum(count * ((rule.subset_rows(n) if n < x else 0) + (LIST_WEIGHT * rule.prefix(n) if n >= low else 0))
                    for n, count in histogram.items())
 
     # what lies beyond the largest boundary costs the same for all
@@ -126,12 +86,88 @@ def choose_boundary(rule: Rule, histogram: dict[int, int]) -> int:
 
 
 # --------------------------------------------------------------------------
-# entries
+# rarity
 # --------------------------------------------------------------------------
 
 U = np.uint64
 
 
+def _counter(s: np.ndarray) -> np.ndarray:
+    return (mix(s ^ U(0x9D8A7C6B5E4F3021)) >> U(64 - RARITY_BITS)).astype(np.int64)
+
+
+def _to_byte(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.rint(6 * np.log2(1 + counts)), 255).astype(np.uint8)
+
+
+def _from_byte(codes: np.ndarray) -> np.ndarray:
+    return np.exp2(codes / 6.0) - 1
+
+
+def _count(k: int):
+    """Per task the counters of its shingles in slices, and (slice -1) its sets by size, those of up to twice the largest boundary."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sizes = np.zeros(1 << RARITY_BITS), np.zeros(2 * MOST_SUBSET_SIZE + 1, np.int64)
+        for batch in batches:
+            held, some = [], 0
+            for s in shingle_sets(batch.column(0), k):
+                held.append(s)
+                some += len(s)
+                if len(s) < len(sizes):
+                    sizes[len(s)] += 1
+                if some > 1 << 20:
+                    counts += np.bincount(_counter(np.concatenate(held)), minlength=len(counts))
+                    held, some = [], 0
+            if held:
+                counts += np.bincount(_counter(np.concatenate(held)), minlength=len(counts))
+        parts = [(i, p.tobytes()) for i, p in enumerate(np.split(_to_byte(counts), SLICES)) if p.any()]
+        if sizes.any():
+            parts.append((-1, sizes.tobytes()))
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([b for _, b in parts], pa.binary())],
+                                             names=["slice", "counts"])
+    return run
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by slice to one row per slice."""
+    at, total = None, None
+
+    def row() -> pa.RecordBatch:
+        out = total if at < 0 else _to_byte(total)
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["slice", "counts"])
+
+    for batch in batches:
+        for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if i != at:
+                if at is not None:
+                    yield row()
+                at, total = i, 0
+            total = total + (np.frombuffer(data, np.int64) if i < 0 else _from_byte(np.frombuffer(data, np.uint8)))
+    if at is not None:
+        yield row()
+
+
+def survey(texts: DataFrame, k: int) -> tuple[np.ndarray, dict[int, int]]:
+    """Rarity of each counter's shingles (bytes), and how many sets have each (small) size."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = "slice int, counts binary"
+    rows = texts.select("text").mapInArrow(_count(k), schema).repartition(parts, "slice").sortWithinPartitions("slice") \
+        .mapInArrow(_add_up, schema).collect()      # SLICES + 1 rows, 1 MB
+    rarity, sizes = np.zeros(1 << RARITY_BITS, np.uint8), np.zeros(0, np.int64)
+    width = len(rarity) // SLICES
+    for r in rows:
+        if r["slice"] < 0:
+            sizes = np.frombuffer(bytes(r["counts"]), np.int64)
+        else:
+            rarity[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(bytes(r["counts"]), np.uint8)
+    return rarity, {n: int(c) for n, c in enumerate(sizes.tolist()) if n and c}
+
+
+# --------------------------------------------------------------------------
+# entries
+# --------------------------------------------------------------------------
+
 def _subset_entries(rule: Rule, s: np.ndarray) -> np.ndarray:
     """Keys of all subsets of the sizes that count; a subset's hash is the sum of its shingles'."""
     n, values = len(s), mix(s + U(0x5851F42D4C957F2D))
@@ -149,158 +185,19 @@ def _subset_entries(rule: Rule, s: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _block_entries(rule: Rule, s: np.ndarray) -> np.ndarray:
-    """Keys of the set's blocks in each class it is listed in.
-
-    An entry without any shingle says nothing and is not listed.  Of two linked
-    sets' blocks, any ``need`` hold one that is equal (up to one shingle, if cut in
-    3), so it is enough that ``need`` of one set's blocks have no empty entry; there
-    are some to spare.  A set with fewer is dealt anew as a whole, with another
-    seed: if both sets are short of blocks, both are.  The last level lists
-    everything.
-    """
-    out = []
-    for c in rule.classes(len(s)):
-        need, spare, three = rule.blocks(c)
-        count = need + spare
-        cells = count * 3 if three else count
-        for level in range(LEVELS):
-            seed = U((c << 4 | level) + 1)
-            values = mix(s ^ mix(np.array([seed]))[0])
-            part = ((values >> U(32)) * U(cells) >> U(32)).astype(np.int64)
-            sums, sizes = np.zeros(cells, np.uint64), np.bincount(part, minlength=cells)
-            np.add.at(sums, part, mix(values))
-            if three:
-                sums, sizes = sums.reshape(count, 3), sizes.reshape(count, 3)
-                sums = np.stack([sums[:, i] * U(3) + sums[:, j] * U(5) for i, j in ((0, 1), (0, 2), (1, 2))], axis=1).ravel()
-                sizes = np.stack([sizes[:, i] + sizes[:, j] for i, j in ((0, 1), (0, 2), (1, 2))], axis=1).ravel()
-            keys = mix(mix(sums + seed) + np.arange(len(sums), dtype=np.uint64) * U(0xD1342543DE82EF95))
-            full = sizes > 0
-            if level == LEVELS - 1:
-                out.append(keys)
-                break
-            out.append(keys[full])
-            if full.reshape(count, -1).all(axis=1).sum() >= need:
-                break
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
-
-
-ENTRIES = "key long, id long, centre long"
-
-
-def _entries(rule: Rule, boundary: int):
-    """Rows (key, id, centre) of the entries.
-
-    ``centre`` is null for a plain entry.  A key with more than ``SHORT_LIST`` sets
-    in a batch is chained here: one entry goes on, marked long by its own id as
-    centre, and chain rows with another id as centre (their key only deals them out).
-    """
-    low = -(-rule.num * boundary // rule.den)
-
-    def flush(keys: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
-        key = np.concatenate(keys)
-        owner = np.repeat(np.array(ids, np.int64), [len(x) for x in keys])
-        order = np.lexsort((owner, key))
-        key, owner = key[order], owner[order]
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[start, len(key)])
-        long = np.repeat(size > SHORT_LIST, size)
-        centre = np.repeat(owner[start], size)
-        sent = ~long
-        sent[start] = True
-        chained = _distinct(owner[long], centre[long])
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.r_[key[sent], mix(chained[:, 0].astype(np.uint64))].view(np.int64)),
-            pa.array(np.r_[owner[sent], chained[:, 0]]),
-            pa.array(np.r_[centre[sent], chained[:, 1]], mask=np.r_[~long[sent], np.zeros(len(chained), bool)])],
-            names=["key", "id", "centre"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, held = [], [], 0
-        for batch in batches:
-            for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), rule.k), strict=True):
-                n = len(s)
-                if not n:
-                    continue
-                parts = []
-                if n < boundary:
-                    parts.append(_subset_entries(rule, s))
-                if n >= low:
-                    parts.append(_block_entries(rule, s))
-                keys.append(np.concatenate(parts))
-                ids.append(doc_id)
-                held += len(keys[-1])
-                if held >= 400_000:
-                    yield flush(keys, ids)
-                    keys, ids, held = [], [], 0
-        if held:
-            yield flush(keys, ids)
-    return run
-
-
-def _distinct(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distinct rows (larger, smaller) of pairs of different ids."""
-    pairs = np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1)
-    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+def _list_entries(rule: Rule, s: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Keys of the inverted lists of the set's rarest shingles; equally rare ones are ordered by hash."""
+    order = np.lexsort((s, rarity[_counter(s)]))
+    return mix(s[order[:rule.prefix(len(s))]] ^ U(0x3C79AC492BA7B653))
 
 
-MEETINGS = "a long, b long, sure boolean"
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries sorted by key to pairs (not sure) of short lists and chains (sure) of long ones; chain rows pass.
-
-    Holds one batch and at most ``SHORT_LIST`` rows of a list that goes on.
-    """
-    def rows(pairs: np.ndarray, sure: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.full(len(pairs), sure))],
-                                          names=["a", "b", "sure"])
-
-    def short_pairs(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        out = []
-        for n in range(2, SHORT_LIST + 1):
-            at = start[size == n]
-            i, j = np.triu_indices(n, 1)
-            out.append(np.stack([ids[at[:, None] + i].ravel(), ids[at[:, None] + j].ravel()]))
-        both = np.concatenate(out, axis=1)
-        return _distinct(both[0], both[1])
-
-    held_key = held_ids = held_long = None     # the list that the last batch ended in
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        plain = batch.column(2).is_null().to_numpy(zero_copy_only=False)
-        centre = np.where(plain, ids, batch.column(2).fill_null(0).to_numpy())
-        chain = centre != ids
-        if chain.any():
-            yield rows(_distinct(ids[chain], centre[chain]), True)
-        key, ids, mark = key[~chain], ids[~chain], ~plain[~chain]
-        if held_key is not None:
-            key = np.r_[np.full(len(held_ids), held_key), key]
-            mark = np.r_[np.full(len(held_ids), held_long), mark]
-            ids = np.r_[held_ids, ids]
-        if not len(key):
-            continue
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[start, len(key)])
-        long = (size > SHORT_LIST) | (np.add.reduceat(mark, start) > 0)
-        every = np.repeat(long, size)
-        if every.any():
-            chained = _distinct(ids[every], np.repeat(ids[start], size)[every])
-            if len(chained):
-                yield rows(chained, True)
-        done = ~long[:-1]
-        pairs = short_pairs(ids, start[:-1][done], size[:-1][done])
-        if len(pairs):
-            yield rows(pairs, False)
-        at = start[-1]
-        held_key, held_long = key[at], bool(long[-1])
-        held_ids = ids[at:at + 1] if held_long else ids[at:]
-    if held_key is not None and not held_long and len(held_ids) > 1:
-        pairs = short_pairs(held_ids, np.array([0]), np.array([len(held_ids)]))
-        if len(pairs):
-            yield rows(pairs, False)
+def entries(rule: Rule, s: np.ndarray, boundary: int, rarity: np.ndarray) -> np.ndarray:
+    n, parts = len(s), [np.zeros(0, U)]
+    if 0 < n < boundary:
+        parts.append(_subset_entries(rule, s))
+    if n and n >= -(-rule.num * boundary // rule.den):
+        parts.append(_list_entries(rule, s, rarity))
+    return np.concatenate(parts)
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -310,202 +207,79 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8)
 
 
-def may_link(rule: Rule, n: int, m: int, a: np.ndarray, b: np.ndarray) -> bool:
-    """False only if sets of these sizes and sketches cannot link."""
-    if len(a) > len(b):
-        a, b = b, a
-    if a.max() == 255 or b.max() == 255:
-        return True
-    if len(b) > len(a):     # ranges are halves of wider ones
-        b = b.reshape(len(a), -1).sum(axis=1)
-    most = int(np.minimum(a, b).sum())
-    return rule.den * most >= rule.num * (n + m - most)
-
-
-def _keep_possible(rule: Rule):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for a, b, n, m, x, y in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if may_link(rule, n, m, np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)):
-                    out.append((a, b))
-            if out:
-                yield _pairs(out)
-    return run
+def may_link(rule: Rule):
+    """The pairs whose sketches allow an intersection that is large enough; never excludes a link."""
+    def test(n_a: np.ndarray, s_a: list, n_b: np.ndarray, s_b: list) -> np.ndarray:
+        keep = (rule.num * np.maximum(n_a, n_b) <= rule.den * np.minimum(n_a, n_b)) & (np.minimum(n_a, n_b) > 0)
+        widths: dict[tuple[int, int], list[int]] = {}
+        for i in np.flatnonzero(keep).tolist():
+            widths.setdefault((len(s_a[i]), len(s_b[i])), []).append(i)
+        for (w, v), rows in widths.items():
+            step = max(1, (1 << 22) // max(w, v))
+            for at in range(0, len(rows), step):
+                some = rows[at:at + step]
+                a = np.frombuffer(b"".join([s_a[i] for i in some]), np.uint8).reshape(-1, w)
+                b = np.frombuffer(b"".join([s_b[i] for i in some]), np.uint8).reshape(-1, v)
+                open_end = (a.max(axis=1) == 255) | (b.max(axis=1) == 255)
+                low = min(w, v)     # ranges are halves of wider ones
+                a, b = (x.reshape(len(some), low, -1).sum(axis=2, dtype=np.int64) for x in (a, b))
+                most = np.minimum(a, b).sum(axis=1)
+                keep[some] = open_end | (rule.den * most >= rule.num * (n_a[some] + n_b[some] - most))
+        return keep
+    return test
 
 
 # --------------------------------------------------------------------------
-# sets and cells
+# join
 # --------------------------------------------------------------------------
 
-def _sizes(k: int):
+SETS = "id long, n_shingles long, h1 long, h2 long, sketch binary, entries binary"
+
+
+def _sets(rule: Rule, boundary: int, rarity):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, h1, h2, sketches = [], [], [], []
-            for s in shingle_sets(batch.column(1), k):
+            ids, n, h1, h2, sketches, keys = batch.column(0), [], [], [], [], []
+            for s in shingle_sets(batch.column(1), rule.k):
                 n.append(len(s))
-                sketches.append(sketch(s).tobytes())
                 h1.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                 h2.append(int(mix(s ^ U(0xA0761D6478BD642F)).sum(dtype=np.uint64).astype(np.int64)))
+                sketches.append(sketch(s).tobytes())
+                keys.append(entries(rule, s, boundary, rarity.value).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-                 pa.array(sketches, pa.binary())], names=["id", "n_shingles", "h1", "h2", "sketch"])
+                [ids, pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sketches, pa.binary()),
+                 pa.array(keys, pa.binary())], names=["id", "n_shingles", "h1", "h2", "sketch", "entries"])
     return run
 
 
-def _set_rows(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), part.column(3),
-                     pa.array([s.tobytes() for s in shingle_sets(part.column(1), k)], pa.binary())],
-                    names=["id", "family", "cells", "shingles"])
-    return run
-
-
-def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """|A & B| for every A of ``left`` and B of ``right``, by products of 0/1 blocks of shared shingles."""
-    n = len(left)
-    values = np.concatenate([*left, *right])
-    owner = np.repeat(np.arange(n + len(right)), [len(s) for s in (*left, *right)])
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    new = np.r_[True, values[1:] != values[:-1]]
-    column = np.cumsum(new) - 1
-    in_left = np.bincount(column, weights=owner < n) > 0
-    in_right = np.bincount(column, weights=owner >= n) > 0
-    shared = in_left & in_right
-    column = np.where(shared, np.cumsum(shared) - 1, -1)[column]
-    keep = column >= 0
-    column, owner = column[keep], owner[keep]
-    out = np.zeros((n, len(right)), np.float64)
-    width = 4096
-    for at in range(0, int(shared.sum()), width):
-        low, high = np.searchsorted(column, (at, at + width))
-        block = np.zeros((n + len(right), width), np.float32)
-        block[owner[low:high], column[low:high] - at] = 1
-        out += block[:n] @ block[n:].T
-    return out.astype(np.int64)
-
-
-def _forest(rule: Rule, ids: list[int], sets: list[np.ndarray], split: int | None) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets``; with ``split``, of those between the two sides only."""
-    left, right = (sets, sets) if split is None else (sets[:split], sets[split:])
-    if not left or not right:
-        return []
-    both = intersections(left, right)
-    n, m = (np.array([len(s) for s in side], np.int64) for side in (left, right))
-    linked = rule.den * both >= rule.num * (n[:, None] + m[None, :] - both)
-    parent = list(range(len(ids)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    out, shift = [], 0 if split is None else split
-    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
-        a, b = root(i), root(j + shift)
-        if a != b:
-            parent[a] = b
-            out.append((ids[i], ids[j + shift]))
-    return out
-
-
-def _compare(rule: Rule):
-    """Rows sorted by cell, then side: holds one cell at a time."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, ids, sets, split, out = None, [], [], None, []
-
-        def done() -> list[tuple[int, int]]:
-            if cell is None or len(ids) < 2:
-                return []
-            return _forest(rule, ids, sets, None if cell[1] == cell[2] else (len(ids) if split is None else split))
-
-        for batch in batches:
-            for family, a, b, side, doc_id, shingles in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (family, a, b) != cell:
-                    out += done()
-                    cell, ids, sets, split = (family, a, b), [], [], None
-                if side == 1 and split is None:
-                    split = len(ids)
-                ids.append(doc_id)
-                sets.append(np.frombuffer(shingles, np.uint64))
-            if len(out) >= 10_000:
-                yield _pairs(out)
-                out = []
-        out += done()
-        if out:
-            yield _pairs(out)
-    return run
-
-
-def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-# --------------------------------------------------------------------------
-# join
-# --------------------------------------------------------------------------
-
-def sizes(docs: DataFrame, k: int) -> DataFrame:
-    """``id, n_shingles, h1, h2`` (128-bit set hash) and ``sketch`` of every row."""
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text") \
-        .mapInArrow(_sizes(k), "id long, n_shingles long, h1 long, h2 long, sketch binary")
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            keys = [np.frombuffer(k, np.int64) for k in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(part.column(0).to_numpy(), [len(k) for k in keys]))],
+                                             names=["key", "id"])
 
 
 def components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``."""
     rule = Rule(k, num, den)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = cut(sizes(docs, k))
-    some = sized.where("id IS NOT NULL AND n_shingles > 0")
-    histogram = {r["n_shingles"]: r["n"] for r in some.where(F.col("n_shingles") <= 2 * MOST_SUBSET_SIZE)
-                 .groupBy("n_shingles").agg(F.count(F.lit(1)).alias("n")).collect()}  # 128 rows at most
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    rarity, histogram = survey(texts, k)
     boundary = choose_boundary(rule, histogram)
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id IS NOT NULL AND text IS NOT NULL")
-    entries = texts.mapInArrow(_entries(rule, boundary), ENTRIES)
-    met = cut(entries.repartition(parts, "key").sortWithinPartitions("key", "id").mapInArrow(_meet, MEETINGS).distinct())
-    free_shuffles(docs.sparkSession)
-    side = lambda x: some.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-    possible = met.where("NOT sure").join(side("a"), "a").join(side("b"), "b") \
-        .select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_keep_possible(rule), "a long, b long")
-    chains = cut(met.where("sure").select("a", "b").union(possible))
-    free_shuffles(docs.sparkSession)
-
-    # equal sets are linked as they are, and stand for each other in the comparison
-    first = cut(some.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("centre")))
-    equal = cut(some.join(first, ["h1", "h2", "n_shingles"]).where("id != centre")
-                .select(F.col("id").alias("a"), F.col("centre").alias("b")))
-    families = connected_components(chains.union(equal))
-    # one member per distinct set, in families of at least two sets (an id with several sets stays)
-    single = some.groupBy("id").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x = y").select("id")
-    double = cut(equal.select(F.col("a").alias("id")).distinct().join(single, "id"))
-    standing = cut(families.select(F.col("node").alias("id"), F.col("component").alias("family"))
-                   .join(double, "id", "left_anti"))
-    shape = standing.join(some.groupBy("id").agg(F.max("n_shingles").alias("n")), "id") \
-        .groupBy("family").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("total")).where("sets > 1") \
-        .select("family", F.ceil(F.greatest(F.col("sets") / CELL_SETS, F.col("total") / CELL_SHINGLES)).cast("int").alias("cells"))
-    members = cut(standing.join(cut(shape), "family"))
-    rows = texts.join(members, "id").select("id", "text", "family", "cells") \
-        .mapInArrow(_set_rows(k), "id long, family long, cells int, shingles binary")
-    own = F.pmod(F.xxhash64("id"), F.col("cells")).cast("int")
-    dealt = rows.withColumn("own", own).withColumn("other", F.explode_outer(F.sequence(F.lit(0), F.col("cells") - 1))) \
-        .select("family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
-                (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "shingles")
-    cell = ["family", "a", "b"]
-    links = dealt.repartition(parts, *cell).sortWithinPartitions(*cell, "side").mapInArrow(_compare(rule), "a long, b long")
-    groups = cut(connected_components(cut(links).union(equal)))
-    return sized.join(groups, sized["id"] == groups["node"], "left").select(
+    shared = docs.sparkSession.sparkContext.broadcast(rarity)      # 1 MB, whatever the corpus
+    tables = Tables(docs.sparkSession)
+    sets = tables.write(texts.mapInArrow(_sets(rule, boundary, shared), SETS))
+    chosen, equal = links.representatives(sets.where("id IS NOT NULL AND n_shingles > 0"), tables)
+    lists = chosen.select("id", "entries").mapInArrow(_lists, "key long, id long")
+    groups = links.components(lists, chosen.drop("entries"), equal, texts.where("id IS NOT NULL AND text IS NOT NULL"),
+                              k, num, den, may_link(rule))
+    tables.drop(chosen, equal)
+    return sets.select("id", "n_shingles").join(groups, sets["id"] == groups["node"], "left").select(
         F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
 
 
 def one_per_group(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stand for their group: those of the smallest doc_id; rows of a null doc_id stay."""
-    gone = cut(components(docs, k, num, den).where("doc_id != component_id").select("doc_id").distinct())
+    gone = components(docs, k, num, den).where("doc_id != component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

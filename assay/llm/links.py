@@ -6,9 +6,11 @@ key need not link.  A list of g near copies has g * g / 2 pairs, so pairs are ma
 1. *Stars.*  Each list has a leader, its smallest id.  A set is first held against one leader only, the one that
    leads most of its lists; a group of g copies costs g comparisons, and its components come from them.  Then against its
    other leaders, as far as they are in other components.
-2. *Rest.*  A list whose members (other than its leader, which has met all of them) are in one component is done.
-   Of the others, only pairs of different components are left; they are thinned out in cells of
-   ``CELL`` x ``CELL`` members by what the caller knows of each set, and compared.
+2. *More stars.*  A list whose members (other than its leaders, which have met all of them) are in one component is
+   done.  In the others only pairs of different components are left.  While those are many for the lists' members, each
+   list gets ``LEADERS`` more leaders, drawn by hash, as long as that at least halves the pairs.
+3. *Rest.*  The pairs of different components that are left are thinned out in cells of ``CELL`` x ``CELL`` members by
+   what the caller knows of each set, and compared.
 
 Every pair of a list ends up compared, excluded by the caller's bound, or in one component, so no link is lost.
 
@@ -25,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut
+from .common import Tables, connected_components
 from .shingles import shingle_sets
 
 PART_PAIRS = 256    # pairs of one leader in one group of rows, about
 CELL = 512          # members on a side of a cell, about
+LEADERS = 8         # of each list in a later round
+WORTH = 16          # pairs left for each member that make another round of stars worth its jobs
 
 #: (sizes a, sketches a, sizes b, sketches b) to a mask of the pairs that may link; sketches are lists of bytes
 Possible = Callable[[np.ndarray, list, np.ndarray, list], np.ndarray]
@@ -79,15 +83,13 @@ def _verify(k: int, num: int, den: int):
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose texts (id, text) link by their whole sets of ``k``-word shingles."""
+    """The pairs (a, b) of a written table whose texts (id, text) link by their whole sets of ``k``-word shingles."""
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = cut(pairs)
     shares = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PART_PAIRS).cast("int").alias("shares"))
     leaders = shares.select(F.col("b").alias("id"), "b", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("part"), F.lit(0).alias("role"))
     members = pairs.join(shares, "b").select(F.col("a").alias("id"), "b", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int").alias("part"),
                                              F.lit(1).alias("role"))
-    wanted = cut(leaders.unionByName(members))
-    rows = texts.join(wanted, "id").select("b", "part", "role", "id", "text")
+    rows = texts.join(leaders.unionByName(members), "id").select("b", "part", "role", "id", "text")
     return rows.repartition(parts, "b", "part").sortWithinPartitions("b", "part", "role") \
         .mapInArrow(_verify(k, num, den), "a long, b long").distinct()
 
@@ -131,19 +133,35 @@ def _cells(possible: Possible):
     return run
 
 
-def _rest(met: DataFrame, comps: DataFrame, sets: DataFrame, possible: Possible) -> DataFrame:
-    """Pairs of different components in the lists that are not done."""
-    parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = cut(met.where("id != leader").join(comps, F.col("id") == F.col("node"), "left")
-               .select("key", "id", F.coalesce("component", "id").alias("comp")))
-    mixed = left.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n")).where("x < y") \
-        .select("key", F.ceil(F.col("n") / CELL).cast("int").alias("cells"))
-    # lists with the same members would give the same pairs: one of each is enough
-    listed = cut(left.join(mixed, "key").withColumn("h", F.xxhash64("id")))
-    alike = listed.groupBy("key").agg(F.sum(F.col("h").cast("decimal(38,0)")).alias("h"), F.count(F.lit(1)).alias("n"),
-                                      F.bit_xor(F.xxhash64("id", F.lit(7))).alias("x"))
-    chosen = alike.groupBy("h", "n", "x").agg(F.min("key").alias("key")).select("key")
-    rows = listed.drop("h").join(chosen, "key").join(sets.select("id", "n_shingles", "sketch"), "id")
+def _unfinished(members: DataFrame, comps: DataFrame, tables: Tables) -> DataFrame:
+    """``key, id, comp`` of the lists whose members are in several components, and ``n``, ``pairs`` of each list."""
+    left = members.join(comps, F.col("id") == F.col("node"), "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    of_comp = left.groupBy("key", "comp").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    lists = of_comp.groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count(F.lit(1)).alias("comps")) \
+        .where("comps > 1").select("key", "n", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"))
+    return tables.write(left.join(lists, "key"))
+
+
+def _one_of_alike(lists: DataFrame) -> DataFrame:
+    """Lists with the same members would give the same pairs: the rows of one of each."""
+    alike = lists.groupBy("key").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("h"), F.count(F.lit(1)).alias("rows"),
+                                     F.bit_xor(F.xxhash64("id", F.lit(7))).alias("x"))
+    return lists.join(alike.groupBy("h", "rows", "x").agg(F.min("key").alias("key")).select("key"), "key")
+
+
+def _stars(members: DataFrame, seed: int, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """Of each list some members as leaders, ``(key, leader)``, and the pairs (a, b) of members and leaders of other components."""
+    drawn = [F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(seed + i))).alias(f"l{i}") for i in range(LEADERS)]
+    leaders = tables.write(members.groupBy("key").agg(*drawn).select("key", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("l"))
+                  .select("key", F.col("l.id").alias("leader"), F.col("l.comp").alias("its")))
+    pairs = members.join(leaders, "key").where("comp != its").select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b"))
+    return leaders.select("key", "leader"), pairs.distinct()
+
+
+def _rest(members: DataFrame, sets: DataFrame, possible: Possible) -> DataFrame:
+    """Pairs of different components in the lists that are left."""
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = members.withColumn("cells", F.ceil(F.col("n") / CELL).cast("int")).drop("n", "pairs").join(sets.select("id", "n_shingles", "sketch"), "id")
     own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("cells")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))) \
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
@@ -152,16 +170,19 @@ def _rest(met: DataFrame, comps: DataFrame, sets: DataFrame, possible: Possible)
         .mapInArrow(_cells(possible), "a long, b long").distinct()
 
 
-def representatives(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row per distinct set (the smallest id), and the links (a, b) of the others to it.
+def representatives(sets: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct set (the smallest id), and the links (a, b) of the others to it, as written tables.
 
     ``sets``: id, n_shingles, h1, h2 (128-bit hash of the set) and more.
     """
     key = ["h1", "h2", "n_shingles"]
-    first = cut(sets.groupBy(*key).agg(F.min("id").alias("centre")))
+    first = tables.write(sets.groupBy(*key).agg(F.min("id").alias("centre")))
     joined = sets.join(first, key)
     equal = joined.where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    return cut(joined.where("id = centre").dropDuplicates(["id", *key]).drop("centre")), cut(equal)
+    chosen = tables.write(joined.where("id = centre").dropDuplicates(["id", *key]).drop("centre"))
+    equal = tables.write(equal)
+    tables.drop(first)
+    return chosen, equal
 
 
 def components(lists: DataFrame, sets: DataFrame, equal: DataFrame, texts: DataFrame, k: int, num: int, den: int,
@@ -171,18 +192,45 @@ def components(lists: DataFrame, sets: DataFrame, equal: DataFrame, texts: DataF
     ``lists(key, id)``: sets that link share a key; ``sets(id, n_shingles, sketch)``; ``equal(a, b)``: links known
     already; ``texts(id, text)``.
     """
-    lists = lists.distinct()
-    leaders = lists.groupBy("key").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    met = cut(lists.join(leaders, "key"))
-    thin = lambda pairs: _sketched(pairs, sets).mapInArrow(_thin(possible), "a long, b long")
-    stars = cut(met.where("id != leader").groupBy(F.col("id").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("n")))
-    first = cut(stars.groupBy("a").agg(F.min_by("b", F.struct(-F.col("n"), "b")).alias("b")))
-    links = cut(verified(thin(first), texts, k, num, den))
-    comps = cut(connected_components(links))
+    tables = Tables(texts.sparkSession)
+    leaders = lists.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").drop("last")
+    met = tables.write(lists.join(leaders, "key"))
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        left = tables.write(_sketched(pairs, sets).mapInArrow(_thin(possible), "a long, b long").distinct())
+        return verified(left, texts, k, num, den)
+
+    def joined(links: DataFrame) -> DataFrame:
+        return tables.write(connected_components(links))
+
+    stars = tables.write(met.where("id != leader").groupBy(F.col("id").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("n")))
+    first = tables.write(stars.groupBy("a").agg(F.min_by("b", F.struct(-F.col("n"), "b")).alias("b")))
+    links = tables.write(compare(first))
+    comps = joined(links)
     of = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
     others = stars.join(first, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left") \
         .where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-    links = cut(links.union(verified(thin(others), texts, k, num, den)))
-    comps = cut(connected_components(links))
-    more = cut(verified(_rest(met, comps, sets, possible), texts, k, num, den))
-    return connected_components(links.union(more).union(equal))
+    links = tables.write(links.union(compare(others)))
+    comps = joined(links)
+
+    members = _unfinished(met.where("id != leader").select("key", "id").distinct(), comps, tables)
+    left = tables.write(_one_of_alike(members))
+    tables.drop_but(left, links, comps)
+    before, seed = float("inf"), 0
+    while True:
+        n, pairs = left.agg(F.count(F.lit(1)), F.sum(F.col("pairs") / F.col("n"))).first()
+        if not n or pairs <= WORTH * n or pairs > before / 2:
+            break
+        before, seed = pairs, seed + LEADERS
+        leaders, tried = _stars(left, seed, tables)
+        links = tables.write(links.union(compare(tried)))
+        comps = joined(links)
+        done = leaders.withColumnRenamed("leader", "id")
+        left = _unfinished(left.select("key", "id").join(done, ["key", "id"], "left_anti"), comps, tables)
+        tables.drop_but(left, links, comps)
+    if n:
+        rest = tables.write(_rest(left, sets, possible))
+        links = links.union(verified(rest, texts, k, num, den))
+    out = connected_components(links.union(equal))
+    tables.drop_but()
+    return out

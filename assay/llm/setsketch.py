@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import Tables
 from .links import components, representatives
 from .shingles import mix, shingle_sets
 
@@ -144,11 +144,13 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_duplicates(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    sets = cut(texts.mapInArrow(_sketch(k), SETS))
-    chosen, equal = representatives(sets.where("id IS NOT NULL AND n_shingles > 0"))
+    tables = Tables(docs.sparkSession)
+    sets = tables.write(texts.mapInArrow(_sketch(k), SETS))
+    chosen, equal = representatives(sets.where("id IS NOT NULL AND n_shingles > 0"), tables)
     lists = chosen.select("id", "sketch").mapInArrow(_bands, "key long, id long")
     groups = components(lists, chosen, equal, texts.where("id IS NOT NULL AND text IS NOT NULL"), k, num, den, may_link(num, den))
+    tables.drop(chosen, equal)
     component = F.coalesce("component", "id")
-    return sets.join(cut(groups), sets["id"] == F.col("node"), "left").select(
+    return sets.select("id", "n_shingles").join(groups, sets["id"] == groups["node"], "left").select(
         F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

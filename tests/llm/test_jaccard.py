@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 import numpy as np
 import pyarrow as pa
 
-from assay.llm import jaccard
+from assay.llm import jaccard, links
 from assay.llm.shingles import shingle_sets
 
 from .edge import EDGE, docs, lower
@@ -60,19 +60,52 @@ def test_components_equal_brute_force(spark, k, num, den):
     assert sorted(map(tuple, got), key=str) == expected(rows, k, num, den)
 
 
-def test_large_family_is_compared_in_cells(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "CELL_SETS", 16)
+def family(n, changed):
     rnd = random.Random(5)
     base = [f"b{i}" for i in range(150)]
     rows = []
-    for i in range(150):
+    for i in range(n):
         words = list(base)
-        for at in rnd.sample(range(150), rnd.randrange(9)):
+        for at in rnd.sample(range(150), rnd.randrange(changed)):
             words[at] = f"c{i}x{at}"
         rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_large_family_is_compared_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(links, "CELL", 16)
+    monkeypatch.setattr(links, "PART_PAIRS", 8)
+    rows = family(150, 9)
     assert sorted(map(tuple, jaccard.components(docs(spark, rows)).collect()), key=str) == expected(rows, 3, 90, 100)
 
 
+def test_a_family_costs_comparisons_in_proportion(spark, monkeypatch):
+    n = 500
+    compared = []
+    real = links.verified
+
+    def counting(pairs, *args):
+        compared.append(pairs.count())
+        return real(pairs, *args)
+    monkeypatch.setattr(links, "verified", counting)
+    got = jaccard.components(docs(spark, family(n, 3))).collect()       # two thirds of the pairs do not link
+    assert {r.component_id for r in got} == {0} and sum(compared) < 60 * n     # all pairs: 250 * n
+
+
+def test_a_shared_passage_is_not_scanned(spark):
+    """Documents with a passage in common list their own shingles, not the passage's."""
+    rnd = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{rnd.randrange(10 ** 9)}" for _ in range(60)) + " " + passage) for i in range(300)]
+    rarity, sizes = jaccard.survey(docs(spark, rows).select("text"), 3)
+    rule, met = jaccard.Rule(3, 90, 100), set()
+    own = next(shingle_sets(pa.array([passage]), 3))
+    hidden = {int(x) for x in jaccard.mix(own ^ jaccard.U(0x3C79AC492BA7B653))}
+    for s in shingle_sets(pa.array([t for _, t in rows]), 3):
+        met |= {int(x) for x in jaccard._list_entries(rule, s, rarity)} & hidden
+    assert not met and sizes == {118: 300}
+
+
 def test_empty_table(spark):
     assert jaccard.components(docs(spark, [])).collect() == []
     assert jaccard.one_per_group(docs(spark, [])).collect() == []
@@ -114,9 +147,23 @@ def test_linked_sets_share_an_entry(seed, share, n):
     both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
     if not len(b) or rule.den * both < rule.num * either:
         return
-    assert np.intersect1d(jaccard._block_entries(rule, a), jaccard._block_entries(rule, b)).size
+    rarity = rng.integers(0, 4, 1 << jaccard.RARITY_BITS).astype(np.uint8)
+    assert np.intersect1d(jaccard._list_entries(rule, a, rarity), jaccard._list_entries(rule, b, rarity)).size
     if max(len(a), len(b)) < 16:
         assert np.intersect1d(jaccard._subset_entries(rule, a), jaccard._subset_entries(rule, b)).size
+    for boundary in (1, 9, 13):
+        assert np.intersect1d(jaccard.entries(rule, a, boundary, rarity), jaccard.entries(rule, b, boundary, rarity)).size
+
+
+def test_rarity_adds_up_over_tasks(spark):
+    texts = ["a b c d", "a b c", "x y z", None, "", "a b"] * 40
+    df = docs(spark, list(enumerate(texts)), clash=False).select("text")
+    rarity, sizes = jaccard.survey(df.repartition(7), 3)
+    assert sizes == {2: 40, 1: 120}
+    at = {name: jaccard._counter(next(shingle_sets(pa.array([name]), 3)))[0] for name in ("a b c", "b c d", "x y z", "q r s")}
+    seen = {name: float(jaccard._from_byte(rarity[i:i + 1])[0]) for name, i in at.items()}
+    assert abs(seen["a b c"] - 80) < 16 and abs(seen["b c d"] - 40) < 9 and abs(seen["x y z"] - 40) < 9 and seen["q r s"] == 0
+    assert not jaccard.survey(df.where("false"), 3)[0].any()
 
 
 @settings(max_examples=200, deadline=None)
@@ -127,45 +174,15 @@ def test_sketch_never_rejects_a_link(seed, n, gone, extra):
     a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
     b = np.unique(np.r_[a[gone:], rng.integers(0, 2 ** 63, extra).astype(np.uint64)])
     both, either = len(np.intersect1d(a, b)), len(np.union1d(a, b))
-    possible = len(b) > 0 and jaccard.may_link(rule, len(a), len(b), jaccard.sketch(a), jaccard.sketch(b))
+    test = jaccard.may_link(rule)
+
+    def possible(x, y):
+        return test(np.array([len(x)] * 2), [jaccard.sketch(x).tobytes()] * 2, np.array([len(y)] * 2), [jaccard.sketch(y).tobytes()] * 2).all()
     if len(b) and rule.den * both >= rule.num * either:
-        assert possible
+        assert possible(a, b)
     other = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
     if n > 150:
-        assert not jaccard.may_link(rule, len(a), len(other), jaccard.sketch(a), jaccard.sketch(other))
-
-
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 80)), max_size=200), st.integers(1, 40), st.booleans())
-def test_lists_meet_over_batches(rows, batch_rows, marked):
-    """Short lists give all their pairs, long or marked ones a chain, however the rows are cut into batches."""
-    rows = sorted(rows)
-    marks = [marked and k == 3 for k, _ in rows]
-    batches = []
-    for at in range(0, len(rows), batch_rows):
-        part = rows[at:at + batch_rows]
-        batches.append(pa.RecordBatch.from_arrays([
-            pa.array([k for k, _ in part], pa.int64()), pa.array([i for _, i in part], pa.int64()),
-            pa.array([i if m else None for (_, i), m in zip(part, marks[at:at + batch_rows])], pa.int64())],
-            names=["key", "id", "centre"]))
-    got = [r for b in jaccard._meet(iter(batches)) for r in zip(*[c.to_pylist() for c in b.columns])]
-    for key in {k for k, _ in rows}:
-        ids = [i for k, i in rows if k == key]
-        if len(ids) <= jaccard.SHORT_LIST and not (marked and key == 3):
-            for i, j in itertools.combinations(sorted(set(ids)), 2):
-                assert (j, i, False) in got
-        else:
-            parent = {i: i for i in ids}
-
-            def root(i):
-                while parent[i] != i:
-                    i = parent[i]
-                return i
-
-            for a, b, sure in got:
-                if sure and a in parent and b in parent:
-                    parent[root(a)] = root(b)
-            assert len({root(i) for i in ids}) == 1
+        assert not possible(a, other)
 
 
 def test_boundary_follows_cost():
@@ -173,11 +190,4 @@ def test_boundary_follows_cost():
     small = jaccard.choose_boundary(rule, {n: 100 for n in range(1, 15)})
     large = jaccard.choose_boundary(rule, {n: 100 for n in range(60, 128)})
     assert small > 9 and large <= 60
-    assert rule.subset_rows(9) <= 10 and rule.subset_rows(60) > 10_000 > rule.list_rows(60)
-
-
-def test_intersections():
-    rng = np.random.default_rng(3)
-    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000)).astype(np.uint64)) for _ in range(7)]
-    got = jaccard.intersections(sets[:3], sets[3:])
-    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[3:]] for a in sets[:3]]
+    assert rule.subset_rows(9) <= 10 and rule.subset_rows(60) > 10_000 > rule.prefix(60)

@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -53,8 +52,8 @@ def test_family_in_small_cells(spark, monkeypatch):
     assert run(spark, rows) == wanted(rows)
 
 
-@pytest.mark.parametrize("n", [200, 400])
-def test_a_family_costs_comparisons_in_proportion(spark, monkeypatch, n):
+def test_a_family_costs_comparisons_in_proportion(spark, monkeypatch):
+    n = 400
     compared = []
     real = links.verified
 
