@@ -5,10 +5,9 @@ All not-null / between / in-set / regex counts (and the row count) are
 per-day runs): one scan, a partial aggregate per task, one tiny final row per
 group.  The wide metrics row is then turned into one result row per rule.
 
-A value set given as a DataFrame is never inlined: the column's values are
-counted first (partial aggregation collapses hot values before the shuffle) and
-the counts are anti-joined to the distinct set; Spark broadcasts the set if its
-size in bytes allows.
+A value set given as a DataFrame is never inlined: such rules are counted by value
+with the mode rules (``operators.modes``), in one scan for all of them, and the counts
+are joined to the union of their sets; Spark broadcasts it if its size in bytes allows.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions import rules as R
 from ..functions import sqltext as S
+from .modes import entries_of, has_value_table, mode_entries, mode_result_parts, outside_sql, value_struct_sql, with_membership
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("rule_id", T.IntegerType(), False),
@@ -65,33 +65,6 @@ def _m(name: str) -> str:
     return f"coalesce({name}, CAST(0 AS BIGINT))"
 
 
-def _dim_values(dim: DataFrame) -> DataFrame:
-    """First column of a value-set DataFrame, distinct and non-null."""
-    first = dim.columns[0]
-    return dim.select(R.col(first).alias("__v")).where(F.col("__v").isNotNull()).distinct()
-
-
-def has_value_table(rule: R.Rule) -> bool:
-    return rule.kind == R.IN_SET and isinstance(rule.kwargs.get("value_set"), DataFrame)
-
-
-def outside_value_table(batch: DataFrame, rule: R.Rule, group_cols: Sequence[str]) -> DataFrame:
-    """(keys, __v, n): counts of the non-null values that are not in a rule's value table.
-
-    Value counts first (map-side combine), then an anti join with the distinct set.
-    With groups a value repeats once per group on the left, which AQE's skew-join
-    splitting handles if one value is in very many groups.
-    """
-    counts = (batch.where(R.col(rule.column).isNotNull())
-              .groupBy(*group_cols, R.col(rule.column).alias("__v")).agg(F.count(F.lit(1)).alias("n")))
-    return counts.join(_dim_values(rule.kwargs["value_set"]), "__v", "left_anti")
-
-
-def _table_unexpected(batch: DataFrame, rid: int, rule: R.Rule, group_cols: Sequence[str]) -> DataFrame:
-    """Unexpected count of an in-set rule with a value table, per group."""
-    return outside_value_table(batch, rule, group_cols).groupBy(*group_cols).agg(F.sum("n").alias(f"m_unexp_{rid}"))
-
-
 def metric_sql(rules: Sequence[tuple[int, R.Rule]], schema: T.StructType, params: Mapping):
     """(aggregate expressions, null-count column per rule column) for the fused aggregate."""
     null_cols: dict[str, str] = {}
@@ -114,88 +87,112 @@ def rule_result_sql(rid: int, r: R.Rule, schema: T.StructType, null_cols: Mappin
                                  S.string_lit(observed), "true" if ok else "false")
     nulls = _m(null_cols[r.column])
     if r.kind == R.MODE_IN_SET:
-        from .modes import mode_result_parts
         observed, n_modes, success = mode_result_parts(rid)
         return result_struct_sql(rid, r, n, nulls, NULL_LONG, NULL_DOUBLE, observed, success, n_modes)
     if r.kind == R.NOT_NULL:
         return result_struct_sql(rid, r, n, nulls, nulls, R.percent_sql(nulls, n), NULL_STRING,
                                  R.success_sql(f"{n} - {nulls}", n, r.mostly))
-    unexp = _m(f"m_unexp_{rid}")
+    unexp = outside_sql(rid) if has_value_table(r) else _m(f"m_unexp_{rid}")
     nonnull = f"{n} - {nulls}"
     return result_struct_sql(rid, r, n, nulls, unexp, R.percent_sql(unexp, nonnull), NULL_STRING,
                              R.success_sql(f"{nonnull} - {unexp}", nonnull, r.mostly))
 
 
-def _fold(metrics: DataFrame, extras: list[DataFrame], entries: DataFrame | None,
-          keys: list[str]) -> DataFrame:
-    """One row per group: the metrics row, the side metrics and the mode entries.
+def _fold(metrics: DataFrame, entries: DataFrame | None, keys: list[str]) -> DataFrame:
+    """One row per group: the metrics row and the entries of its value counts.
 
-    All inputs are unioned and folded by a single aggregate on the group keys
+    Both are unioned and folded by a single aggregate on the group keys
     (a global aggregate when there are none, which keeps exactly one row even for
     an empty batch): ``first(ignorenulls)`` for the counts, ``collect_list`` for
-    the mode entries - one per rule and group.  No join, one small shuffle; groups
+    the entries - one per rule and group.  No join, one small shuffle; groups
     with NULL keys are groups like any other.
     """
-    if not extras and entries is None:
+    if entries is None:
         return metrics
     metric_cols = [c for c in metrics.columns if c not in keys]
-    both = metrics
-    for extra in extras:
-        metric_cols += [c for c in extra.columns if c not in keys and c not in metric_cols]
-        both = both.unionByName(extra, allowMissingColumns=True)
-    if entries is not None:
-        both = both.unionByName(entries, allowMissingColumns=True)
+    both = metrics.unionByName(entries, allowMissingColumns=True)
     aggs = [F.first(c, ignorenulls=True).alias(c) for c in metric_cols]
-    if entries is not None:
-        aggs.append(F.collect_list("entry").alias("frequent"))
+    aggs.append(F.collect_list("entry").alias("frequent"))
     return both.groupBy(*keys).agg(*aggs) if keys else both.agg(*aggs)
 
 
+def one_scan_metrics(batch: DataFrame, exprs: Sequence[str], value_rules: Sequence[tuple[int, R.Rule]],
+                     keys: list[str]) -> DataFrame:
+    """The same row per group from one scan.
+
+    The batch is pre-aggregated by the keys and the columns of the value rules, with all counters.  Each of those rows
+    (one per combination of values, not per row of the batch) gives a row of counters and a row per rule and
+    value; counters travel as rule 0 through the aggregates of the value counts.
+    """
+    columns = list(dict.fromkeys(r.column for _, r in value_rules))
+    pre = batch.groupBy(*keys, *[R.col(c).alias(c) for c in columns if c not in keys]).agg(*[F.expr(e) for e in exprs])
+    counters = [c for c in pre.columns if c not in keys and c not in columns]
+    null = "CAST(NULL AS {})".format
+    own = ", ".join(f"'{c}', {c}" for c in counters)
+    none = ", ".join(f"'{c}', {NULL_LONG}" for c in counters)
+    zero = f"named_struct('rule_id', 0, 'value', '', 'in_set', {null('BOOLEAN')}, 'member', {null('STRING')}, 'n', m_n, {own})"
+    structs = [zero, *[value_struct_sql(batch, rid, r, "'n', m_n", none) for rid, r in value_rules]]
+    long = pre.selectExpr(*[S.ident(k) for k in keys], f"inline(array({', '.join(structs)}))").where("value IS NOT NULL")
+    counts = long.groupBy(*keys, "rule_id", "value", "in_set", "member").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in counters])
+    entries = entries_of(with_membership(counts, batch, value_rules), keys, counters)
+    aggs = [*[F.sum(c).alias(c) for c in counters], F.collect_list("entry").alias("frequent")]
+    return entries.groupBy(*keys).agg(*aggs) if keys else entries.agg(*aggs)
+
+
 def fill_days(metrics: DataFrame, by: Sequence[str], day: str, days: Column) -> DataFrame:
     """One row per ``by`` group and day of ``days`` (an array), plus the group's row of no day, if it has one.
 
-    The groups come from the metrics themselves: a group's rows (at most one per
-    day) are listed, and the days are exploded from the list.  No join, no scan.
+    The groups come from the metrics themselves: a group's rows (at most one per day) are listed, an empty row for each
+    day is put behind them, and one aggregate by day takes what is there.  Work grows with the days, not with their
+    square; no scan, no spine to join.
     """
     names = [c for c in metrics.columns if c not in (*by, day)]
     listed = metrics.groupBy(*by).agg(F.collect_list(F.struct(day, *names)).alias("__rows"))
-    no_day = F.transform(F.filter("__rows", lambda r: r[day].isNull()), lambda r: r[day])
-    per_day = listed.select(*by, "__rows", F.explode_outer(F.concat(days, no_day)).alias(day))
-    mine = F.get(F.filter("__rows", lambda r: r[day].eqNullSafe(R.col(day))), F.lit(0))
-    return per_day.withColumn("__row", mine).select(*by, day, *[F.col("__row")[c].alias(c) for c in names])
+    nothing = [F.lit(None).cast(metrics.schema[c].dataType).alias(c) for c in names]
+    every = F.concat("__rows", F.transform(days, lambda d: F.struct(d.alias(day), *nothing)))
+    rows = listed.select(*by, F.explode(every).alias("__row")).select(*by, "__row.*")
+    return rows.groupBy(*by, day).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names])
+
+
+def results_of(metrics: DataFrame, rules: Sequence[tuple[int, R.Rule]], schema: T.StructType, null_cols: Mapping[str, str],
+               keys: Sequence[str], days: tuple[str, Column] | None = None) -> DataFrame:
+    """One result row per (group, rule) from the metrics rows; ``days`` as in ``suite_results``."""
+    if days is not None:
+        day, array = days
+        metrics = fill_days(metrics, [k for k in keys if k != day], day, array)
+    structs = ", ".join(rule_result_sql(rid, r, schema, null_cols) for rid, r in rules)
+    return metrics.selectExpr(*[S.ident(k) for k in keys], f"inline(array({structs}))")
+
+
+def split_rules(rules: Sequence[tuple[int, R.Rule]], schema: T.StructType) -> tuple[list, list]:
+    """Rules that need counters, and those of them that need value counts."""
+    for _, r in rules:
+        R.column_type(schema, r.column)
+    counted = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS] + [(i, r) for i, r in rules if r.kind == R.MODE_IN_SET]
+    return counted, [(i, r) for i, r in counted if r.kind == R.MODE_IN_SET or has_value_table(r)]
 
 
 def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
-                  group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None) -> DataFrame | None:
+                  group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None, one_scan: bool = False) -> DataFrame | None:
     """One result row per (group, rule) of a whole suite, as ONE plan.
 
     * row-level rules, row and null counts: one fused aggregate (one scan);
-    * most-common-value rules: one value count (one scan), folded with the group's
+    * most-common-value rules and rules with a value table: one value count (one scan), folded with the group's
       metrics row by one aggregate;
     * type rules: from the schema.
 
-    ``days`` = (name of the day key, array of days) makes days without rows appear
+    ``one_scan`` takes both from one pre-aggregate (``one_scan_metrics``): less to read, worth it where the value rules'
+    columns have few combinations.  ``days`` = (name of the day key, array of days) makes days without rows appear
     with zero counts (``fill_days``).
     """
     if not rules:
         return None
-    schema = batch.schema
-    keys = list(group_cols)
-    for _, r in rules:
-        R.column_type(schema, r.column)
-    row_rules = [(i, r) for i, r in rules if r.kind in R.ROW_KINDS]
-    mode_rules = [(i, r) for i, r in rules if r.kind == R.MODE_IN_SET]
-
-    exprs, null_cols = metric_sql(row_rules + mode_rules, schema, params)
-    metrics = batch.groupBy(*keys).agg(*[F.expr(e) for e in exprs])
-    extras = [_table_unexpected(batch, rid, r, keys) for rid, r in row_rules if has_value_table(r)]
-    entries = None
-    if mode_rules:
-        from .modes import mode_entries
-        entries = mode_entries(batch, mode_rules, keys)
-    metrics = _fold(metrics, extras, entries, keys)
-    if days is not None:
-        day, array = days
-        metrics = fill_days(metrics, [k for k in keys if k != day], day, array)
-    structs = ", ".join(rule_result_sql(rid, r, schema, null_cols) for rid, r in rules)
-    return metrics.selectExpr(*[S.ident(k) for k in keys], f"inline(array({structs}))")
+    schema, keys = batch.schema, list(group_cols)
+    counted, value_rules = split_rules(rules, schema)
+    exprs, null_cols = metric_sql(counted, schema, params)
+    if one_scan and value_rules:
+        metrics = one_scan_metrics(batch, exprs, value_rules, keys)
+    else:
+        entries = mode_entries(batch, value_rules, keys) if value_rules else None
+        metrics = _fold(batch.groupBy(*keys).agg(*[F.expr(e) for e in exprs]), entries, keys)
+    return results_of(metrics, rules, schema, null_cols, keys, days)

@@ -2,7 +2,7 @@
 
 Each row emits one (rule, value) pair per rule it breaks; the pairs are counted
 (partial aggregation first), so the listing has a row per distinct value.  A value
-set given as a DataFrame is anti-joined to the column's value counts.
+set given as a DataFrame is joined to the column's value counts, all such rules in one scan.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import sqltext as S
-from .metrics import has_value_table, outside_value_table
+from .modes import has_value_table, value_counts
 
 
 def unexpected_values(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
@@ -40,10 +40,9 @@ def unexpected_values(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], par
         hits = (batch.selectExpr(*[S.ident(c) for c in keys], f"explode(array({pairs})) AS p")
                 .where("p IS NOT NULL").select(*keys, "p.*"))
         parts.append(hits.groupBy(*keys, "rule_id", "value").agg(F.count(F.lit(1)).alias("n")))
-    for rid, r in row_rules:
-        if has_value_table(r):
-            parts.append(outside_value_table(batch, r, keys).select(
-                *keys, F.lit(rid).cast("int").alias("rule_id"), F.col("__v").cast("string").alias("value"), "n"))
+    table_rules = [(rid, r) for rid, r in row_rules if has_value_table(r)]
+    if table_rules:
+        parts.append(value_counts(batch, table_rules, keys).where("NOT in_set").select(*keys, "rule_id", "value", "n"))
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)

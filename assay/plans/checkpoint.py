@@ -65,16 +65,16 @@ def write_history(history: DataFrame, path: str) -> None:
 
 
 def validate(batch: DataFrame, suite: Suite, params: Mapping | None = None,
-             group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None) -> DataFrame:
+             group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None, one_scan: bool = False) -> DataFrame:
     """Lazy results of every rule of ``suite`` on ``batch`` (run-time params win).
 
     With ``group_cols`` every group of rows is its own batch (e.g. one per project,
-    or per project and day), all validated in the same two scans.
+    or per project and day), all validated in the same two scans (``one_scan``: one).
     """
     merged = P.merge_params(suite.params, params)
     if not suite.rules:
         raise ValueError(f"suite {suite.name!r} has no rules")
-    res = suite_results(batch, suite.numbered(), merged, group_cols, days)
+    res = suite_results(batch, suite.numbered(), merged, group_cols, days, one_scan)
     return res.select(*group_cols, *RESULT_COLUMNS)
 
 

@@ -95,7 +95,7 @@ def test_in_set_dimension_is_joined_to_value_counts(spark, nested_path):
     rule = R.Rule(R.IN_SET, "country_code", 0.99, {"value_set": country_dim(spark)})
     text = plan_text(validate(batch, Suite("d", [rule])))
     tree = text.split("\n\n")[0]
-    assert "LeftAnti" in text and tree.index("Join") < tree.index("HashAggregate", tree.index("Join"))  # counts below the join
+    assert "LeftOuter" in text and tree.index("Join") < tree.index("HashAggregate", tree.index("Join"))  # counts below the join
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
@@ -116,6 +116,34 @@ def test_sql_form_prunes_dt_partitions(spark, nested_by_dt):
     assert batch.count() == extract_batch(src, "view", "2024-01-02", "2024-01-03").count()
 
 
+def final_plan(df) -> str:
+    df.collect()
+    return plan_text(df).split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+
+
+def test_value_tables_share_a_scan(spark, nested_path):
+    """Rules with a value table, and mode rules beside them, add no scan of the batch."""
+    from assay.sources.countries import country_dim
+    batch = extract_batch(read_downloads(spark, nested_path), "view", "2024-01-01", "2024-01-30")
+    names = spark.createDataFrame([("pip",), ("conda",), (None,)], "name string")
+    tables = [R.Rule(R.IN_SET, "country_code", 0.99, {"value_set": country_dim(spark)}),
+              R.Rule(R.IN_SET, "installer_name", 0.9, {"value_set": names}),
+              R.Rule(R.IN_SET, "pkg_version", 0.0, {"value_set": names})]
+    modes = [r for r in default_suite(batch.columns).rules if r.kind == R.MODE_IN_SET]
+    for rules in (tables[:1], tables, tables + modes):
+        assert final_plan(validate(batch, Suite("t", rules))).count("Scan parquet") == 2
+        assert final_plan(validate(batch, Suite("t", rules), one_scan=True)).count("Scan parquet") == 1
+
+
+def test_one_scan_form(spark, nested_path):
+    batch = extract_batch(read_downloads(spark, nested_path), "click", "2024-01-01", "2024-01-30")
+    suite = default_suite(batch.columns, "2024-01-01", "2024-01-30")
+    once, twice = (validate(batch, suite, one_scan=x) for x in (True, False))
+    text = final_plan(once)
+    assert text.count("Scan parquet") == 1 and "Window" not in text and "Join" not in text
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+
+
 def test_publishable_rows_are_not_shuffled_again(spark, nested_path):
     from assay import flatten, publishable_rows
     from assay.operators.extract import BATCH_COLUMNS
