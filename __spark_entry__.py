@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 from collections.abc import Callable
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -40,7 +41,8 @@ from assay.plans.by_day import validate_by_day  # noqa: E402
 from assay.plans.checkpoint import failed_expectations, gate_status, run_stats, validate  # noqa: E402
 from assay.plans.publish import publishable_rows  # noqa: E402
 from assay.plans.suite import Suite, default_suite  # noqa: E402
-from assay.session import ensure_checkpoint_dir  # noqa: E402
+from assay.plans.state import results_from_state, update_state  # noqa: E402
+from assay.session import checkpoint_root, ensure_checkpoint_dir  # noqa: E402
 from assay.sources.countries import country_dim  # noqa: E402
 from assay.sources.downloads import downloads_from_events  # noqa: E402
 from assay.sources.tables import read_table  # noqa: E402
@@ -286,6 +288,40 @@ def q_validate_by_day(spark, sf_dir):
     return validate_by_day(batches, _suite(), *_days(batches), by=PROJECT).select(*DAILY, *RULE_OUT)
 
 
+def q_expect_in_set_tables(spark, sf_dir):
+    """Several rules with a value table, beside mode rules: one value count for all of them."""
+    allowed = lambda *values: spark.createDataFrame([(v,) for v in values], "allowed string")
+    rules = [R.Rule(R.IN_SET, "country_code", 0.99, {"value_set": country_dim(spark)}),
+             R.Rule(R.IN_SET, "file_type", 0.8, {"value_set": allowed("bdist_wheel", None)}),
+             R.Rule(R.IN_SET, "distro_name", 0.4, {"value_set": allowed("Ubuntu", "Ubuntu", "Arch")}),
+             R.Rule(R.IN_SET, "pkg_version", 0.1, {"value_set": _source(spark, sf_dir).where("country_code = 'US'").select("file.version")})]
+    rules += _suite(_kind(R.MODE_IN_SET)).rules
+    return validate(_all_batches(spark, sf_dir), Suite("tables", rules), group_cols=DAILY).select(*DAILY, *RULE_OUT)
+
+
+def q_validate_one_scan(spark, sf_dir):
+    """The 20-rule suite on every project's batch from one pre-aggregate."""
+    return validate(_all_batches(spark, sf_dir), _suite(), group_cols=PROJECT, one_scan=True).select(*PROJECT, *RULE_OUT)
+
+
+def q_incremental_backfill(spark, sf_dir):
+    """Days validated as they come in (some twice), merged to each project's results over all days."""
+    batches, suite = _all_batches(spark, sf_dir), _suite()
+    begin, end = _days(batches)
+    path = _scratch(spark, "state")
+    middle = begin + (end - begin) / 2
+    update_state(batches, suite, path, begin, middle)
+    update_state(batches, suite, path, begin, end, again=[middle])
+    return results_from_state(spark, path, suite, batches.schema, begin, end).select(*PROJECT, *RULE_OUT)
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder below the shared one."""
+    if spark.sparkContext.master.startswith("local["):  # a session without a shared folder; on a cluster it is an error
+        ensure_checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "assay-checkpoints"))
+    return f"{checkpoint_root(spark)}/assay-{name}-{uuid.uuid4().hex}"
+
+
 def q_publish_if_valid(spark, sf_dir):
     if spark.sparkContext.master.startswith("local["):  # a session without a shared folder; on a cluster it is an error
         ensure_checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "assay-checkpoints"))
@@ -318,6 +354,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expect_in_set": _rule_query(_kind(R.IN_SET), daily=True),
         "expect_in_set_broadcast": q_expect_in_set_broadcast,
         "expect_in_set_codes": q_expect_in_set_codes,
+        "expect_in_set_tables": q_expect_in_set_tables,
         "expect_type_mismatch": q_expect_type_mismatch,
         "typed_rules": q_typed_rules,
         "expect_most_common_in_set": _rule_query(_kind(R.MODE_IN_SET), daily=True),
@@ -325,6 +362,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tied_modes": q_tied_modes,
         "expect_regex": _rule_query(_kind(R.MATCH_REGEX), daily=False),
         "validate_suite": q_validate_suite,
+        "validate_one_scan": q_validate_one_scan,
+        "incremental_backfill": q_incremental_backfill,
         "run_stats": q_run_stats,
         "failed_expectations": q_failed_expectations,
         "gate_status": q_gate_status,
@@ -515,6 +554,13 @@ TYPED_RULES = [
     (O_SET, "whole", 0.1, [str(n) for n in range(0, 400, 2)]),
     (O_MODE, "whole", 1.0, [str(n) for n in range(1000)]),
 ]
+TABLE_RULES = [
+    (O_SET, "country_code", 0.99, [f"'{c}'" for c in CODES]),
+    (O_SET, "file_type", 0.8, ["'bdist_wheel'"]),
+    (O_SET, "distro_name", 0.4, ["'Ubuntu'", "'Arch'"]),
+    (O_SET, "pkg_version", 0.1, [f"SELECT pkg_version FROM ({DOWNLOADS_SQL}) u WHERE country_code = 'US'"]),
+    *[r for r in O_RULES if r[0] == O_MODE],
+]
 TIE_RULES = [(O_MODE, "distro_name", 1.0, ["'Ubuntu'"]), (O_MODE, "part", 1.0, ["7"])]
 TYPE_RULES = [(O_TYPE, "download_time", 1.0, ("timestamp_ntz", True)), (O_TYPE, "country_code", 1.0, ("string", False)),
               (O_TYPE, "dt", 1.0, ("date", False)), (O_TYPE, "pkg_version", 1.0, ("string", True))]
@@ -584,6 +630,7 @@ def _batch_oracle_sql() -> dict[str, str]:
         "expect_between_param_override": by_project(_kinds(O_BETWEEN)),
         "expect_in_set": daily(_kinds(O_SET)),
         "expect_in_set_broadcast": daily(_kinds(O_SET)),
+        "expect_in_set_tables": _results_sql(TABLE_RULES, ALL_BATCHES_SQL, DAILY),
         "expect_in_set_codes": f"SELECT f.form, r.* FROM ({codes}) r, (VALUES ('list'), ('table')) f(form)",
         "expect_most_common_in_set": daily(_kinds(O_MODE)),
         "most_common_ties": _results_sql(TIE_RULES, TIES_SQL),
@@ -591,6 +638,8 @@ def _batch_oracle_sql() -> dict[str, str]:
         "typed_rules": _results_sql(TYPED_RULES, TYPED_SQL, ["event_type"]),
         "expect_regex": by_project(_kinds(O_REGEX)),
         "validate_suite": by_project(O_RULES),
+        "validate_one_scan": by_project(O_RULES),
+        "incremental_backfill": _results_sql(_per_day(O_RULES), f"SELECT * FROM ({ALL_BATCHES_SQL}) x WHERE dt IS NOT NULL", PROJECT),
         "run_stats": _stats_sql(),
         "failed_expectations": f"SELECT * FROM ({by_project(O_RULES)}) r WHERE NOT success",
         "gate_status": f"SELECT *, CAST(0 AS INTEGER) AS failures_allowed, failed <= 0 AS gate_passed "

@@ -37,6 +37,7 @@ RESULT_SCHEMA = T.StructType([
 ])
 RESULT_COLUMNS = tuple(RESULT_SCHEMA.fieldNames())
 
+ENTRIES = "array<struct<rule_id: int, n: bigint, n_modes: bigint, value: string, n_in: bigint, n_out: bigint>>"
 NULL_LONG = "CAST(NULL AS BIGINT)"
 NULL_DOUBLE = "CAST(NULL AS DOUBLE)"
 NULL_STRING = "CAST(NULL AS STRING)"
@@ -98,7 +99,7 @@ def rule_result_sql(rid: int, r: R.Rule, schema: T.StructType, null_cols: Mappin
                              R.success_sql(f"{nonnull} - {unexp}", nonnull, r.mostly))
 
 
-def _fold(metrics: DataFrame, entries: DataFrame | None, keys: list[str]) -> DataFrame:
+def with_entries(metrics: DataFrame, entries: DataFrame | None, keys: list[str]) -> DataFrame:
     """One row per group: the metrics row and the entries of its value counts.
 
     Both are unioned and folded by a single aggregate on the group keys
@@ -108,7 +109,7 @@ def _fold(metrics: DataFrame, entries: DataFrame | None, keys: list[str]) -> Dat
     with NULL keys are groups like any other.
     """
     if entries is None:
-        return metrics
+        return metrics.withColumn("frequent", F.lit(None).cast(ENTRIES))
     metric_cols = [c for c in metrics.columns if c not in keys]
     both = metrics.unionByName(entries, allowMissingColumns=True)
     aggs = [F.first(c, ignorenulls=True).alias(c) for c in metric_cols]
@@ -194,5 +195,5 @@ def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
         metrics = one_scan_metrics(batch, exprs, value_rules, keys)
     else:
         entries = mode_entries(batch, value_rules, keys) if value_rules else None
-        metrics = _fold(batch.groupBy(*keys).agg(*[F.expr(e) for e in exprs]), entries, keys)
+        metrics = with_entries(batch.groupBy(*keys).agg(*[F.expr(e) for e in exprs]), entries, keys)
     return results_of(metrics, rules, schema, null_cols, keys, days)
