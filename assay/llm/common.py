@@ -118,41 +118,34 @@ def running_total(lengths: Column) -> Column:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for the nodes of ``edges(a, b)``; component is the smallest node reachable.
 
-    Alternating large-star and small-star steps.  Each step aggregates a minimum
-    per node (combined before the shuffle) and joins it back to the edges, both
-    sides written first so that a node that holds a third of all edges is split.
-    Done when every node has one parent and a large star changes nothing.
+    Rounds of hooking and contraction.  Every node points to its least neighbour, if that is smaller; pointers are followed to
+    their ends by doubling; then the edges between different ends are the edges of the next round.  A
+    component loses half its nodes a round at least, stars and near-stars are done in one.  Minima are combined before the
+    shuffle, and both sides of each join are written first, so that a node that holds a third of all edges is split.
     """
-    tables = Tables(edges.sparkSession)
+    tables, rounds = Tables(edges.sparkSession), []
     edges = tables.write(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = _state(edges)
-    while state[0]:
+    while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        edges = _star(both, tables, larger_only=True)       # large star: every larger neighbour to the least neighbour
-        new = _state(edges)
-        if new == state and new[0] == new[1]:
-            break
-        edges = _star(edges, tables, larger_only=False)     # small star: every smaller neighbour too
-        state = _state(edges)
-    members = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return members.union(members.select(F.col("component").alias("node"), "component").distinct())
-
-
-def _state(edges: DataFrame) -> tuple:
-    """Number of edges, of nodes with a parent, and a hash of the edges."""
-    row = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")) \
-        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("nodes"), F.sum("h").alias("h")).first()
-    return row["n"] or 0, row["nodes"], row["h"]
-
-
-def _star(edges: DataFrame, tables: Tables, larger_only: bool) -> DataFrame:
-    least = tables.write(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-    joined = edges.join(least, "a")
-    if larger_only:
-        out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b")))
-    out = tables.write(out.where("a != b").distinct())
-    tables.drop_but(out)
-    return out
+        ends = tables.write(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        while True:
+            to = ends.select(F.col("a").alias("m"), F.col("m").alias("further"))
+            jumped = tables.write(ends.join(to, "m").select("a", F.col("further").alias("m"), (F.col("m") != F.col("further")).alias("moved")))
+            tables.drop(ends)
+            ends = jumped
+            if ends.where("moved").isEmpty():
+                break
+        rounds.append(ends)
+        end_of = lambda x: ends.select(F.col("a").alias(x), F.col("m").alias(f"m_{x}"))  # noqa: B023, E731
+        between = edges.join(end_of("a"), "a").join(end_of("b"), "b").where("m_a != m_b") \
+            .select(F.greatest("m_a", "m_b").alias("a"), F.least("m_a", "m_b").alias("b")).distinct()
+        between = tables.write(between)
+        tables.drop(edges)
+        edges = between
+    if not rounds:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    members = rounds[0].select(F.col("a").alias("node"), F.col("m").alias("component"))
+    for ends in rounds[1:]:
+        members = members.join(ends.select(F.col("a").alias("component"), "m"), "component", "left") \
+            .select("node", F.coalesce("m", "component").alias("component"))
+    return members

@@ -3,14 +3,15 @@
 Two operators find candidates by keys (inverted lists, bands): sets that link share a key, sets that share a
 key need not link.  A list of g near copies has g * g / 2 pairs, so pairs are made in steps:
 
-1. *Stars.*  Each list has a leader, its smallest id.  A set is first held against one leader only, the one that
-   leads most of its lists; a group of g copies costs g comparisons, and its components come from them.  Then against its
-   other leaders, as far as they are in other components.
-2. *More stars.*  A list whose members (other than its leaders, which have met all of them) are in one component is
-   done.  In the others only pairs of different components are left.  While those are many for the lists' members, each
-   list gets ``LEADERS`` more leaders, drawn by hash, as long as that at least halves the pairs.
-3. *Rest.*  The pairs of different components that are left are thinned out in cells of ``CELL`` x ``CELL`` members by
-   what the caller knows of each set, and compared.
+1. *First star.*  A set is held against one leader only: of the smallest ids of its lists the one that leads most of them.
+   A group of g copies costs g comparisons, and its components come from them.
+2. *More stars.*  A list whose members are in one component is done.  In the others only pairs of different components are
+   left.  While those are many for the lists' members, each list gets ``LEADERS`` leaders (the one in most lists, others drawn by
+   hash) that meet all its members and leave it, as long as that at least halves the pairs.
+3. *Rest.*  The pairs of different components that are left meet in cells of ``CELL`` x ``CELL`` members.
+
+In stars and cells, pairs are first thinned out by what the caller knows of each set; a pair that meets in several lists
+counts in the one with the smallest key (as far as ``KEYS`` keys of each set tell).
 
 Every pair of a list ends up compared, excluded by the caller's bound, or in one component, so no link is lost.
 
@@ -33,6 +34,7 @@ from .shingles import shingle_sets
 PART_PAIRS = 256    # pairs of one leader in one group of rows, about
 CELL = 512          # members on a side of a cell, about
 LEADERS = 8         # of each list in a later round
+KEYS = 32           # of a set's keys, to tell that a pair meets elsewhere too
 WORTH = 16          # pairs left for each member that make another round of stars worth its jobs
 
 #: (sizes a, sketches a, sizes b, sketches b) to a mask of the pairs that may link; sketches are lists of bytes
@@ -94,32 +96,29 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
         .mapInArrow(_verify(k, num, den), "a long, b long").distinct()
 
 
-CELL_ROWS = "key long, i int, j int, side int, id long, comp long, n_shingles long, sketch binary"
-
-
 def _cells(possible: Possible):
-    """Rows sorted by cell and side to the pairs of different components that may link; holds one cell."""
+    """Rows (key, i, j, side, id, comp, n, keys, sketch) sorted by cell and side to the pairs of different components that may link.
+
+    A cell (i = j) pairs its rows, another one those of side 0 with those of side 1.  Holds one cell.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, rows = None, []
 
         def pairs() -> pa.RecordBatch | None:
             left = [r for r in rows if r[0] == 0]
-            right = [r for r in rows if r[0] == 1] if cell[1] != cell[2] else left
-            out_a, out_b = [], []
+            right = left if cell[1] == cell[2] else [r for r in rows if r[0] == 1]
+            key, out = cell[0], set()
             comp, n = np.array([r[2] for r in right]), np.array([r[3] for r in right])
-            ids, sketches = np.array([r[1] for r in right]), [r[4] for r in right]
-            for at, (_, i, c, m, s) in enumerate(left):
+            sketches, smaller = [r[5] for r in right], [{k for k in r[4] if k < key} for r in right]
+            for at, (_, i, c, m, keys, s) in enumerate(left):
                 other = np.flatnonzero(comp != c)
                 if cell[1] == cell[2]:
                     other = other[other > at]
                 if len(other):
-                    keep = other[possible(np.full(len(other), m), [s] * len(other), n[other], [sketches[x] for x in other])]
-                    out_a.append(np.maximum(ids[keep], i))
-                    out_b.append(np.minimum(ids[keep], i))
-            if not out_a or not sum(map(len, out_a)):
-                return None
-            both = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1)
-            return _pairs(both[0], both[1])
+                    other = other[possible(np.full(len(other), m), [s] * len(other), n[other], [sketches[x] for x in other])]
+                    mine = {k for k in keys if k < key}
+                    out.update((max(i, right[x][1]), min(i, right[x][1])) for x in other.tolist() if mine.isdisjoint(smaller[x]))
+            return _pairs(*zip(*out, strict=True)) if out else None
 
         for batch in batches:
             for key, i, j, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -149,25 +148,40 @@ def _one_of_alike(lists: DataFrame) -> DataFrame:
     return lists.join(alike.groupBy("h", "rows", "x").agg(F.min("key").alias("key")).select("key"), "key")
 
 
-def _stars(members: DataFrame, seed: int, tables: Tables) -> tuple[DataFrame, DataFrame]:
-    """Of each list some members as leaders, ``(key, leader)``, and the pairs (a, b) of members and leaders of other components."""
-    drawn = [F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(seed + i))).alias(f"l{i}") for i in range(LEADERS)]
-    leaders = tables.write(members.groupBy("key").agg(*drawn).select("key", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(LEADERS)]))).alias("l"))
-                  .select("key", F.col("l.id").alias("leader"), F.col("l.comp").alias("its")))
-    pairs = members.join(leaders, "key").where("comp != its").select(F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b"))
-    return leaders.select("key", "leader"), pairs.distinct()
+def _in_cells(dealt: DataFrame, members: DataFrame, sets: DataFrame, possible: Possible) -> DataFrame:
+    """The pairs of rows (key, i, j, side, id, comp) dealt to cells."""
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = members.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("key")), 1, KEYS).alias("keys"))
+    known = sets.select("id", "n_shingles", "sketch").join(keys, "id")
+    return dealt.join(known, "id").select("key", "i", "j", "side", "id", "comp", "n_shingles", "keys", "sketch") \
+        .repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "side") \
+        .mapInArrow(_cells(possible), "a long, b long").distinct()
+
+
+def _part(size: int):
+    return F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("n") / size)).cast("int")
+
+
+def _stars(members: DataFrame, seed: int, sets: DataFrame, possible: Possible, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """Of each list some members as leaders, ``(key, id)``, and the pairs of members and leaders of other components."""
+    counted = members.join(members.groupBy("id").agg(F.count(F.lit(1)).alias("lists")), "id")
+    who = F.struct("id", "comp")
+    drawn = [F.min_by(who, F.struct(-F.col("lists"), "id")), *[F.min_by(who, F.xxhash64("id", F.lit(seed + i))) for i in range(1, LEADERS)]]
+    leaders = counted.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("l"), F.max("n").alias("n"))
+    leaders = tables.write(leaders.select("key", "n", F.explode("l").alias("l")).select("key", "n", "l.*"))
+    parts = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / (CELL * LEADERS)).cast("int") - 1))
+    dealt = members.select("key", F.lit(-1).alias("i"), _part(CELL * LEADERS).alias("j"), F.lit(1).alias("side"), "id", "comp").unionByName(
+        leaders.select("key", F.lit(-1).alias("i"), parts.alias("j"), F.lit(0).alias("side"), "id", "comp"))
+    return leaders.select("key", "id"), _in_cells(dealt, members, sets, possible)
 
 
 def _rest(members: DataFrame, sets: DataFrame, possible: Possible) -> DataFrame:
     """Pairs of different components in the lists that are left."""
-    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = members.withColumn("cells", F.ceil(F.col("n") / CELL).cast("int")).drop("n", "pairs").join(sets.select("id", "n_shingles", "sketch"), "id")
-    own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("cells")).cast("int")
-    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))) \
+    every = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / CELL).cast("int") - 1))
+    dealt = members.withColumn("own", _part(CELL)).withColumn("other", every) \
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "comp", "n_shingles", "sketch")
-    return dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "side") \
-        .mapInArrow(_cells(possible), "a long, b long").distinct()
+                (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "comp")
+    return _in_cells(dealt, members, sets, possible)
 
 
 def representatives(sets: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
@@ -196,25 +210,18 @@ def components(lists: DataFrame, sets: DataFrame, equal: DataFrame, texts: DataF
     leaders = lists.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").drop("last")
     met = tables.write(lists.join(leaders, "key"))
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        left = tables.write(_sketched(pairs, sets).mapInArrow(_thin(possible), "a long, b long").distinct())
-        return verified(left, texts, k, num, den)
-
-    def joined(links: DataFrame) -> DataFrame:
-        return tables.write(connected_components(links))
-
-    stars = tables.write(met.where("id != leader").groupBy(F.col("id").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("n")))
-    first = tables.write(stars.groupBy("a").agg(F.min_by("b", F.struct(-F.col("n"), "b")).alias("b")))
-    links = tables.write(compare(first))
-    comps = joined(links)
-    of = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
-    others = stars.join(first, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left") \
-        .where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
-    links = tables.write(links.union(compare(others)))
-    comps = joined(links)
-
-    members = _unfinished(met.where("id != leader").select("key", "id").distinct(), comps, tables)
-    left = tables.write(_one_of_alike(members))
+    def compare(pairs: DataFrame) -> DataFrame | None:
+        """The links among pairs; None if there are no pairs."""
+        pairs = tables.write(pairs)
+        return None if pairs.isEmpty() else tables.write(verified(pairs, texts, k, num, den))
+
+    stars = met.where("id != leader").groupBy(F.col("id").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    first = stars.groupBy("a").agg(F.min_by("b", F.struct(-F.col("n"), "b")).alias("b"))
+    links = compare(_sketched(first, sets).mapInArrow(_thin(possible), "a long, b long").distinct())
+    if links is None:
+        links = equal.where("false")
+    comps = tables.write(connected_components(links))
+    left = tables.write(_one_of_alike(_unfinished(met.select("key", "id").distinct(), comps, tables)))
     tables.drop_but(left, links, comps)
     before, seed = float("inf"), 0
     while True:
@@ -222,15 +229,16 @@ def components(lists: DataFrame, sets: DataFrame, equal: DataFrame, texts: DataF
         if not n or pairs <= WORTH * n or pairs > before / 2:
             break
         before, seed = pairs, seed + LEADERS
-        leaders, tried = _stars(left, seed, tables)
-        links = tables.write(links.union(compare(tried)))
-        comps = joined(links)
-        done = leaders.withColumnRenamed("leader", "id")
-        left = _unfinished(left.select("key", "id").join(done, ["key", "id"], "left_anti"), comps, tables)
+        leaders, tried = _stars(left, seed, sets, possible, tables)
+        more = compare(tried)
+        if more is not None:
+            links = tables.write(links.union(more))
+            comps = tables.write(connected_components(links))
+        left = _unfinished(left.select("key", "id").join(leaders, ["key", "id"], "left_anti"), comps, tables)
         tables.drop_but(left, links, comps)
     if n:
-        rest = tables.write(_rest(left, sets, possible))
-        links = links.union(verified(rest, texts, k, num, den))
+        more = compare(_rest(left, sets, possible))
+        links = links if more is None else links.union(more)
     out = connected_components(links.union(equal))
     tables.drop_but()
     return out
