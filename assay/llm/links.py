@@ -32,6 +32,7 @@ from .common import Tables, connected_components
 from .shingles import shingle_sets
 
 PART_PAIRS = 256    # pairs of one leader in one group of rows, about
+ID_BUCKETS = 1 << 19    # of the filter on texts that are in some pair
 CELL = 512          # members on a side of a cell, about
 LEADERS = 8         # of each list in a later round
 KEYS = 32           # of a set's keys, to tell that a pair meets elsewhere too
@@ -91,7 +92,12 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) ->
     leaders = shares.select(F.col("b").alias("id"), "b", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("part"), F.lit(0).alias("role"))
     members = pairs.join(shares, "b").select(F.col("a").alias("id"), "b", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int").alias("part"),
                                              F.lit(1).alias("role"))
-    rows = texts.join(leaders.unionByName(members), "id").select("b", "part", "role", "id", "text")
+    wanted = leaders.unionByName(members)
+    # most texts are in no pair: those whose id falls in no wanted bucket are not sent (ID_BUCKETS numbers at most are broadcast)
+    bucket = F.pmod(F.xxhash64("id"), F.lit(ID_BUCKETS))
+    buckets = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bucket.alias("bucket")).distinct()
+    some = texts.withColumn("bucket", bucket).join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket")
+    rows = some.join(wanted, "id").select("b", "part", "role", "id", "text")
     return rows.repartition(parts, "b", "part").sortWithinPartitions("b", "part", "role") \
         .mapInArrow(_verify(k, num, den), "a long, b long").distinct()
 
