@@ -38,8 +38,9 @@ from assay.operators.modes import mode_results, tied_modes  # noqa: E402
 from assay.operators.profile import profile_columns  # noqa: E402
 from assay.operators.samples import top_values, unexpected_values  # noqa: E402
 from assay.plans.by_day import validate_by_day  # noqa: E402
-from assay.plans.checkpoint import failed_expectations, gate_status, run_stats, validate  # noqa: E402
-from assay.plans.publish import publishable_rows  # noqa: E402
+from assay.plans.checkpoint import failed_expectations, gate_status, read_history, run_stats, run_summaries, validate  # noqa: E402
+from assay.plans.history import append_results, compact_history  # noqa: E402
+from assay.plans.publish import publish_by_day, publish_projects, publishable_rows, read_published  # noqa: E402
 from assay.plans.suite import Suite, default_suite  # noqa: E402
 from assay.plans.state import results_from_state, update_state  # noqa: E402
 from assay.session import checkpoint_root, ensure_checkpoint_dir  # noqa: E402
@@ -323,13 +324,41 @@ def _scratch(spark, name: str) -> str:
 
 
 def q_publish_if_valid(spark, sf_dir):
-    if spark.sparkContext.master.startswith("local["):  # a session without a shared folder; on a cluster it is an error
-        ensure_checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "assay-checkpoints"))
+    """All projects published to a new target, and read back from there."""
+    batches, target = _all_batches(spark, sf_dir), _scratch(spark, "target")
+    publish_projects(batches, _suite(), target, *_days(batches), failures_allowed=PUBLISH_FAILURES_ALLOWED)
+    return read_published(spark, target).select(*PROJECT, *BATCH_COLUMNS)
+
+
+def q_publishable_rows(spark, sf_dir):
+    """The same rows without a target."""
+    _scratch(spark, "staging")
     batches = _all_batches(spark, sf_dir)
     return publishable_rows(batches, _suite(), *_days(batches), failures_allowed=PUBLISH_FAILURES_ALLOWED) \
         .select(*PROJECT, *BATCH_COLUMNS)
 
 
+def q_publish_again(spark, sf_dir):
+    """One project published by day into a target that holds all others: its failing days stay, other projects' rows too."""
+    batches, target = _all_batches(spark, sf_dir), _scratch(spark, "target")
+    begin, end = _days(batches)
+    publish_projects(batches, _suite(), target, begin, end, failures_allowed=len(_suite().rules))
+    mine = batches.where("project = 'view' AND dt IS NOT NULL").withColumn("country_code", F.lit("US")).drop("project")
+    publish_by_day(mine, _suite(), target, begin, end, failures_allowed=PUBLISH_FAILURES_ALLOWED, raise_on_failure=False, project="view")
+    return read_published(spark, target).groupBy("project", "dt", "country_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_result_history(spark, sf_dir):
+    """Daily runs appended to a history, compacted, and read back: one row per run."""
+    batches, suite = _all_batches(spark, sf_dir), _suite()
+    path = _scratch(spark, "history")
+    results = validate_by_day(batches, suite, *_days(batches), by=PROJECT)
+    for half in (0, 1):     # two writers, each with some days
+        append_results(results.where(F.pmod(F.coalesce(F.dayofmonth("dt"), F.lit(0)), F.lit(2)) == half), suite.name, path)
+    compact_history(spark, path)
+    return run_summaries(read_history(spark, path)).select("project", F.col("data_dt").alias("dt"), "evaluated", "failed", "passed", "success")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the full 20-rule suite on every project's batch of sf0.001, in one pass."""
     return q_validate_suite(spark, SMOKE_DIR)
@@ -371,6 +400,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unexpected_samples": q_unexpected_samples,
         "validate_by_day": q_validate_by_day,
         "publish_if_valid": q_publish_if_valid,
+        "publishable_rows": q_publishable_rows,
+        "publish_again": q_publish_again,
+        "result_history": q_result_history,
         **(_llm.QUERIES if _llm else {}),
         **({"pipeline": _pipeline.run} if _pipeline else {}),
     }
@@ -603,6 +635,9 @@ def _batch_oracle_sql() -> dict[str, str]:
     daily = lambda rules: _results_sql(_per_day(rules), ALL_BATCHES_SQL, DAILY)
     by_day = _results_sql(_per_day(O_RULES), ALL_BATCHES_SQL, DAILY, DAY_SPINE_SQL)
     codes = _results_sql([(O_SET, "code", 0.3, [f"'{c}'" for c in CODES])], CODE_PAIRS_SQL, ["part"])
+    published = (f"WITH res AS ({by_day}), good AS (SELECT project, dt FROM res GROUP BY project, dt "
+                 f"HAVING count(*) FILTER (WHERE NOT success) <= 4) SELECT project, {FLAT} FROM ({ALL_BATCHES_SQL}) b WHERE EXISTS "
+                 f"(SELECT 1 FROM good g WHERE {_same('g', 'b', DAILY)})")
     tied = " UNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS rule_id, '{c}' AS column_name, CAST(v AS VARCHAR) AS value, n FROM "
         f"(SELECT {c} AS v, count(*) AS n, max(count(*)) OVER () AS top_n FROM t GROUP BY {c}) x WHERE n = top_n"
@@ -649,8 +684,16 @@ def _batch_oracle_sql() -> dict[str, str]:
                               f"ORDER BY n DESC, value ASC NULLS FIRST) AS INTEGER) AS sample_rank FROM ({_values_sql()}) v) k "
                               f"WHERE sample_rank <= 3",
         "validate_by_day": by_day,
-        "publish_if_valid": f"WITH res AS ({by_day}), good AS (SELECT project, dt FROM res GROUP BY project, dt "
-                            f"HAVING count(*) FILTER (WHERE NOT success) <= 4) "
-                            f"SELECT project, {FLAT} FROM ({ALL_BATCHES_SQL}) b WHERE EXISTS "
-                            f"(SELECT 1 FROM good g WHERE {_same('g', 'b', DAILY)})",
+        "publish_if_valid": published,
+        "publishable_rows": published,
+        "publish_again": f"WITH mine AS (SELECT project, {FLAT.replace('country_code', "'US' AS country_code")} FROM ({ALL_BATCHES_SQL}) x "
+                         f"WHERE project = 'view' AND dt IS NOT NULL), "
+                         f"res AS ({_results_sql(_per_day(O_RULES), 'SELECT * FROM mine', DAILY)}), good AS (SELECT project, dt FROM res "
+                         f"GROUP BY project, dt HAVING count(*) FILTER (WHERE NOT success) <= 4), now AS ("
+                         f"SELECT * FROM ({ALL_BATCHES_SQL}) b WHERE NOT EXISTS (SELECT 1 FROM good g WHERE {_same('g', 'b', DAILY)}) "
+                         f"UNION ALL SELECT * FROM mine m WHERE EXISTS (SELECT 1 FROM good g WHERE {_same('g', 'm', DAILY)})) "
+                         f"SELECT project, dt, country_code, count(*) AS n FROM now GROUP BY project, dt, country_code",
+        "result_history": f"SELECT project, dt, count(*) AS evaluated, count(*) FILTER (WHERE NOT success) AS failed, "
+                          f"count(*) FILTER (WHERE success) AS passed, count(*) FILTER (WHERE NOT success) = 0 AS success "
+                          f"FROM ({by_day}) r GROUP BY project, dt",
     }

@@ -27,7 +27,7 @@ from .plans.checkpoint import (
     validate,
 )
 from .plans.pipeline import run_daily
-from .plans.publish import publish_by_day, publish_if_valid, publishable_rows
+from .plans.publish import publish_by_day, publish_if_valid, publish_projects, publishable_rows, read_published
 from .plans.suite import Suite, default_suite, load_suite, save_suite, suite_from_json, suite_to_json
 from .session import build_session
 
@@ -35,7 +35,7 @@ __all__ = [
     "AssayError", "BadParameter", "BATCH_COLUMNS", "CheckpointFailed", "CheckpointRun", "Rule",
     "SchemaDriftError", "SessionConfigError", "Suite", "SuiteNotFound", "build_session",
     "default_suite", "extract_batch", "extract_batch_sql", "failed_expectations", "flatten",
-    "gate_status", "load_suite", "profile_columns", "publish_by_day", "publish_if_valid",
+    "gate_status", "load_suite", "profile_columns", "publish_by_day", "publish_if_valid", "publish_projects", "read_published",
     "publishable_rows", "read_history", "run_checkpoint", "run_daily", "run_summaries", "run_stats",
     "save_suite", "suite_from_json", "suite_to_json", "validate", "validate_by_day",
 ]

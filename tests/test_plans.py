@@ -144,12 +144,16 @@ def test_one_scan_form(spark, nested_path):
     assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
 
 
-def test_publishable_rows_are_not_shuffled_again(spark, nested_path):
+def test_publishable_rows_prune_at_run_time(spark, nested_path):
+    """Verdicts are joined, not collected: the reader of the staged rows gets its partitions from them while it runs."""
     from assay import flatten, publishable_rows
     from assay.operators.extract import BATCH_COLUMNS
     batches = flatten(read_downloads(spark, nested_path), F.col("file.project").alias("project"))
-    good = publishable_rows(batches, default_suite(list(BATCH_COLUMNS)), "2024-01-01", "2024-01-30", 5)
-    text = plan_text(good)
-    assert "Exchange" not in text and "Join" not in text
-    assert "project" in re.search(r"PartitionFilters: \[(.*)\]", text).group(1)
+    good = publishable_rows(batches, default_suite(list(BATCH_COLUMNS)), "2024-01-01", "2024-01-30", 4)
+    text = final_plan(good)
+    whole = plan_text(good)
+    assert "dynamicpruning" in whole
+    pruned = [p for p in re.findall(r"PartitionFilters: \[(.*)\]", whole) if "dynamicpruning" in p]
+    assert pruned and all("bucket_64" in p and "staged_day" in p and " OR " not in p for p in pruned)
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert 0 < good.count() < batches.count()

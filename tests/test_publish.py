@@ -1,9 +1,13 @@
+import glob
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from assay import CheckpointFailed, default_suite, extract_batch, publish_by_day, publish_if_valid, publishable_rows
+from assay import (CheckpointFailed, default_suite, extract_batch, flatten, publish_by_day, publish_if_valid, publish_projects,
+                   publishable_rows, read_published)
+from assay.errors import BadParameter
+from assay.plans import publish
 
 
 def _days(spark, path):
@@ -93,8 +97,8 @@ def test_two_projects_share_a_target(spark, scratch, source01):
         counts[project] = batch.count()
     got = spark.read.parquet(target).groupBy("project").count().collect()
     assert {r.project: r["count"] for r in got} == counts
-    for day in range(1, 5):  # a few files per project and day, not one per task
-        assert 1 <= len([f for f in os.listdir(f"{target}/project=click/dt=2024-01-0{day}") if f.endswith(".parquet")]) <= 2
+    for folder in glob.glob(f"{target}/*/dt=*"):  # a few files per bucket and day, not one per task
+        assert 1 <= len([f for f in os.listdir(folder) if f.endswith(".parquet")]) <= 2
 
 
 def test_rows_without_a_day_are_seen_and_kept(spark, scratch):
@@ -123,3 +127,102 @@ def test_empty_days_and_staging(spark, scratch, source01):
     assert [d.day for d in report.empty_days] == [2] and [d.day for d in report.published_days] == [1, 3, 4]
     assert _days(spark, target)["2024-01-02"] == full.count()  # what was published before stays
     assert not os.path.exists(report.staging_path.removeprefix("file:"))
+
+
+def rows_of(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def many_projects(source, n):
+    """Every row goes to one of ``n`` projects, or to none."""
+    return flatten(source, F.concat(F.lit("p"), F.pmod(F.xxhash64("timestamp"), F.lit(n))).alias("project")) \
+        .withColumn("project", F.when(F.col("project") != "p0", F.col("project")))
+
+
+def test_folders_do_not_grow_with_projects(spark, scratch, source01):
+    suite = default_suite([c for c in many_projects(source01, 2).columns if c != "project"])
+    folders = {}
+    for n in (200, 400):
+        target = os.path.join(scratch, f"t{n}")
+        batch = many_projects(source01, n).where("dt <= DATE '2024-01-03'")
+        report = publish_projects(batch, suite, target, "2024-01-01", "2024-01-03", failures_allowed=20, staging_root=f"{scratch}/s{n}")
+        assert report.batches == report.published == batch.select("project", "dt").distinct().count()
+        assert rows_of(read_published(spark, target)) == rows_of(batch)
+        folders[n] = len(glob.glob(f"{target}/*/dt=*"))
+        assert not os.listdir(f"{scratch}/s{n}/assay-staging")
+    assert 100 < folders[200] <= folders[400] <= publish.BUCKETS * 3
+
+
+def test_other_projects_in_the_bucket_stay(spark, scratch, source01, monkeypatch):
+    """Projects share folders; publishing one again leaves the others' rows."""
+    target = os.path.join(scratch, "target")
+    everything = many_projects(source01, 150).where("dt <= DATE '2024-01-04'")
+    suite = default_suite([c for c in everything.columns if c != "project"], "2024-01-01", "2024-01-04")
+    publish_projects(everything, suite, target, "2024-01-01", "2024-01-04", failures_allowed=20)
+    one = everything.where("project = 'p7' AND dt IN (DATE '2024-01-02', DATE '2024-01-03')").limit(3).drop("project")
+    report = publish_if_valid(one, suite, target, failures_allowed=20, project="p7")
+    days = [d.isoformat() for d in report.published_days]
+    want = everything.where(~F.coalesce((F.col("project") == "p7") & F.col("dt").cast("string").isin(days), F.lit(False)))
+    staged = read_published(spark, target, "p7").where(F.col("dt").cast("string").isin(days))
+    assert staged.count() == 3
+    assert rows_of(read_published(spark, target)) == sorted(rows_of(want) + rows_of(staged))
+    # rows without a project, and projects that fail, are handled like any other
+    again = everything.where("project IS NULL OR project IN ('p7', 'p8')")
+    report = publish_projects(again, suite, target, "2024-01-01", "2024-01-04", failures_allowed=20)
+    assert report.failed == 0 and rows_of(read_published(spark, target)) == rows_of(everything)
+    report = publish_projects(again, suite, target, "2024-01-01", "2024-01-04", failures_allowed=0)
+    assert report.published < report.batches and rows_of(read_published(spark, target)) == rows_of(everything)
+
+
+def test_publish_projects_publishes_what_passes(spark, scratch, source01):
+    target, verdicts = os.path.join(scratch, "target"), os.path.join(scratch, "verdicts")
+    batch = flatten(source01, F.col("file.project").alias("project"))
+    suite = default_suite([c for c in batch.columns if c != "project"])
+    report = publish_projects(batch, suite, target, "2024-01-01", "2024-01-30", failures_allowed=4, verdicts_path=verdicts)
+    want = publishable_rows(batch, suite, "2024-01-01", "2024-01-30", failures_allowed=4)
+    assert rows_of(read_published(spark, target)) == rows_of(want)
+    assert 0 < report.published < report.batches and report.published + report.failed == report.batches
+    assert spark.read.parquet(verdicts).where("failed <= 4").count() == report.published
+
+
+def test_one_project_is_read_from_one_bucket(spark, scratch, source01):
+    import contextlib
+    import io
+    target = os.path.join(scratch, "target")
+    batch = many_projects(source01, 60).where("dt <= DATE '2024-01-02'")
+    suite = default_suite([c for c in batch.columns if c != "project"])
+    publish_projects(batch, suite, target, "2024-01-01", "2024-01-02", failures_allowed=20)
+    one = read_published(spark, target, "p5", "2024-01-01", "2024-01-01")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one.explain("formatted")
+    assert "EqualTo(project,p5)" in buf.getvalue() and f"({publish.BUCKET}" in buf.getvalue().split("PartitionFilters")[1]
+    assert rows_of(one) == rows_of(batch.where("project = 'p5' AND dt = DATE '2024-01-01'"))
+
+
+def test_a_publish_that_broke_off_is_finished(spark, scratch, source01, monkeypatch):
+    target = os.path.join(scratch, "target")
+    batch = many_projects(source01, 90).where("dt <= DATE '2024-01-02'")
+    suite = default_suite([c for c in batch.columns if c != "project"])
+    publish_projects(batch, suite, target, "2024-01-01", "2024-01-02", failures_allowed=20)
+    merged = []
+    with monkeypatch.context() as m:
+        m.setattr(publish, "finish_publish", lambda spark, path, target, schema: merged.append((path, schema)) or (_ for _ in ()).throw(OSError()))
+        with pytest.raises(OSError):
+            publish_projects(batch.limit(40), suite, target, "2024-01-01", "2024-01-02", failures_allowed=20)
+    assert rows_of(read_published(spark, target)) == rows_of(batch)     # untouched so far
+    path, schema = merged[0]
+    with monkeypatch.context() as m:
+        m.setattr(publish, "drop_staging", lambda *a: None)
+        publish.finish_publish(spark, path, target, schema)
+    once = rows_of(read_published(spark, target))
+    publish.finish_publish(spark, path, target, schema)
+    assert rows_of(read_published(spark, target)) == once != rows_of(batch)
+
+
+def test_another_layout_is_refused(spark, scratch, source01):
+    target = os.path.join(scratch, "target")
+    batch = extract_batch(source01, "error", "2024-01-01", "2024-01-02")
+    batch.withColumn("project", F.lit("error")).write.partitionBy("project", "dt").parquet(target)
+    with pytest.raises(BadParameter):
+        publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-02"), target, failures_allowed=20, project="error")
