@@ -46,7 +46,7 @@ def downloads_schema(timestamp_type: T.DataType | None = None) -> T.StructType:
     """The source layout as a declared schema (``timestamp`` is an instant unless told otherwise).
 
     Reading with it needs no look at the files and reads only these fields; a file
-    that lacks one gives NULL, so ``read_downloads`` checks types only when it infers.
+    that lacks one gives NULL, so ``read_downloads`` audits the files' footers as well.
     """
     def build(paths: dict[str, T.DataType]) -> T.StructType:
         out = T.StructType()
@@ -82,17 +82,23 @@ def check_source_schema(df: DataFrame, fields: dict[str, tuple[type, ...]] = DOW
 
 
 def read_downloads(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-                   table: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+                   table: str | None = None, schema: T.StructType | None = None, audit: bool | None = None) -> DataFrame:
     """Read a nested downloads table (files at ``path``, or a catalog ``table``) and check its schema.
 
     ``schema`` (see ``downloads_schema``) is declared to the reader; without it the
-    files' own schema is taken.
+    files' own schema is taken.  A declared schema would hide files that lack a field, so the footers of Parquet files
+    are audited then (``audit.check_files``); ``audit`` turns that on or off.
 
     Nothing is selected here: the extract's projection and filters are pushed into
     the scan by Catalyst (nested ``ReadSchema`` pruning, ``PushedFilters``).
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
+    if audit if audit is not None else schema is not None and path is not None and fmt == "parquet":
+        if path is None or fmt != "parquet":
+            raise ValueError("an audit needs Parquet files at a path")
+        from .audit import check_files
+        check_files(spark, path)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = spark.table(table) if table else reader.format(fmt).load(path)
     check_source_schema(df)
