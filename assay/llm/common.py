@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import SessionConfigError
@@ -77,11 +77,17 @@ class Tables:
         self.spark, self.paths = spark, {}
 
     def write(self, df: DataFrame) -> DataFrame:
-        path = scratch_path(self.spark, "table")
-        df.write.parquet(path)
+        return self.write_counted(df, F.count(F.lit(1)))[0]
+
+    def write_counted(self, df: DataFrame, what: Column | None = None) -> tuple[DataFrame, int]:
+        """The written table and an aggregate of it (its rows), taken while it is written."""
+        path, seen = scratch_path(self.spark, "table"), Observation()
+        what = F.count(F.lit(1)) if what is None else what
+        df.observe(seen, what.alias("n")).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
-        return out
+        n = seen.get.get("n")
+        return out, out.agg(what.alias("n")).first()["n"] if n is None else n
 
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
@@ -124,22 +130,23 @@ def connected_components(edges: DataFrame) -> DataFrame:
     shuffle, and both sides of each join are written first, so that a node that holds a third of all edges is split.
     """
     tables, rounds = Tables(edges.sparkSession), []
-    edges = tables.write(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    while not edges.isEmpty():
+    edges, left = tables.write_counted(
+        edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while left:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         ends = tables.write(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-        while True:
+        moved = 1
+        while moved:
             to = ends.select(F.col("a").alias("m"), F.col("m").alias("further"))
-            jumped = tables.write(ends.join(to, "m").select("a", F.col("further").alias("m"), (F.col("m") != F.col("further")).alias("moved")))
+            step = ends.join(to, "m").select("a", F.col("further").alias("m"), (F.col("m") != F.col("further")).alias("moved"))
+            jumped, moved = tables.write_counted(step, F.count_if("moved"))
             tables.drop(ends)
             ends = jumped
-            if ends.where("moved").isEmpty():
-                break
         rounds.append(ends)
         end_of = lambda x: ends.select(F.col("a").alias(x), F.col("m").alias(f"m_{x}"))  # noqa: B023, E731
         between = edges.join(end_of("a"), "a").join(end_of("b"), "b").where("m_a != m_b") \
             .select(F.greatest("m_a", "m_b").alias("a"), F.least("m_a", "m_b").alias("b")).distinct()
-        between = tables.write(between)
+        between, left = tables.write_counted(between)
         tables.drop(edges)
         edges = between
     if not rounds:

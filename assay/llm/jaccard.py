@@ -16,7 +16,7 @@ Rarity comes from one pass that counts all shingles in ``2 ** RARITY_BITS`` coun
 logarithmic scale, so a broadcast of one fixed size).  It only orders shingles: what shares a counter costs longer lists, never a link.
 
 Lists are compared by stars and cells (``links``): no list gives all its pairs.  Before two texts are compared, a sketch has to
-allow the link: shingle counts in about n/6 buckets, whose sum of minima bounds the intersection from above.  Equal sets count as one.
+allow the link: shingle counts in hash buckets, whose sum of minima bounds the intersection from above.  Equal sets count as one.
 
 Defined results: null, empty and word-free texts have an empty set, link with nothing and
 are their own component; a null doc_id has a null component; rows that share a doc_id are
@@ -200,33 +200,8 @@ def entries(rule: Rule, s: np.ndarray, boundary: int, rarity: np.ndarray) -> np.
     return np.concatenate(parts)
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """Counts of a set's shingles in a power of 2 of hash ranges, 4 to 8 shingles each; 255 means "that or more"."""
-    bits = max(0, (max(len(s), 1) - 1).bit_length() - 3)
-    part = (mix(s ^ U(0x2545F4914F6CDD1D)) >> U(63 - bits) >> U(1)).astype(np.int64)
-    return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8)
-
-
 def may_link(rule: Rule):
-    """The pairs whose sketches allow an intersection that is large enough; never excludes a link."""
-    def test(n_a: np.ndarray, s_a: list, n_b: np.ndarray, s_b: list) -> np.ndarray:
-        keep = (rule.num * np.maximum(n_a, n_b) <= rule.den * np.minimum(n_a, n_b)) & (np.minimum(n_a, n_b) > 0)
-        widths: dict[tuple[int, int], list[int]] = {}
-        for i in np.flatnonzero(keep).tolist():
-            widths.setdefault((len(s_a[i]), len(s_b[i])), []).append(i)
-        for (w, v), rows in widths.items():
-            step = max(1, (1 << 22) // max(w, v))
-            for at in range(0, len(rows), step):
-                some = rows[at:at + step]
-                a = np.frombuffer(b"".join([s_a[i] for i in some]), np.uint8).reshape(-1, w)
-                b = np.frombuffer(b"".join([s_b[i] for i in some]), np.uint8).reshape(-1, v)
-                open_end = (a.max(axis=1) == 255) | (b.max(axis=1) == 255)
-                low = min(w, v)     # ranges are halves of wider ones
-                a, b = (x.reshape(len(some), low, -1).sum(axis=2, dtype=np.int64) for x in (a, b))
-                most = np.minimum(a, b).sum(axis=1)
-                keep[some] = open_end | (rule.den * most >= rule.num * (n_a[some] + n_b[some] - most))
-        return keep
-    return test
+    return links.counts_allow(rule.num, rule.den)
 
 
 # --------------------------------------------------------------------------
@@ -244,7 +219,7 @@ def _sets(rule: Rule, boundary: int, rarity):
                 n.append(len(s))
                 h1.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                 h2.append(int(mix(s ^ U(0xA0761D6478BD642F)).sum(dtype=np.uint64).astype(np.int64)))
-                sketches.append(sketch(s).tobytes())
+                sketches.append(links.counts(s).tobytes())
                 keys.append(entries(rule, s, boundary, rarity.value).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sketches, pa.binary()),

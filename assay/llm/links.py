@@ -3,8 +3,9 @@
 Two operators find candidates by keys (inverted lists, bands): sets that link share a key, sets that share a
 key need not link.  A list of g near copies has g * g / 2 pairs, so pairs are made in steps:
 
-1. *First star.*  A set is held against one leader only: of the smallest ids of its lists the one that leads most of them.
-   A group of g copies costs g comparisons, and its components come from them.
+1. *First star.*  A list's leader is the member with the most company, that is the largest sum of its lists' sizes: in a group of
+   copies the one that the others were made from, or nearest to it.  A set is held against one leader only, the one that leads
+   most of its lists.  A group of g copies costs g comparisons, and its components come from them.
 2. *More stars.*  A list whose members are in one component is done.  In the others only pairs of different components are
    left.  While those are many for the lists' members, each list gets ``LEADERS`` leaders (the one in most lists, others drawn by
    hash) that meet all its members and leave it, as long as that at least halves the pairs.
@@ -29,19 +30,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Tables, connected_components
-from .shingles import shingle_sets
+from .shingles import mix, shingle_sets
 
 PART_PAIRS = 256    # pairs of one leader in one group of rows, about
 ID_BUCKETS = 1 << 19    # of the filter on texts that are in some pair
 CELL = 512          # members on a side of a cell, about
 LEADERS = 8         # of each list in a later round
+MOST_RANGE_BITS = 10    # at most 1,024 counts of a set
+STAR = -1           # marks the cells of leaders and members
 KEYS = 32           # of a set's keys, to tell that a pair meets elsewhere too
-WORTH = 16          # pairs left for each member that make another round of stars worth its jobs
+WORTH = 64          # pairs left for each member that make another round of stars worth its jobs
 
 #: (sizes a, sketches a, sizes b, sketches b) to a mask of the pairs that may link; sketches are lists of bytes
 Possible = Callable[[np.ndarray, list, np.ndarray, list], np.ndarray]
 
 
+def counts(s: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles in a power of 2 of hash ranges, about one shingle each; 255 means "that or more"."""
+    bits = min(max(len(s), 1).bit_length(), MOST_RANGE_BITS)
+    part = (mix(s ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8)
+
+
+def counts_allow(num: int, den: int) -> Possible:
+    """The pairs whose counts allow an intersection that is large enough; never excludes a link."""
+    def test(n_a: np.ndarray, s_a: list, n_b: np.ndarray, s_b: list) -> np.ndarray:
+        keep = (num * np.maximum(n_a, n_b) <= den * np.minimum(n_a, n_b)) & (np.minimum(n_a, n_b) > 0)
+        widths: dict[tuple[int, int], list[int]] = {}
+        for i in np.flatnonzero(keep).tolist():
+            widths.setdefault((len(s_a[i]), len(s_b[i])), []).append(i)
+        for (w, v), rows in widths.items():
+            step = max(1, (1 << 22) // max(w, v))
+            for at in range(0, len(rows), step):
+                some = rows[at:at + step]
+                a = np.frombuffer(b"".join([s_a[i] for i in some]), np.uint8).reshape(-1, w)
+                b = np.frombuffer(b"".join([s_b[i] for i in some]), np.uint8).reshape(-1, v)
+                open_end = (a.max(axis=1) == 255) | (b.max(axis=1) == 255)
+                low = min(w, v)     # ranges are halves of wider ones
+                if w != v:
+                    a, b = (x.reshape(len(some), low, -1).sum(axis=2, dtype=np.int64) for x in (a, b))
+                most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+                keep[some] = open_end | (den * most >= num * (n_a[some] + n_b[some] - most))
+        return keep
+    return test
+
+
 def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) with what is known of both: n_a, s_a, n_b, s_b; a row per combination if an id has several sets."""
     side = lambda x: sets.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
@@ -116,14 +149,15 @@ def _cells(possible: Possible):
             key, out = cell[0], set()
             comp, n = np.array([r[2] for r in right]), np.array([r[3] for r in right])
             sketches, smaller = [r[5] for r in right], [{k for k in r[4] if k < key} for r in right]
-            for at, (_, i, c, m, keys, s) in enumerate(left):
+            for at, (_, i, c, size, keys, s) in enumerate(left):
                 other = np.flatnonzero(comp != c)
                 if cell[1] == cell[2]:
                     other = other[other > at]
                 if len(other):
-                    other = other[possible(np.full(len(other), m), [s] * len(other), n[other], [sketches[x] for x in other])]
+                    other = other[possible(np.full(len(other), size), [s] * len(other), n[other], [sketches[x] for x in other])]
                     mine = {k for k in keys if k < key}
-                    out.update((max(i, right[x][1]), min(i, right[x][1])) for x in other.tolist() if mine.isdisjoint(smaller[x]))
+                    met = [right[x][1] for x in other.tolist() if mine.isdisjoint(smaller[x])]
+                    out.update(((m, i) for m in met) if cell[1] == STAR else ((max(i, m), min(i, m)) for m in met))
             return _pairs(*zip(*out, strict=True)) if out else None
 
         for batch in batches:
@@ -176,8 +210,8 @@ def _stars(members: DataFrame, seed: int, sets: DataFrame, possible: Possible, t
     leaders = counted.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("l"), F.max("n").alias("n"))
     leaders = tables.write(leaders.select("key", "n", F.explode("l").alias("l")).select("key", "n", "l.*"))
     parts = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / (CELL * LEADERS)).cast("int") - 1))
-    dealt = members.select("key", F.lit(-1).alias("i"), _part(CELL * LEADERS).alias("j"), F.lit(1).alias("side"), "id", "comp").unionByName(
-        leaders.select("key", F.lit(-1).alias("i"), parts.alias("j"), F.lit(0).alias("side"), "id", "comp"))
+    dealt = members.select("key", F.lit(STAR).alias("i"), _part(CELL * LEADERS).alias("j"), F.lit(1).alias("side"), "id", "comp").unionByName(
+        leaders.select("key", F.lit(STAR).alias("i"), parts.alias("j"), F.lit(0).alias("side"), "id", "comp"))
     return leaders.select("key", "id"), _in_cells(dealt, members, sets, possible)
 
 
@@ -213,15 +247,18 @@ def components(lists: DataFrame, sets: DataFrame, equal: DataFrame, texts: DataF
     already; ``texts(id, text)``.
     """
     tables = Tables(texts.sparkSession)
-    leaders = lists.groupBy("key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").drop("last")
-    met = tables.write(lists.join(leaders, "key"))
+    shared = lists.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("n")).where("x < y")
+    met = tables.write(lists.join(shared.select("key", "n"), "key"))
+    company = tables.write(met.groupBy("id").agg(F.sum("n").alias("company")))
+    leaders = met.join(company, "id").groupBy("key").agg(F.min_by("id", F.struct(-F.col("company"), "id")).alias("leader"))
+    led = met.join(tables.write(leaders), "key")
 
     def compare(pairs: DataFrame) -> DataFrame | None:
         """The links among pairs; None if there are no pairs."""
-        pairs = tables.write(pairs)
-        return None if pairs.isEmpty() else tables.write(verified(pairs, texts, k, num, den))
+        pairs, n = tables.write_counted(pairs)
+        return tables.write(verified(pairs, texts, k, num, den)) if n else None
 
-    stars = met.where("id != leader").groupBy(F.col("id").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    stars = led.where("id != leader").groupBy(F.col("id").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     first = stars.groupBy("a").agg(F.min_by("b", F.struct(-F.col("n"), "b")).alias("b"))
     links = compare(_sketched(first, sets).mapInArrow(_thin(possible), "a long, b long").distinct())
     if links is None:

@@ -9,7 +9,7 @@ Candidates agree in a band of ``ROWS`` registers (at a similarity of 0.8 all ``R
 with a probability of 4e-9).  A candidate pair is then judged by all registers together: how many are larger,
 smaller and equal gives the likelihood of each similarity, the sizes being known.  Pairs for which a similarity of
 the threshold or more is less likely than the best by a factor of e^``DOUBT`` are dropped (1e-9 at the
-threshold); the others are verified on their whole sets.  A probabilistic index, therefore, with a stated miss
+threshold), after those that an exact bound excludes (``links.counts``); the others are verified on their whole sets.  A probabilistic index, therefore, with a stated miss
 rate and no caps.  Sets that are equal are grouped by their hash first and count as one.
 
 Defined results: null, empty and word-free texts have an empty set, link with nothing and are kept; a null doc_id has
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Tables
-from .links import components, representatives
+from .links import components, counts, counts_allow, representatives
 from .shingles import mix, shingle_sets
 
 REGISTERS, ROWS = 384, 6
@@ -86,14 +86,16 @@ def log_likelihoods(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_
 
 
 def may_link(num: int, den: int):
-    """The pairs whose registers leave a similarity of num / den possible."""
+    """The pairs that counts (exactly) and registers (by likelihood) allow to be as similar as num / den."""
+    allowed = counts_allow(num, den)
+
     def test(n_a: np.ndarray, s_a: list, n_b: np.ndarray, s_b: list) -> np.ndarray:
-        keep = (num * np.maximum(n_a, n_b) <= den * np.minimum(n_a, n_b)) & (np.minimum(n_a, n_b) > 0)
+        keep = allowed(n_a, [s[REGISTERS:] for s in s_a], n_b, [s[REGISTERS:] for s in s_b])
         for at in range(0, len(keep), 4096):
             some = at + np.flatnonzero(keep[at:at + 4096])
             if not len(some):
                 continue
-            a, b = (np.frombuffer(b"".join(s[i] for i in some), np.uint8).reshape(-1, REGISTERS) for s in (s_a, s_b))
+            a, b = (np.frombuffer(b"".join(s[i][:REGISTERS] for i in some), np.uint8).reshape(-1, REGISTERS) for s in (s_a, s_b))
             like = log_likelihoods((a > b).sum(axis=1), (a < b).sum(axis=1), n_a[some].astype(float), n_b[some].astype(float))
             # one step of the grid below the threshold counts too, so that rounding drops nothing
             linked = like[:, GRID >= num / den - 0.011].max(axis=1)
@@ -105,6 +107,11 @@ def may_link(num: int, den: int):
 SETS = "id long, n_shingles long, h1 long, h2 long, sketch binary"
 
 
+def sketch(s: np.ndarray, own: np.ndarray) -> bytes:
+    """The registers, and behind them the counts by hash range that bound an intersection."""
+    return own.tobytes() + counts(s).tobytes()
+
+
 def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,7 +127,7 @@ def _sketch(k: int):
                     ids.slice(at, stop - at), pa.array([len(s) for s in some], pa.int64()),
                     pa.array([int(mix(s).sum(dtype=U).astype(np.int64)) for s in some], pa.int64()),
                     pa.array([int(mix(s ^ U(0xA0761D6478BD642F)).sum(dtype=U).astype(np.int64)) for s in some], pa.int64()),
-                    pa.array([r.tobytes() for r in registers(some)], pa.binary())], names=["id", "n_shingles", "h1", "h2", "sketch"])
+                    pa.array([sketch(s, r) for s, r in zip(some, registers(some), strict=True)], pa.binary())], names=["id", "n_shingles", "h1", "h2", "sketch"])
                 at = stop
     return run
 
@@ -136,7 +143,7 @@ def bands(sketches: np.ndarray) -> np.ndarray:
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            keys = bands(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, REGISTERS))
+            keys = bands(np.frombuffer(b"".join(s[:REGISTERS] for s in batch.column(1).to_pylist()), np.uint8).reshape(-1, REGISTERS))
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), keys.shape[1]))],
                                              names=["key", "id"])
 

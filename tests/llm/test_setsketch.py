@@ -104,7 +104,7 @@ def test_linked_sets_share_a_band_and_pass():
             regs = setsketch.registers([a, b])
             keys = setsketch.bands(regs)
             assert (keys[0] == keys[1]).any()
-            assert test(np.array([len(a)]), [regs[0].tobytes()], np.array([len(b)]), [regs[1].tobytes()])[0]
+            assert test(np.array([len(a)]), [setsketch.sketch(a, regs[0])], np.array([len(b)]), [setsketch.sketch(b, regs[1])])[0]
 
 
 def test_unlike_sets_are_dropped():
@@ -113,4 +113,4 @@ def test_unlike_sets_are_dropped():
     for _ in range(30):
         a, b = random_sets(rng, (200, 200), 300)        # 0.43
         regs = setsketch.registers([a, b])
-        assert not test(np.array([len(a)]), [regs[0].tobytes()], np.array([len(b)]), [regs[1].tobytes()])[0]
+        assert not test(np.array([len(a)]), [setsketch.sketch(a, regs[0])], np.array([len(b)]), [setsketch.sketch(b, regs[1])])[0]
