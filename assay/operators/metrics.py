@@ -174,16 +174,17 @@ def split_rules(rules: Sequence[tuple[int, R.Rule]], schema: T.StructType) -> tu
 
 
 def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params: Mapping,
-                  group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None, one_scan: bool = False) -> DataFrame | None:
+                  group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None, one_scan: bool | None = None) -> DataFrame | None:
     """One result row per (group, rule) of a whole suite, as ONE plan.
 
-    * row-level rules, row and null counts: one fused aggregate (one scan);
-    * most-common-value rules and rules with a value table: one value count (one scan), folded with the group's
+    * row-level rules, row and null counts: one fused aggregate;
+    * most-common-value rules and rules with a value table: one value count, folded with the group's
       metrics row by one aggregate;
     * type rules: from the schema.
 
-    ``one_scan`` takes both from one pre-aggregate (``one_scan_metrics``): less to read, worth it where the value rules'
-    columns have few combinations.  ``days`` = (name of the day key, array of days) makes days without rows appear
+    ``one_scan`` takes both from one pre-aggregate (``one_scan_metrics``): less to read, and faster where the value rules'
+    columns have few combinations.  Left open, it is chosen unless a rule has a value table (a column with many values).
+    ``days`` = (name of the day key, array of days) makes days without rows appear
     with zero counts (``fill_days``).
     """
     if not rules:
@@ -191,6 +192,8 @@ def suite_results(batch: DataFrame, rules: Sequence[tuple[int, R.Rule]], params:
     schema, keys = batch.schema, list(group_cols)
     counted, value_rules = split_rules(rules, schema)
     exprs, null_cols = metric_sql(counted, schema, params)
+    if one_scan is None:
+        one_scan = not any(has_value_table(r) for _, r in value_rules)
     if one_scan and value_rules:
         metrics = one_scan_metrics(batch, exprs, value_rules, keys)
     else:

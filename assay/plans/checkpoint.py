@@ -65,11 +65,11 @@ def write_history(history: DataFrame, path: str) -> None:
 
 
 def validate(batch: DataFrame, suite: Suite, params: Mapping | None = None,
-             group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None, one_scan: bool = False) -> DataFrame:
+             group_cols: Sequence[str] = (), days: tuple[str, Column] | None = None, one_scan: bool | None = None) -> DataFrame:
     """Lazy results of every rule of ``suite`` on ``batch`` (run-time params win).
 
     With ``group_cols`` every group of rows is its own batch (e.g. one per project,
-    or per project and day), all validated in the same two scans (``one_scan``: one).
+    or per project and day), all validated in the same one or two scans (``one_scan``).
     """
     merged = P.merge_params(suite.params, params)
     if not suite.rules:

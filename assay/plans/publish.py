@@ -127,20 +127,25 @@ def _replace(rows: DataFrame, target: str, mine: Column, touched: Column, stagin
     """
     spark = rows.sparkSession
     held = _read_target(spark, target, rows.schema)
-    if held is not None:
-        kept = held.where(touched & ~F.coalesce(mine, F.lit(False)))
-        own = rows.select(*KEYS).distinct()     # a partition without new rows is left alone
-        kept = kept.join(own, kept[BUCKET].eqNullSafe(own[BUCKET]) & kept["dt"].eqNullSafe(own["dt"]), "left_semi")
-        rows = rows.unionByName(kept)
+    if held is None:    # nothing to keep: the staged files are copied as they are
+        return _copy(rows, target)
+    kept = held.where(touched & ~F.coalesce(mine, F.lit(False)))
+    own = rows.select(*KEYS).distinct()     # a partition without new rows is left alone
+    kept = kept.join(own, kept[BUCKET].eqNullSafe(own[BUCKET]) & kept["dt"].eqNullSafe(own["dt"]), "left_semi")
+    rows = rows.unionByName(kept)
     merged = f"{staging}-merged"
     _write_partitioned(rows, merged, KEYS, "overwrite")
     finish_publish(spark, merged, target, rows.schema)
 
 
+def _copy(rows: DataFrame, target: str) -> None:
+    """Replace the partitions that ``rows`` fall in; no shuffle, files keep their order."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*KEYS).parquet(target)
+
+
 def finish_publish(spark: SparkSession, merged: str, target: str, schema: T.StructType) -> None:
     """Copy whole partitions from ``merged`` into the target and drop them there; safe to repeat until it returns."""
-    spark.read.schema(schema).parquet(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*KEYS).parquet(target)
+    _copy(spark.read.schema(schema).parquet(merged), target)
     drop_staging(spark, merged)
 
 
@@ -266,15 +271,16 @@ def publish_projects(batch: DataFrame, suite: Suite, target: str, begin: str | d
     rows = passing_rows(staged, verdicts, failures_allowed).select(*batch.columns, BUCKET)
     held = _read_target(spark, target, rows.schema)
     in_range = F.col("dt").between(F.lit(b), F.lit(e)) | F.col("dt").isNull()
-    if held is not None:
+    if held is None:
+        _copy(rows, target)
+    else:
         # other batches of the partitions that are replaced: not among those that are published
         out = rows.select("project", "dt").distinct().select(F.col("project").alias("__p"), F.col("dt").alias("__d"))
         parts = rows.select(*KEYS).distinct().select(F.col(BUCKET).alias("__b"), F.col("dt").alias("__t"))
         kept = held.where(in_range).join(F.broadcast(parts), (F.col(BUCKET) == F.col("__b")) & F.col("dt").eqNullSafe(F.col("__t")), "left_semi") \
             .join(out, F.col("project").eqNullSafe(F.col("__p")) & F.col("dt").eqNullSafe(F.col("__d")), "left_anti")
-        rows = rows.unionByName(kept)
-    _write_partitioned(rows, f"{path}-merged", KEYS, "overwrite")
-    finish_publish(spark, f"{path}-merged", target, rows.schema)
+        _write_partitioned(rows.unionByName(kept), f"{path}-merged", KEYS, "overwrite")
+        finish_publish(spark, f"{path}-merged", target, rows.schema)
     seen = staged.select("project", "dt").distinct().withColumn("__seen", F.lit(True))
     with_rows = verdicts.join(seen, verdicts["project"].eqNullSafe(seen["project"]) & verdicts["dt"].eqNullSafe(seen["dt"]), "left_semi")
     n, good = with_rows.agg(F.count(F.lit(1)), F.count_if(F.col("failed") <= F.lit(int(failures_allowed)))).first()
