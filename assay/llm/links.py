@@ -34,7 +34,7 @@ from .shingles import mix, shingle_sets
 
 PART_PAIRS = 256    # pairs of one leader in one group of rows, about
 ID_BUCKETS = 1 << 19    # of the filter on texts that are in some pair
-CELL = 512          # members on a side of a cell, about
+CELL = 2048         # members on a side of a cell, about
 LEADERS = 8         # of each list in a later round
 MOST_RANGE_BITS = 10    # at most 1,024 counts of a set
 STAR = -1           # marks the cells of leaders and members
@@ -209,8 +209,8 @@ def _stars(members: DataFrame, seed: int, sets: DataFrame, possible: Possible, t
     drawn = [F.min_by(who, F.struct(-F.col("lists"), "id")), *[F.min_by(who, F.xxhash64("id", F.lit(seed + i))) for i in range(1, LEADERS)]]
     leaders = counted.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("l"), F.max("n").alias("n"))
     leaders = tables.write(leaders.select("key", "n", F.explode("l").alias("l")).select("key", "n", "l.*"))
-    parts = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / (CELL * LEADERS)).cast("int") - 1))
-    dealt = members.select("key", F.lit(STAR).alias("i"), _part(CELL * LEADERS).alias("j"), F.lit(1).alias("side"), "id", "comp").unionByName(
+    parts = F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / CELL).cast("int") - 1))
+    dealt = members.select("key", F.lit(STAR).alias("i"), _part(CELL).alias("j"), F.lit(1).alias("side"), "id", "comp").unionByName(
         leaders.select("key", F.lit(STAR).alias("i"), parts.alias("j"), F.lit(0).alias("side"), "id", "comp"))
     return leaders.select("key", "id"), _in_cells(dealt, members, sets, possible)
 

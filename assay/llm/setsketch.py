@@ -6,7 +6,7 @@ shingle (drawn from the shingle's hash, rate ``RATE``), on an exponential scale:
 merge; and registers of two sets are equal with a probability that grows with their Jaccard similarity.
 
 Candidates agree in a band of ``ROWS`` registers (at a similarity of 0.8 all ``REGISTERS // ROWS`` bands miss
-with a probability of 4e-9).  A candidate pair is then judged by all registers together: how many are larger,
+with a probability of 5e-8).  A candidate pair is then judged by all registers together: how many are larger,
 smaller and equal gives the likelihood of each similarity, the sizes being known.  Pairs for which a similarity of
 the threshold or more is less likely than the best by a factor of e^``DOUBT`` are dropped (1e-9 at the
 threshold), after those that an exact bound excludes (``links.counts``); the others are verified on their whole sets.  A probabilistic index, therefore, with a stated miss
@@ -29,7 +29,7 @@ from .common import Tables
 from .links import components, counts, counts_allow, representatives
 from .shingles import mix, shingle_sets
 
-REGISTERS, ROWS = 384, 6
+REGISTERS, ROWS = 200, 5
 BASE, RATE = 1.1, 20.0
 DOUBT = 18.0
 GRID = np.linspace(0, 1, 101)       # similarities whose likelihoods are compared
