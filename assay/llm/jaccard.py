@@ -35,12 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import links
-from .common import Tables
+from .common import Tables, arrow_batches
 from .shingles import mix, shingle_sets
 
 MOST_SUBSET_SIZE = 64       # boundaries beyond this are hopeless: a set of 64 has millions of subsets
 LIST_WEIGHT = 4             # a list entry against a subset: other sets meet in it too, and have to be compared
 RARITY_BITS = 20
+BATCH_ROWS = 2000           # texts that a Python worker gets at a time
 SLICES = 64                 # in which the counters travel
 
 
@@ -238,6 +239,11 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``."""
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return _components(docs, k, num, den)
+
+
+def _components(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     rule = Rule(k, num, den)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     rarity, histogram = survey(texts, k)

@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Tables
+from .common import Tables, arrow_batches
 from .links import components, counts, counts_allow, representatives
 from .shingles import mix, shingle_sets
 
 REGISTERS, ROWS = 200, 5
 BASE, RATE = 1.1, 20.0
 DOUBT = 18.0
+BATCH_ROWS = 2000                   # texts that a Python worker gets at a time
 GRID = np.linspace(0, 1, 101)       # similarities whose likelihoods are compared
 
 U = np.uint64
@@ -150,6 +151,11 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_duplicates(docs: DataFrame, k: int = 2, num: int = 80, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``."""
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return _near_duplicates(docs, k, num, den)
+
+
+def _near_duplicates(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     tables = Tables(docs.sparkSession)
     sets = tables.write(texts.mapInArrow(_sketch(k), SETS))
