@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import running_total
+from .common import bound, running_total
 
 START, END, SEP = "<|im_start|>", "<|im_end|>", "<|im_sep|>"
 LOSS_ROLE = "assistant"
@@ -70,17 +70,33 @@ def format_conversations(rows: DataFrame) -> DataFrame:
         F.transform(F.filter(spans, lambda s: s["loss"]), lambda s: F.struct(s["start"], s["end"])).alias("mask"))
 
 
+def covered(text: Column, spans: Column, width: int = 1024) -> Column:
+    """The texts that ``spans`` (start, end in code points) cover.
+
+    A place in a string is found by walking there from its start, so the text is cut into pieces of ``width`` code
+    points once, and a span is taken from the pieces it touches: work linear in the text and what is covered.
+    """
+    def cut(pieces: Column) -> Column:
+        def one(s: Column) -> Column:
+            first, last = F.floor(s["start"] / width).cast("int"), F.floor((s["end"] - 1) / width).cast("int")
+            near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+            return F.when(s["end"] <= s["start"], F.lit("")).otherwise(
+                F.substring(near, (s["start"] - first * width + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
+        return F.transform(spans, one)
+
+    return bound(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{width}}}"), F.lit(0)), cut)
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """Adds ``turns`` (role, text), parsed from ``formatted``, and ``loss_text``, what the mask covers, unescaped."""
-    ended = r"\Q" + END + r"\E\n"
-    blocks = F.slice(F.split("formatted", ended, -1), F.lit(1), F.size(F.split("formatted", ended, -1)) - 1)
+    # what follows the last end mark is empty, every block begins with a start mark
+    blocks = F.filter(F.split("formatted", r"\Q" + END + r"\E\n", -1), lambda b: F.startswith(b, F.lit(START)))
 
     def of_block(b: Column) -> Column:
         line = F.instr(b, "\n")
-        role = unescape_role(F.substring(b, len(START) + 1, line - len(START) - 1))
         body = F.split(F.substring(b, line + 1, F.length(b)), r"\Q" + SEP + r"\E", -1)
-        return F.transform(body, lambda x: F.struct(role.alias("role"), unescape(x).alias("text")))
+        return bound(unescape_role(F.substring(b, len(START) + 1, line - len(START) - 1)),
+                     lambda role: F.transform(body, lambda x: F.struct(role.alias("role"), unescape(x).alias("text"))))
 
-    loss = F.array_join(F.transform("mask", lambda s: unescape(F.substring(
-        F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+    loss = F.array_join(F.transform(covered(F.col("formatted"), F.col("mask")), unescape), "")
     return formatted.withColumn("turns", F.flatten(F.transform(blocks, of_block))).withColumn("loss_text", loss)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -113,6 +113,11 @@ class Tables:
         self.drop(*[t for t, _ in list(self.paths.values()) if id(t) not in keep])
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with ``value`` computed once, also where ``f`` uses it inside the lambda of another function."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def running_total(lengths: Column) -> Column:
     """Inclusive prefix sums of an array of ints, as bigint, by built-in functions.
 
@@ -120,19 +125,22 @@ def running_total(lengths: Column) -> Column:
     256, with one offset per block, keeps arrays of 100,000 entries cheap.
     """
     width = 256
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / width).cast("int")),
-        lambda b: F.slice(lengths, b * width + 1, F.lit(width)))
 
     def sums(block: Column, base: Column) -> Column:
         start = F.struct(base.cast("bigint").alias("t"), F.array().cast("array<bigint>").alias("a"))
         return F.aggregate(block, start, lambda acc, x: F.struct(
             (acc["t"] + x).alias("t"), F.concat(acc["a"], F.array(acc["t"] + x)).alias("a")))["a"]
 
-    totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("bigint"), lambda a, x: a + x))
-    bases = F.concat(F.array(F.lit(0).cast("bigint")), sums(totals, F.lit(0)))
-    return F.when(F.size(lengths) <= 0, F.array().cast("array<bigint>")).otherwise(
-        F.flatten(F.zip_with(blocks, F.slice(bases, F.lit(1), F.size(blocks)), sums)))
+    def in_blocks(lengths: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / width).cast("int")),
+                           lambda b: F.slice(lengths, b * width + 1, F.lit(width)))
+
+    def of_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("bigint"), lambda a, x: a + x))
+        bases = F.concat(F.array(F.lit(0).cast("bigint")), sums(totals, F.lit(0)))
+        return F.flatten(F.zip_with(blocks, F.slice(bases, F.lit(1), F.size(blocks)), sums))
+
+    return bound(lengths, lambda x: F.when(F.size(x) <= 0, F.array().cast("array<bigint>")).otherwise(bound(in_blocks(x), of_blocks)))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

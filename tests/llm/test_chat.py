@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -53,5 +54,33 @@ def test_long_conversation(spark):
     assert r.n == 1500 and r.h == hashlib.sha256(loss.encode()).hexdigest()
 
 
+def seconds(spark, n):
+    turn = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") % 3 == 0, "user").otherwise("assistant").alias("role"),
+                                 F.concat(F.repeat(F.lit("some é words "), 23), F.col("id").cast("string")).alias("text"))
+    began = time.monotonic()
+    r = chat.read_back(chat.format_conversations(turn)).select(
+        F.size("turns").alias("n"), F.sha2("loss_text", 256).alias("h")).first()
+    took = time.monotonic() - began
+    loss = "".join("some é words " * 23 + str(i) for i in range(n) if i % 3)
+    assert r.n == n and r.h == hashlib.sha256(loss.encode()).hexdigest()
+    return took
+
+
+def test_time_is_linear_in_turns(spark):
+    seconds(spark, 1000)
+    short = min(seconds(spark, 4000) for _ in range(2))
+    assert seconds(spark, 16000) < 6 * max(short, 0.5)
+
+
+def test_covered_is_what_the_spans_say(spark):
+    text = "aé\U0001f600\n" * 700
+    spans = [(0, 0), (0, 1), (1022, 1027), (1023, 1024), (1024, 1025), (5, 2799), (0, 2800), (2799, 2800), (7, 7)]
+    df = table(spark, [(text, [{"start": a, "end": b} for a, b in spans]), (text, []), ("", [])],
+               "formatted string, mask array<struct<start: bigint, end: bigint>>")
+    got = [r.c for r in df.select(chat.covered(F.col("formatted"), F.col("mask")).alias("c")).collect()]
+    assert got == [[text[a:b] for a, b in spans], [], []]
+
+
 def test_empty_table(spark):
     assert chat.read_back(chat.format_conversations(table(spark, [], SCHEMA))).collect() == []
