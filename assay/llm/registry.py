@@ -41,7 +41,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = warc.read_archives(spark, path)
+    if lost := warc.gaps(spark, path).count():
+        raise warc.Damaged(f"{lost} gaps in the archives just written, listed in {path}-gaps")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

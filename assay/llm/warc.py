@@ -36,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, scratch_path
 
-RECORDS_PER_FILE = 2000
+FILE_BYTES = 64 << 20      # a file is closed when it holds that much, so a reader holds little more than one record beyond it
 ID_PREFIX = "urn:assay:page:"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"   # fixed value
 DATE = "2024-01-01T00:00:00Z"
@@ -80,30 +80,34 @@ def encode_member(record: bytes) -> bytes:
     return member if member.endswith(b"\0") else member + EMPTY_MEMBER
 
 
-def _encode(compressed: bool):
+def _encode(compressed: bool, file_bytes: int):
+    """Records with the number of the task's file that they go to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        volume, held = 0, 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
-                out = []
+                out, volumes = [], []
                 for page_id, url, html, keeper in zip(*[c.to_pylist() for c in batch.slice(start, 256).columns], strict=True):
                     record = encode_record(page_id, url, (html or "").encode(), None if keeper == page_id else keeper)
                     out.append((encode_member(record) if compressed else record)[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+                    if held and held + len(out[-1]) > file_bytes:
+                        volume, held = volume + 1, 0
+                    held += len(out[-1]) + 1
+                    volumes.append(volume)
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(volumes, pa.int32())], names=["value", "volume"])
     return run
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compressed: bool = True,
-                   records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Archives of ``pages(page_id, url, html)`` below ``path``."""
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, compressed: bool = True, file_bytes: int = FILE_BYTES) -> None:
+    """Archives of ``pages(page_id, url, html)`` below ``path``; a file of several records has at most ``file_bytes``."""
     html = F.coalesce(F.col("html"), F.lit(""))
     known = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html",
                          F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).alias("size"))
     # one row per payload, combined before the shuffle and written, so that the join can split a hot one
     keepers = cut(known.where(F.col("size") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("keeper")))
     rows = known.join(keepers, "digest", "left").select("page_id", "url", "html", "keeper")
-    rows.mapInArrow(_encode(compressed), "value binary").select(F.col("value").cast("string")) \
-        .write.option("lineSep", "\0" if compressed else "\n").option("compression", "none") \
-        .option("maxRecordsPerFile", records_per_file).text(path)
+    rows.mapInArrow(_encode(compressed, file_bytes), "value binary, volume int").select(F.col("value").cast("string"), "volume") \
+        .write.option("lineSep", "\0" if compressed else "\n").option("compression", "none").partitionBy("volume").text(path)
 
 
 # --------------------------------------------------------------------------
@@ -150,7 +154,7 @@ def read_member(data: bytes, at: int) -> tuple[bytes, int]:
     if data[at:at + 3] != MAGIC:
         raise Damaged("no gzip magic")
     engine = zlib.decompressobj(31)
-    content, step, here = [], 1 << 20, at
+    content, step, here = [], 1 << 12, at
     try:
         while not engine.eof:
             part = data[here:here + step]
@@ -158,6 +162,7 @@ def read_member(data: bytes, at: int) -> tuple[bytes, int]:
                 raise Damaged("member is cut off")
             content.append(engine.decompress(part))
             here += len(part)
+            step = min(2 * step, 1 << 20)   # what is copied beyond the member's end stays below its own size and 4 KB
     except zlib.error as error:
         raise Damaged(f"gzip: {error}") from error
     return b"".join(content), here - len(engine.unused_data) - at
@@ -263,8 +268,17 @@ def salvage(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame
 
 
 def read_archives(spark: SparkSession, path: str, gap_log: str | None = None, payloads: bool = False) -> DataFrame:
-    """The records below ``path``; gaps are appended to the Parquet log at ``gap_log``, if named."""
-    found = salvage(spark, path, payloads)
-    if gap_log:
-        found.where("gap IS NOT NULL").select("file", "offset", "length", "gap").write.mode("append").parquet(gap_log)
-    return found.where("gap IS NULL").drop("gap")
+    """The records below ``path``; gaps are always appended to the Parquet log at ``gap_log`` (``<path>-gaps``, if not named).
+
+    The archives are read once: what is found is written below the shared folder, and records and gaps are taken from there.
+    """
+    out = scratch_path(spark, "records")
+    salvage(spark, path, payloads).withColumn("is_gap", F.col("gap").isNotNull()).write.partitionBy("is_gap").parquet(out)
+    found = spark.read.schema(f"{ENTRIES}, is_gap boolean").parquet(out)
+    found.where("is_gap").select("file", "offset", "length", "gap").write.mode("append").parquet(gap_log or f"{path}-gaps")
+    return found.where("NOT is_gap").drop("gap", "is_gap")
+
+
+def gaps(spark: SparkSession, path: str) -> DataFrame:
+    """The log of gaps that ``read_archives(spark, path)`` wrote."""
+    return spark.read.schema("file string, offset long, length long, gap string").parquet(f"{path}-gaps")

@@ -119,6 +119,42 @@ def test_gaps_are_logged(spark, scratch):
     assert found.where("page_id = 2").first().payload == b"payload 2 " * 30
 
 
+def test_files_are_closed_by_bytes(spark, scratch):
+    rows = pages(*[(i, "u", base64.b64encode(os.urandom(30_000)).decode()) for i in range(60)], (60, "u", os.urandom(300_000).hex()))
+    warc.write_archives(table(spark, rows, SCHEMA).coalesce(2), f"{scratch}/w", file_bytes=200_000)
+    sizes = [os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(f"{scratch}/w") for f in names if f.startswith("part-")]
+    assert len(sizes) >= 10 and sorted(sizes)[-2] <= 200_000
+    found = warc.read_archives(spark, f"{scratch}/w").select(*COLUMNS).collect()
+    assert sorted(map(tuple, found), key=str) == expected(rows)
+
+
+def test_damaged_archives_account_for_every_page(spark, scratch):
+    rows = pages(*[(i, f"http://x/{i}", f"<p>{i} " + "é word " * (2_000_000 if i == 7 else 50 * i)) for i in range(40)])
+    warc.write_archives(table(spark, rows, SCHEMA).repartition(3), f"{scratch}/w", file_bytes=10_000)
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(f"{scratch}/w") for f in names if f.startswith("part-"))
+    lost = 0
+    for path in files[::2]:
+        with open(path, "rb") as f:
+            data = bytearray(f.read())
+        members = [o for o, n, x in warc.read_archive(bytes(data)) if isinstance(x, warc.Record)]
+        data[members[-1] + 30] ^= 0x55          # inside the last record of the file
+        with open(path, "wb") as f:
+            f.write(data)
+        crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+        lost += 1
+    found = {r.page_id for r in warc.read_archives(spark, f"{scratch}/w").collect()}
+    log = warc.gaps(spark, f"{scratch}/w").collect()
+    assert len(found) == 40 - lost and len(log) == lost and {r.file.rsplit("/", 1)[1] for r in log} == {os.path.basename(p) for p in files[::2]}
+
+
+def test_members_of_every_length():
+    parts = [warc.encode_member(warc.encode_record(i, None, os.urandom(n), None))
+             for i, n in enumerate([0, 1, 3500, 3900, 4096, 5000, 12_288, 100_000, 1 << 20, 3_000_000])]
+    assert read(b"".join(parts)) == (list(range(len(parts))), [])
+
+
 def test_long_member_ends_in_zero():
     big = os.urandom(1 << 24)
     member = warc.encode_member(warc.encode_record(1, None, big, None))
