@@ -5,14 +5,16 @@ of it.  Bytes get learned vectors; filters of 8 bytes, 4 apart, run over each ch
 filter's answer in a chunk is its largest (max-pooling).  A document is the mean and the
 maximum of its chunks' answers, combined by a logistic layer into one probability.
 
-The model is fitted (Adam, gradients by hand) in one task on a bounded sample: about
-``SAMPLE_PER_CLASS`` labelled documents per class, chosen by a hash of the id, and at most
-``TRAIN_CHUNKS`` evenly spaced chunks of each; class weights restore the true shares.
+The model is fitted (Adam, gradients by hand) in one task on a bounded sample of labelled rows: about
+``SAMPLE_PER_CLASS`` documents per class, chosen by a hash of the id, with their whole texts.  A step
+that meets a text of more than ``STEP_CHUNKS`` chunks draws as many of them afresh, from the whole text, so steps
+stay equally long and no part of a text is left out for good.  Class weights restore the true shares.
 Scoring has no bounds: every chunk of every text counts, chunks are taken in groups, so a
 text may be of any length.
 
 Defined results: null and empty texts have one empty chunk and get the score that the model
-gives to no evidence; labels that are null or of unknown documents are ignored; without
+gives to no evidence; labels that are null or of unknown documents are ignored, and so are all labels of a doc_id
+that contradict each other (repeated equal ones count once); without
 labels of both classes the score is the share of label 1 (0.5 without any); rows are scored
 each on its own; other columns are ignored.
 """
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 CHUNK, STEP = 512, 448
 EMBED, FILTERS = 8, 24
 SAMPLE_PER_CLASS = 2500
-TRAIN_CHUNKS = 24
+STEP_CHUNKS = 24        # chunks of a text in one training step
 STEPS, BATCH, RATE = 1500, 48, 0.01
 SCORE_CHUNKS = 512      # chunks scored at once
 ACCEPT = 0.7
@@ -54,8 +56,9 @@ def chunk_of(data: bytes, start: int) -> tuple[np.ndarray, int]:
 
 def _answers(model: Model, chunks: np.ndarray, lengths: np.ndarray):
     """Filter outputs before pooling; 0 at places past the end of the text."""
-    quads = model["embed"][chunks].reshape(len(chunks) * (CHUNK // 4), 4 * EMBED)
-    both = (quads @ model["filters"]).reshape(len(chunks), CHUNK // 4, 2 * FILTERS)
+    # a product per chunk, all of one shape: a chunk's answers do not depend on where it stands among others
+    quads = model["embed"][chunks].reshape(len(chunks), CHUNK // 4, 4 * EMBED)
+    both = quads @ model["filters"]
     z = both[:, :-1, :FILTERS] + both[:, 1:, FILTERS:] + model["bias"]
     np.maximum(z, 0, out=z)
     z *= (np.arange(CHUNK // 4 - 1) * 4 < lengths[:, None])[:, :, None]
@@ -67,12 +70,21 @@ def pool(model: Model, chunks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def probability(model: Model, mean: np.ndarray, most: np.ndarray) -> np.ndarray:
-    logit = np.concatenate([mean, most], axis=1) @ model["weights"] + model["offset"]
+    logit = (np.concatenate([mean, most], axis=1) * model["weights"]).sum(axis=1) + model["offset"]
     return 1.0 / (1.0 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def fit(chunks: list[np.ndarray], lengths: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, seed: int = 7) -> Model:
-    """Fits the network to documents given as (chunks x CHUNK) byte arrays."""
+def draw_chunks(data: bytes, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """The chunks of a text for one step (chunks x CHUNK) and their lengths: all, or ``STEP_CHUNKS`` drawn from all."""
+    starts = chunk_starts(len(data))
+    if len(starts) > STEP_CHUNKS:
+        starts = [starts[int(i)] for i in rng.choice(len(starts), STEP_CHUNKS, replace=False, shuffle=False)]
+    cut_ = [chunk_of(data, s) for s in starts]
+    return np.stack([c for c, _ in cut_]), np.array([n for _, n in cut_], np.int64)
+
+
+def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int = 7) -> Model:
+    """Fits the network to whole texts."""
     rng = np.random.default_rng(seed)
     share = float(np.average(labels, weights=weights)) if len(labels) else 0.5
     model: Model = {
@@ -86,11 +98,13 @@ def fit(chunks: list[np.ndarray], lengths: list[np.ndarray], labels: np.ndarray,
     first = {k: np.zeros_like(v) for k, v in model.items()}
     second = {k: np.zeros_like(v) for k, v in model.items()}
     order = np.zeros(0, np.int64)
+    whole = {i: draw_chunks(t, rng) for i, t in enumerate(texts) if len(chunk_starts(len(t))) <= STEP_CHUNKS}
     for step in range(1, STEPS + 1):
         if not len(order):
             order = rng.permutation(len(labels))
         some, order = order[:BATCH], order[BATCH:]
-        grads = _gradients(model, [chunks[i] for i in some], [lengths[i] for i in some], labels[some], weights[some])
+        drawn = [whole[i] if i in whole else draw_chunks(texts[i], rng) for i in some.tolist()]
+        grads = _gradients(model, [c for c, _ in drawn], [n for _, n in drawn], labels[some], weights[some])
         rate = RATE * (1 - (step - 1) / STEPS)
         for k, g in grads.items():
             first[k] = 0.9 * first[k] + 0.1 * g
@@ -106,6 +120,7 @@ def _gradients(model: Model, chunks: list, lengths: list, labels: np.ndarray, we
     flat, size = np.concatenate(chunks), np.concatenate(lengths)
     doc = np.repeat(np.arange(len(counts)), counts)
     z, quads = _answers(model, flat, size)
+    quads = quads.reshape(-1, 4 * EMBED)
     place = z.argmax(axis=1)
     pooled = np.take_along_axis(z, place[:, None, :], axis=1)[:, 0, :]
     mean = np.add.reduceat(pooled, starts, axis=0) / counts[:, None]
@@ -166,30 +181,14 @@ def score_texts(model: Model, texts: list[str | None]) -> np.ndarray:
 # on tables
 # --------------------------------------------------------------------------
 
-def _sampled_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text in batch.column(1).to_pylist():
-            data = (text or "").encode("utf-8", "surrogatepass")
-            starts = chunk_starts(len(data))
-            if len(starts) > TRAIN_CHUNKS:
-                starts = [starts[int(i)] for i in np.linspace(0, len(starts) - 1, TRAIN_CHUNKS)]
-            cut_ = [chunk_of(data, s) for s in starts]
-            out.append((b"".join(c.tobytes() for c, _ in cut_), [n for _, n in cut_]))
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(2), batch.column(3), pa.array([x for x, _ in out], pa.binary()),
-            pa.array([x for _, x in out], pa.list_(pa.int32()))], names=["doc_id", "label", "weight", "chunks", "lengths"])
-
-
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    chunks, lengths, labels, weights = [], [], [], []
+    texts, labels, weights = [], [], []
     for batch in batches:
-        for _, label, weight, data, sizes in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            chunks.append(np.frombuffer(data, np.uint8).reshape(-1, CHUNK))
-            lengths.append(np.array(sizes, np.int64))
+        for text, label, weight in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            texts.append((text or "").encode("utf-8", "surrogatepass"))
             labels.append(label)
             weights.append(weight)
-    model = fit(chunks, lengths, np.array(labels, np.float64), np.array(weights, np.float64))
+    model = fit(texts, np.array(labels, np.float64), np.array(weights, np.float64))
     out = io.BytesIO()
     np.savez(out, **model)
     yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["model"])
@@ -202,7 +201,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     their id; only their ids are broadcast (twice that many at most, about).
     """
     known = labels.select("doc_id", F.col("label").cast("int").alias("label")) \
-        .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+        .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()) \
+        .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
     n = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(n.values())
     draw, weight = F.lit(0), F.lit(0.0)
@@ -214,11 +214,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
         weight = F.when(F.col("label") == label, count / total / (taken / sum(min(c, per_class) for c in n.values()))).otherwise(weight)
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < draw).withColumn("weight", weight)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label", "weight")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(_sampled_chunks, f"doc_id {kind}, label int, weight double, chunks binary, lengths array<int>") \
-        .repartition(1).sortWithinPartitions("doc_id", "chunks").mapInArrow(_fit_rows, "model binary").collect()
+    found = rows.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "label", "weight") \
+        .mapInArrow(_fit_rows, "model binary").collect()
     if not found:
-        return fit([], [], np.zeros(0), np.zeros(0))
+        return fit([], np.zeros(0), np.zeros(0))
     with np.load(io.BytesIO(bytes(found[0]["model"]))) as saved:
         return {k: saved[k] for k in saved.files}
 

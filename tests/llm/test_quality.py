@@ -58,6 +58,60 @@ def test_without_labels(spark):
         assert scores == {share}
 
 
+def test_contradictory_labels_are_left_out(spark):
+    rows, labels = corpus(90)
+    pairs = [(i, q) for i, q, *_ in labels]
+    clear, clash = pairs[:60], [(i, 1 - q) for i, q in pairs[60:]]
+    plain, mixed = (quality.train(docs(spark, rows), table(spark, x, "doc_id long, label int"))
+                    for x in (clear, clear + clear[:9] + pairs[60:] + clash))
+    assert all(np.array_equal(plain[k], mixed[k]) for k in plain)
+
+
+def test_draws_come_from_the_whole_text():
+    data = b"".join(bytes([i]) * quality.STEP for i in range(200)) + b"z" * (quality.CHUNK - quality.STEP)
+    rng = np.random.default_rng(3)
+    seen = set()
+    for _ in range(120):
+        chunks, lengths = quality.draw_chunks(data, rng)
+        assert chunks.shape == (quality.STEP_CHUNKS, quality.CHUNK) and (lengths == quality.CHUNK).all()
+        first = chunks[:, 0].tolist()
+        assert len(set(first)) == len(first)
+        seen.update(first)
+    assert seen == set(range(200))
+
+
+def test_scores_equal_a_plain_forward_pass():
+    rng = np.random.default_rng(5)
+    model = quality.fit([], np.zeros(0), np.zeros(0))
+    model = {k: rng.normal(0, 0.3, np.shape(v)).astype(np.float64) for k, v in model.items()}
+    n = quality.FILTERS
+
+    def plain(text):
+        data = (text or "").encode()
+        answers, start = [], 0
+        while True:
+            part = data[start:start + 512]
+            best = [0.0] * n
+            for at in range(0, 512 - 4, 4):
+                if at >= len(part):
+                    break
+                window = [part[at + i] if at + i < len(part) else 0 for i in range(8)]
+                vector = np.concatenate([model["embed"][b] for b in window])
+                kernel = np.concatenate([model["filters"][:, :n], model["filters"][:, n:]])
+                z = vector @ kernel + model["bias"]
+                best = [max(b, v) for b, v in zip(best, z, strict=True)]
+            answers.append(best)
+            if start + 512 >= len(data):
+                break
+            start += 448
+        pooled = np.array(answers)
+        logit = float(np.r_[pooled.mean(axis=0), pooled.max(axis=0)] @ model["weights"] + model["offset"])
+        return 1 / (1 + np.exp(-min(max(logit, -30), 30)))
+
+    texts = [None, "", "a", "abcd", "é日本 \U0001f600" * 9, "x" * 511, "word " * 103, "q" * 512, "r" * 513, "some text " * 300]
+    assert np.allclose(quality.score_texts(model, texts), [plain(t) for t in texts], rtol=1e-6)
+
+
 def test_chunks_cover_every_byte():
     for n in [0, 1, 511, 512, 513, 959, 960, 961, 5000]:
         covered = np.zeros(n, bool)
@@ -69,7 +123,7 @@ def test_chunks_cover_every_byte():
 
 def test_gradients_are_right():
     rng = np.random.default_rng(0)
-    model = quality.fit([], [], np.zeros(0), np.zeros(0))
+    model = quality.fit([], np.zeros(0), np.zeros(0))
     model = {k: rng.normal(0, 0.3, np.shape(v)).astype(np.float64) for k, v in model.items()}
     chunks = [rng.integers(0, 256, (n, quality.CHUNK), dtype=np.uint8) for n in (1, 3)]
     lengths = [np.full(len(c), quality.CHUNK) for c in chunks]
