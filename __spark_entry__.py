@@ -327,7 +327,7 @@ def q_publish_if_valid(spark, sf_dir):
     """All projects published to a new target, and read back from there."""
     batches, target = _all_batches(spark, sf_dir), _scratch(spark, "target")
     publish_projects(batches, _suite(), target, *_days(batches), failures_allowed=PUBLISH_FAILURES_ALLOWED)
-    return read_published(spark, target).select(*PROJECT, *BATCH_COLUMNS)
+    return read_published(spark, target, schema=batches.schema).select(*PROJECT, *BATCH_COLUMNS)
 
 
 def q_publishable_rows(spark, sf_dir):

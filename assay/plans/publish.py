@@ -150,9 +150,14 @@ def finish_publish(spark: SparkSession, merged: str, target: str, schema: T.Stru
 
 
 def read_published(spark: SparkSession, target: str, project: str | None = None, begin: dt.date | str | None = None,
-                   end: dt.date | str | None = None) -> DataFrame:
-    """Published rows, of one project (one bucket of folders, row groups by project) and a range of days."""
-    df = spark.read.parquet(target)
+                   end: dt.date | str | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """Published rows, of one project (one bucket of folders, row groups by project) and a range of days.
+
+    ``schema`` is that of the batches.  A target that no batch has passed into yet holds no file to take one from, so
+    without it reading such a target is an error; with it, it has no rows.
+    """
+    reader = spark.read if schema is None else spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())]))
+    df = reader.parquet(target)
     if project is not None:
         df = df.where((F.col(BUCKET) == bucket_of(F.lit(project))) & (F.col("project") == F.lit(project)))
     if begin is not None:

@@ -226,3 +226,15 @@ def test_another_layout_is_refused(spark, scratch, source01):
     batch.withColumn("project", F.lit("error")).write.partitionBy("project", "dt").parquet(target)
     with pytest.raises(BadParameter):
         publish_if_valid(batch, default_suite(batch.columns, "2024-01-01", "2024-01-02"), target, failures_allowed=20, project="error")
+
+
+def test_a_target_that_nothing_passed_into_has_no_rows(spark, scratch):
+    """Every batch fails: the new target has no files, so none that a schema could be taken from."""
+    import __spark_entry__ as entry
+    day = "TIMESTAMP_NTZ '2024-01-01 00:00:00'"
+    events = spark.range(1, 401).selectExpr("id * 50 AS event_id", f"{day} + make_dt_interval(CAST(id % 3 AS INT)) AS ts", "'view' AS event_type")
+    events.write.parquet(os.path.join(scratch, "events.parquet"))     # no details in any row: 12 rules fail
+    found = entry.queries()["publish_if_valid"](spark, scratch)
+    same = entry.queries()["publishable_rows"](spark, scratch)
+    assert found.count() == same.count() == 0
+    assert found.dtypes == same.dtypes
