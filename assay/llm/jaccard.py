@@ -116,7 +116,7 @@ def _count(k: int):
                 some += len(s)
                 if len(s) < len(sizes):
                     sizes[len(s)] += 1
-                if some > 1 << 20:
+                if some > 1 << 18:
                     counts += np.bincount(_counter(np.concatenate(held)), minlength=len(counts))
                     held, some = [], 0
             if held:
@@ -220,7 +220,7 @@ def _sets(rule: Rule, boundary: int, rarity):
                 n.append(len(s))
                 h1.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                 h2.append(int(mix(s ^ U(0xA0761D6478BD642F)).sum(dtype=np.uint64).astype(np.int64)))
-                sketches.append(links.counts(s).tobytes())
+                sketches.append(links.pack(links.counts(s).tobytes()))
                 keys.append(entries(rule, s, boundary, rarity.value).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sketches, pa.binary()),

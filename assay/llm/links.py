@@ -22,6 +22,7 @@ at most, about), so a leader with a third of all pairs is spread out, and a task
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ CELL = 2048         # members on a side of a cell, about
 LEADERS = 8         # of each list in a later round
 MOST_RANGE_BITS = 10    # at most 1,024 counts of a set
 STAR = -1           # marks the cells of leaders and members
-KEYS = 32           # of a set's keys, to tell that a pair meets elsewhere too
+KEYS = 8            # of a set's keys, to tell that a pair meets elsewhere too; what more would tell is less than they take in each row
 WORTH = 64          # pairs left for each member that make another round of stars worth its jobs
 
 #: (sizes a, sketches a, sizes b, sketches b) to a mask of the pairs that may link; sketches are lists of bytes
@@ -52,6 +53,15 @@ def counts(s: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(part, minlength=1 << bits), 255).astype(np.uint8)
 
 
+def pack(sketch: bytes) -> bytes:
+    """A sketch as it is kept and shuffled: small counts take some 1.5 bits each, which the shuffle's own compression doesn't see."""
+    return zlib.compress(sketch, 1)
+
+
+def unpack(sketches: pa.Array) -> list[bytes]:
+    return [zlib.decompress(s) for s in sketches.to_pylist()]
+
+
 def counts_allow(num: int, den: int) -> Possible:
     """The pairs whose counts allow an intersection that is large enough; never excludes a link."""
     def test(n_a: np.ndarray, s_a: list, n_b: np.ndarray, s_b: list) -> np.ndarray:
@@ -89,7 +99,7 @@ def _thin(possible: Possible):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, n_a, s_a, n_b, s_b = batch.columns
-            keep = possible(n_a.to_numpy(), s_a.to_pylist(), n_b.to_numpy(), s_b.to_pylist())
+            keep = possible(n_a.to_numpy(), unpack(s_a), n_b.to_numpy(), unpack(s_b))
             if keep.any():
                 yield _pairs(a.to_numpy()[keep], b.to_numpy()[keep])
     return run
@@ -161,7 +171,7 @@ def _cells(possible: Possible):
             return _pairs(*zip(*out, strict=True)) if out else None
 
         for batch in batches:
-            for key, i, j, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for key, i, j, *row in zip(*[c.to_pylist() for c in batch.columns[:-1]], unpack(batch.columns[-1]), strict=True):
                 if cell != (key, i, j):
                     if rows and (out := pairs()) is not None:
                         yield out
@@ -243,10 +253,11 @@ def components(lists: DataFrame, sets: DataFrame, equal: DataFrame, texts: DataF
                possible: Possible) -> DataFrame:
     """``node, component`` of the sets that link with another.
 
-    ``lists(key, id)``: sets that link share a key; ``sets(id, n_shingles, sketch)``; ``equal(a, b)``: links known
+    ``lists(key, id)``: sets that link share a key; ``sets(id, n_shingles, sketch)``, the sketch as ``pack`` gives it; ``equal(a, b)``: links known
     already; ``texts(id, text)``.
     """
     tables = Tables(texts.sparkSession)
+    lists = lists.repartition("key")    # one shuffle of the lists, from which they are counted and joined with their counts
     shared = lists.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("n")).where("x < y")
     met = tables.write(lists.join(shared.select("key", "n"), "key"))
     company = tables.write(met.groupBy("id").agg(F.sum("n").alias("company")))

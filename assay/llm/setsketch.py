@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Tables, arrow_batches
-from .links import components, counts, counts_allow, representatives
+from .links import components, counts, counts_allow, pack, representatives, unpack
 from .shingles import mix, shingle_sets
 
 REGISTERS, ROWS = 200, 5
@@ -128,7 +128,7 @@ def _sketch(k: int):
                     ids.slice(at, stop - at), pa.array([len(s) for s in some], pa.int64()),
                     pa.array([int(mix(s).sum(dtype=U).astype(np.int64)) for s in some], pa.int64()),
                     pa.array([int(mix(s ^ U(0xA0761D6478BD642F)).sum(dtype=U).astype(np.int64)) for s in some], pa.int64()),
-                    pa.array([sketch(s, r) for s, r in zip(some, registers(some), strict=True)], pa.binary())], names=["id", "n_shingles", "h1", "h2", "sketch"])
+                    pa.array([pack(sketch(s, r)) for s, r in zip(some, registers(some), strict=True)], pa.binary())], names=["id", "n_shingles", "h1", "h2", "sketch"])
                 at = stop
     return run
 
@@ -144,7 +144,7 @@ def bands(sketches: np.ndarray) -> np.ndarray:
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            keys = bands(np.frombuffer(b"".join(s[:REGISTERS] for s in batch.column(1).to_pylist()), np.uint8).reshape(-1, REGISTERS))
+            keys = bands(np.frombuffer(b"".join(s[:REGISTERS] for s in unpack(batch.column(1))), np.uint8).reshape(-1, REGISTERS))
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), keys.shape[1]))],
                                              names=["key", "id"])
 

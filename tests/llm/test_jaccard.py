@@ -191,3 +191,11 @@ def test_boundary_follows_cost():
     large = jaccard.choose_boundary(rule, {n: 100 for n in range(60, 128)})
     assert small >= 9 and large <= 60
     assert rule.subset_rows(9) <= 10 and rule.subset_rows(60) > 10_000 > rule.prefix(60)
+
+
+def test_sketches_travel_packed():
+    """A sketch goes to a cell with every list its set is in: it takes less than half its bytes, and comes back whole."""
+    sketches = [links.counts(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64)).tobytes() for n in (1, 30, 300, 900, 5000)]
+    rows = [links.pack(s) for s in sketches]
+    assert links.unpack(pa.array(rows, pa.binary())) == sketches
+    assert all(2 * len(r) < len(s) for r, s in zip(rows[2:4], sketches[2:4], strict=True))
