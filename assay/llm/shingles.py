@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 18   # of texts hashed at once: each byte takes some 30 bytes of arrays meanwhile
 ODD = np.uint64(0x9E3779B97F4A7C15)     # any odd multiplier will do
 
 _FOLD = np.arange(256, dtype=np.uint8)
